@@ -80,3 +80,62 @@ def mix64(a: np.ndarray, b: np.ndarray | int) -> np.ndarray:
     x *= np.uint64(0xBF58476D1CE4E5B9)
     x ^= x >> np.uint64(32)
     return x
+
+
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+
+
+def word_names(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit names of all words (runs between white space, A-Z lower-cased), in order, and how many each text has.
+
+    A word's name sums a mix of each byte with its place in the word, so equal words have equal names anywhere.
+    """
+    rows = len(offsets) - 1
+    data = _LOWER[data]
+    inside = ~_SPACE[data]
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    begins = offsets[:-1][offsets[:-1] < offsets[1:]]
+    first[begins] = inside[begins]
+    starts = np.flatnonzero(first)
+    if not len(starts):
+        return np.zeros(0, np.uint64), np.zeros(rows, np.int64)
+    place = (np.arange(len(data)) - starts[np.maximum(np.cumsum(first) - 1, 0)]).astype(np.uint64)
+    part = mix64((data.astype(np.uint64) + np.uint64(1)) | (place << np.uint64(9)), 0x51ED270B)
+    part[~inside] = 0
+    name = mix64(np.add.reduceat(part, starts), np.add.reduceat(inside.astype(np.uint64), starts))
+    return name, np.bincount(np.searchsorted(offsets, starts, "right") - 1, minlength=rows)
+
+
+class HashTable:
+    """uint64 keys to float64 values in open addressing; lookups are vectorised."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.bits = max(4, int(2 * len(keys)).bit_length())
+        self.keys = np.zeros(1 << self.bits, np.uint64)
+        self.values = np.full(1 << self.bits, np.nan)
+        slot, left = self._slot(keys), np.arange(len(keys))
+        while len(left):
+            free = np.isnan(self.values[slot[left]])
+            at, first = np.unique(slot[left[free]], return_index=True)
+            placed = left[free][first]
+            self.keys[at], self.values[at] = keys[placed], values[placed]
+            left = np.setdiff1d(left, placed, assume_unique=True)
+            slot[left] = (slot[left] + 1) & ((1 << self.bits) - 1)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """Values; nan for keys that aren't there."""
+        slot = self._slot(keys)
+        out = self.values[slot]
+        wrong = np.flatnonzero((self.keys[slot] != keys) & ~np.isnan(out))
+        while len(wrong):
+            slot[wrong] = (slot[wrong] + 1) & ((1 << self.bits) - 1)
+            out[wrong] = self.values[slot[wrong]]
+            wrong = wrong[(self.keys[slot[wrong]] != keys[wrong]) & ~np.isnan(out[wrong])]
+        return out

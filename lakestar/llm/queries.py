@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakestar.llm import decontam, langid, tokencount, topk, urlfilter
+from lakestar.llm import ctw, decontam, jaccard, langid, mixing, tokencount, topk, urlfilter
 from lakestar.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,12 +33,24 @@ def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.neighbours(table(spark, sf_dir, "embeddings"))
 
 
+def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.components(table(spark, sf_dir, "documents"))
+
+
+def op9_ctw_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score(table(spark, sf_dir, "documents"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_language_id, op3_decontaminate, op4_token_counts, op5_topk, op10_url_filter)}
+    return {f.__name__: f for f in (op1_language_id, op3_decontaminate, op4_token_counts, op5_topk, op7_mix, op8_jaccard_join, op9_ctw_score, op10_url_filter)}
 
 
 _OP3_SQL = r"""
@@ -72,5 +84,21 @@ select query_id, cast(rank as int) as rank, vec_id, score from r where rank <= 5
 """
 
 
+_OP8_SQL = r"""
+with recursive d as (
+  select row_number() over () as r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents
+), g as (
+  select distinct r, array_to_string(w[i : i + least(len(w), 5) - 1], ' ') as g
+  from (select r, w, unnest(range(1, len(w) - least(len(w), 5) + 2)) as i from d where len(w) > 0)
+), n as (select r, count(*) as n from g group by r),
+links as (
+  select a.r as a, b.r as b from g a join g b using (g) join n na on na.r = a.r join n nb on nb.r = b.r
+  where a.r <> b.r group by a.r, b.r, na.n, nb.n having 100 * count(*) >= 75 * (na.n + nb.n - count(*))
+), reach as (select r as a, r as b from d union select reach.a, links.b from reach join links on reach.b = links.a),
+least as (select a as r, min(doc_id) as component_id from reach join d on d.r = b group by a)
+select doc_id, cast(coalesce(n, 0) as bigint) as n_shingles, component_id from d left join n using (r) join least using (r)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontaminate": _OP3_SQL, "op5_topk": _OP5_SQL}
+    return {"op3_decontaminate": _OP3_SQL, "op5_topk": _OP5_SQL, "op8_jaccard_join": _OP8_SQL}
