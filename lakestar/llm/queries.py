@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakestar.llm import ctw, decontam, jaccard, langid, mixing, tokencount, topk, urlfilter
+from lakestar.llm import ctw, decontam, jaccard, langid, mixing, sadedup, tokencount, topk, urlfilter
 from lakestar.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,10 @@ def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.neighbours(table(spark, sf_dir, "embeddings"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sadedup.deduplicate(table(spark, sf_dir, "documents"))
+
+
 def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -50,7 +54,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_language_id, op3_decontaminate, op4_token_counts, op5_topk, op7_mix, op8_jaccard_join, op9_ctw_score, op10_url_filter)}
+    return {f.__name__: f for f in (op1_language_id, op3_decontaminate, op4_token_counts, op5_topk, op6_suffix_dedup, op7_mix, op8_jaccard_join, op9_ctw_score, op10_url_filter)}
 
 
 _OP3_SQL = r"""
