@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakestar.llm import ctw, decontam, jaccard, langid, mixing, sadedup, tokencount, topk, urlfilter
+from lakestar.llm import ctw, decontam, jaccard, langid, mixing, sadedup, secretscan, tokencount, topk, urlfilter
 from lakestar.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.detect_languages(table(spark, sf_dir, "documents"))
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secretscan.report(table(spark, sf_dir, "documents"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -54,7 +58,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_language_id, op3_decontaminate, op4_token_counts, op5_topk, op6_suffix_dedup, op7_mix, op8_jaccard_join, op9_ctw_score, op10_url_filter)}
+    return {f.__name__: f for f in (op1_language_id, op2_secret_scan, op3_decontaminate, op4_token_counts, op5_topk, op6_suffix_dedup, op7_mix, op8_jaccard_join, op9_ctw_score, op10_url_filter)}
 
 
 _OP3_SQL = r"""
