@@ -21,7 +21,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -149,22 +148,39 @@ def _strings(data: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np
 
 
 def _compare(length: int):
-    """Ranges (t, b, e) of the contexts of one anchor whose strings occur in another of its contexts."""
+    """Ranges (t, b, e) of the contexts of an anchor whose strings occur in another of its contexts.
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        rank, owner, start = _strings(pdf["data"].tolist(), length)
+    Rows come sorted by rank; whole anchors are compared together, many at a time: a string of one anchor is none of another.
+    """
+
+    def ranges(rows: pa.Table) -> pa.RecordBatch:
+        rank, owner, start = _strings(rows.column("data").to_pylist(), length)
         _, inverse, count = np.unique(rank, return_inverse=True, return_counts=True)
-        single = pdf["n"].to_numpy()[owner] == 1
-        again = np.flatnonzero((count[inverse] > 1) & single)
+        t, s0, n = (rows.column(c).to_numpy() for c in ("t", "s0", "n"))
+        again = np.flatnonzero((count[inverse] > 1) & (n[owner] == 1))
         owner, start = owner[again], start[again]
-        if not len(owner):
-            return pd.DataFrame({"t": [], "b": [], "e": []}, dtype="int64")
         new = np.ones(len(owner), bool)
         new[1:] = (owner[1:] != owner[:-1]) | (start[1:] != start[:-1] + 1)
         first = np.flatnonzero(new)
-        last = np.append(first[1:], len(owner)) - 1
-        base = pdf["s0"].to_numpy()[owner[first]]
-        return pd.DataFrame({"t": pdf["t"].to_numpy()[owner[first]], "b": (base + start[first]).astype("int64"), "e": (base + start[last] + length).astype("int64")})
+        last = np.append(first[1:], len(owner))[: len(first)] - 1
+        begin = s0[owner[first]].astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(t[owner[first]]), pa.array(begin + start[first]), pa.array(begin + start[last] + length)], names=["t", "b", "e"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                held.append(batch.slice(at, 4096))
+                if sum(b.num_rows for b in held) < 8192:
+                    continue
+                rows = pa.Table.from_batches(held)
+                ranks_held = rows.column("rank").to_numpy()
+                whole = int(np.searchsorted(ranks_held, ranks_held[-1]))
+                if whole:
+                    yield ranges(rows.slice(0, whole))
+                held = rows.slice(whole).combine_chunks().to_batches()
+        if held:
+            yield ranges(pa.Table.from_batches(held))
 
     return run
 
@@ -188,7 +204,8 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     anchors = docs.mapInArrow(_anchors(length), "rank long, context long, t long, s0 int, s1 int")
     # Round one: 32-byte ranks that occur again.
     twice = anchors.groupBy("rank").agg(F.count("*").alias("n"), F.min("context").alias("low"), F.max("context").alias("high"))
-    twice = twice.where("n > 1").select("rank", (F.col("low") != F.col("high")).alias("mixed"))
+    # Written first, so that the join has plain shuffles on both sides and Spark can split a rank that very many places have.
+    twice = materialize(twice.where("n > 1").select("rank", (F.col("low") != F.col("high")).alias("mixed")), "suffix-ranks")
     left = materialize(anchors.join(twice, "rank"), "suffix-anchors")
     # Round two: contexts that occur again. Of each context one place is enough from here on.
     contexts = left.where("mixed").groupBy("rank", "context").agg(F.count("*").alias("n"), F.min(F.struct("t", "s0", "s1")).alias("at"))
@@ -203,7 +220,7 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     texts = docs.mapInArrow(_with_names(named, True), "text string, t long")
     # Copies of a text answer for it more than once, which only happens to contexts that occur again anyhow.
     found = materialize(texts.join(asked, "t").mapInArrow(_contexts(length), "rank long, n long, big boolean, t long, s0 int, data binary"), "suffix-strings")
-    small = found.where(~F.col("big")).groupBy("rank").applyInPandas(_compare(length), "t long, b long, e long")
+    small = found.where(~F.col("big")).repartition("rank").sortWithinPartitions("rank").mapInArrow(_compare(length), "t long, b long, e long")
     strings = found.where("big").mapInArrow(_single_strings(length), "string long, t long, b long, n long")
     again = strings.groupBy("string").agg(F.count("*").alias("m")).where("m > 1").select("string")
     large = strings.where("n = 1").join(again, "string", "left_semi").select("t", "b", (F.col("b") + length).alias("e"))
