@@ -1,0 +1,50 @@
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakestar.llm import queries, secretscan
+from lakestar.llm.secret_findings import labelled_findings
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    return secretscan.train(secretscan.findings(spark))
+
+
+def test_held_out_findings(spark, model):
+    rows = secretscan.findings(spark, labelled_findings(400, seed=99))
+    features = ", ".join(f"'{n}', cast({s} as double)" for n, s in secretscan.FEATURES.items())
+    scored = rows.select(F.struct("value", "before", "after", "path").alias("x"), "label").select("label", F.expr(secretscan._sql(f"named_struct({features})")).alias("f"))
+    scored = scored.select("label", "f", F.expr(secretscan.forest_sql(model)).alias("p")).collect()
+    assert sum((r.p >= 0.5) == (r.label == 1) for r in scored) > 0.95 * len(scored)
+    # The SQL is the learner's own forest.
+    from pyspark.ml.feature import VectorAssembler
+
+    frame = spark.createDataFrame([(r.p, *r.f) for r in scored], ["p", *secretscan.FEATURES])
+    frame = model.transform(VectorAssembler(inputCols=list(secretscan.FEATURES), outputCol="features").transform(frame))
+    assert all(abs(r.p - r.probability[1]) < 1e-5 for r in frame.select("p", "probability").collect())
+
+
+KEY = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"
+
+
+def test_scan_and_redaction(spark, model):
+    forest = secretscan.forest_sql(model)
+    texts = [f'some words token = "{KEY}" more', f"as of commit {KEY} the", None, "", f'\x01 \x02a password="{KEY}" \x02b\x01', f'secret: "{KEY}" and secret: "{KEY}"', "x" * 200_000 + f' api_key="{KEY}"', "plain words only"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumns({"found": F.lit(1), "pieces": F.lit("x")})
+    rows = {r.doc_id: r for r in secretscan.scan(df, forest).collect()}
+    for i, t in enumerate(texts):
+        want = [(m.start(), m[0]) for m in re.finditer(r"(?<![A-Za-z0-9+/_\-])(?=[A-Za-z+/_\-]*[0-9])[A-Za-z0-9+/_\-]{16,}={0,2}", t or "")]
+        assert [(f.offset, f.value) for f in rows[i].found] == want
+    cut = {r.doc_id: r.text for r in secretscan.redact(df, forest=forest).collect()}
+    assert [cut[i] for i in (1, 2, 3, 7)] == [texts[i] for i in (1, 2, 3, 7)]
+    for i in (0, 4, 5, 6):
+        assert cut[i] == texts[i].replace(KEY, "[SECRET]")
+    assert secretscan.scan(df.limit(0), forest).collect() == []
+
+
+def test_query_has_no_python(spark, sf_dir):
+    df = queries.op2_secret_scan(spark, sf_dir)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan) and df.count() == 200
