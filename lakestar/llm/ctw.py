@@ -32,7 +32,9 @@ from lakestar.llm.common import HashTable, extended, fold, materialize, pieces,
 
 DEPTH = 4
 END = 255
-FREQUENT = 1 << 20
+FREQUENT = 1 << 19
+#: Bytes of text that are scored at a time.
+PIECE = 1 << 19
 TOKEN, GRAM = 0, 1
 #: The end token's name; words' names are mixed and don't take it but by a chance of 2^-64.
 END_NAME = 1
@@ -74,12 +76,15 @@ def nodes(codes: np.ndarray, counts: np.ndarray, depth: int) -> tuple[np.ndarray
     pair, inverse = np.unique((codes >> np.uint64(8) & mask) << np.uint64(8) | codes & np.uint64(255), return_inverse=True)
     counts = np.bincount(inverse, counts, len(pair))
     symbol, context = pair & np.uint64(255), pair >> np.uint64(8)
-    bit = np.arange(8, dtype=np.uint64)[:, None]
-    keys = (context << np.uint64(8) | np.uint64(1) << bit | symbol >> (np.uint64(8) - bit)).ravel()
-    value = (symbol >> (np.uint64(7) - bit) & np.uint64(1)).ravel().astype(bool)
-    found, inverse = np.unique(keys, return_inverse=True)
-    weight = np.tile(counts, 8)
-    return found, np.bincount(inverse, weight * ~value, len(found)), np.bincount(inverse, weight * value, len(found))
+    parts = []
+    for bit in range(8):  # nodes of different levels are different, so a level at a time is all that is held
+        keys = context << np.uint64(8) | np.uint64(1 << bit) | symbol >> np.uint64(8 - bit)
+        ones = (symbol >> np.uint64(7 - bit) & np.uint64(1)) * counts
+        found, inverse = np.unique(keys, return_inverse=True)
+        parts.append((found, np.bincount(inverse, counts - ones, len(found)), np.bincount(inverse, ones, len(found))))
+    keys = np.concatenate([p[0] for p in parts])
+    order = np.argsort(keys, kind="stable")
+    return keys[order], *(np.concatenate([p[i] for p in parts])[order] for i in (1, 2))
 
 
 class Trees:
@@ -144,12 +149,12 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys[part]), kind), pa.int32()), pa.array(keys[part].view(np.int64)), pa.array(counts[part])], names=["kind", "key", "n"])
 
     for batch in batches:
-        for _, offsets, data in pieces(batch.column("text"), rows=4096):
+        for _, offsets, data in pieces(batch.column("text"), PIECE, 4096):
             names, _ = word_names(offsets, data)
             names = np.append(names, np.full(len(offsets) - 1, END_NAME, np.uint64))
             held[TOKEN].append(np.unique(names, return_counts=True))
             held[GRAM].append(np.unique(symbols(offsets, data)[0], return_counts=True))
-            if len(held[TOKEN]) >= 16:
+            if len(held[TOKEN]) >= 48:
                 yield from hand_on(TOKEN, 1_500_000)
                 yield from hand_on(GRAM, 1_500_000)
     yield from hand_on(TOKEN, 0)
@@ -168,8 +173,11 @@ def gather(train: DataFrame) -> tuple[DataFrame, DataFrame]:
     return tuple(counts.where(F.col("kind") == kind).select("key", "n") for kind in (TOKEN, GRAM))
 
 
-def score_texts(rows: DataFrame, grams: DataFrame, max_grams: int = 4_000_000) -> DataFrame:
-    """``rows`` (with text) plus score, in as many passes as the model has blocks."""
+def score_texts(rows: DataFrame, grams: DataFrame, max_grams: int = 4_000_000, then: tuple | None = None) -> DataFrame:
+    """``rows`` (with text) plus score, in as many passes as the model has blocks.
+
+    ``then``: (Arrow function, schema) applied in the last pass, in the same Python worker.
+    """
     spark = rows.sparkSession
     blocks = max(1, -(-grams.count() // max_grams))
     # A block holds whole subtrees below contexts of two bytes; depths 0 and 1 have at most 65,536 contexts and symbols.
@@ -185,7 +193,8 @@ def score_texts(rows: DataFrame, grams: DataFrame, max_grams: int = 4_000_000) -
     keys, inverse = np.unique(np.concatenate([k for k, _ in below]), return_inverse=True)
     below = keys, np.bincount(inverse, np.concatenate([s for _, s in below]), len(keys))
     top = Trees(short[0].astype(np.uint64), short[1], range(0, 2), below)
-    rows = rows.drop("score").withColumn("score", F.lit(0.0))
+    if "score" not in rows.columns:
+        rows = rows.withColumn("score", F.lit(0.0))
     of_block = np.zeros(1 << 16, np.int64)  # contexts that training hasn't seen go with block 0
     if blocks > 1:
         for r in grams.select(context.cast("int").alias("c"), F.pmod(F.xxhash64(context), F.lit(blocks)).alias("b")).distinct().collect():
@@ -198,10 +207,13 @@ def score_texts(rows: DataFrame, grams: DataFrame, max_grams: int = 4_000_000) -
             trees = Trees(keys.astype(np.uint64), n, range(2, DEPTH + 1))
         keys = keys.astype(np.uint64)
         shared = spark.sparkContext.broadcast((HashTable(keys, trees.log10(keys, top)), trees, top, of_block == b if blocks > 1 else None))
-        rows = rows.mapInArrow(_score(shared, rows.columns), rows.schema)
+        run = _score(shared, rows.columns)
         if b + 1 < blocks:
-            rows = materialize(rows, "ctw-pass")
-    return rows
+            rows = materialize(rows.mapInArrow(run, rows.schema), "ctw-pass")
+    if then is None:
+        return rows.mapInArrow(run, rows.schema)
+    after, schema = then
+    return rows.mapInArrow(lambda batches, run=run: after(run(batches)), schema)
 
 
 def _score(shared, columns: list[str]):
@@ -209,7 +221,7 @@ def _score(shared, columns: list[str]):
         lookup, trees, top, mine = shared.value
         for batch in batches:
             out = batch.column("score").to_numpy(zero_copy_only=False).copy()
-            for at, offsets, data in pieces(batch.column("text"), rows=4096):
+            for at, offsets, data in pieces(batch.column("text"), PIECE, 4096):
                 codes, owner = symbols(offsets, data)
                 if mine is not None:
                     here = mine[(codes >> np.uint64(8) & np.uint64(0xFFFF)).astype(np.int64)]
@@ -232,7 +244,7 @@ def _base(shared):
         for batch in batches:
             columns = {c: [] for c in ("n_tokens", "n_known", "base_score")}
             lists, ends = [], [0]
-            for _, offsets, data in pieces(batch.column("text"), rows=4096):
+            for _, offsets, data in pieces(batch.column("text"), PIECE, 4096):
                 names, n = word_names(offsets, data)
                 count = frequent.get(names)
                 owner = np.repeat(np.arange(len(n)), n)
@@ -269,9 +281,9 @@ def score(docs: DataFrame, folds: int = 7, held: int = 2, max_grams: int = 4_000
     common = _arrays(tokens.where(F.col("n") >= least), "key", "n") if least else [np.zeros(0, np.int64)] * 2
     shared = spark.sparkContext.broadcast((HashTable(common[0].view(np.uint64), common[1].astype(float)), total, vocabulary, end))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.coalesce(fold("doc_id", folds) == held, F.lit(False)).alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = score_texts(rows, grams, max_grams).withColumn("n_bytes", F.octet_length("text").cast("long"))
+    rows = rows.withColumns({"n_bytes": F.octet_length("text").cast("long"), "score": F.lit(0.0)})
     schema = extended(rows.drop("text").schema, n_tokens="long", n_known="long", base_score="double", rare=T.ArrayType(T.LongType()))
-    scored = materialize(rows.mapInArrow(_base(shared), schema), "ctw-scores")
+    scored = materialize(score_texts(rows, grams, max_grams, (_base(shared), schema)), "ctw-scores")
     asked = scored.select("row", F.explode("rare").alias("key")).groupBy("row", "key").agg(F.count("*").alias("times"))
     found = asked.join(tokens.where(F.col("n") < least) if least else tokens, "key", "left").withColumn("c", F.coalesce("n", F.lit(0)))
     each = F.col("times") * (F.log10(F.col("c") + 1) - float(np.log10(total + vocabulary + 1)))
