@@ -111,11 +111,11 @@ def _spherical_kmeans(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return centroids
 
 
-def fit(train: DataFrame, k: int = 4, sample_per_language: int = 1200, max_languages: int = 256, quantile: float = 0.002, slack: float = 1.25) -> CentroidModel:
+def fit(train: DataFrame, k: int = 4, sample_per_language: int = 1200, sample_total: int = 5000, max_languages: int = 256, quantile: float = 0.002, slack: float = 1.25) -> CentroidModel:
     """Learns from rows (doc_id, text, lang) with non-null text and lang.
 
     Document frequencies come from all rows. The centroids are fitted to a sample of about ``sample_per_language`` rows
-    of each language (the documented bound; rows are chosen by a hash of the text); languages past the ``max_languages``
+    of each language, ``sample_total`` in all (the documented bounds; rows are chosen by a hash of the text); languages past the ``max_languages``
     most frequent are not learnt. ``radius`` is the distance which all but ``quantile`` of the sample of that length keep
     to, times ``slack``.
     """
@@ -127,6 +127,7 @@ def fit(train: DataFrame, k: int = 4, sample_per_language: int = 1200, max_langu
     per = train.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).collect()
     if not per:
         return CentroidModel([], np.zeros(0, int), idf, np.zeros((FEATURES, 0), np.float32), np.full(LENGTHS, 2.0))
+    sample_per_language = min(sample_per_language, max(1, sample_total // len(per)))
     rate: Column = F.lit(0)
     for r in per:
         rate = F.when(F.col("lang") == r.lang, min(1 << 20, (sample_per_language << 20) // r.n)).otherwise(rate)
