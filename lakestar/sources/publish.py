@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import re
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakestar.sources.table import VersionedTable
@@ -105,3 +108,31 @@ def publish(warehouse: Warehouse, tables: dict[str, VersionedTable], keys: dict[
         if warehouse.read(name).count() != n:
             raise RuntimeError(f"{name}: the warehouse doesn't hold {n} rows")
     return Publication(versions, rows, False)
+
+
+LOG = "started_at timestamp, finished_at timestamp, status string, versions string, rows string, error string"
+
+
+def latest_success(log: VersionedTable) -> dict[str, int] | None:
+    """The versions that the last successful publication had."""
+    if not log.exists():
+        return None
+    last = log.read().where("status = 'success'").agg(F.max_by("versions", "finished_at").alias("v")).first()
+    return json.loads(last.v) if last and last.v else None
+
+
+def publish_logged(warehouse: Warehouse, tables: dict[str, VersionedTable], keys: dict[str, list[str]], log: VersionedTable, force: bool = False) -> Publication:
+    """``publish`` against the last success in ``log``; success or failure is appended, and a failure is raised again."""
+    log.create(LOG, properties={"appendOnly": "true"})
+    began, done, error = time.time(), None, None
+    try:
+        done = publish(warehouse, tables, keys, latest_success(log), force)
+        return done
+    except Exception as e:
+        error = str(e)[:2000]
+        raise
+    finally:
+        if done is None or not done.skipped:
+            row = (began, time.time(), "failed" if error else "success", json.dumps(done.versions if done else {}), json.dumps(done.rows if done else {}), error)
+            rows = warehouse.spark.createDataFrame([row], "started_at double, finished_at double, status string, versions string, rows string, error string")
+            log.append(rows.withColumns({c: F.col(c).cast("timestamp") for c in ("started_at", "finished_at")}))

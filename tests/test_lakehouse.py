@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from lakestar.functions.urls import normalize
 from lakestar.plans import lakehouse as lh
 from lakestar.sources.files import Files
-from lakestar.sources.publish import Warehouse, ddl, publish
+from lakestar.sources.publish import Warehouse, ddl, latest_success, publish, publish_logged
 from lakestar.sources.table import Clause, CommitConflict, VersionedTable, insert_only, upsert
 
 
@@ -145,6 +145,11 @@ def test_publication_swaps_and_skips(spark, tmp_path):
     assert w.read("dim_t").count() == 1
     with pytest.raises(ValueError):
         ddl("bad name", t.read().schema)
+    log = VersionedTable(spark, f"{tmp_path}/log")
+    assert not publish_logged(w, {"dim_t": t}, {}, log).skipped and publish_logged(w, {"dim_t": t}, {}, log).skipped
+    with pytest.raises(ValueError):
+        publish_logged(w, {"bad name": t}, {}, log, force=True)
+    assert latest_success(log) == {"dim_t": 1} and [r.status for r in log.read().orderBy("started_at").collect()] == ["success", "failed"]
 
 
 @pytest.mark.parametrize(("url", "want"), [
