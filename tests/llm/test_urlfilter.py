@@ -15,16 +15,16 @@ def test_segmentation_is_the_likeliest():
                     parts.append(label[last:i])
                     last = i
             parts.append(label[last:])
-            total = sum(m.unigram.get(p, m.unknown * len(p) if len(p) == 1 else -1e99) for p in parts)
-            best = max(best, total)
+            best = max(best, cost(parts))
         return best
 
     def cost(words):
-        return sum(m.unigram[w] if w in m.unigram else m.unknown * len(w) for w in words)
+        return sum(m.unigram[w] if w in m.unigram else m.enter + m.unknown * len(w) for w in words)
 
-    for label in ("cheappills", "newsblog", "thexyshop", "zzz", "spamfarm", "onlinebet"):
+    for label in ("cheappills", "newsblog", "thexyshop", "zzz", "spamfarm", "onlinebet", "therer", "xfreezbets", "qshopq", "a"):
         assert abs(cost(m.segment(label)) - brute(label)) < 1e-9
     assert m.segment("cheappills") == ["cheap", "pills"] and m.segment("spamfarm") == ["spam", "farm"]
+    assert m.segment("therer") == ["the", "rer"] and m.segment("cheapxqpills") == ["cheap", "xq", "pills"] and m.segment("") == []
 
 
 def test_rules_and_splitting(spark):
