@@ -27,6 +27,8 @@ FEATURES = 1 << 13
 ORDERS = (1, 2, 3)
 #: Lengths are told apart by powers of two of the number of letters, for the radius.
 LENGTHS = 24
+#: Bytes and rows of text that are counted at a time.
+PIECE, ROWS = 1 << 19, 128
 
 _KEEP = np.full(256, 32, np.uint8)
 _KEEP[97:123] = np.arange(97, 123)
@@ -85,7 +87,7 @@ def _has_letter(text: str | None) -> bool:
 def _document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     df, n = np.zeros(FEATURES, np.int64), 0
     for batch in batches:
-        for _, offsets, data in pieces(pc.utf8_lower(batch.column("text"))):
+        for _, offsets, data in pieces(pc.utf8_lower(batch.column("text")), PIECE, ROWS):
             found, _ = counts(offsets, data)
             df += (found > 0).sum(axis=0)
             n += len(found)
@@ -111,7 +113,7 @@ def _spherical_kmeans(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return centroids
 
 
-def fit(train: DataFrame, k: int = 4, sample_per_language: int = 1200, sample_total: int = 5000, max_languages: int = 256, quantile: float = 0.002, slack: float = 1.25) -> CentroidModel:
+def fit(train: DataFrame, k: int = 4, sample_per_language: int = 600, sample_total: int = 2400, max_languages: int = 256, quantile: float = 0.002, slack: float = 1.25) -> CentroidModel:
     """Learns from rows (doc_id, text, lang) with non-null text and lang.
 
     Document frequencies come from all rows. The centroids are fitted to a sample of about ``sample_per_language`` rows
@@ -136,7 +138,7 @@ def fit(train: DataFrame, k: int = 4, sample_per_language: int = 1200, sample_to
     languages, owner, found, kept = sorted({r.lang for r in rows}), [], [], []
     for lang in languages:
         texts = pa.array([r.text for r in rows if r.lang == lang and _has_letter(r.text)], pa.string())
-        parts = [(vectors(c, idf), letters) for _, o, d in pieces(pc.utf8_lower(texts)) for c, letters in [counts(o, d)]]
+        parts = [(vectors(c, idf), letters) for _, o, d in pieces(pc.utf8_lower(texts), PIECE, ROWS) for c, letters in [counts(o, d)]]
         if not parts:
             continue
         x = np.concatenate([p for p, _ in parts])
@@ -175,7 +177,7 @@ def identify(docs: DataFrame, model: CentroidModel) -> DataFrame:
             texts = batch.column("text")
             best, lang, letters = np.zeros(len(texts)), np.zeros(len(texts), int), np.zeros(len(texts), int)
             if m.languages:
-                for first, offsets, data in pieces(pc.utf8_lower(texts)):
+                for first, offsets, data in pieces(pc.utf8_lower(texts), PIECE, ROWS):
                     found, n = counts(offsets, data)
                     cosine = vectors(found, m.idf) @ m.centroids
                     rows = slice(first, first + len(n))
