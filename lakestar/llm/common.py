@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -72,6 +73,14 @@ def pieces(column: pa.Array, size: int = 1 << 21, rows: int = 256) -> Iterator[t
         first = last
 
 
+def release() -> None:
+    """Gives freed memory back to the system: Python workers are used again, and would hold it in later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def mix64(a: np.ndarray, b: np.ndarray | int) -> np.ndarray:
     """A 64-bit name for the pair (a, b)."""
     x = a * np.uint64(0x9E3779B97F4A7C15)

@@ -28,11 +28,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakestar.llm.common import HashTable, extended, fold, materialize, pieces, word_names
+from lakestar.llm.common import HashTable, extended, fold, materialize, pieces, release, word_names
 
 DEPTH = 4
 END = 255
-FREQUENT = 1 << 19
+FREQUENT = 1 << 18
 #: Bytes of text that are scored at a time.
 PIECE = 1 << 19
 TOKEN, GRAM = 0, 1
@@ -154,11 +154,12 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names = np.append(names, np.full(len(offsets) - 1, END_NAME, np.uint64))
             held[TOKEN].append(np.unique(names, return_counts=True))
             held[GRAM].append(np.unique(symbols(offsets, data)[0], return_counts=True))
-            if len(held[TOKEN]) >= 48:
-                yield from hand_on(TOKEN, 1_500_000)
-                yield from hand_on(GRAM, 1_500_000)
+            if len(held[TOKEN]) >= 24:
+                yield from hand_on(TOKEN, 750_000)
+                yield from hand_on(GRAM, 750_000)
     yield from hand_on(TOKEN, 0)
     yield from hand_on(GRAM, 0)
+    release()
 
 
 def _arrays(df: DataFrame, *columns: str) -> list[np.ndarray]:
@@ -218,6 +219,7 @@ def score_texts(rows: DataFrame, grams: DataFrame, max_grams: int = 4_000_000, t
 
 def _score(shared, columns: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         lookup, trees, top, mine = shared.value
         for batch in batches:
             out = batch.column("score").to_numpy(zero_copy_only=False).copy()
