@@ -242,8 +242,11 @@ def components(docs: DataFrame, n: int = 5, threshold: int = 75) -> DataFrame:
 
 
 def _needed(k: Column, threshold: int) -> Column:
-    """Shared sampled columns that a link implies: NEEDED of a full sample; of a shorter one, which is the whole row, the threshold's part."""
-    return F.when(k >= SKETCH, F.lit(NEEDED)).otherwise(F.ceil(k * threshold / 100))
+    """Shared sampled columns that a link implies: NEEDED, or the threshold's part of a row that has fewer.
+
+    A row shorter than a sample isn't asked for more: its partner's sample may not be the whole row.
+    """
+    return F.least(F.lit(NEEDED), F.ceil(k * threshold / 100))
 
 
 def _whole_of(n: int):

@@ -52,6 +52,19 @@ def test_against_brute_force(spark, monkeypatch):
     assert sorted((tuple(r) for r in jaccard.components(df).collect()), key=str) == want
 
 
+def test_sets_below_the_sample_size_link_larger_ones(spark):
+    rng, rows, want = random.Random(17), [], []
+    for pair in range(480):
+        # Sets of k and ``partner`` shingles, of which the last k - changed of the smaller are shared.
+        k, partner, changed = rng.choice(((47, 62, 0), (47, 60, 1), (47, 61, 0), (46, 61, 0), (45, 58, rng.randrange(3)), (46, 59, rng.randrange(3))))
+        larger = [f"p{pair}w{rng.randrange(10**9)}" for _ in range(partner + 4)]
+        smaller = [f"p{pair}x{i}" for i in range(changed)] + larger[changed : k + 4]
+        rows += [(2 * pair, " ".join(smaller)), (2 * pair + 1, " ".join(larger))]
+        want += brute(rows[-2:])
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(tuple(r) for r in jaccard.components(df).collect()) == sorted(want)
+
+
 def test_forest_finds_all_links():
     rng = np.random.default_rng(5)
     bound = jaccard._whole_bound(50)
