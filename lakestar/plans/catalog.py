@@ -258,6 +258,13 @@ def r24_asof_join(spark, sf_dir):
     return relational.asof_join(facts, versions, ["user_id"], "ts").select("event_id", "user_id", "version_type", "effective_from")
 
 
+@query(_SCD2 + " select event_id, e.user_id, v.event_type as version_type, effective_from from events e left join versions v on e.user_id = v.user_id and e.ts >= effective_from and e.ts < effective_to")
+def r24_asof_join_whole(spark, sf_dir):
+    facts = _t(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    versions = _versions(spark, sf_dir).withColumnRenamed("event_type", "version_type").drop("is_current")
+    return relational.asof_join(facts, versions, ["user_id"], "ts").select("event_id", "user_id", "version_type", "effective_from")
+
+
 @query("""select o_custkey, count(*) as n from (select o_custkey, o_orderdate as f, lag(o_orderdate + interval 90 day) over (partition by o_custkey order by o_orderdate, o_orderdate + interval 90 day) as before from orders) where f < before group by o_custkey""")
 def r25_range_overlap(spark, sf_dir):
     ranges = _t(spark, sf_dir, "orders").select("o_custkey", F.col("o_orderdate").alias("f"), F.expr("o_orderdate + interval 90 days").alias("t"))
