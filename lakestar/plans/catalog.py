@@ -435,6 +435,14 @@ def r54_merge_delete_by_source(spark, sf_dir):
     return table.read()
 
 
+@query("select o_orderkey, o_custkey, o_orderstatus from orders where o_orderkey % 3 = 0 or o_orderstatus <> 'F'")
+def r54_merge_delete_by_source_whole(spark, sf_dir):
+    table, orders = _base(spark, sf_dir, "r54w")
+    table.append(orders.where("o_orderkey % 2 <> 0"))
+    table.merge(orders.where("o_orderkey % 3 = 0"), ["o_orderkey"], [Clause("delete", "not_matched_by_source", "target.o_orderstatus = 'F'")])
+    return table.read()
+
+
 @query("select o_orderkey, o_custkey, o_orderstatus from orders where o_orderkey % 2 = 0")
 def r55_time_travel(spark, sf_dir):
     table, orders = _base(spark, sf_dir, "r55")
@@ -524,6 +532,13 @@ def r61_pending_markers(spark, sf_dir):
     return landing.pending(e.where("event_id % 4 = 0").select(key.alias("key")).union(e.where("event_id % 8 = 0").select(F.concat(key, F.lit(".processed")))))
 
 
+@query("select 'm/' || event_id || '.json' as key from events except select 'm/' || event_id || '.json' from events where event_id % 2 = 0")
+def r61_pending_markers_whole(spark, sf_dir):
+    e = _t(spark, sf_dir, "events")
+    key = F.concat(F.lit("m/"), F.col("event_id").cast("string"), F.lit(".json"))
+    return landing.pending(e.select(key.alias("key")).union(e.where("event_id % 2 = 0").select(F.concat(key, F.lit(".processed")))))
+
+
 @query("select key, size, md5, case when size = 0 then 'empty' when rsize is null then 'new' when size = rsize and md5 = rmd5 then 'unchanged' else 'replaced' end as action from (select url as key, case when page_id % 10 = 0 then 0 else length(html) end as size, md5(html) as md5, case when page_id % 3 <> 0 then length(html) end as rsize, case when page_id % 3 = 1 then md5(html) when page_id % 3 = 2 then 'x' end as rmd5, page_id from pages) where page_id % 2 = 0")
 def r61_landing_plan(spark, sf_dir):
     pages = _t(spark, sf_dir, "pages").where("page_id % 2 = 0")
@@ -534,6 +549,16 @@ def r61_landing_plan(spark, sf_dir):
     return landing.plan_uploads(local, remote).withColumn("key", F.regexp_replace("key", " [0-9]+$", ""))
 
 
+@query("select url as key, case when page_id % 10 = 0 then 0 else length(html) end as size, md5(html) as md5, case when page_id % 10 = 0 or length(html) = 0 then 'empty' when page_id % 3 = 0 then 'new' when page_id % 3 = 1 then 'unchanged' else 'replaced' end as action from pages")
+def r61_landing_plan_whole(spark, sf_dir):
+    pages = _t(spark, sf_dir, "pages")
+    size, md5 = F.length("html").cast("long"), F.md5("html")
+    key = F.concat_ws(" ", "url", F.col("page_id").cast("string"))
+    local = pages.select(key.alias("key"), F.when(F.col("page_id") % 10 == 0, F.lit(0).cast("long")).otherwise(size).alias("size"), md5.alias("md5"))
+    remote = pages.where("page_id % 3 <> 0").select(key.alias("key"), size.alias("size"), F.when(F.col("page_id") % 3 == 1, md5).otherwise("x").alias("md5"))
+    return landing.plan_uploads(local, remote).withColumn("key", F.regexp_replace("key", " [0-9]+$", ""))
+
+
 @query("select sha256(string_agg(h, '' order by h)) as fingerprint from (select sha256(concat_ws('|', cast(o_orderkey as varchar), cast(o_custkey as varchar), o_orderstatus)) as h from orders)")
 def r62_fingerprint(spark, sf_dir):
     return hashing.sorted_fingerprint(_t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"))

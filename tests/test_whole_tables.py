@@ -23,3 +23,19 @@ def test_asof_join_gives_every_event_its_version(spark, tmp_path):
 
 def test_entry_covers_every_event(spark, sf_dir):
     assert __spark_entry__.entry(spark).select("event_id").distinct().count() == spark.read.parquet(f"{sf_dir}/events.parquet").count()
+
+
+def test_every_page_has_an_action(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    plan = catalog.QUERIES["r61_landing_plan_whole"](spark, sf_dir)
+    assert plan.count() == pages.count() and plan.where("action is null").count() == 0
+    assert {r.action for r in plan.select("action").distinct().collect()} == {"empty", "new", "unchanged", "replaced"}
+
+
+def test_markers_and_deletes_see_every_row(spark, sf_dir):
+    events = [r.event_id for r in spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id").collect()]
+    keys = {r.key for r in catalog.QUERIES["r61_pending_markers_whole"](spark, sf_dir).collect()}
+    assert keys == {f"m/{e}.json" for e in events if e % 2}
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderstatus").collect()
+    kept = {r.o_orderkey for r in catalog.QUERIES["r54_merge_delete_by_source_whole"](spark, sf_dir).collect()}
+    assert kept == {k for k, status in orders if k % 3 == 0 or status != "F"}
