@@ -18,7 +18,7 @@ _TEST_PATHS = ("tests/fixtures/data.json", "docs/example.md", "examples/sample.p
 
 
 def labelled_findings(n: int = 1200, seed: int = 11) -> list[dict]:
-    """``n`` findings, half of them secrets; the same for the same seed."""
+    """``n`` findings of long runs, and as many of short or punctuated assigned values, half of them secrets; the same for the same seed."""
     rng = random.Random(seed)
     text = lambda alphabet, k: "".join(rng.choice(alphabet) for _ in range(k))
     names = ("token", "secret", "password", "passwd", "api_key", "apikey", "access_key", "auth_token", "client_secret", "private_key", "credential", "pwd")
@@ -63,4 +63,48 @@ def labelled_findings(n: int = 1200, seed: int = 11) -> list[dict]:
             value = "".join(rng.choice(("data", "user", "name", "table", "index", "file", "image", "group", "value", "count")).title() for _ in range(rng.randrange(3, 6))) + str(rng.randrange(1, 99))
         return {"value": value, "before": before, "after": after, "path": path, "label": 0.0}
 
-    return [positive() if i % 2 else negative() for i in range(n)]
+    lower, signs = _MIXED[26:52], ".!@#$%&*?+-_"
+    stems = ("horse", "dragon", "Summer", "Winter", "Tr0ub4dor", "hunter", "monkey", "P4ss", "Qwerty", "letmein", "Sunshine", "correct", "battery", "staple", "shadow", "Falcon", "river", "Zebra")
+
+    def assigned_positive() -> dict:
+        kind = rng.randrange(7)
+        value = (
+            text(_MIXED, rng.randrange(8, 16)) if kind == 0
+            else text(_MIXED + signs, rng.randrange(8, 25)) if kind == 1
+            else rng.choice(stems) + rng.choice(signs) + text("0123456789", rng.randrange(1, 4)) + rng.choice(("", "-", "!", "&")) + rng.choice(stems) if kind == 2
+            else rng.choice(stems) + text("0123456789", rng.randrange(1, 5)) + rng.choice(("", "!", "#", "$")) if kind == 3
+            else text("0123456789", rng.randrange(4, 13)) if kind == 4
+            else text(_MIXED[:52], rng.randrange(8, 30)) if kind == 5
+            else text(lower, rng.randrange(8, 16))
+        )
+        quoted = kind == 6 or rng.random() < 0.6
+        before = f"{rng.choice(_PLAIN)} {rng.choice(names)}{rng.choice((' = ', '=', ': ', ':', '": '))}" + ('"' if quoted else "")
+        return {"value": value, "before": before, "after": '"' + rng.choice(("", ",", " ", "\n")) if quoted else rng.choice(("", "\n", " ", ",", ";", " " + rng.choice(_PLAIN))), "path": rng.choice(_PATHS), "label": 1.0}
+
+    def assigned_negative() -> dict:
+        kind = rng.randrange(7)
+        name, quoted, path = rng.choice(names), rng.random() < 0.4, rng.choice(_PATHS)
+        after = rng.choice(("", "\n", " ", ")", ","))
+        if kind == 0:
+            value = rng.choice(("getpass(", "get_token(", "os.environ[", "os.getenv(", "self.password", "config.token", "settings.SECRET", "process.env.TOKEN", "request.args[", "${PASSWORD", "$TOKEN", "$(cat", "{{password", "%PASSWORD%", "user.password", "env.API_KEY", "load_key(path", "args.secret", "params.token"))
+            quoted = False
+        elif kind == 1:
+            value = rng.choice(("true", "false", "null", "None", "string", "str", "bool", "required", "optional", "Basic", "Bearer", "hidden", "password", "undefined", "bytes", "oauth2", "****", "********", "xxxxxxxx", "......"))
+        elif kind == 2:
+            value, quoted = rng.choice(("nothing", "they", "this", "there", "people", "every", "never", "always", "have", "when", "what", "work", "hard", "patience", "listen", "simple", "keep", "Never", "Start", "under-stated", text(lower, rng.randrange(4, 11)))), False
+            after = rng.choice((" ", ", ")) + rng.choice(_PLAIN)
+        elif kind == 3:
+            value = rng.choice(("changeme", "your_token", "your-key", "example", "dummy123", "test", "placeholder", "insert_here", "sample_key", "fake-token", "example1!", "your.password"))
+        elif kind == 4:
+            name = rng.choice(("author", "authors", "authenticated", "max_tokens", "tokens", "token_count", "token_type", "auth_url", "secret_name", "password_length", "key_id", "token_limit", "pwd_path", "auth_type", "password_file", "token_expiry", "secret_id"))
+            value = rng.choice((text("0123456789", rng.randrange(4, 8)), rng.choice(stems), text(lower, rng.randrange(4, 11)), "/run/" + text(lower, 6) + "/" + text(lower, 5), text(_MIXED, rng.randrange(6, 14))))
+        elif kind == 5:
+            value, path = rng.choice((text(_MIXED, rng.randrange(8, 15)), rng.choice(stems) + text("0123456789", 2))), rng.choice(_TEST_PATHS)
+            name = rng.choice(("example ", "sample ", "dummy ", "fake ")) + name
+        else:
+            value = rng.choice(("http://", "https://", "//")) + text(lower, rng.randrange(4, 9)) + rng.choice((".com/login", ".org", ".example/token"))
+        before = f"{rng.choice(_PLAIN)} {name}{rng.choice((' = ', '=', ': ', '": '))}" + ('"' if quoted else "")
+        return {"value": value, "before": before, "after": '"' if quoted else after, "path": path, "label": 0.0}
+
+    rows = [positive() if i % 2 else negative() for i in range(n)]
+    return rows + [assigned_positive() if i % 2 else assigned_negative() for i in range(n)]

@@ -1,7 +1,10 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest.
 
-A candidate is a run of at least ``SHORTEST`` key characters with a digit. The forest sees its length, the transitions
-between character classes, how much of it words of a dictionary cover, the path it lies in, and the words around it.
+A candidate is a run of at least ``SHORTEST`` key characters with a digit, or whatever is assigned to a secret word: at
+least ``SHORTEST_ASSIGNED`` characters without blanks or quotes, up to the closing quote, or else to <, >, a comma or a
+semicolon. The forest sees its length, the transitions between character classes, how much
+of it words of a dictionary cover, whether it reads as code or prose, the path it lies in, and the words around it. Runs
+inside an assigned value are judged too, and the value is as secret as the most secret of them.
 It is trained by Spark's own learner on labelled findings and applied as one SQL expression over each document's
 candidates: scanning has no shuffle and no Python.
 
@@ -25,7 +28,18 @@ from lakestar.llm.secret_findings import labelled_findings
 SHORTEST = 16
 #: Characters before and after a candidate that are looked at.
 AROUND = 48
-CANDIDATE = rf"(?<![A-Za-z0-9+/_\-])(?=[A-Za-z+/_\-]{{0,400}}[0-9])[A-Za-z0-9+/_\-]{{{SHORTEST},}}={{0,2}}"
+RUN = rf"(?<![A-Za-z0-9+/_\-])(?=[A-Za-z+/_\-]{{0,400}}[0-9])[A-Za-z0-9+/_\-]{{{SHORTEST},}}={{0,2}}"
+SHORTEST_ASSIGNED = 4
+_SECRET_WORDS = "token|secret|passw|pwd|api.?key|access.?key|auth|credential|private.?key|bearer"
+_QUOTE = "[\"'`]"
+_BARE = "[^\\s\"'`<>,;&]"
+_PARAMETER = r"&(?![A-Za-z0-9_.\-]{1,64}=)"
+#: Behind a secret word and an assignment; the first part only spares the second most places.
+_ASSIGNED_TO = rf"(?<=[=:]>?[ \t]{{0,4}}{_QUOTE}?)(?<=(?i:{_SECRET_WORDS})[A-Za-z0-9_.\-]{{0,24}}{_QUOTE}?\]?[ \t]{{0,4}}(?::=|=>|[=:])[ \t]{{0,4}}{_QUOTE}?)"
+#: Up to the closing quote; or to what ends a bare value, without the sentence's or bracket's end.
+_QUOTED = rf"(?<={_QUOTE})[^\s\"'`]{{{SHORTEST_ASSIGNED},}}(?={_QUOTE})"
+_UNQUOTED = rf"(?:(?<={_QUOTE})|(?![=:>]))(?=[^\s\"'`<>,;]{{{SHORTEST_ASSIGNED - 1},}}?[^\s\"'`<>,;.:)\]}}&])(?:{_PARAMETER})?{_BARE}+(?:{_PARAMETER}{_BARE}*){{0,40}}(?<![.:)\]}}&])"
+CANDIDATE = f"{_ASSIGNED_TO}(?:{_QUOTED}|{_UNQUOTED})|{RUN}"
 #: Words of names, paths and placeholders.
 DICTIONARY = (
     "example", "sample", "dummy", "fake", "placeholder", "change", "insert", "here", "your", "test", "demo", "default", "value", "name", "user", "data", "file", "image",
@@ -34,10 +48,14 @@ DICTIONARY = (
     "order", "number", "message", "request", "response", "session", "service", "system", "string", "object", "class", "function", "return", "public", "private",
     "static", "import", "export", "source", "target", "local", "global", "remote", "update", "delete", "create", "select", "insert", "lib", "usr", "src", "doc", "page",
 )
-_SECRET_WORDS = "token|secret|passw|pwd|api.?key|access.?key|auth|credential|private.?key|bearer"
 _BENIGN_WORDS = r"commit|\brev|sha1|sha256|sha:|md5|checksum|digest|etag|hash|uuid|\bid\b|_id|isbn|order|number|account|phone|checkout"
 _DUMMY_WORDS = "example|sample|dummy|fake|placeholder|your|changeme|insert"
 _KNOWN_KEYS = r"^(AKIA|ASIA|ghp_|gho_|ghs_|sk-|sk_live_|glpat-|npm_|xox[abp]-|AIza|eyJ)"
+#: Names that hold a secret word and name something else.
+_OTHER_NAMES = "(author[a-z]*|authentic[a-z]*|tokens|_(count|limit|len|length|type|url|uri|name|path|id|file|field|env|size|hint|ttl|expires?|expiry))"
+#: Calls, lookups, attributes, templates and masks; literals, types and words that stand where a value would.
+_REFERENCE = r"^[A-Za-z_][A-Za-z0-9_.]*[(\[][A-Za-z0-9_.]*$|^(self|this|os|process|config|settings|env|request|req|args|options|user|params)[.][A-Za-z]|^[$]([A-Za-z_][A-Za-z0-9_]*$|[({])|^[%{\[(]+[A-Za-z_.]*[%}\])]*$|^[*xX.•_-]+$|^(https?:)?//"
+_PLAIN_WORD = "^(true|false|null|none|nil|undefined|string|str|int|bool|boolean|bytes|text|password|passwd|token|secret|required|optional|hidden|empty|unknown|redacted|basic|bearer|digest|oauth2?|yes|no|on|off)[?!.]*$"
 _TEST_PATH = r"(^|/)(tests?|fixtures?|examples?|samples?|docs?)(/|$)"
 
 #: Feature name to SQL over a struct ``x`` of value, before, after, path.
@@ -57,6 +75,13 @@ FEATURES = {
     "secret_word": f"cast(lower(x.before) rlike '({_SECRET_WORDS})[^ ]*[ ]*[=:]?[ \"\\']*$' as double)",
     "secret_near": f"cast(lower(concat(x.before, ' ', x.after)) rlike '{_SECRET_WORDS}' as double)",
     "benign_word": f"cast(lower(x.before) rlike '({_BENIGN_WORDS})[^ ]*[ ]*[=:]?[ \"\\']*$' as double)",
+    "bare": "cast(not x.before rlike '[\"\\'`]$' as double)",
+    "punctuation": "length(regexp_replace(x.value, '[A-Za-z0-9]', '')) / cast(length(x.value) as double)",
+    "reference": f"cast(x.value rlike '{_REFERENCE}' as double)",
+    "plain_word": f"cast(lower(x.value) rlike '{_PLAIN_WORD}' as double)",
+    "lower_only": "cast(x.value rlike '^[A-Z]?[a-z]+([-_.][a-z]+)*[.!?]*$' as double)",
+    "other_name": f"cast(lower(x.before) rlike '{_OTHER_NAMES}[\"\\'`]? *[=:]>? *[\"\\'`]?$' as double)",
+    "word_after": "cast(x.after rlike '^ +[A-Za-z]' as double)",
     "assigned": "cast(x.before rlike '[=:][ ]*[\"\\']?$' as double)",
 }
 
@@ -127,9 +152,16 @@ def scan(docs: DataFrame, forest: str | None = None, path: Column | None = None,
     docs = docs.withColumn("_x", F.expr(around))
     features = ", ".join(f"'{name}', cast({sql} as double)" for name, sql in FEATURES.items())
     docs = docs.withColumn("_f", F.expr(_sql(f"transform(_x, x -> named_struct({features}))")))
-    docs = docs.withColumn("_p", F.expr(f"transform(_f, f -> {forest})"))
+    # Runs inside a longer value: their best score, 0 where there are none.
+    inner = f"""if(x.value rlike '^{RUN}$', cast(array() as array<string>), regexp_extract_all(x.value, '{RUN}', 0))"""
+    inner = f"""transform({inner}, v -> named_struct('value', v, 'before', right(concat(x.before, left(x.value, locate(v, x.value) - 1)), {AROUND}),
+        'after', left(concat(substr(x.value, locate(v, x.value) + length(v)), x.after), {AROUND}), 'path', x.path))"""
+    docs = docs.withColumn("_y", F.expr(_sql(f"transform(_x, x -> {inner})")))
+    docs = docs.withColumn("_g", F.expr(_sql(f"transform(_y, y -> transform(y, x -> named_struct({features})))")))
+    docs = docs.withColumn("_q", F.expr(f"transform(_g, g -> coalesce(array_max(transform(g, f -> {forest})), 0D))"))
+    docs = docs.withColumn("_p", F.expr(f"zip_with(transform(_f, f -> {forest}), _q, (p, q) -> greatest(p, q))"))
     found = f"transform(_x, (x, i) -> named_struct('offset', x.offset, 'length', length(x.value), 'value', x.value, 'score', _p[i], 'secret', _p[i] >= {threshold}D))"
-    return docs.withColumn("found", F.coalesce(F.expr(found), F.expr("transform(cast(array() as array<int>), x -> named_struct('offset', 0, 'length', 0, 'value', '', 'score', 0D, 'secret', false))"))).drop("_path", "_at", "_x", "_f", "_p")
+    return docs.withColumn("found", F.coalesce(F.expr(found), F.expr("transform(cast(array() as array<int>), x -> named_struct('offset', 0, 'length', 0, 'value', '', 'score', 0D, 'secret', false))"))).drop("_path", "_at", "_x", "_f", "_y", "_g", "_q", "_p")
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]", **options) -> DataFrame:

@@ -44,6 +44,28 @@ def test_scan_and_redaction(spark, model):
     assert secretscan.scan(df.limit(0), forest).collect() == []
 
 
+SHORT = (
+    ('password = "{}"', "Tr0ub4dor&3-horse"), ("password={}", "hunter2!"), ('"passwd": "{}",', "Zx9.q@rT#4"), ("pwd: {}", "Qwerty2024"),
+    ("DB_PASSWORD={}\nnext", "kX.9!pQ2@v#L"), ('client_secret = "{}"', "aBcDeFgHiJkLmNoPqRs"), ("see login?token={}&user=bob", "8fK2mQ7xZ1"), ("api_key: '{}'", "k9$Lm2%Qx7&Tz"),
+    ('secret_key_of_app_number_01="{}"', "Wq7!rt2@"), ("password = \"x.{}!y\"", KEY),
+)
+
+
+def test_short_and_punctuated_values(spark, model):
+    forest = secretscan.forest_sql(model)
+    plain = ["the secret: nothing was stored and then", "password = getpass()", "token = os.environ['TOKEN']", "max_tokens = 4096", 'author: "Winter"', "if token == None: x", "password: ${PASSWORD}", "token=&user=bob", "password = ''", 'token="[SECRET]"', "password is required", "secret: " + "&" * 100_000, "token=" + "a&" * 50_000]
+    df = spark.createDataFrame(list(enumerate([t.format(v) for t, v in SHORT] + plain)), "doc_id long, text string")
+    found = {r.doc_id: r for r in secretscan.redact(df, forest=forest).collect()}
+    rows = {r.doc_id: r.found for r in secretscan.scan(df, forest).collect()}
+    for i, (t, v) in enumerate(SHORT):
+        value = v if v != KEY else f"x.{KEY}!y"
+        assert value in [f.value for f in rows[i]], (t, v, rows[i])
+        assert all(t.format(v)[f.offset : f.offset + f.length] == f.value for f in rows[i])
+        assert found[i].text == t.format(v).replace(value, "[SECRET]"), (t, v, rows[i])
+    for i, t in enumerate(plain[:11]):
+        assert found[len(SHORT) + i].text == t, (t, rows[len(SHORT) + i])
+
+
 def test_query_has_no_python(spark, sf_dir):
     df = queries.op2_secret_scan(spark, sf_dir)
     plan = df._jdf.queryExecution().executedPlan().toString()
