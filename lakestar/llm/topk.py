@@ -7,7 +7,7 @@ partition selection keeps the k best of each block, and the merged selections gi
 Defined results: vectors that are null or hold null or non-finite components take no part, as query or as candidate.
 A shorter vector has no weight in the terms it lacks. Candidates are all rows with another vec_id than the query's; ties
 go to the smaller vec_id, and rows repeated under one vec_id are candidates each. A query repeated under one vec_id is
-asked once (the smallest vector). Scores past 64 bits saturate. Null vec_ids are no queries and no candidates.
+asked once (the smallest vector that takes part). Scores past 64 bits saturate. Null vec_ids are no queries and no candidates.
 """
 
 from __future__ import annotations
@@ -79,6 +79,8 @@ def search(candidates: DataFrame, queries: DataFrame, k: int = 5, scale: float =
     spark = candidates.sparkSession
     candidates = candidates.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").where("vec_id is not null")
     queries = queries.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")).where("vec_id is not null and embedding is not null")
+    # As quantise() does with candidates: an invalid row must not be the one that its vec_id is asked by.
+    queries = queries.where(F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
     queries = queries.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
     blocks = max(1, -(-queries.count() // block))
     found = []

@@ -31,6 +31,12 @@ def test_against_brute_force(spark):
     assert topk.neighbours(df.limit(0)).collect() == []
 
 
+def test_query_id_with_a_valid_and_an_invalid_row(spark):
+    rows = [(0, [None, 1.0]), (0, [0.5, 1.0]), (10, [float("-inf"), 1.0]), (10, [1.0, -0.5]), (20, None), (20, [0.25, 0.25]), (30, [0.5, float("nan")]), (30, [0.5, 2.0]), (1, [1.0, 1.0]), (2, [0.0, 2.0])]
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 10).collect())
+    assert got == brute(rows, 10) and {g[0] for g in got} == {0, 10, 20, 30}
+
+
 def test_large_components_saturate(spark):
     rows = [(0, [1e300, 1.0]), (1, [1e300, 0.0]), (2, [-1e300, 0.0]), (3, [1e-300, 2.0])]
     got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect())
