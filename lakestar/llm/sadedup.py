@@ -1,8 +1,8 @@
-"""Exact substring deduplication by distributed prefix doubling over sampled suffixes.
+"""Exact substring deduplication by anchor (winnowing) matching over hashed ranks.
 
 Positions of all texts are ranked by what begins there, at growing lengths: 1, 2, 4, ... 128 and 200 bytes. A rank is
-a 64-bit name, made from the pair of ranks at p and p + length, so a task doubles its own texts' ranks; Spark shuffles
-(rank, position) pairs to find the ranks that occur more than once, and positions whose rank is unique leave.
+a 64-bit name, made from the pair of ranks at p and p + length, so a task doubles its own texts' ranks without a shuffle;
+Spark sorts and reranks nothing at growing lengths. It groups the anchors below, in three rounds.
 
 Not every position has to be shuffled. Of each 200-byte string the smallest 32-byte rank within (the leftmost of equal
 ones) is its anchor, so equal strings have equal anchors at equal distances; about one position in 85 is an anchor, and
