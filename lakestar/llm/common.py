@@ -31,6 +31,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written with one more column that tells its rows apart, and that column's name."""
+    row = "row"
+    while row in {c.lower() for c in df.columns}:
+        row += "_"
+    return materialize(df.withColumn(row, F.monotonically_increasing_id()), name), row
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table; every operator selects the columns it needs, so the scan reads only these."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -1,37 +1,41 @@
-"""N-gram Jaccard join: documents whose sets of word n-grams are similar, by blocked sparse products.
+"""N-gram Jaccard join: documents whose sets of word n-grams are similar, by blocked products of the sparse incidence matrix.
 
-A document's row of the incidence matrix holds the 64-bit names of its distinct n-grams. Documents with equal rows are
-one class from the start. The product is first taken over a sample of columns (the ``SKETCH`` smallest names of each
-row): each of the 48 smallest names of two rows' union is in both with a chance of the similarity, so rows of 0.75 or
-more share fewer than ``NEEDED`` with a chance of 1e-13, and a row less of whose sample is shared is in no link.
-What remains is cut into clusters of rows that share sampled columns. Each cluster is multiplied in blocks of rows: first
-the sampled columns, then all columns of the rows whose samples overlap enough. Overlaps are accumulated column by
-column, pairs below the bound that the row sizes set are discarded, and rows of one large component are spared.
+A document's row of the incidence matrix holds the 64-bit names of its distinct n-grams; documents with equal rows are
+one class from the start. All bounds come from row sizes alone, so no link is lost. A link at ``threshold`` needs
+need(n) = ceil(threshold * n / 100) common columns of a row of n, so at most n - need(n) of its columns are not common:
+
+* Rows are thinned by the columns of smallest name: of the first n - need(n) + l columns of two linked rows at least l are
+  common. A row with fewer columns that another row has among its own first ones is in no link.
+* Of the rows left, all columns are counted, and a row with fewer than need(n) columns that another row has goes.
+* The product is taken over each row's first n - need(n) + 1 columns, rare ones first: linked rows meet in one of these.
+  A column is multiplied block by block: its first few rows (1, 8, 64, ... in each round) with all others. Pairs of sizes
+  that can't link, and pairs that are connected already, are discarded; the others' overlaps are counted over all columns.
+  Rows once multiplied leave the column, and so does a column whose rows are all connected.
+
+So a group of near copies, of any size, costs its first rows' products and not all its pairs. Rows that share rare
+columns and stay unconnected are multiplied pair by pair, which an exact join can't avoid; each round's pairs are rows of a
+join that Spark splits where a column is frequent.
 
 Defined results: a text with fewer words than n is one n-gram; without words (or null) it has size 0, no link, and is
 its own component. Rows without a doc_id are linked like others, but lend no id: a component of only such rows has a
-null id. Rows repeated under one doc_id are rows each.
+null id. Rows repeated under one doc_id are rows each. A very long text is one row of as many columns; only the columns
+of one document are ever gathered. An empty table has no components. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakestar.llm.common import extended, materialize, mix64, pieces, word_names
+from lakestar.llm.common import extended, materialize, mix64, numbered, pieces, word_names
 
-SKETCH = 48
-NEEDED = 12
-#: Rows of a cluster that one task multiplies with as many others: sampled columns, and all.
-SKETCH_BLOCK = 8192
-BLOCK = 2048
+#: Rows of a column that are multiplied with all others in the first round, and the factor from round to round.
+BLOCK, GROWTH = 1, 8
 
 
 def shingles(offsets: np.ndarray, data: np.ndarray, n: int) -> list[np.ndarray]:
@@ -59,215 +63,158 @@ def shingles(offsets: np.ndarray, data: np.ndarray, n: int) -> list[np.ndarray]:
     return out
 
 
-def _set_name(grams: np.ndarray) -> int:
-    """A name for the whole set."""
+def needed(n, threshold: int):
+    """The least overlap of a row of n columns with any row that it links to; of numbers or of a Column."""
+    if isinstance(n, Column):
+        return F.ceil(n * threshold / 100)
+    return -(-threshold * n // 100)
+
+
+def _more(n):
+    """Columns beyond the shortest prefix that the first filter looks at: the more, the more must be common."""
+    if isinstance(n, Column):
+        return F.floor(n / 8) + 1
+    return n // 8 + 1
+
+
+def _set_names(grams: np.ndarray) -> tuple[int, int]:
+    """Two names for the whole set."""
     a = np.bitwise_xor.reduce(mix64(grams, 0x1234567)) if len(grams) else np.uint64(0)
     b = np.add.reduce(mix64(grams, 0x89ABCDE)) if len(grams) else np.uint64(0)
-    return int(mix64(np.array([a ^ np.uint64(len(grams))], np.uint64), np.array([b], np.uint64)).view(np.int64)[0])
+    both = mix64(np.array([a, b], np.uint64), np.array([b, a ^ np.uint64(len(grams))], np.uint64)).view(np.int64)
+    return int(both[0]), int(both[1])
 
 
-def _sets(n: int, with_sketch: bool, with_set: bool):
-    """Arrow function: key, n_shingles, set_name, and the sketch or the whole set."""
+def _sets(n: int, threshold: int | None):
+    """Arrow function: adds n_shingles, the set's names s1 and s2, and ``grams``: the first columns by name, or all (no threshold)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, offsets, data in pieces(batch.column("text"), 1 << 20):
                 rows = shingles(offsets, data, n)
                 part = batch.slice(first, len(rows))
-                arrays = [part.column(c) for c in part.schema.names if c != "text"]
                 names = [c for c in part.schema.names if c != "text"]
-                arrays += [pa.array([len(r) for r in rows], pa.int64()), pa.array([_set_name(r) for r in rows], pa.int64())]
-                names += ["n_shingles", "set_name"]
-                for wanted, name, most in ((with_sketch, "sketch", SKETCH), (with_set, "grams", None)):
-                    if wanted:
-                        cut = [r[:most] for r in rows]
-                        flat = np.concatenate(cut).view(np.int64) if cut else np.zeros(0, np.int64)
-                        arrays.append(pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum([len(r) for r in cut]))), pa.int32()), pa.array(flat)))
-                        names.append(name)
-                yield pa.RecordBatch.from_arrays(arrays, names=names)
+                arrays = [part.column(c) for c in names]
+                both = [_set_names(r) for r in rows]
+                arrays += [pa.array([len(r) for r in rows], pa.int64()), pa.array([a for a, _ in both], pa.int64()), pa.array([b for _, b in both], pa.int64())]
+                cut = rows if threshold is None else [r[: len(r) - needed(len(r), threshold) + _more(len(r))] for r in rows]
+                flat = np.concatenate(cut).view(np.int64) if cut else np.zeros(0, np.int64)
+                arrays.append(pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum([len(r) for r in cut]))), pa.int32()), pa.array(flat)))
+                yield pa.RecordBatch.from_arrays(arrays, names=[*names, "n_shingles", "s1", "s2", "grams"])
 
     return run
 
 
-def _forest(rows: list[np.ndarray], labels: np.ndarray, needed: Callable[[np.ndarray, np.ndarray], np.ndarray], sides: np.ndarray | None = None) -> list[int]:
-    """Component of each row, after all links among ``rows`` (sorted name arrays) are added to the components ``labels``.
-
-    Two rows link if they share at least needed(size, size) columns; with ``sides``, links within one side are known.
-    A row's overlaps with all others are accumulated over its columns. Rows of one component, chosen once for its size,
-    are spared a product of their own: links among them change nothing, and other links are found from their other end.
-    """
-    n = np.array([len(r) for r in rows], np.int64)
-    columns, inverse, df = np.unique(np.concatenate(rows), return_inverse=True, return_counts=True)
-    owner = np.repeat(np.arange(len(rows)), n)
-    shared = df[inverse] > 1
-    by_column = np.argsort(inverse[shared], kind="stable")
-    posting = owner[shared][by_column]
-    start = np.concatenate(([0], np.cumsum(np.where(df > 1, df, 0))))
-    entries, at = inverse[shared], np.concatenate(([0], np.cumsum(np.bincount(owner[shared], minlength=len(rows)))))
-    _, component = np.unique(labels, return_inverse=True)
-    size = np.bincount(component)
-    spared = None
-    for done, i in enumerate(np.lexsort((np.arange(len(rows)), -n)).tolist()):
-        if spared is None and (done == 64 or size.max() > len(rows) // 2):
-            spared = int(np.flatnonzero(component == size.argmax())[0])
-        if spared is not None and component[i] == component[spared]:
-            continue
-        mine = entries[at[i] : at[i + 1]]
-        if not len(mine):
-            continue
-        both = np.zeros(len(rows), np.int64)
-        for a, b in zip(start[mine].tolist(), start[mine + 1].tolist(), strict=True):
-            both[posting[a:b]] += 1
-        linked = (both > 0) & (component != component[i])
-        if sides is not None:
-            linked &= sides != sides[i]
-        linked = np.flatnonzero(linked)
-        linked = linked[both[linked] >= needed(n[linked], n[i])]
-        for other in np.unique(component[linked]).tolist():
-            moved, kept = sorted((other, component[i]), key=lambda c: size[c])
-            component[component == moved] = kept
-            size[kept] += size[moved]
-            size[moved] = 0
-    return component.tolist()
-
-
-def _whole_bound(threshold: int) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
-    """The least overlap of rows of these sizes with 100 * overlap >= threshold * union."""
-    return lambda x, y: -(-threshold * (x + y) // (100 + threshold))
-
-
-def _sketch_bound(threshold: int) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
-    """The least overlap of the sketches of linked rows: NEEDED, or the size's bound where rows are shorter than sketches."""
-    return lambda x, y: np.minimum(NEEDED, -(-threshold * np.maximum(x, y) // 100))
-
-
-def _diagonal(needed: Callable) -> Callable:
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("set_name")
-        names = pdf["set_name"].to_numpy()
-        component = np.array(_forest([np.frombuffer(g, np.uint64) for g in pdf["grams"]], np.arange(len(pdf)), needed))
-        least = pd.Series(names).groupby(component).transform("min").to_numpy()
-        return pd.DataFrame({"set_name": names, "cluster": pdf["cluster"].to_numpy(), "mine": pdf["mine"].to_numpy(), "blocks": pdf["blocks"].to_numpy(), "label": least, "grams": [g if b > 1 else None for g, b in zip(pdf["grams"], pdf["blocks"], strict=True)]})
-
-    return run
-
-
-def _across(needed: Callable) -> Callable:
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("set_name")
-        labels, sides = pdf["label"].to_numpy(), pdf["mine"].to_numpy()
-        component = np.array(_forest([np.frombuffer(g, np.uint64) for g in pdf["grams"]], labels, needed, sides))
-        least = pd.Series(labels).groupby(component).transform("min").to_numpy()
-        moved = labels != least
-        return pd.DataFrame({"a": labels[moved], "b": least[moved]}).drop_duplicates().astype("int64")
-
-    return run
-
-
-def _product(rows: DataFrame, members: DataFrame, needed: Callable, block: int, name: str) -> DataFrame:
-    """set_name, label: components of the links among the rows (set_name, grams) of each cluster (members: set_name, cluster).
-
-    A cluster is dealt into blocks of about ``block`` rows: first each block by itself, then each pair of blocks, which
-    starts from what the blocks have found.
-    """
-    sizes = members.groupBy("cluster").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    dealt = members.join(sizes, "cluster").withColumn("mine", F.pmod(F.xxhash64(F.lit(3), "set_name"), F.col("blocks")).cast("int"))
-    dealt = rows.select("set_name", "grams").join(dealt, "set_name").select("set_name", "cluster", "mine", "blocks", "grams")
-    schema = "set_name long, cluster long, mine int, blocks int, label long, grams binary"
-    first = materialize(dealt.groupBy("cluster", "mine").applyInPandas(_diagonal(needed), schema), name)
-    edges = first.select(F.col("set_name").alias("a"), F.col("label").alias("b"))
-    several = first.where("blocks > 1").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("other <> mine")
-    several = several.withColumns({"i": F.least("mine", "other"), "j": F.greatest("mine", "other")})
-    edges = edges.union(several.groupBy("cluster", "i", "j").applyInPandas(_across(needed), "a long, b long"))
-    labels = _connected(edges, name)
-    return materialize(labels.union(labels.select(F.col("label").alias("node"), "label")).distinct().select(F.col("node").alias("set_name"), "label"), name)
-
-
 def _connected(edges: DataFrame, name: str) -> DataFrame:
     """node, label (smallest node) of an undirected graph (a, b): large-star and small-star rounds until nothing moves.
 
-    Each round works by aggregated minima, so that no node's neighbours are ever gathered in one place.
+    Each round works by aggregated minima, which are written before they are joined: so the join has plain shuffles on
+    both sides, and Spark can split a node that very many edges have.
     """
+    sign = lambda d: d.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
     edges = materialize(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), name)
+    before = sign(edges)
     while True:
         both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        least = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), name)
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.where("a <> b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a")
-        small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
-        after = materialize(small, name)
+        large = materialize(large.where("a <> b").distinct(), name)
+        least = materialize(large.groupBy("a").agg(F.min("b").alias("m")), name)
+        small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        edges = materialize(small.union(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct(), name)
         # Both sides hold distinct edges (larger, smaller): equal sums and counts of names mean nothing moved.
-        sign = lambda d: d.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if sign(after) == sign(edges):
-            return after.select(F.col("a").alias("node"), F.col("b").alias("label"))
-        edges = after
+        after = sign(edges)
+        if after == before:
+            return edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
+        before = after
+
+
+def _live(docs: DataFrame, sets: DataFrame, rows: DataFrame, n: int, threshold: int) -> DataFrame:
+    """The rows that may be in a link: sid, n, grams (the columns that others have too, rare ones first) and how many of these are multiplied."""
+    # Columns among the first ones of different sets, and how many of them each row has. Written first, so that the join
+    # has plain shuffles on both sides and Spark can split a column that very many rows have.
+    first = rows.where("n_shingles > 1").select("row", "n_shingles", "s1", F.explode("grams").alias("g"))
+    twice = first.groupBy("g").agg(F.min("s1").alias("low"), F.max("s1").alias("high")).where("low <> high").select("g")
+    hits = first.select("row", "n_shingles", "g").join(materialize(twice, "jaccard-columns"), "g", "left_semi")
+    hits = hits.groupBy("row").agg(F.count("*").alias("hits"), F.first("n_shingles").alias("k"))
+    hits = hits.where(F.col("hits") >= _more(needed(F.col("k"), threshold))).select(F.col("row").alias("sid"))
+    alive = materialize(sets.join(hits, "sid", "left_semi").select("sid", "n_shingles", "s1", "s2", "t1"), "jaccard-alive")
+    # All columns of these; copies of a text are read once.
+    texts = docs.select("text", F.xxhash64("text").alias("t1")).join(alive.select("t1"), "t1", "left_semi")
+    texts = texts.groupBy("t1").agg(F.first("text").alias("text")).select("text")
+    schema = extended(T.StructType(), n_shingles="long", s1="long", s2="long", grams=T.ArrayType(T.LongType()))
+    full = texts.mapInArrow(_sets(n, None), schema).join(alive.drop("t1"), ["n_shingles", "s1", "s2"])
+    full = materialize(full.select("sid", F.col("n_shingles").alias("n"), "grams"), "jaccard-sets")
+    entries = full.select("sid", "n", F.explode("grams").alias("g"))
+    df = materialize(entries.groupBy("g").agg(F.count("*").alias("df")).where("df > 1"), "jaccard-counts")
+    shared = entries.join(df, "g").groupBy("sid").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "g"))).alias("x"))
+    shared = shared.where(F.size("x") >= needed(F.col("n"), threshold))
+    # Columns that no other row has come first in the order, so only the rest of the prefix is multiplied.
+    return materialize(shared.select("sid", "n", F.col("x.g").alias("grams"), (F.size("x") - needed(F.col("n"), threshold) + 1).cast("int").alias("prefix")), "jaccard-live")
+
+
+def _labels(live: DataFrame, threshold: int) -> DataFrame:
+    """node, label of the components of all links among ``live``."""
+    entries = live.select("sid", "n", F.explode(F.expr("slice(grams, 1, prefix)")).alias("g"))
+    edges = entries.select(F.col("sid").alias("a"), F.col("sid").alias("b")).limit(0)
+    labels, block = None, BLOCK
+    while True:
+        if labels is None:
+            entries = entries.withColumn("c", F.col("sid"))
+        else:
+            entries = entries.join(labels, F.col("sid") == F.col("node"), "left").select("sid", "n", "g", F.coalesce("label", "sid").alias("c"))
+        entries = materialize(entries, "jaccard-entries")
+        # Columns that still join rows of different components.
+        apart = entries.groupBy("g").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("g")
+        entries = materialize(entries.join(materialize(apart, "jaccard-apart"), "g", "left_semi"), "jaccard-entries")
+        if entries.isEmpty():
+            return edges.select(F.col("a").alias("node"), F.col("b").alias("label")) if labels is None else labels
+        place = F.row_number().over(Window.partitionBy("g").orderBy("sid"))
+        hubs = entries.withColumn("place", place).where(F.col("place") <= block).select("g", F.col("sid").alias("h"), F.col("n").alias("nh"), F.col("c").alias("ch"))
+        hubs = materialize(hubs, "jaccard-hubs")
+        size = (100 * F.least("n", "nh") >= threshold * F.greatest("n", "nh")) & (F.col("sid") > F.col("h")) & (F.col("c") != F.col("ch"))
+        pairs = entries.join(hubs, "g").where(size).select("h", "nh", "sid", "n").distinct()
+        pairs = materialize(pairs, "jaccard-pairs").join(live.select("sid", F.col("grams").alias("mine")), "sid")
+        pairs = pairs.join(live.select(F.col("sid").alias("h"), F.col("grams").alias("theirs")), "h")
+        pairs = pairs.withColumn("both", F.size(F.array_intersect("mine", "theirs")))
+        linked = pairs.where(100 * F.col("both") >= threshold * (F.col("n") + F.col("nh") - F.col("both")))
+        edges = linked.select(F.col("sid").alias("a"), F.col("h").alias("b"))
+        if labels is not None:
+            edges = edges.union(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
+        labels = _connected(edges, "jaccard-components")
+        entries = entries.join(hubs.select("g", F.col("h").alias("sid")), ["g", "sid"], "left_anti").select("sid", "n", "g")
+        block *= GROWTH
+
+
+def _classes(docs: DataFrame, n: int, threshold: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (row, doc_id, n_shingles, s1, s2) and, for each distinct set (n_shingles, s1, s2), its component ``class`` and least doc_id."""
+    rows = docs.select("row", "doc_id", "text", F.xxhash64("text").alias("t1"))
+    schema = extended(rows.drop("text").schema, n_shingles="long", s1="long", s2="long", grams=T.ArrayType(T.LongType()))
+    rows = materialize(rows.mapInArrow(_sets(n, threshold), schema), "jaccard-rows")
+    sets = rows.where("n_shingles > 0").groupBy("n_shingles", "s1", "s2").agg(F.min("row").alias("sid"), F.min("t1").alias("t1"), F.min("doc_id").alias("least"))
+    sets = materialize(sets, "jaccard-classes")
+    labels = _labels(_live(docs, sets, rows, n, threshold), threshold)
+    classes = sets.join(labels, F.col("sid") == F.col("node"), "left").select("n_shingles", "s1", "s2", "least", F.coalesce("label", "sid").alias("class"))
+    return rows.drop("grams", "t1"), materialize(classes, "jaccard-classes")
 
 
 def components(docs: DataFrame, n: int = 5, threshold: int = 75) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id linked, itself included) of every row of (doc_id, text)."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    base = extended(rows.drop("text").schema, n_shingles="long", set_name="long")
-    sketched = materialize(rows.mapInArrow(_sets(n, True, False), extended(base, sketch=T.ArrayType(T.LongType()))), "jaccard-rows")
-    # One row per distinct set; copies of it are counted in no product.
-    sets = materialize(sketched.where("n_shingles > 0").groupBy("set_name").agg(F.min("doc_id").alias("least"), F.first("sketch").alias("sketch")), "jaccard-sets")
-    shared = sets.select("set_name", F.size("sketch").alias("k"), F.explode("sketch").alias("g"))
-    # The sampled product, by column: how many distinct rows share each, then how much of a row's sample is shared.
-    # Written first, so that the join has plain shuffles on both sides and Spark can split a column that very many rows have.
-    twice = materialize(shared.groupBy("g").agg(F.count("*").alias("df")).where("df > 1").select("g"), "jaccard-columns")
-    pairs = shared.join(twice, "g").select("set_name", "k", "g")
-    alone = pairs.groupBy("set_name").agg(F.count("*").alias("hits"), F.first("k").alias("k"))
-    kept = alone.where(F.col("hits") >= _needed(F.col("k"), threshold)).select("set_name")
-    pairs = materialize(pairs.join(kept, "set_name", "left_semi").select("set_name", "g"), "jaccard-pairs")
-    # Columns that still join two rows put these in one cluster.
-    hubs = pairs.groupBy("g").agg(F.min("set_name").alias("hub"), F.count("*").alias("df")).where("df > 1").select("g", "hub")
-    edges = pairs.join(hubs, "g").groupBy(F.col("set_name").alias("a"), F.col("hub").alias("b")).agg(F.count("*").alias("w"))
-    labels = _connected(edges.select("a", "b"), "jaccard-clusters")
-    label_of = labels.union(labels.select(F.col("label").alias("node"), "label")).distinct()
-    members = materialize(label_of.select(F.col("node").alias("set_name"), F.col("label").alias("cluster")), "jaccard-members")
-    # The product of the sampled columns alone cuts clusters of rows that share passages, but not enough of them.
-    packed = sets.join(members, "set_name", "left_semi").select("set_name", "sketch").mapInArrow(_packed, "set_name long, grams binary")
-    members = _product(packed, members, _sketch_bound(threshold), SKETCH_BLOCK, "jaccard-sketches").withColumnRenamed("label", "cluster")
-    # Whole sets only of one document of each set that is in a cluster still.
-    wanted = sets.select("set_name", "least").join(members, "set_name", "left_semi").select(F.col("least").alias("doc_id"))
-    whole = rows.join(wanted, rows.doc_id.eqNullSafe(wanted.doc_id), "left_semi").mapInArrow(_whole_of(n), extended(base, grams="binary"))
-    whole = whole.dropDuplicates(["set_name"])
-    joined = _product(whole, members, _whole_bound(threshold), BLOCK, "jaccard-links").withColumnsRenamed({"set_name": "node"})
-    ids = sets.select("set_name", "least").join(joined, F.col("set_name") == F.col("node"), "left").select("set_name", "least", F.coalesce("label", "set_name").alias("class"))
-    classes = ids.groupBy("class").agg(F.min("least").alias("component_id"))
-    named = ids.select("set_name", "class").join(classes, "class").select("set_name", "component_id")
-    out = sketched.drop("sketch").join(named.withColumnRenamed("set_name", "s"), (F.col("set_name") == F.col("s")) & (F.col("n_shingles") > 0), "left")
+    rows, classes = _classes(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"), n, threshold)
+    least = classes.groupBy("class").agg(F.min("least").alias("component_id"))
+    named = materialize(classes.join(least, "class").select("n_shingles", "s1", "s2", "component_id"), "jaccard-ids")
+    out = rows.join(named, ["n_shingles", "s1", "s2"], "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
-def _needed(k: Column, threshold: int) -> Column:
-    """Shared sampled columns that a link implies: NEEDED, or the threshold's part of a row that has fewer.
+def one_of_each(docs: DataFrame, n: int = 5, threshold: int = 75) -> DataFrame:
+    """``docs`` without all but one row of each component: the one of smallest doc_id (null ids last), or the first of equal ids.
 
-    A row shorter than a sample isn't asked for more: its partner's sample may not be the whole row.
+    Rows are told apart by themselves, not by doc_id: ids may repeat or lack. Rows without words stay.
     """
-    return F.least(F.lit(NEEDED), F.ceil(k * threshold / 100))
-
-
-def _whole_of(n: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for out in _sets(n, False, True)(batches):
-            grams = out.column("grams")
-            raw = [np.asarray(g.values).tobytes() for g in grams]
-            keep = [c for c in out.schema.names if c != "grams"]
-            yield pa.RecordBatch.from_arrays([*(out.column(c) for c in keep), pa.array(raw, pa.binary())], names=[*keep, "grams"])
-
-    return run
-
-
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        raw = [np.asarray(g.values).tobytes() for g in batch.column("sketch")]
-        yield pa.RecordBatch.from_arrays([batch.column("set_name"), pa.array(raw, pa.binary())], names=["set_name", "grams"])
-
-
-def one_of_each(docs: DataFrame, n: int = 5, threshold: int = 75) -> DataFrame:
-    """``docs`` without all but the document of smallest doc_id in each component; rows without doc_id or words stay."""
-    found = components(docs, n, threshold)
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    docs, row = numbered(docs, "jaccard-docs")
+    rows, classes = _classes(docs.select(F.col(row).alias("row"), "doc_id", "text"), n, threshold)
+    member = materialize(rows.where("n_shingles > 0").join(classes.drop("least"), ["n_shingles", "s1", "s2"]).select("row", "doc_id", "class"), "jaccard-members")
+    stays = member.groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))["row"].alias("row"))
+    gone = member.select("row").join(stays.select("row"), "row", "left_anti")
+    return docs.join(gone, docs[row] == gone["row"], "left_anti").drop(row)
