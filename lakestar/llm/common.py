@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -31,6 +32,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def cleared(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of queries that are done: it does when the driver's objects of them are collected."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def numbered(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """``df`` written with one more column that tells its rows apart, and that column's name."""
     row = "row"
