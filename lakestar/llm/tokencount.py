@@ -1,41 +1,44 @@
 """Token counts by a compiled finite-state tokenizer.
 
-A byte-pair encoding is run as a deterministic transducer: a state is what of the text so far can still change (the
+A byte-pair encoding is run as a deterministic transducer: a state is what of the pre-token so far can still change (the
 longest suffix that begins some token, with the last token and relative token count at each place in it), and each
-transition carries the change in the token count. States are compiled as texts reach them and kept, within a bound.
-Texts are cut into chunks of a fixed size; a chunk's state map (pending text in, pending text and emitted count out) has
-an exact finite form, and maps compose associatively in a parallel prefix scan.
-
-Defined results: a null text counts as empty, 0 tokens. Strings of the tokenizer's special tokens inside a text count
-as one token each, as the library does by default.
+transition carries the change in the token count. Transitions are compiled when a text first takes them and kept in one
+table (state x byte), within a bound; where pre-tokens begin, the transducer starts anew.
+
+Texts run side by side: their bytes, whatever their lengths, are cut into chunks of ``CHUNK`` bytes, and one vector step
+takes the next byte of every chunk. A chunk's state map (entering state to leaving state and counts) is constant from the
+first pre-token in it on, which the first pass runs. The maps are composed in a scan: each chunk's head is run from the
+state that the chunk before leaves. A chunk inside one long pre-token has no constant map; it is evaluated at the state
+that its predecessor is guessed to leave, and again for every state that turns out otherwise, until all maps fit together.
+
+Defined results: a null text counts as empty, 0 tokens. Strings of the tokenizer's added tokens inside a text count as one
+token each, as the library does by default. Repeated rows are counted each, and ties don't occur. A very long text, with
+white space or without, is as many chunks; nothing of it is held back. An empty table has no counts. Columns other than
+doc_id and text are ignored, whatever their names. A definition with parts that aren't covered here raises.
 """
 
 from __future__ import annotations
 
 import json
-import re
-from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestar.llm.common import extended
-
-#: The pre-tokenizer's pattern, a fixed value of byte-level BPE tokenizers of this kind.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Where every pre-token ends whatever stands around: after a character that isn't white space, before one that is.
-_SYNC = regex.compile(r"(?<=\S)(?=\s)")
-CHUNK = 1 << 16
-#: The same cut for texts of ASCII and Latin letters only, which the faster of the two pattern libraries can make.
-_OTHER_SCRIPT = re.compile("[^\x00-\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]")
-_L = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
-_LATIN = re.compile(rf" ?[{_L}]+| ?[0-9]+|'(?:[stmd]|re|ve|ll)| ?[^ \t\n\r\f\v0-9{_L}]+|[ \t\n\r\f\v]+(?![^ \t\n\r\f\v])|[ \t\n\r\f\v]+")
-MAX_STATES = 220_000
-MAX_MEMO = 200_000
+from lakestar.llm.common import extended, pieces
+
+#: Bytes that a chunk has.
+CHUNK = 64
+#: The table's bound, in entries of 4 bytes, and the states': past either a worker compiles anew.
+MAX_ENTRIES = 32_000_000
+MAX_STATES = 150_000
+#: Character classes of the byte-level pre-tokenizer's pattern.
+OTHER, LETTER, NUMBER, SPACE = range(4)
+#: What the pre-tokenizer splits off behind an apostrophe.
+CONTRACTIONS = ("s", "t", "m", "d", "re", "ve", "ll")
 _BYTES = [bytes([b]) for b in range(256)]
 
 
@@ -46,11 +49,68 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+def _classes() -> np.ndarray:
+    """The class of every code point."""
+    out = np.zeros(0x110000, np.uint8)
+    for low, high in ((0, 0xD800), (0xE000, 0x110000)):
+        every = "".join(map(chr, range(low, high)))
+        for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
+            for m in regex.finditer(pattern, every):
+                out[low + m.start() : low + m.end()] = kind
+    return out
+
+
+def token_starts(offsets: np.ndarray, data: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """For each byte of the texts whether a pre-token begins there.
+
+    Runs of one class are pre-tokens. A blank right before a run of letters, numbers or others belongs to it, white space
+    before that is a pre-token of its own, and a contraction is one if the apostrophe begins a pre-token.
+    """
+    begins = np.zeros(len(data), bool)
+    if not len(data):
+        return begins
+    at = np.flatnonzero((data & 0xC0) != 0x80)
+    lead = data[at].astype(np.uint32)
+    code = lead.copy()
+    wide = np.flatnonzero(lead >= 0xC0)
+    if len(wide):
+        more = lambda i, k: data[np.minimum(at[i] + k, len(data) - 1)].astype(np.uint32) & 0x3F
+        two, three, four = wide[lead[wide] < 0xE0], wide[(lead[wide] >= 0xE0) & (lead[wide] < 0xF0)], wide[lead[wide] >= 0xF0]
+        code[two] = (lead[two] & 0x1F) << 6 | more(two, 1)
+        code[three] = (lead[three] & 0x0F) << 12 | more(three, 1) << 6 | more(three, 2)
+        code[four] = (lead[four] & 0x07) << 18 | more(four, 1) << 12 | more(four, 2) << 6 | more(four, 3)
+    kind = classes[np.minimum(code, 0x10FFFF)]
+    n = len(at)
+    first = np.zeros(n + 1, bool)
+    first[np.searchsorted(at, offsets[:-1][offsets[:-1] < offsets[1:]])] = True
+    first[n] = True
+    run = np.ones(n + 1, bool)
+    run[1:n] = first[1:n] | (kind[1:] != kind[:-1])
+    after_blank = np.zeros(n, bool)
+    after_blank[1:] = (code[:-1] == 32) & ~first[1:n]
+    space = kind == SPACE
+    start = run[:n] & (space | ~after_blank)
+    # The last of white space that something follows: a blank goes with it, other white space stands alone.
+    start[:-1] |= space[:-1] & run[1:n] & ~first[1:n]
+    quote = np.flatnonzero((code == 39) & start)
+    for letters in CONTRACTIONS:
+        size = len(letters) + 1
+        fits = quote[quote + size <= n]
+        for k, letter in enumerate(letters, 1):
+            fits = fits[(code[fits + k] == ord(letter)) & ~first[fits + k]]
+        start[fits + 1] = False
+        rest = fits[fits + size < n] + size
+        start[rest] = True
+    begins[at] = start
+    return begins
+
+
 class Transducer:
     """Lazily compiled transducer of one byte-level BPE vocabulary."""
 
     def __init__(self, definition: str):
         spec = json.loads(definition)
+        self._check(spec)
         letter = _byte_letters()
         raw = lambda s: bytes(letter[c] for c in s)
         self.special = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
@@ -60,15 +120,33 @@ class Transducer:
         #: Tokens that their own merges lead to, by number; 0 stands for the start of a pre-token.
         self.number = {t: i for i, t in enumerate(self.tokens) if i and (len(t) == 1 or self.merge(t) == [t])}
         self.prefixes = {t[:i] for t in self.number for i in range(len(t) + 1)}
-        self.pattern = regex.compile(PATTERN)
         self.cut = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
+        self.classes = _classes()
         self._reset()
 
+    @staticmethod
+    def _check(spec: dict) -> None:
+        """Raises unless the definition is a byte-level byte-pair encoding without parts that aren't compiled here."""
+        model, before = spec["model"], spec.get("pre_tokenizer") or {}
+        wrong = [k for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges") if model.get(k)]
+        if model.get("type") != "BPE" or wrong:
+            raise ValueError(f"not a plain byte-pair encoding: {model.get('type')} {wrong}")
+        if before.get("type") != "ByteLevel" or before.get("add_prefix_space") or not before.get("use_regex", True):
+            raise ValueError(f"not the byte-level pre-tokenizer: {before}")
+        if spec.get("normalizer"):
+            raise ValueError("normalizers aren't compiled")
+        flagged = [t["content"] for t in spec["added_tokens"] if t.get("single_word") or t.get("lstrip") or t.get("rstrip")]
+        if flagged:
+            raise ValueError(f"added tokens with conditions: {flagged}")
+
     def _reset(self) -> None:
         self.names: dict[tuple, int] = {}
-        self.states: list[tuple] = []
-        #: (state << 8 | byte) to (next state << 8) + emitted + 128.
-        self.moves: dict[int, int] = {}
+        #: State 0 is unknown: it leads to itself and emits nothing.
+        self.states: list[tuple] = [()]
+        #: state x column of a byte: next state << 8 | emitted + 128; -1 isn't compiled yet.
+        self.column = np.full(256, -1, np.int64)
+        self.table = np.full((1024, 64), -1, np.int32)
+        self.table[0] = 128
         self._valid: dict[int, bool] = {}
         self.start = self._name((b"", 0, 0))
 
@@ -76,6 +154,8 @@ class Transducer:
         at = self.names.setdefault(state, len(self.states))
         if at == len(self.states):
             self.states.append(state)
+            if at == len(self.table):
+                self.table = np.concatenate([self.table, np.full_like(self.table, -1)])
         return at
 
     def merge(self, data: bytes) -> list[bytes]:
@@ -97,7 +177,7 @@ class Transducer:
             found = self._valid[key] = self.merge(first + second) == ([first, second] if a else [second])
         return found
 
-    def _compile(self, at: int, byte: int) -> int:
+    def _compile(self, at: int, byte: int) -> None:
         """The transition from a state on a byte.
 
         A state is (suffix, then for each place in it, from its start to its end: last token there, and its count less
@@ -126,95 +206,100 @@ class Transducer:
                 kept += (places[2 * (i + j)], places[2 * (i + j) + 1] - emitted)
             else:
                 kept += (-1, 0)
-        move = self.moves[at << 8 | byte] = (self._name(tuple(kept)) << 8) + emitted + 128
-        return move
-
-    def emitted(self, data: bytes) -> int:
-        """Tokens of one pre-token."""
-        if len(self.states) > MAX_STATES:
+        following = self._name(tuple(kept))
+        self.table[at, self.column[byte]] = (following << 8) + emitted + 128
+
+    def _columns(self, data: np.ndarray) -> np.ndarray:
+        """The table's column of each byte."""
+        new = np.unique(data[self.column[data] < 0])
+        for byte in new.tolist():
+            self.column[byte] = self.column.max() + 1
+        while self.column.max() >= self.table.shape[1]:
+            wider = np.full_like(self.table, -1)
+            wider[0] = 128
+            self.table = np.concatenate([self.table, wider], axis=1)
+        return self.column[data]
+
+    def step(self, state: np.ndarray, column: np.ndarray, byte: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Next state and emitted count of many states, each on a byte of its own."""
+        move = self.table[state, column]
+        missing = np.flatnonzero(move < 0)
+        if len(missing):
+            for key in np.unique(state[missing] << 8 | byte[missing]).tolist():
+                self._compile(key >> 8, key & 255)
+            move = self.table[state, column]
+        return (move >> 8).astype(np.int64), (move & 255).astype(np.int16) - 128
+
+    def emitted(self, offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
+        """Tokens of each of the texts, which hold no added tokens."""
+        if len(self.states) > MAX_STATES or self.table.size > MAX_ENTRIES:
             self._reset()
-        at, total, get = self.start << 8, 0, self.moves.get
-        for byte in data:
-            move = get(at | byte) or self._compile(at >> 8, byte)
-            total += (move & 255) - 128
-            at = move & -256
-        return total
-
-
-class _Memo(dict):
-    """Counts of the strings met first, within a bound; others are counted anew each time."""
-
-    def __init__(self, count: Callable[[str], int]):
-        self.count = count
-
-    def __missing__(self, word: str) -> int:
-        n = self.count(word)
-        if len(self) < MAX_MEMO:
-            self[word] = n
-        return n
-
-
-@dataclass(frozen=True)
-class ChunkMap:
-    """A chunk's state map: pending text p goes to (``tail``, count of p + head, plus ``body``); without a sync point to p + head."""
-
-    head: str
-    body: int = 0
-    tail: str | None = None
-
+        n = len(data)
+        if not n:
+            return np.zeros(len(offsets) - 1, np.int64)
+        chunks = -(-n // CHUNK)
+        padded = np.zeros(chunks * CHUNK, np.uint8)
+        padded[:n] = data
+        starts = np.zeros(chunks * CHUNK, bool)
+        starts[:n] = token_starts(offsets, data, self.classes)
+        if chunks * CHUNK > n:
+            starts[n] = True
+        # Row j holds byte j of every chunk.
+        byte = np.ascontiguousarray(padded.reshape(chunks, CHUNK).T).astype(np.int64)
+        column = self._columns(byte)
+        begins = np.ascontiguousarray(starts.reshape(chunks, CHUNK).T)
+        count = np.zeros((CHUNK, chunks), np.int16)
+        state = np.zeros(chunks, np.int64)
+        for j in range(CHUNK):
+            state[begins[j]] = self.start
+            state, count[j] = self.step(state, column[j], byte[j])
+
+        def head(at: np.ndarray, entering: np.ndarray, into: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+            """Runs chunks from the states they are entered in up to their first pre-token; those without one, and how they are left."""
+            for j in range(CHUNK):
+                on = ~begins[j, at]
+                at, entering = at[on], entering[on]
+                if not len(at):
+                    break
+                entering, emitted = self.step(entering, column[j, at], byte[j, at])
+                if into is not None:
+                    into[j, at] = emitted
+            return at, entering
+
+        inside = np.flatnonzero(~begins.any(axis=0))
+        if len(inside):  # a first guess at what the chunks of long pre-tokens are left in
+            at, left = head(inside, np.full(len(inside), self.start), None)
+            state[at] = left
+        headed = np.flatnonzero(~begins[0])
+        entered = np.full(chunks, -1, np.int64)
+        while len(headed):
+            entered[headed] = state[headed - 1]
+            at, left = head(headed, entered[headed], count)
+            state[at] = left
+            moved = at[at + 1 < chunks] + 1
+            headed = moved[~begins[0, moved]]
+            headed = headed[entered[headed] != state[headed - 1]]
+        total = np.concatenate(([0], np.cumsum(count.T.reshape(-1)[:n], dtype=np.int64)))
+        return total[offsets[1:]] - total[offsets[:-1]]
+
+    def counts(self, texts: pa.Array) -> np.ndarray:
+        """Tokens of whole texts; a null counts as empty."""
+        out = np.zeros(len(texts), np.int64)
+        for first, offsets, data in pieces(texts, 1 << 20, 8192):
+            whole = data.tobytes()
+            if self.cut is not None and any(s.encode() in whole for s in self.special):
+                cut = [self.cut.split(whole[a:b].decode("utf-8", "replace")) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+                parts = [p.encode() for row in cut for p in row]
+                ends = np.concatenate(([0], np.cumsum([len(p) for p in parts])))
+                found = self.emitted(ends, np.frombuffer(b"".join(parts), np.uint8))
+                of = np.repeat(np.arange(len(cut)), [len(row) for row in cut])
+                out[first : first + len(cut)] = np.bincount(of, found, len(cut)).astype(np.int64) + [len(row) - 1 for row in cut]
+            else:
+                out[first : first + len(offsets) - 1] = self.emitted(offsets, data)
+        return out
 
-class Counter:
-    """Counts whole texts with a transducer."""
 
-    def __init__(self, definition: str):
-        self.transducer = Transducer(definition)
-        self.memo = _Memo(lambda word: self.transducer.emitted(word.encode("utf-8", "replace")))
-
-    def plain(self, text: str) -> int:
-        """Tokens of a text that nothing pends before."""
-        t = self.transducer
-        if t.cut is None or not any(s in text for s in t.special):
-            return self._ordinary(text)
-        parts = t.cut.split(text)
-        return len(parts) - 1 + sum(map(self._ordinary, parts))
-
-    def _ordinary(self, text: str) -> int:
-        cut = self.transducer.pattern if _OTHER_SCRIPT.search(text) else _LATIN
-        return sum(map(self.memo.__getitem__, cut.findall(text)))
-
-    def chunk_map(self, chunk: str) -> ChunkMap:
-        first = _SYNC.search(chunk)
-        if not first:
-            return ChunkMap(chunk)
-        at = len(chunk) - 1
-        while not (chunk[at].isspace() and _SYNC.match(chunk, at)):
-            at -= 1
-        return ChunkMap(chunk[: first.start()], self.plain(chunk[first.start() : at]), chunk[at:])
-
-    def compose(self, a: ChunkMap, b: ChunkMap) -> ChunkMap:
-        if a.tail is None:
-            return ChunkMap(a.head + b.head, b.body, b.tail)
-        if b.tail is None:
-            return ChunkMap(a.head, a.body, a.tail + b.head)
-        return ChunkMap(a.head, a.body + self.plain(a.tail + b.head) + b.body, b.tail)
-
-    def scan(self, maps: list[ChunkMap]) -> list[ChunkMap]:
-        """All prefixes of the composition, by recursive pairing."""
-        if len(maps) < 2:
-            return maps
-        pairs = self.scan([self.compose(maps[i], maps[i + 1]) for i in range(0, len(maps) - 1, 2)])
-        return [maps[0] if not i else pairs[i // 2] if i % 2 else self.compose(pairs[i // 2 - 1], maps[i]) for i in range(len(maps))]
-
-    def count(self, text: str | None, chunk: int = CHUNK) -> int:
-        if not text:
-            return 0
-        if len(text) <= chunk:
-            return self.plain(text)
-        whole = self.scan([self.chunk_map(text[i : i + chunk]) for i in range(0, len(text), chunk)])[-1]
-        return self.plain(whole.head) + whole.body + self.plain(whole.tail or "")
-
-
-_counters: dict[int, Counter] = {}
+_transducers: dict[int, Transducer] = {}
 
 
 def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 512) -> DataFrame:
@@ -224,19 +309,17 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 512) -> DataFrame
     """
     with open(tokenizer, encoding="utf-8") as f:
         definition = f.read()
+    Transducer._check(json.loads(definition))
     shared = docs.sparkSession.sparkContext.broadcast(definition)
     key = hash(definition)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _counters:
-            _counters.clear()
-            _counters[key] = Counter(shared.value)
-        counter = _counters[key]
+        if key not in _transducers:
+            _transducers.clear()
+            _transducers[key] = Transducer(shared.value)
         for batch in batches:
-            texts = batch.column("text")
-            n_bytes = pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), n_bytes, pa.array([counter.count(t) for t in texts.to_pylist()], pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), pa.array(_transducers[key].counts(batch.column("text")))], names=["doc_id", "n_bytes", "n_tokens"])
 
-    rows = docs.select("doc_id", "text")
-    schema = extended(rows.drop("text").schema, n_bytes="long", n_tokens="long")
+    rows = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "text")
+    schema = extended(rows.drop("text").schema, n_tokens="long")
     return rows.mapInArrow(run, schema).withColumn("over_limit", F.col("n_tokens") > limit)
