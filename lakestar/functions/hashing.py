@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +29,28 @@ def fingerprint(df: DataFrame) -> DataFrame:
     return df.select(h.alias("h")).agg(F.count("*").alias("n"), F.coalesce(F.sum(F.col("h").cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")).alias("sum"), F.coalesce(F.bit_xor("h"), F.lit(0).cast("long")).alias("xor"))
 
 
-def sorted_fingerprint(df: DataFrame) -> DataFrame:
-    """sha256 over the sorted sha256 of the rows' joined text columns; for small tables (it gathers one hash per row)."""
+def portable_fingerprint(df: DataFrame) -> DataFrame:
+    """As ``fingerprint``, but from sha256 of the rows' joined text columns (its first 60 bits), which any engine has."""
     h = F.sha2(F.concat_ws("|", *(F.col(c).cast("string") for c in df.columns)), 256)
-    return df.select(h.alias("h")).agg(F.sha2(F.concat_ws("", F.sort_array(F.collect_list("h"))), 256).alias("fingerprint"))
+    short = F.conv(F.substring(h, 1, 15), 16, 10).cast("long")
+    return df.select(short.alias("h")).agg(F.count("*").alias("n"), F.coalesce(F.sum(F.col("h").cast("decimal(38,0)")), F.lit(0)).cast("decimal(38,0)").alias("total"), F.coalesce(F.bit_xor("h"), F.lit(0).cast("long")).alias("parity"))
+
+
+#: Provenance and derived fields that a payload hash leaves out, beside all fields ending in _rich.
+NOT_PAYLOAD = ("run_id", "scraped_at", "source_url", "english_title_rich", "foreign_title_rich", "english_abstract_rich")
+
+
+def canonical_json(payload: dict) -> str:
+    """Sorted keys, no blanks, letters as they are."""
+    return json.dumps(payload, sort_keys=True, ensure_ascii=False, separators=(",", ":"))
+
+
+def payload_hash(record: Column) -> Column:
+    """sha256 of a struct's canonical JSON without provenance and rich text; nulls are kept, list order too."""
+
+    @F.pandas_udf("string")
+    def run(texts: pd.Series) -> pd.Series:
+        kept = (None if t is None else {k: v for k, v in json.loads(t).items() if k not in NOT_PAYLOAD and not k.endswith("_rich")} for t in texts)
+        return pd.Series([None if k is None else hashlib.sha256(canonical_json(k).encode()).hexdigest() for k in kept], dtype=object)
+
+    return run(F.to_json(record, {"ignoreNullFields": "false"}))

@@ -30,13 +30,14 @@ def scd2(df: DataFrame, keys: list[str], ts: str, attributes: list[str], order:
     changed = F.lit(False)
     for a in attributes:
         changed = changed | ~F.col(a).eqNullSafe(F.lag(a).over(w))
-    starts = df.withColumn("_new", changed | F.lag(ts).over(w).isNull()).where("_new").select(*keys, *attributes, F.col(ts).alias("effective_from"))
-    after = F.lead("effective_from").over(Window.partitionBy(*keys).orderBy("effective_from"))
-    return starts.withColumn("effective_to", F.coalesce(after, F.lit(HIGH_DATE).cast("timestamp"))).withColumn("is_current", F.col("effective_to") == F.lit(HIGH_DATE).cast("timestamp"))
+    # The place in time order is carried, so that changes at one time stamp end each other in the same order.
+    starts = df.withColumns({"_new": changed | (F.row_number().over(w) == 1), "_place": F.row_number().over(w)}).where("_new").select(*keys, *attributes, F.col(ts).alias("effective_from"), "_place")
+    after = F.lead("effective_from").over(Window.partitionBy(*keys).orderBy("_place"))
+    return starts.withColumn("effective_to", after).drop("_place").withColumn("effective_to", F.coalesce("effective_to", F.lit(HIGH_DATE).cast("timestamp"))).withColumn("is_current", F.col("effective_to") == F.lit(HIGH_DATE).cast("timestamp"))
 
 
-def scd2_changes(current: DataFrame, incoming: DataFrame, keys: list[str], attributes: list[str], ts: str) -> DataFrame:
-    """Staged rows of a type-2 merge: (match, keys, attributes, effective_from).
+def scd2_changes(current: DataFrame, incoming: DataFrame, keys: list[str], attributes: list[str], ts: str, carried: tuple[str, ...] | list[str] = ()) -> DataFrame:
+    """Staged rows of a type-2 merge: (match, keys, attributes, carried, effective_from).
 
     A changed key is staged twice: match=True ends its current version, match=False starts the next. A change that isn't
     later than the current version's start raises.
@@ -52,7 +53,7 @@ def scd2_changes(current: DataFrame, incoming: DataFrame, keys: list[str], attri
     start = F.when(late, F.raise_error(F.lit("change is not later than the current version")).cast("timestamp")).otherwise(F.col(ts))
     staged = joined.where(is_new | changed).withColumn("effective_from", start)
     sides = F.when(is_new, F.array(F.lit(False))).otherwise(F.array(F.lit(True), F.lit(False)))
-    return staged.select(F.explode(sides).alias("match"), *keys, *attributes, "effective_from")
+    return staged.select(F.explode(sides).alias("match"), *keys, *attributes, *carried, "effective_from")
 
 
 def explode_roles(df: DataFrame, keys: list[str], roles: dict[str, str], name: str = "name") -> DataFrame:
@@ -70,6 +71,11 @@ def bridge(roles: DataFrame) -> DataFrame:
     return roles.withColumn("weight", F.lit(1.0).cast("double") / F.col("role_count"))
 
 
+def expected_rows(df: DataFrame, arrays: tuple[str, ...]) -> DataFrame:
+    """One row: how many rows exploding these arrays must give."""
+    return df.agg(F.coalesce(F.sum(sum((F.greatest(F.size(F.col(c)), F.lit(0)) for c in arrays), F.lit(0))), F.lit(0)).cast("long").alias("expected"))
+
+
 def weight_errors(rows: DataFrame, keys: list[str], tolerance: float = 1e-9) -> DataFrame:
     """Groups whose weights don't sum to 1."""
     return rows.groupBy(*keys).agg(F.sum("weight").alias("total")).where(F.abs(F.col("total") - 1) > tolerance)

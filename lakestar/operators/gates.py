@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,13 +36,15 @@ def outcomes(listing: DataFrame, manifest: DataFrame, now: Column, refresh_days:
     rows = listing.join(known, "url_hash", "left").withColumn("_first", first_arrival(listing, ["url_hash"], "ordinal"))
     rows = rows.withColumn("_fetch", refresh(F.col("_status"), F.col("_seen"), now, refresh_days, force)["fetch"])
     rows = rows.withColumn("_built", F.col("_first") & F.col("_fetch") & (F.col("result") == "ok"))
-    doi = Window.partitionBy("doi", "_built").orderBy("ordinal")
-    again = F.col("doi").isNotNull() & (F.row_number().over(doi) > 1)
+    # The first arrival of each doi among the rows that were built, by partial aggregation: rows without one meet nowhere.
+    first = rows.where("_built and doi is not null").groupBy("doi").agg(F.min("ordinal").alias("_least"))
+    rows = rows.withColumn("_doi", F.when(F.col("_built"), F.col("doi"))).join(first.withColumnRenamed("doi", "_doi"), "_doi", "left").drop("_doi")
+    again = F.coalesce(F.col("ordinal") > F.col("_least"), F.lit(False))
     outcome = (
         F.when(~F.col("_first"), "dup_in_run_url").when(~F.col("_fetch"), "skipped_manifest").when(F.col("result") == "failed", "fetch_failed").when(F.col("result") == "blocked", "blocked_gave_up")
         .when(F.col("result") == "parse_error", "parse_failed").when(again, "dup_in_run_doi").when(F.col("payload_hash").eqNullSafe(F.col("_payload")) & F.col("payload_hash").isNotNull(), "unchanged_payload").otherwise("bronze_written")
     )
-    return rows.withColumn("outcome", outcome).drop("_status", "_seen", "_payload", "_first", "_fetch", "_built")
+    return rows.withColumn("outcome", outcome).drop("_status", "_seen", "_payload", "_first", "_fetch", "_built", "_least")
 
 
 def counters(rows: DataFrame) -> DataFrame:
@@ -49,6 +53,40 @@ def counters(rows: DataFrame) -> DataFrame:
     return every.join(rows.groupBy("outcome").agg(F.count("*").alias("n")), "outcome", "left").select("outcome", F.coalesce("n", F.lit(0).cast("long")).alias("n"))
 
 
+#: The manifest status that an outcome leaves; outcomes that aren't here write nothing.
+STATUS = {"fetch_failed": "failed", "blocked_gave_up": "blocked", "parse_failed": "parse_error", "dup_in_run_doi": "ok", "unchanged_payload": "ok", "bronze_written": "ok"}
+
+
+def manifest_rows(judged: DataFrame, manifest: DataFrame, publisher: str, run_id: str, now: Column) -> DataFrame:
+    """Staged manifest rows of judged listing rows (url_hash, normalised_url, url_type, ordinal, doi, payload_hash, http_status, outcome).
+
+    first_seen_at is the manifest's where it has the url; only what was written counts as changed, and a payload hash is
+    only claimed by what is in bronze.
+    """
+    known = manifest.select("url_hash", F.col("first_seen_at").alias("_seen"))
+    status = F.element_at(F.create_map(*(F.lit(x) for kv in STATUS.items() for x in kv)), F.col("outcome"))
+    rows = judged.withColumn("status", status).where("status is not null").join(known, "url_hash", "left")
+    ok = F.col("status") == "ok"
+    return rows.select(
+        "url_hash", "normalised_url", F.lit(publisher).alias("publisher"), "url_type", F.when(ok, F.col("doi")).alias("doi"), F.when(F.col("outcome").isin("bronze_written", "unchanged_payload"), F.col("payload_hash")).alias("payload_hash"),
+        F.coalesce("_seen", now).alias("first_seen_at"), now.alias("last_seen_at"), F.when(F.col("outcome") == "bronze_written", now).alias("last_changed_at"), F.lit(1).cast("long").alias("fetch_count"),
+        F.col("http_status").alias("last_http_status"), F.lit(run_id).alias("last_run_id"), "status", "ordinal",
+    )
+
+
+def commit_batch(flush_bronze: Callable[[], None], claim: Callable[[], None]) -> None:
+    """Bronze first, the manifest's claim only after: a crash between them leaves rows to fetch again, and loses none."""
+    flush_bronze()
+    claim()
+
+
+def balance(counted: DataFrame, discovered: int) -> None:
+    """Raises unless the outcome buckets (outcome, n) sum to the rows discovered."""
+    total = counted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    if total != discovered:
+        raise RuntimeError(f"outcomes sum to {total}, not {discovered}")
+
+
 def manifest_upsert(manifest: DataFrame, staged: DataFrame) -> DataFrame:
     """The manifest after a batch: staged values win, doi, payload hash and change time only if not null; counts add up; first_seen_at stays."""
     last = Window.partitionBy("url_hash").orderBy(F.desc("ordinal"))

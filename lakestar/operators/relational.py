@@ -12,10 +12,19 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataF
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
-def with_history(df: DataFrame, keys: list[str], ts: str, order: list[Column]) -> DataFrame:
+def latest_with(df: DataFrame, keys: list[str], order: list[str], stats: dict[str, Column]) -> DataFrame:
+    """The row of each key that is last in ``order`` (nulls first; ties must be broken by it), with aggregates over all of the key's rows.
+
+    One shuffle, after partial aggregation: a hot key's rows are reduced where they are read.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    found = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_latest"), *(c.alias(name) for name, c in stats.items()))
+    return found.select(*keys, "_latest.*", *stats)
+
+
+def with_history(df: DataFrame, keys: list[str], ts: str, order: list[str]) -> DataFrame:
     """The latest row of each key with first_seen_at and version_count over all of its rows."""
-    stats = df.groupBy(*keys).agg(F.min(ts).alias("first_seen_at"), F.count("*").alias("version_count"))
-    return latest_per_key(df, keys, order).join(stats, keys)
+    return latest_with(df, keys, order, {"first_seen_at": F.min(ts), "version_count": F.count("*")})
 
 
 def already_present(batch: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
@@ -52,6 +61,36 @@ def asof_join(facts: DataFrame, versions: DataFrame, keys: list[str], ts: str, s
     return facts.join(v, condition, "left").drop(*(f"_v_{k}" for k in keys))
 
 
+def asof_scan(facts: DataFrame, versions: DataFrame, keys: list[str], ts: str, start: str = "effective_from", end: str = "effective_to", every: str = "day") -> DataFrame:
+    """As ``asof_join``, for versions that don't overlap: linear in facts and versions, however many a key has.
+
+    Facts and versions of a key are put in time order ``every`` day (or month, ...) by itself, so a hot key is as many
+    groups as it has days; the last version before a day comes from one row per key and day. Facts with a null key or
+    time have no version.
+    """
+    kept = [c for c in versions.columns if c not in keys]
+    bucket = lambda c: F.date_trunc(every, F.col(c))
+    v = versions.select(*keys, F.struct(*kept).alias("_v"), F.col(start).alias("_at"), bucket(start).alias("_b"))
+    last = v.groupBy(*keys, "_b").agg(F.max_by("_v", F.struct("_at", f"_v.{end}")).alias("_last"))
+    # Days of facts take their turn among the days that have versions; each gets what the days before it leave.
+    days = facts.select(*keys, bucket(ts).alias("_b"), F.lit(None).cast(last.schema["_last"].dataType).alias("_last")).distinct()
+    before = F.last("_last", ignorenulls=True).over(Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1))
+    carried = last.union(days).groupBy(*keys, "_b").agg(F.first("_last", ignorenulls=True).alias("_last")).withColumn("_before", before).drop("_last")
+    own = [c for c in facts.columns if c not in keys]
+    rows = facts.select(*keys, F.struct(*own).alias("_f"), F.lit(None).cast(v.schema["_v"].dataType).alias("_v"), F.col(ts).alias("_at"), bucket(ts).alias("_b"))
+    both = rows.union(v.select(*keys, F.lit(None).cast(rows.schema["_f"].dataType).alias("_f"), "_v", "_at", "_b"))
+    order = Window.partitionBy(*keys, "_b").orderBy("_at", F.col("_f").isNotNull(), f"_v.{end}")
+    found = both.withColumn("_here", F.last("_v", ignorenulls=True).over(order)).where("_f is not null")
+    same = [found[k].eqNullSafe(carried[k]) for k in (*keys, "_b")]
+    joined = found.join(carried, same, "left").select(*(found[k] for k in keys), "_f", F.coalesce("_here", "_before").alias("_v"))
+    valid = F.when(F.col(f"_f.{ts}") < F.col(f"_v.{end}"), F.col("_v"))
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    joined = joined.withColumn("_v", F.when(known, valid))
+    return joined.select(*(F.col(k) if k in keys else F.col(f"_f.{k}") for k in facts.columns), *(F.col(f"_v.{c}").alias(c) for c in kept))
+
+
 def overlaps(versions: DataFrame, keys: list[str], start: str = "effective_from", end: str = "effective_to") -> DataFrame:
     """Versions that begin before the one before them ends."""
     w = Window.partitionBy(*keys).orderBy(start, end)

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakestar.functions import dates, hashing, html, text, urls
 from lakestar.operators import dims, gates, quality, relational
+from lakestar.plans import gold
+from lakestar.session import shared_folder
 from lakestar.sources import landing
 from lakestar.sources.table import Clause, VersionedTable, insert_only, upsert
 from lakestar.streaming.merge import merge_stream, parquet_stream
@@ -34,11 +37,8 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    """A new folder where executors can write: below the shared folder, if the cluster names one."""
-    import tempfile
-
-    shared = spark.conf.get("spark.checkpoint.dir", "") or "file://" + tempfile.mkdtemp(prefix="lakestar-")
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new folder below the shared folder that the cluster names in spark.checkpoint.dir; a local session may do without."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def same_sql(name: str, sql: str, *tables: str) -> None:
@@ -76,14 +76,20 @@ def r03_tokens_distinct(spark, sf_dir):
     return _t(spark, sf_dir, "documents").select("doc_id", F.size(parts).alias("n"), F.array_join(F.sort_array(parts), "|").alias("parts"))
 
 
-@query("""select p_partkey, case when regexp_matches(d, '^[+-]?[0-9]{1,10}$') then try_cast(d as int) end as digits, case when p_size between 10 and 40 then p_size end as in_range,
-  case when p_size + 7 >= p_size * 2 then cast(p_size + 7 - p_size * 2 + 1 as int) end as pages
-  from (select *, substr(p_brand, 7) as d from part)""")
+_NUMBER = "case p_partkey % 6 when 0 then '+' || p_size when 1 then '-' || p_size when 2 then lpad(cast(p_partkey as varchar), 12, '0') when 3 then p_size || 'x' when 4 then ' ' || p_size || ' ' else cast(p_size as varchar) end"
+_INTEGER = "case when regexp_matches(trim({0}), '^[+-]?[0-9]+$') then try_cast(replace(trim({0}), '+', '') as int) end"
+
+
+@query(f"""with s as (select p_partkey, {_NUMBER} as d, cast(p_size * 2 as varchar) as first, case when p_partkey % 7 = 0 then 'B' || p_size else cast(p_size + 7 as varchar) end as last from part),
+i as (select *, {_INTEGER.format('d')} as n, {_INTEGER.format('first')} as a, {_INTEGER.format('last')} as b from s)
+select p_partkey, case when regexp_matches(d, '^[0-9]+$') then try_cast(d as int) end as digits, n as integer, case when n between 10 and 40 then n end as in_range, case when b >= a then cast(b - a + 1 as int) end as pages from i""")
 def r04_safe_int_parts(spark, sf_dir):
-    size = F.col("p_size").cast("string")
+    k, size = F.col("p_partkey"), F.col("p_size").cast("string")
+    d = F.when(k % 6 == 0, F.concat(F.lit("+"), size)).when(k % 6 == 1, F.concat(F.lit("-"), size)).when(k % 6 == 2, F.lpad(k.cast("string"), 12, "0")).when(k % 6 == 3, F.concat(size, F.lit("x"))).when(k % 6 == 4, F.concat(F.lit(" "), size, F.lit(" "))).otherwise(size)
+    last = F.when(k % 7 == 0, F.concat(F.lit("B"), size)).otherwise((F.col("p_size") + 7).cast("string"))
     return _t(spark, sf_dir, "part").select(
-        "p_partkey", text.whole_number(F.substring("p_brand", 7, 10)).alias("digits"), text.number_between(size, 10, 40).alias("in_range"),
-        text.page_count((F.col("p_size") * 2).cast("string"), (F.col("p_size") + 7).cast("string")).alias("pages"),
+        "p_partkey", text.whole_number(d).alias("digits"), text.integer(d).alias("integer"), text.number_between(d, 10, 40).alias("in_range"),
+        text.page_count((F.col("p_size") * 2).cast("string"), last).alias("pages"),
     )
 
 
@@ -102,11 +108,11 @@ def r05_date_parts(spark, sf_dir):
     return _t(spark, sf_dir, "orders").select("o_orderkey", p.alias("p")).select("o_orderkey", "p.year", "p.month", "p.day", "p.precision", "p.unparsed", "p.is_range")
 
 
-@query("""select page_id, nullif(d, '') as doi, regexp_matches(d, '^10\\.[0-9]{4,9}/\\S+$') as valid, case when page_id % 3 = 0 then 'CC BY-NC 4.0' end as licence from (
-  select page_id, case page_id % 3 when 0 then '10.' || cast(1000 + page_id as varchar) || '/x' when 1 then regexp_replace(lower(url), '^(https?://(dx\\.)?doi\\.org/|doi:\\s*)', '') else '10.1/a b' end as d from pages)""")
+@query("""select page_id, nullif(d, '') as doi, coalesce(regexp_matches(d, '^10\\.[0-9]{4,9}/\\S+$'), false) as valid, case when page_id % 3 = 0 then 'CC BY-NC 4.0' end as licence from (
+  select page_id, case when page_id % 5 = 4 then null when page_id % 3 = 0 then '10.' || cast(1000 + page_id as varchar) || '/x' when page_id % 3 = 1 then regexp_replace(lower(url), '^(https?://(dx\\.)?doi\\.org/|doi:\\s*)', '') else '10.1/a b' end as d from pages)""")
 def r06_identifier_valid(spark, sf_dir):
     k = F.col("page_id")
-    raw = F.when(k % 3 == 0, F.concat(F.lit("https://doi.org/10."), (k + 1000).cast("string"), F.lit("/X"))).when(k % 3 == 1, F.col("url")).otherwise("doi: 10.1/A b")
+    raw = F.when(k % 5 == 4, None).when(k % 3 == 0, F.concat(F.lit("https://doi.org/10."), (k + 1000).cast("string"), F.lit("/X"))).when(k % 3 == 1, F.col("url")).otherwise("doi: 10.1/A b")
     doi, valid = text.identifier(raw)
     licence = text.licence(F.when(k % 3 == 0, "https://creativecommons.org/licenses/by-nc/4.0/").otherwise(F.col("url")))
     return _t(spark, sf_dir, "pages").select("page_id", doi.alias("doi"), valid.alias("valid"), licence.alias("licence"))
@@ -183,7 +189,7 @@ def r15_latest_per_key(spark, sf_dir):
 @query("""select o_custkey, o_orderkey, first_seen_at, version_count from (select *, min(o_orderdate) over (partition by o_custkey) as first_seen_at, count(*) over (partition by o_custkey) as version_count from orders) qualify row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) = 1""")
 def r16_history_stats(spark, sf_dir):
     rows = _t(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
-    return relational.with_history(rows, ["o_custkey"], "o_orderdate", [F.desc("o_orderdate"), F.desc("o_orderkey")]).drop("o_orderdate")
+    return relational.with_history(rows, ["o_custkey"], "o_orderdate", ["o_orderdate", "o_orderkey"]).drop("o_orderdate")
 
 
 @query("select l_orderkey, l_linenumber, l_quantity from lineitem where exists (select 1 from orders where o_orderkey = l_orderkey and o_orderstatus = 'F' and o_totalprice > 200000)")
@@ -221,19 +227,20 @@ def r21_dim_date(spark, sf_dir):
     return dims.date_dim(spark)
 
 
-_CLASSES = {"1_urgent": "high", "2_high": "high", "3_medium": "normal", "5_low": "low"}
+#: Raw article types, as publishers write them, that the type dimension is built from.
+_RAW_TYPES = ("Research Article", "Short communication", "Case report", "Brief Report", "Data article", "Systematic Review", "Mini review", "Editorial", "Letter", "Erratum", "Retraction", "News", "Obituary", "Editorial board", "Calendar", "Full length article", " ", "Weird -- thing")
 
 
-@query("""with k as (select regexp_replace(regexp_replace(lower(o_orderpriority), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') as type_key, o_orderpriority, o_orderdate, o_orderkey from orders)
-select type_key, label, coalesce(class, 'unclassified') as class, coalesce(class, 'unclassified') in ('high') as is_flagged from (
-  select type_key, o_orderpriority as label, case type_key when '1_urgent' then 'high' when '2_high' then 'high' when '3_medium' then 'normal' when '5_low' then 'low' end as class from k qualify row_number() over (partition by type_key order by o_orderdate desc, o_orderkey desc) = 1)
-union all select 'unknown', 'Unknown', 'unclassified', false""")
+@query(f"""with k as (select ({list(_RAW_TYPES)!r})[o_orderkey % {len(_RAW_TYPES)} + 1] as label, o_orderdate, o_orderkey from orders),
+t as (select *, nullif(regexp_replace(regexp_replace(lower(label), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g'), '') as type_key from k),
+c as (select type_key, label, case when type_key in ('research_article', 'short_communication', 'case_report', 'brief_report', 'data_article') then 'research' when type_key in ('systematic_review', 'mini_review') then 'review' when type_key in ('editorial', 'letter') then 'opinion'
+  when type_key in ('erratum', 'retraction') then 'correction' when type_key in ('news', 'obituary') then 'other_content' when type_key in ('editorial_board', 'calendar') then 'front_back_matter' else 'unclassified' end as class
+  from t where type_key is not null qualify row_number() over (partition by type_key order by o_orderdate desc, o_orderkey desc) = 1)
+select type_key, label, class, class in ('research', 'review') as scholarly from c union all select 'Unknown', 'Unknown', 'unclassified', false""")
 def r22_type_dim(spark, sf_dir):
-    rows = _t(spark, sf_dir, "orders").select(text.slug(F.col("o_orderpriority")).alias("type_key"), F.col("o_orderpriority").alias("label"), "o_orderdate", "o_orderkey")
-    latest = relational.latest_per_key(rows.where("type_key is not null"), ["type_key"], [F.desc("o_orderdate"), F.desc("o_orderkey")])
-    table = F.create_map(*(F.lit(x) for kv in _CLASSES.items() for x in kv))
-    dim = latest.select("type_key", "label", F.coalesce(F.element_at(table, F.col("type_key")), F.lit("unclassified")).alias("class")).withColumn("is_flagged", F.col("class").isin("high"))
-    return dims.with_unknown(dim, {"type_key": "unknown", "label": "Unknown", "class": "unclassified", "is_flagged": False})
+    label = F.element_at(F.array(*map(F.lit, _RAW_TYPES)), (F.col("o_orderkey") % len(_RAW_TYPES) + 1).cast("int"))
+    silver = _t(spark, sf_dir, "orders").select(label.alias("article_type"), text.slug(label).alias("article_type_key"), F.col("o_orderdate").alias("last_changed_at"), F.col("o_orderkey").alias("url_hash"))
+    return gold.article_types(silver).select(F.col("article_type_key").alias("type_key"), F.col("article_type").alias("label"), F.col("content_class").alias("class"), F.col("is_scholarly").alias("scholarly"))
 
 
 _SCD2 = """with e as (select user_id, event_type, ts, event_id, lag(event_type) over w as before, lag(ts) over w as t0 from events window w as (partition by user_id order by ts, event_id)),
@@ -251,18 +258,11 @@ def r23_scd2_versions(spark, sf_dir):
     return _versions(spark, sf_dir)
 
 
-@query(_SCD2 + " select event_id, e.user_id, v.event_type as version_type, effective_from from events e left join versions v on e.user_id = v.user_id and e.ts >= effective_from and e.ts < effective_to where e.event_id % 3 = 0")
-def r24_asof_join(spark, sf_dir):
-    facts = _t(spark, sf_dir, "events").where("event_id % 3 = 0").select("event_id", "user_id", "ts")
-    versions = _versions(spark, sf_dir).withColumnRenamed("event_type", "version_type").drop("is_current")
-    return relational.asof_join(facts, versions, ["user_id"], "ts").select("event_id", "user_id", "version_type", "effective_from")
-
-
 @query(_SCD2 + " select event_id, e.user_id, v.event_type as version_type, effective_from from events e left join versions v on e.user_id = v.user_id and e.ts >= effective_from and e.ts < effective_to")
-def r24_asof_join_whole(spark, sf_dir):
+def r24_asof_join(spark, sf_dir):
     facts = _t(spark, sf_dir, "events").select("event_id", "user_id", "ts")
     versions = _versions(spark, sf_dir).withColumnRenamed("event_type", "version_type").drop("is_current")
-    return relational.asof_join(facts, versions, ["user_id"], "ts").select("event_id", "user_id", "version_type", "effective_from")
+    return relational.asof_scan(facts, versions, ["user_id"], "ts").select("event_id", "user_id", "version_type", "effective_from")
 
 
 @query("""select o_custkey, count(*) as n from (select o_custkey, o_orderdate as f, lag(o_orderdate + interval 90 day) over (partition by o_custkey order by o_orderdate, o_orderdate + interval 90 day) as before from orders) where f < before group by o_custkey""")
@@ -292,9 +292,11 @@ def r27_weighted_bridge(spark, sf_dir):
     return dims.bridge(_roles(spark, sf_dir)).select("l_orderkey", "role", "position", "name_key", F.round("weight", 9).alias("weight"))
 
 
-@query(f"select count(*) as n, count(*) filter (where false) as bad from (select distinct l_orderkey, role from ({_ROLES}))")
+@query(f"""with b as (select l_orderkey, role, position, 1.0::double / role_count as weight from ({_ROLES})), broken as (select * from b where not (l_orderkey % 5 = 0 and position = 1))
+select count(*) as n, count(*) filter (where abs(total - 1) > 1e-9) as bad from (select l_orderkey, role, sum(weight) as total from broken group by all)""")
 def r27_weight_check(spark, sf_dir):
-    rows = dims.bridge(_roles(spark, sf_dir))
+    # Every fifth order loses its first link, so that there are weights which don't sum to 1.
+    rows = dims.bridge(_roles(spark, sf_dir)).where("not (l_orderkey % 5 = 0 and position = 1)")
     bad = dims.weight_errors(rows, ["l_orderkey", "role"]).agg(F.count("*").alias("bad"))
     return rows.agg(F.count_distinct("l_orderkey", "role").alias("n")).join(F.broadcast(bad))
 
@@ -303,9 +305,8 @@ def r27_weight_check(spark, sf_dir):
 select name_key, l_orderkey as latest_order, role as latest_role, first_seen_at, n from r join f using (name_key) qualify row_number() over (partition by name_key order by o_orderdate desc, l_orderkey desc, role desc, position desc) = 1""")
 def r28_author_dim(spark, sf_dir):
     rows = _roles(spark, sf_dir).drop("entry").join(_t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate"), "l_orderkey")
-    stats = rows.groupBy("name_key").agg(F.min("o_orderdate").alias("first_seen_at"), F.count("*").alias("n"))
-    latest = relational.latest_per_key(rows, ["name_key"], [F.desc("o_orderdate"), F.desc("l_orderkey"), F.desc("role"), F.desc("position")])
-    return latest.join(stats, "name_key").select("name_key", F.col("l_orderkey").alias("latest_order"), F.col("role").alias("latest_role"), "first_seen_at", "n")
+    latest = relational.latest_with(rows, ["name_key"], ["o_orderdate", "l_orderkey", "role", "position"], {"first_seen_at": F.min("o_orderdate"), "n": F.count("*")})
+    return latest.select("name_key", F.col("l_orderkey").alias("latest_order"), F.col("role").alias("latest_role"), "first_seen_at", "n")
 
 
 @query("""select l_orderkey, l_linenumber, coalesce(p_partkey, -1) as part_sk, coalesce(s_suppkey, -1) as supplier_sk, cast(strftime(l_shipdate, '%Y%m%d') as int) as ship_date_sk, 1 as line_count from lineitem
@@ -324,15 +325,20 @@ def r29_date_keys(spark, sf_dir):
     return _t(spark, sf_dir, "orders").agg(F.count(F.when(key != -1, 1)).alias("inside"), F.count(F.when(key == -1, 1)).alias("unknown"))
 
 
-@query("""select (select count(*) from (select l_orderkey, l_linenumber from lineitem group by all having count(*) > 1)) as duplicate_keys, (select count(*) from lineitem left join orders on o_orderkey = l_orderkey where o_orderkey is null) as orphan_orders,
-  (select count(*) from lineitem left join part on p_partkey = l_partkey where p_partkey is null) as orphan_parts, 0::bigint as overlapping_versions""")
+@query("""with line as (select l_orderkey, l_linenumber, l_partkey from lineitem union all select l_orderkey, l_linenumber, l_partkey from lineitem where l_orderkey % 11 = 0), kept as (select o_orderkey from orders where o_orderkey % 13 <> 0), parts as (select p_partkey from part where p_partkey % 17 <> 0),
+ranges as (select o_custkey, o_orderdate as f, lag(o_orderdate + interval 30 day) over (partition by o_custkey order by o_orderdate, o_orderdate + interval 30 day) as before from orders)
+select (select count(*) from (select l_orderkey, l_linenumber from line group by all having count(*) > 1)) as duplicate_keys, (select count(*) from line where l_orderkey not in (select o_orderkey from kept)) as orphan_orders,
+  (select count(*) from line where l_partkey not in (select p_partkey from parts)) as orphan_parts, (select count(*) from ranges where f < before) as overlapping_versions""")
 def r30_star_validation(spark, sf_dir):
-    line = _t(spark, sf_dir, "lineitem")
+    # A star with rows that break each rule: doubled keys, missing parents, ranges that overlap.
+    line = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    line = line.union(line.where("l_orderkey % 11 = 0"))
+    orders = _t(spark, sf_dir, "orders")
     return dims.validate({
         "duplicate_keys": relational.duplicate_keys(line, ["l_orderkey", "l_linenumber"]),
-        "orphan_orders": relational.orphans(line, _t(spark, sf_dir, "orders"), "l_orderkey", "o_orderkey"),
-        "orphan_parts": relational.orphans(line, _t(spark, sf_dir, "part"), "l_partkey", "p_partkey"),
-        "overlapping_versions": relational.overlaps(_versions(spark, sf_dir), ["user_id"]),
+        "orphan_orders": relational.orphans(line, orders.where("o_orderkey % 13 <> 0"), "l_orderkey", "o_orderkey"),
+        "orphan_parts": relational.orphans(line, _t(spark, sf_dir, "part").where("p_partkey % 17 <> 0"), "l_partkey", "p_partkey"),
+        "overlapping_versions": relational.overlaps(orders.select("o_custkey", F.col("o_orderdate").alias("effective_from"), F.expr("o_orderdate + interval 30 days").alias("effective_to")), ["o_custkey"]),
     })
 
 
@@ -428,16 +434,9 @@ def r53_merge_scd2(spark, sf_dir):
     return table.read()
 
 
-@query("select o_orderkey, o_custkey, o_orderstatus from orders where o_orderkey % 2 = 0 and (o_orderkey % 3 = 0 or o_orderstatus <> 'F')")
+@query("select o_orderkey, o_custkey, o_orderstatus from orders where o_orderkey % 3 = 0 or o_orderstatus <> 'F'")
 def r54_merge_delete_by_source(spark, sf_dir):
     table, orders = _base(spark, sf_dir, "r54")
-    table.merge(orders.where("o_orderkey % 2 = 0 and o_orderkey % 3 = 0"), ["o_orderkey"], [Clause("delete", "not_matched_by_source", "target.o_orderstatus = 'F'")])
-    return table.read()
-
-
-@query("select o_orderkey, o_custkey, o_orderstatus from orders where o_orderkey % 3 = 0 or o_orderstatus <> 'F'")
-def r54_merge_delete_by_source_whole(spark, sf_dir):
-    table, orders = _base(spark, sf_dir, "r54w")
     table.append(orders.where("o_orderkey % 2 <> 0"))
     table.merge(orders.where("o_orderkey % 3 = 0"), ["o_orderkey"], [Clause("delete", "not_matched_by_source", "target.o_orderstatus = 'F'")])
     return table.read()
@@ -459,14 +458,15 @@ def r56_merge_metrics(spark, sf_dir):
     return spark.createDataFrame([(m.inserted, m.updated, m.deleted, m.version, again.skipped)], "inserted long, updated long, deleted long, version long, noop_skipped boolean")
 
 
-@query("select count(*) as n, count(distinct o_orderkey) as keys, true as compacted, true as same from orders")
+@query("""select v, n, checksum from (select 1 as v, count(*) filter (where o_orderkey % 2 = 0) as n, coalesce(sum(o_orderkey) filter (where o_orderkey % 2 = 0), 0)::bigint as checksum from orders
+ union all select 2, count(*), sum(o_orderkey)::bigint from orders union all select 3, count(*), sum(o_orderkey)::bigint from orders)""")
 def r56_compaction(spark, sf_dir):
+    # Rows and key sum of each version; the third exists only if compaction committed, and must hold what the second does.
     table, orders = _base(spark, sf_dir, "r56c", {"appendOnly": "true"})
     table.append(orders.where("o_orderkey % 2 = 1"))
-    before = hashing.fingerprint(table.read()).first()
-    done = table.optimize()
-    same = hashing.fingerprint(table.read()).first() == before
-    return table.read().agg(F.count("*").alias("n"), F.count_distinct("o_orderkey").alias("keys")).select("*", F.lit(done).alias("compacted"), F.lit(same).alias("same"))
+    table.optimize()
+    rows = [table.read(v).agg(F.lit(v).alias("v"), F.count("*").alias("n"), F.coalesce(F.sum("o_orderkey"), F.lit(0)).alias("checksum")) for v in range(1, table.version() + 1)]
+    return reduce(DataFrame.union, rows)
 
 
 # -- ingestion --------------------------------------------------------------------------------------------------------
@@ -525,32 +525,15 @@ def r60_status_snapshot(spark, sf_dir):
     return _t(spark, sf_dir, "events").groupBy("event_type", F.when(F.col("value") > 50, "ok").otherwise("failed").alias("status")).agg(F.count("*").alias("n"), F.min("ts").alias("first_seen"), F.max("ts").alias("last_seen"))
 
 
-@query("select 'm/' || event_id || '.json' as key from events where event_id % 4 = 0 except select 'm/' || event_id || '.json' from events where event_id % 8 = 0")
-def r61_pending_markers(spark, sf_dir):
-    e = _t(spark, sf_dir, "events")
-    key = F.concat(F.lit("m/"), F.col("event_id").cast("string"), F.lit(".json"))
-    return landing.pending(e.where("event_id % 4 = 0").select(key.alias("key")).union(e.where("event_id % 8 = 0").select(F.concat(key, F.lit(".processed")))))
-
-
 @query("select 'm/' || event_id || '.json' as key from events except select 'm/' || event_id || '.json' from events where event_id % 2 = 0")
-def r61_pending_markers_whole(spark, sf_dir):
+def r61_pending_markers(spark, sf_dir):
     e = _t(spark, sf_dir, "events")
     key = F.concat(F.lit("m/"), F.col("event_id").cast("string"), F.lit(".json"))
     return landing.pending(e.select(key.alias("key")).union(e.where("event_id % 2 = 0").select(F.concat(key, F.lit(".processed")))))
 
 
-@query("select key, size, md5, case when size = 0 then 'empty' when rsize is null then 'new' when size = rsize and md5 = rmd5 then 'unchanged' else 'replaced' end as action from (select url as key, case when page_id % 10 = 0 then 0 else length(html) end as size, md5(html) as md5, case when page_id % 3 <> 0 then length(html) end as rsize, case when page_id % 3 = 1 then md5(html) when page_id % 3 = 2 then 'x' end as rmd5, page_id from pages) where page_id % 2 = 0")
-def r61_landing_plan(spark, sf_dir):
-    pages = _t(spark, sf_dir, "pages").where("page_id % 2 = 0")
-    size, md5 = F.length("html").cast("long"), F.md5("html")
-    key = F.concat_ws(" ", "url", F.col("page_id").cast("string"))
-    local = pages.select(key.alias("key"), F.when(F.col("page_id") % 10 == 0, F.lit(0).cast("long")).otherwise(size).alias("size"), md5.alias("md5"))
-    remote = pages.where("page_id % 3 <> 0").select(key.alias("key"), size.alias("size"), F.when(F.col("page_id") % 3 == 1, md5).otherwise("x").alias("md5"))
-    return landing.plan_uploads(local, remote).withColumn("key", F.regexp_replace("key", " [0-9]+$", ""))
-
-
 @query("select url as key, case when page_id % 10 = 0 then 0 else length(html) end as size, md5(html) as md5, case when page_id % 10 = 0 or length(html) = 0 then 'empty' when page_id % 3 = 0 then 'new' when page_id % 3 = 1 then 'unchanged' else 'replaced' end as action from pages")
-def r61_landing_plan_whole(spark, sf_dir):
+def r61_landing_plan(spark, sf_dir):
     pages = _t(spark, sf_dir, "pages")
     size, md5 = F.length("html").cast("long"), F.md5("html")
     key = F.concat_ws(" ", "url", F.col("page_id").cast("string"))
@@ -559,9 +542,9 @@ def r61_landing_plan_whole(spark, sf_dir):
     return landing.plan_uploads(local, remote).withColumn("key", F.regexp_replace("key", " [0-9]+$", ""))
 
 
-@query("select sha256(string_agg(h, '' order by h)) as fingerprint from (select sha256(concat_ws('|', cast(o_orderkey as varchar), cast(o_custkey as varchar), o_orderstatus)) as h from orders)")
+@query("""select count(*) as n, sum(h)::decimal(38,0) as total, bit_xor(h) as parity from (select cast('0x' || substr(sha256(concat_ws('|', cast(o_orderkey as varchar), cast(o_custkey as varchar), o_orderstatus)), 1, 15) as bigint) as h from orders)""")
 def r62_fingerprint(spark, sf_dir):
-    return hashing.sorted_fingerprint(_t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"))
+    return hashing.portable_fingerprint(_t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"))
 
 
 @query("select n_regionkey, '{\"articles\":[' || string_agg('{\"n_nationkey\":' || n_nationkey || ',\"n_name\":\"' || n_name || '\"}', ',' order by n_nationkey) || ']}' as document from nation group by n_regionkey")
@@ -588,16 +571,38 @@ def r66_stream_merge(spark, sf_dir):
     return table.read()
 
 
-@query("""select (select count(*) from orders) - (select sum(n) from (select count(*) as n from orders group by strftime(o_orderdate, '%Y-%m')))::bigint as months, (select count(*) from orders) - (select count(*) from orders join customer on o_custkey = c_custkey) as members, 0::bigint as rules""")
+@query("""with o as (select *, o_orderstatus = 'F' as scholarly, case when o_orderkey % 9 <> 0 then strftime(o_orderdate, '%Y-%m') end as month from orders),
+top as (select max(n) as n from (select o_custkey, count(*) filter (where scholarly) as n from o group by o_custkey)), dq as (select count(*) as n, count(distinct event_type) as rules, count(distinct cast(ts as date)) as runs from (select distinct event_type, cast(ts as date) as ts from events))
+select (select count(*) filter (where month is not null and scholarly) + count(*) filter (where month is null and scholarly) - count(*) filter (where scholarly) from o) as months,
+  (select count(distinct c_mktsegment) from o join customer on o_custkey = c_custkey) - (select count(*) from (select c_mktsegment from o join customer on o_custkey = c_custkey group by c_mktsegment)) as journals,
+  (select abs(100.0 * count(*) filter (where scholarly) / count(*) - round(100.0 * count(*) filter (where scholarly) / count(*), 2)) <= 0.005 from o) as share_agrees, (select top.n > 0 and top.n <= (select count(*) filter (where scholarly) from o) from top) as top_within,
+  (select n - rules * runs from dq) as dq_rows, (select count(*) from (select o_orderstatus, count(*) as n from o group by o_orderstatus) where n < 0) as negative_layers, (select max_by(event_type, struct_pack(ts, event_id)) = (select event_type from events order by ts desc, event_id desc limit 1) from events) as last_status_agrees,
+  (select count(*) from (select seen, lag(seen) over (order by seen nulls first, c_custkey) as before from (select c_custkey, max(o_orderdate) as seen from customer left join orders on o_custkey = c_custkey group by c_custkey)) where before > seen) as unsorted,
+  (select count(*) from events) - (select sum(n) from (select count(*) as n from events group by event_type, value > 50))::bigint as status_rows""")
 def r67_invariants(spark, sf_dir):
-    orders = _t(spark, sf_dir, "orders")
-    total = orders.agg(F.count("*").alias("total"))
-    months = orders.groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("m")).agg(F.count("*").alias("n")).agg(F.sum("n").alias("by_month"))
-    members = orders.join(_t(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).agg(F.count("*").alias("joined"))
-    rules = quality.rule_counts(_t(spark, sf_dir, "documents"), RULES).agg((F.count("*") - len(RULES)).alias("rules"))
-    return total.join(F.broadcast(months)).join(F.broadcast(members)).join(F.broadcast(rules)).select((F.col("total") - F.col("by_month")).alias("months"), (F.col("total") - F.col("joined")).alias("members"), "rules")
+    """The nine relations between the analytical queries, as differences that must be 0 and comparisons that must be true."""
+    orders, customer, events = (_t(spark, sf_dir, n) for n in ("orders", "customer", "events"))
+    n_if = lambda c: F.count(F.when(c, 1))
+    scholarly, month = F.col("o_orderstatus") == "F", F.col("o_orderkey") % 9 != 0
+    share = F.lit(100.0) * n_if(scholarly) / F.count("*")
+    totals = orders.agg((n_if(month & scholarly) + n_if(~month & scholarly) - n_if(scholarly)).alias("months"), (F.abs(share - F.round(share, 2)) <= 0.005).alias("share_agrees"), n_if(scholarly).alias("scholarly"))
+    charted = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    journals = charted.agg(F.count_distinct("c_mktsegment").alias("stat")).join(F.broadcast(charted.groupBy("c_mktsegment").count().agg(F.count("*").alias("rows")))).select((F.col("stat") - F.col("rows")).alias("journals"))
+    top = orders.groupBy("o_custkey").agg(n_if(scholarly).alias("n")).agg(F.max("n").alias("top"))
+    runs = events.select("event_type", F.col("ts").cast("date").alias("day")).distinct().agg((F.count("*") - F.count_distinct("event_type") * F.count_distinct("day")).alias("dq_rows"))
+    layers = orders.groupBy("o_orderstatus").count().agg(n_if(F.col("count") < 0).alias("negative_layers"))
+    last = events.agg(F.max_by("event_type", F.struct("ts", "event_id")).alias("last")).join(F.broadcast(events.orderBy(F.desc("ts"), F.desc("event_id")).limit(1).select(F.col("event_type").alias("shown")))).select((F.col("last") == F.col("shown")).alias("last_status_agrees"))
+    fresh = customer.join(orders, F.col("o_custkey") == F.col("c_custkey"), "left").groupBy("c_custkey").agg(F.max("o_orderdate").alias("at"))
+    shown = fresh.select("at", F.lag("at").over(Window.orderBy(F.asc_nulls_first("at"), "c_custkey")).alias("before")).agg(n_if(F.col("before") > F.col("at")).alias("unsorted"))
+    status = events.groupBy("event_type", F.col("value") > 50).count().agg(F.sum("count").alias("n")).join(F.broadcast(events.agg(F.count("*").alias("all")))).select((F.col("all") - F.col("n")).alias("status_rows"))
+    row = reduce(lambda a, b: a.join(F.broadcast(b)), (journals, top, runs, layers, last, shown, status), totals)
+    return row.withColumn("top_within", (F.col("top") > 0) & (F.col("top") <= F.col("scholarly"))).drop("top", "scholarly")
 
 
 @query("select event_type, window_start, count(*) as n, round(sum(value), 4) as total from (select *, time_bucket(interval 1 hour, ts) as window_start from events) group by all")
 def r68_windowed_counts(spark, sf_dir):
     return _t(spark, sf_dir, "events").groupBy("event_type", F.window("ts", "1 hour").alias("w")).agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total")).select("event_type", F.col("w.start").alias("window_start"), "n", "total")
+
+
+# The other parts of the catalogue register themselves here.
+from lakestar.plans import catalog_ingest, catalog_lake  # noqa: E402, F401

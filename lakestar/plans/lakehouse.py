@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestar.functions import dates, hashing, text
-from lakestar.operators import dims, quality, relational
+from lakestar.operators import quality, relational
+from lakestar.plans.gold import TABLES, build_gold, check_gold  # noqa: F401
 from lakestar.sources import landing
-from lakestar.sources.table import Clause, MergeResult, VersionedTable, insert_only, upsert
+from lakestar.sources.table import MergeResult, VersionedTable, insert_only, self_healing
 
 _CONTACT = "array<struct<name:string,affiliation:string,email:string>>"
 _RUNS = "array<struct<text:string,bold:boolean,italic:boolean,superscript:boolean,subscript:boolean>>"
@@ -64,6 +65,8 @@ def load_bronze(spark: SparkSession, landing_path: str, table: VersionedTable, p
     done = table.merge(rows, BRONZE_KEY, insert_only())
     if done.inserted + present != n or table.read().count() != before + done.inserted:
         raise RuntimeError("bronze rows don't balance")
+    if not done.skipped and table.read(version=done.version - 1).count() != before:
+        raise RuntimeError("the version before doesn't hold the rows it held")
     return done
 
 
@@ -76,11 +79,11 @@ def candidates(bronze: DataFrame, run_year: int) -> DataFrame:
     people = {r: text.contacts(c(r)) for r in ROLE_COLUMNS}
     rows = bronze.select(
         "publisher", "url_hash", "run_id", "scraped_at", "ingest_date", *(e.alias(n) for n, e in (plain | folded | people).items()),
-        text.whole_number(c("volume")).alias("volume_num"), text.whole_number(c("issue")).alias("issue_num"), doi.alias("doi"), F.when(doi.isNotNull(), valid).alias("doi_valid"),
+        text.whole_number(text.clean(c("volume"))).alias("volume_num"), text.whole_number(text.clean(c("issue"))).alias("issue_num"), doi.alias("doi"), valid.alias("doi_valid"),
         text.slug(c("article_type")).alias("article_type_key"), text.tokens(c("author_keyword")).alias("keywords"),
-        text.clean(c("reference_count")).alias("raw_reference_count"), text.whole_number(F.trim("reference_count")).alias("reference_count"),
-        text.clean(c("copyright_year")).alias("raw_copyright_year"), text.number_between(F.trim("copyright_year"), 1900, run_year + 1).alias("copyright_year"),
-        text.page_count(F.trim("start_page"), F.trim("last_page")).alias("page_count"), text.clean(c("license_type")).alias("license_url"), text.licence(c("license_type")).alias("license_code"),
+        text.clean(c("reference_count")).alias("raw_reference_count"), text.integer(c("reference_count")).alias("reference_count"),
+        text.clean(c("copyright_year")).alias("raw_copyright_year"), text.number_between(c("copyright_year"), 1900, run_year + 1).alias("copyright_year"),
+        text.page_count(c("start_page"), c("last_page")).alias("page_count"), text.clean(c("license_type")).alias("license_url"), text.licence(c("license_type")).alias("license_code"),
         text.clean(c("funding_status")).alias("funding_statement"),
         *(dates.publication(c(f"{p}_publication_year"), c(f"{p}_publication_month"), c(f"{p}_publication_day")).alias(f"{p}_pub") for p in ("article", "issue")),
     )
@@ -92,109 +95,30 @@ def build_silver(bronze: VersionedTable, silver: VersionedTable, quarantine: Ver
     """The current valid version of each record, the rows that failed a hard rule, and the counts of all rules."""
     versions = candidates(bronze.read(), int(now[:4])).persist()
     try:
-        stats = versions.groupBy(*SILVER_KEY).agg(F.min("scraped_at").alias("first_seen_at"), F.count("*").alias("version_count"))
+        stats = versions.groupBy(*SILVER_KEY).agg(F.min("scraped_at").alias("first_seen_at"), F.count("*").cast("int").alias("version_count"))
         passing = versions.where(F.size("dq_reasons") == 0)
         latest = relational.latest_per_key(passing, SILVER_KEY, [F.desc("scraped_at"), F.desc("run_id")]).join(stats, SILVER_KEY)
         pub = [F.col(f"{p}_pub.{f}").alias(f"{p}_{'date_' if f == 'precision' else 'pub_'}{f}") for p in ("article", "issue") for f in ("year", "month", "day", "month_start", "precision")]
         drop = ("article_pub", "issue_pub", "raw_reference_count", "raw_copyright_year", "dq_reasons")
         rows = latest.select("*", *pub).drop(*drop).withColumnsRenamed({"scraped_at": "last_changed_at", "run_id": "latest_run_id"})
-        rows = rows.withColumn("_row_hash", hashing.row_hash(*rows.columns)).withColumn("_silver_updated_at", F.lit(now).cast("timestamp"))
+        business = rows.columns
+        rows = rows.withColumn("_row_hash", hashing.row_hash(*business)).withColumn("_silver_updated_at", F.lit(now).cast("timestamp"))
         failed = versions.where(F.size("dq_reasons") > 0).select("publisher", "url_hash", "run_id", "article_url", "journal_url", "scraped_at", "ingest_date", "dq_reasons", F.lit(now).cast("timestamp").alias("quarantined_at"))
-        done = silver.create(rows.schema, ("publisher",)).merge(rows, SILVER_KEY, upsert("not (target._row_hash <=> source._row_hash)"))
+        done = silver.create(rows.schema, ("publisher",)).merge(rows, SILVER_KEY, self_healing(business))
         held = quarantine.create(failed.schema, ("publisher",)).merge(failed, BRONZE_KEY, insert_only())
         hard = quality.rule_counts(versions, [r for r in RULES if r.severity == "quarantine"])
         soft = quality.rule_counts(latest, [r for r in RULES if r.severity == "flag"])
         events = hard.union(soft).select(F.lit(run_id).alias("dq_run_id"), "rule", "severity", "failed", "total", F.lit(now).cast("timestamp").alias("run_at"))
         dq.create(events.schema, properties={"appendOnly": "true"}).append(events)
-        n, keys = silver.read().count(), passing.select(*SILVER_KEY).distinct().count()
-        if n < keys:
+        after = silver.read()
+        n, keys = after.count(), passing.select(*SILVER_KEY).distinct().count()
+        if n != keys:
             raise RuntimeError(f"silver has {n} rows for {keys} valid keys")
+        if not after.where(~F.col("_row_hash").eqNullSafe(hashing.row_hash(*business))).isEmpty():
+            raise RuntimeError("silver has rows with a stale hash")
         uncovered = relational.not_present(versions, silver.read(), keys=SILVER_KEY)
         if not relational.not_present(uncovered, quarantine.read(), keys=BRONZE_KEY).isEmpty():
             raise RuntimeError("bronze rows in neither silver nor quarantine")
         return SilverResult(n, held.inserted, done)
     finally:
         versions.unpersist()
-
-
-#: Article classes by type key; the first two are scholarly.
-CLASSES = {"research": ("research_article", "full_length_article", "original_article", "short_communication"), "review": ("review_article", "mini_review"), "editorial": ("editorial", "editorial_board"), "correction": ("erratum", "corrigendum", "correction")}
-
-
-def build_gold(spark: SparkSession, silver: DataFrame, tables: dict[str, VersionedTable]) -> dict[str, MergeResult]:
-    """Dimensions, fact and weighted author bridge of a silver table; validated after the merges.
-
-    ``tables``: dim_date, dim_article_type, dim_journal, dim_author, fact_article, bridge_article_author.
-    """
-    out: dict[str, MergeResult] = {}
-
-    def type1(name: str, rows: DataFrame, key: str) -> None:
-        attributes = [c for c in rows.columns if c != key]
-        if not relational.duplicate_keys(rows, [key]).isEmpty():
-            raise ValueError(f"{name}: surrogate keys collide")
-        changed = " or ".join(f"not (target.{c} <=> source.{c})" for c in attributes)
-        out[name] = tables[name].create(rows.schema).merge(rows, [key], upsert(changed))
-
-    recent = [F.desc("last_changed_at"), F.desc("url_hash")]
-    type1("dim_date", dims.date_dim(spark), "date_sk")
-    table = F.create_map(*(F.lit(x) for cls, keys in CLASSES.items() for k in keys for x in (k, cls)))
-    kinds = relational.latest_per_key(silver.where("article_type_key is not null"), ["article_type_key"], recent)
-    kinds = kinds.select(hashing.surrogate_key("article_type_key").alias("article_type_sk"), "article_type_key", "article_type", F.coalesce(F.element_at(table, F.col("article_type_key")), F.lit("unclassified")).alias("content_class"))
-    kinds = kinds.withColumn("is_scholarly", F.col("content_class").isin("research", "review"))
-    type1("dim_article_type", dims.with_unknown(kinds, {"article_type_sk": -1, "article_type_key": "unknown", "article_type": "Unknown", "content_class": "unclassified", "is_scholarly": False}), "article_type_sk")
-
-    journals = tables["dim_journal"].create("journal_sk long, publisher string, journal_url string, journal_title string, effective_from timestamp, effective_to timestamp, is_current boolean")
-    seen = silver.groupBy("publisher", "journal_url").agg(F.min("first_seen_at").alias("_first"))
-    now = relational.latest_per_key(silver, ["publisher", "journal_url"], recent).join(seen, ["publisher", "journal_url"])
-    known = journals.read()
-    fresh = now.join(known.select("publisher", "journal_url").distinct(), ["publisher", "journal_url"], "left_semi").select("publisher", "journal_url", "journal_title", F.col("last_changed_at").alias("at"))
-    new = now.join(known.select("publisher", "journal_url").distinct(), ["publisher", "journal_url"], "left_anti").select("publisher", "journal_url", "journal_title", F.col("_first").alias("at"))
-    staged = dims.scd2_changes(known, fresh.union(new), ["publisher", "journal_url"], ["journal_title"], "at")
-    high = F.lit(dates.HIGH_DATE).cast("timestamp")
-    staged = staged.select(F.when(F.col("match"), F.col("publisher")).alias("publisher"), F.when(F.col("match"), F.col("journal_url")).alias("journal_url"), F.col("publisher").alias("p"), F.col("journal_url").alias("j"), "journal_title", "effective_from", high.alias("high"))
-    out["dim_journal"] = journals.merge(staged, ["publisher", "journal_url"], [
-        Clause("update", "matched", "target.is_current", {"effective_to": "source.effective_from", "is_current": "false"}),
-        Clause("insert", "not_matched", "true", {"journal_sk": "xxhash64(source.p, source.j, source.effective_from)", "publisher": "source.p", "journal_url": "source.j", "journal_title": "source.journal_title", "effective_from": "source.effective_from", "effective_to": "source.high", "is_current": "true"}),
-    ])
-
-    roles = dims.explode_roles(silver, [*SILVER_KEY, "first_seen_at", "last_changed_at"], {"author": "authors", "editor": "editors", "corporate": "corporate_authors"})
-    first = roles.groupBy("name_key").agg(F.min("first_seen_at").alias("first_seen"))
-    authors = relational.latest_per_key(roles, ["name_key"], [*recent, F.desc("role"), F.desc("position")]).join(first, "name_key")
-    authors = authors.select(hashing.surrogate_key("name_key").alias("author_sk"), F.col("name_key").alias("author_nk"), F.col("entry.name").alias("display_name"), F.col("entry.affiliation").alias("latest_affiliation"), F.col("entry.email").alias("latest_email"), F.col("first_seen").alias("first_seen_at"))
-    type1("dim_author", dims.with_unknown(authors, {"author_sk": -1, "author_nk": "unknown", "display_name": "Unknown"}), "author_sk")
-
-    facts = relational.asof_join(silver, journals.read().select("journal_sk", "publisher", "journal_url", "effective_from", "effective_to"), ["publisher", "journal_url"], "last_changed_at")
-    if not facts.where("journal_sk is null").isEmpty():
-        raise ValueError("articles without a journal version of their time")
-    facts = relational.lookup(facts, tables["dim_article_type"].read(), "article_type_key", "article_type_key", "article_type_sk")
-    month = F.when(F.col("article_date_precision").isin("day", "month"), F.col("article_pub_month_start"))
-    facts = facts.select(
-        hashing.surrogate_key("publisher", "url_hash").alias("article_sk"), "publisher", "url_hash", "journal_sk", "article_type_sk", dates.date_key(month).alias("pub_month_date_sk"), dates.date_key(F.col("first_seen_at")).alias("first_seen_date_sk"),
-        F.lit(1).alias("article_count"), "author_count", "reference_count", "page_count", F.size("keywords").alias("keyword_count"), F.size("dq_flags").alias("dq_flag_count"), "license_code", "has_cc_license",
-    )
-    type1("fact_article", facts, "article_sk")
-    weights = dims.bridge(roles).select(hashing.surrogate_key("publisher", "url_hash").alias("article_sk"), hashing.surrogate_key("name_key").alias("author_sk"), "publisher", "role", F.col("position").alias("author_position"), "weight", F.col("entry.affiliation").alias("affiliation"))
-    key = ["article_sk", "role", "author_position"]
-    changed = " or ".join(f"not (target.{c} <=> source.{c})" for c in ("author_sk", "weight", "affiliation"))
-    publishers = [r.publisher for r in silver.select("publisher").distinct().limit(1000).collect()]
-    scope = "target.publisher in ({})".format(", ".join(f"'{p}'" for p in publishers)) if publishers else "false"
-    out["bridge_article_author"] = tables["bridge_article_author"].create(weights.schema).merge(weights, key, [*upsert(changed), Clause("delete", "not_matched_by_source", scope)])
-    check_gold(silver, tables)
-    return out
-
-
-def check_gold(silver: DataFrame, tables: dict[str, VersionedTable]) -> None:
-    """Raises if the star breaks an invariant."""
-    read = {n: t.read() for n, t in tables.items()}
-    fact, links, journals = read["fact_article"], read["bridge_article_author"], read["dim_journal"]
-    found = dims.validate({
-        "orphan_journals": relational.orphans(fact, journals, "journal_sk", "journal_sk"), "orphan_types": relational.orphans(fact, read["dim_article_type"], "article_type_sk", "article_type_sk"),
-        "orphan_dates": relational.orphans(fact, read["dim_date"], "pub_month_date_sk", "date_sk"), "orphan_authors": relational.orphans(links, read["dim_author"], "author_sk", "author_sk"),
-        "orphan_links": relational.orphans(links, fact, "article_sk", "article_sk"), "missing_facts": silver.join(fact, SILVER_KEY, "left_anti"),
-        "overlapping_versions": relational.overlaps(journals, ["publisher", "journal_url"]), "empty_versions": journals.where("effective_from >= effective_to"),
-        "several_current": relational.duplicate_keys(journals.where("is_current"), ["publisher", "journal_url"]), "weights": dims.weight_errors(links, ["article_sk", "role"]),
-        "duplicate_facts": relational.duplicate_keys(fact, ["article_sk"]),
-    }).first().asDict()
-    wrong = {k: n for k, n in found.items() if n}
-    if wrong:
-        raise ValueError(f"the star is broken: {wrong}")

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
@@ -21,3 +25,21 @@ def build_session(app: str = "lakestar", master: str | None = None, conf: dict[s
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
+
+    Only a session whose executors are the driver's own process may do without: it gets a local folder, which goes when
+    the process ends. Elsewhere a missing setting raises, for other machines couldn't see such a folder.
+    """
+    found = spark.conf.get("spark.checkpoint.dir", "") or ""
+    if not found:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = tempfile.mkdtemp(prefix="lakestar-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        found = "file://" + folder
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found.rstrip("/")

@@ -37,6 +37,13 @@ class Files:
         if not self._fs.rename(self._path(source), self._path(target)):
             raise OSError(f"cannot move {source} to {target}")
 
+    def copy(self, source: str, target: str) -> None:
+        """Copies a file, replacing the target; file systems may differ."""
+        from_path = self._path(source)
+        conf = self._fs.getConf()
+        if not self._jvm.org.apache.hadoop.fs.FileUtil.copy(from_path.getFileSystem(conf), from_path, self._fs, self._path(target), False, True, conf):
+            raise OSError(f"cannot copy {source} to {target}")
+
     def delete(self, path: str) -> None:
         self._fs.delete(self._path(path), True)
 

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import json
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lakestar.operators import relational
 from lakestar.sources.files import Files
 
 
@@ -59,19 +63,47 @@ def pending(markers: DataFrame, suffix: str = ".processed") -> DataFrame:
     return markers.where(~F.col("key").endswith(suffix)).join(done, "key", "left_anti").orderBy("key")
 
 
-def read_tasks(spark: SparkSession, path: str, publisher: str | None = None) -> DataFrame:
-    """Task list of publisher, url, enabled, note; a bad flag or a missing column raises; only enabled rows, each url once."""
+def error_events(lines: DataFrame, schema: str = "run_id string, url string, exception string") -> DataFrame:
+    """line_no, event and rendered text of the error lines of an NDJSON log (columns line_no, value), with the fields of ``schema``."""
+    parsed = lines.select("line_no", F.from_json("value", f"event string, level string, {schema}", {"mode": "PERMISSIVE"}).alias("e")).where("e.level in ('error', 'critical')").select("line_no", "e.*")
+    fields = [f for f in parsed.columns if f not in ("line_no", "event", "level", "exception")]
+    told = [F.when(F.col(f).isNotNull(), F.concat(F.lit(f"{f}="), F.col(f).cast("string"))) for f in fields]
+    return parsed.withColumn("rendered", F.concat_ws(" | ", F.coalesce("event", F.lit("error")), *told, *(["exception"] if "exception" in parsed.columns else [])))
+
+
+def tasks_with_flags(spark: SparkSession, path: str, publisher: str | None = None) -> DataFrame:
+    """All rows of a task list (publisher, url, enabled, note) with ordinal and ``first``: whether an enabled row is its url's first.
+
+    A bad flag or a missing column raises.
+    """
     rows = spark.read.option("header", "true").csv(path)
     lacking = {"publisher", "url", "enabled"} - set(rows.columns)
     if lacking:
         raise ValueError(f"missing columns {sorted(lacking)}")
     flag = F.lower(F.trim("enabled"))
     enabled = F.when(flag.isin("true", "1", "yes", "y"), True).when(flag.isin("false", "0", "no", "n"), False).otherwise(F.raise_error(F.concat(F.lit("bad flag "), flag)).cast("boolean"))
-    rows = rows.withColumn("enabled", enabled).withColumn("ordinal", F.monotonically_increasing_id()).where("enabled")
+    rows = rows.withColumn("enabled", enabled).withColumn("ordinal", F.monotonically_increasing_id())
     if publisher:
         rows = rows.where(F.col("publisher") == publisher)
-    w = Window.partitionBy("publisher", "url").orderBy("ordinal")
-    return rows.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    w = Window.partitionBy("publisher", "url", "enabled").orderBy("ordinal")
+    return rows.withColumn("first", F.col("enabled") & (F.row_number().over(w) == 1))
+
+
+def read_tasks(spark: SparkSession, path: str, publisher: str | None = None) -> DataFrame:
+    """Enabled tasks, each url once."""
+    return tasks_with_flags(spark, path, publisher).where("first").drop("first")
+
+
+def task_counts(rows: DataFrame) -> DataFrame:
+    """One row: how many rows a task list (with flags) has, are disabled, repeat a url, and remain."""
+    count = lambda c, name: F.count(F.when(c, 1)).alias(name)
+    return rows.agg(F.count("*").alias("input_total"), count(~F.col("enabled"), "disabled"), count(F.col("enabled") & ~F.col("first"), "dup_in_file"), count(F.col("first"), "tasks"))
+
+
+def url_lines(spark: SparkSession, path: str, publisher: str) -> DataFrame:
+    """A text file of addresses as task rows, in order and with repeats: blank lines and a BOM go, book series are noted."""
+    lines = spark.read.text(path).select(F.monotonically_increasing_id().alias("ordinal"), F.trim(F.regexp_replace("value", "[\ufeff\r]", "")).alias("url")).where("url <> ''")
+    return lines.select(F.lit(publisher).alias("publisher"), "url", F.lit(True).alias("enabled"), F.when(F.lower("url").contains("/bookseries/"), "bookseries").otherwise("").alias("note"), "ordinal")
 
 
 def plan_uploads(local: DataFrame, remote: DataFrame) -> DataFrame:
@@ -81,6 +113,72 @@ def plan_uploads(local: DataFrame, remote: DataFrame) -> DataFrame:
     return local.join(r, "key", "left").withColumn("action", action).drop("_size", "_md5")
 
 
+def upload_counts(plan: DataFrame) -> DataFrame:
+    """One row of counters of an upload plan; ``balanced``: every file has one action."""
+    count = lambda *actions: F.count(F.when(F.col("action").isin(*actions), 1))
+    size = F.when(F.col("action").isin("new", "replaced"), F.col("size")).otherwise(0)
+    row = plan.agg(F.count("*").alias("files_seen"), count("new").alias("uploaded"), count("unchanged").alias("unchanged"), count("replaced").alias("replaced"), count("empty").alias("empty_skipped"), F.coalesce(F.sum(size), F.lit(0)).cast("long").alias("bytes_uploaded"))
+    return row.withColumn("balanced", F.col("uploaded") + F.col("unchanged") + F.col("replaced") + F.col("empty_skipped") == F.col("files_seen"))
+
+
+def listing(spark: SparkSession, root: str) -> DataFrame:
+    """key (below ``root``), size and md5 of all files; the executors read them."""
+    schema = "key string, size long, md5 string"
+    if not Files(spark, root).exists(root):
+        return spark.createDataFrame([], schema)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    inside = F.expr(f"substring(path, locate('{root.split('://')[-1].rstrip('/')}/', path) + {len(root.split('://')[-1].rstrip('/')) + 1})")
+    return files.select(inside.alias("key"), F.col("length").alias("size"), F.md5("content").alias("md5"))
+
+
+def land(spark: SparkSession, local: str, remote: str, publisher: str, now: str) -> tuple[dict, str | None]:
+    """Mirrors new and changed files below ``local``/``publisher`` to ``remote``, then writes a marker if anything changed.
+
+    The marker is written last, so whoever sees it finds all files. Returns the counters and the marker's path.
+    """
+    if not publisher or publisher in (".", "..") or "/" in publisher or "\\" in publisher:
+        raise ValueError(f"bad publisher {publisher!r}")
+    source, target, files = f"{local.rstrip('/')}/{publisher}", f"{remote.rstrip('/')}/{publisher}", Files(spark, remote)
+    here = listing(spark, source)
+    if here.isEmpty():
+        raise FileNotFoundError(f"no files below {source}")
+    plan = plan_uploads(here, listing(spark, target)).persist()
+    try:
+        counts = upload_counts(plan).first().asDict()
+        if not counts.pop("balanced"):
+            raise RuntimeError(f"counters don't balance: {counts}")
+        changed = plan.where("action in ('new', 'replaced')").select("key")
+        for row in changed.toLocalIterator():
+            files.copy(f"{source}/{row.key}", f"{target}/{row.key}")
+    finally:
+        plan.unpersist()
+    if not counts["uploaded"] + counts["replaced"]:
+        return counts, None
+    marker = f"{remote.rstrip('/')}/_markers/{publisher}/{re.sub('[^0-9TZ]', '', now)}.json"
+    files.create(marker, json.dumps({"publisher": publisher, "landed_at": now} | counts, sort_keys=True))
+    return counts, marker
+
+
+def write_jsonl(rows: DataFrame, root: str, flush: int = 200) -> None:
+    """Appends rows (with publisher and ingest_date) as JSON Lines below <root>/<publisher>/ingest_date=<day>, ``flush`` lines a file at most."""
+    for publisher in [r.publisher for r in rows.select("publisher").distinct().collect()]:
+        mine = rows.where(F.col("publisher") == publisher)
+        out = mine.select(F.col("ingest_date").alias("_day"), *[c for c in rows.columns if c != "ingest_date"])
+        out.withColumnRenamed("_day", "ingest_date").write.mode("append").partitionBy("ingest_date").option("maxRecordsPerFile", flush).option("ignoreNullFields", "false").json(f"{root.rstrip('/')}/{publisher}")
+
+
+def latest_lines(rows: DataFrame, key: str, order: tuple[str, ...] = ("ingest_date", "run_id", "line_no")) -> DataFrame:
+    """The newest row of each key over all landed parts; in a part the later line."""
+    return relational.latest_per_key(rows, [key], [F.desc(c) for c in order])
+
+
+def export_journals(rows: DataFrame, manifest: DataFrame, group: str = "journal_url", key: str = "url_hash", order: tuple[str, ...] = ("ingest_date", "run_id", "line_no")) -> DataFrame:
+    """One JSON document per journal of the newest rows whose manifest status is ok, in key order."""
+    ok = manifest.where("status = 'ok'").select(key)
+    latest = latest_lines(rows, key, order).join(ok, key, "left_semi").where(F.col(group).isNotNull() & (F.col(group) != ""))
+    return export_documents(latest.select(group, key, *[c for c in rows.columns if c not in (group, key, *order)]), group, key)
+
+
 def export_documents(rows: DataFrame, group: str, order: str) -> DataFrame:
     """One JSON document {"articles": [...]} per group, its rows in order."""
     body = F.struct(*[c for c in rows.columns if c != group])

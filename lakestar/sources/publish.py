@@ -5,12 +5,15 @@ from __future__ import annotations
 import json
 import re
 import time
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakestar.sources.lock import lock
 from lakestar.sources.table import VersionedTable
 
 #: Warehouse types.
@@ -47,6 +50,29 @@ def ddl(name: str, schema: T.StructType, key: list[str] = ()) -> str:
     return f"CREATE TABLE {identifier(name)} ({', '.join(columns)}" + (f", PRIMARY KEY ({', '.join(key)})" if key else "") + ")"
 
 
+def index_ddl(name: str, columns: list[str]) -> list[str]:
+    """CREATE INDEX of each column."""
+    return [f"CREATE INDEX idx_{identifier(name)}_{identifier(c)} ON {identifier(name)} ({c})" for c in columns]
+
+
+LAYER_STATUS = "CREATE TABLE layer_status (table_name VARCHAR(200) NOT NULL PRIMARY KEY, table_version BIGINT NOT NULL, row_count BIGINT NOT NULL, published_at TIMESTAMP NOT NULL)"
+
+
+class Transaction:
+    """Statements on one connection; nothing of them is seen until the transaction ends well."""
+
+    def __init__(self, connection):
+        self._statement = connection.createStatement()
+
+    def execute(self, sql: str) -> None:
+        self._statement.execute(sql)
+
+    def value(self, sql: str) -> int:
+        found = self._statement.executeQuery(sql)
+        found.next()
+        return found.getLong(1)
+
+
 class Warehouse:
     """A JDBC database reached through the driver's java.sql; the data itself goes from the executors."""
 
@@ -58,20 +84,30 @@ class Warehouse:
         self._jvm.java.lang.Class.forName(self.driver)
         return self._jvm.java.sql.DriverManager.getConnection(self.url)
 
+    @contextmanager
+    def transaction(self) -> Iterator[Transaction]:
+        c = self.connect()
+        try:
+            c.setAutoCommit(False)
+            yield Transaction(c)
+            c.commit()
+        except BaseException:
+            c.rollback()
+            raise
+        finally:
+            c.close()
+
     def execute(self, *statements: str, transaction: bool = False) -> None:
         """Runs statements; as a transaction all of them take effect, or none."""
+        if transaction:
+            with self.transaction() as t:
+                for sql in statements:
+                    t.execute(sql)
+            return
         c = self.connect()
         try:
-            c.setAutoCommit(not transaction)
-            s = c.createStatement()
             for sql in statements:
-                s.execute(sql)
-            if transaction:
-                c.commit()
-        except Exception:
-            if transaction:
-                c.rollback()
-            raise
+                c.createStatement().execute(sql)
         finally:
             c.close()
 
@@ -89,24 +125,58 @@ class Warehouse:
         return self.spark.read.format("jdbc").option("url", self.url).option("driver", self.driver).option("dbtable", name).load()
 
 
-def publish(warehouse: Warehouse, tables: dict[str, VersionedTable], keys: dict[str, list[str]], last: dict[str, int] | None = None, force: bool = False, dry_run: bool = False) -> Publication:
-    """Stages pinned snapshots, then replaces all live tables in one transaction and checks their counts."""
+#: Foreign keys to verify: table to {column: (parent table, key)}.
+Foreign = dict[str, dict[str, tuple[str, str]]]
+
+
+def verify(t: Transaction, rows: dict[str, int], foreign: Foreign) -> None:
+    """Raises if a live table's count isn't the pinned one, or a foreign key has orphans."""
+    for name, n in rows.items():
+        found = t.value(f"SELECT COUNT(*) FROM {identifier(name)}")
+        if found != n:
+            raise RuntimeError(f"{name}: the warehouse holds {found} rows, not {n}")
+    for child, keys in foreign.items():
+        for column, (parent, key) in keys.items():
+            c, p = identifier(column), identifier(key)
+            n = t.value(f"SELECT COUNT(*) FROM {identifier(child)} c LEFT JOIN {identifier(parent)} p ON c.{c} = p.{p} WHERE c.{c} IS NOT NULL AND p.{p} IS NULL")
+            if n:
+                raise RuntimeError(f"{child}.{column} has {n} orphans")
+
+
+def publish(warehouse: Warehouse, tables: dict[str, VersionedTable], keys: dict[str, list[str]], last: dict[str, int] | None = None, force: bool = False, dry_run: bool = False, foreign: Foreign | None = None, before_swap: Callable[[], None] | None = None) -> Publication:
+    """Stages pinned snapshots, then replaces all live tables and the layer status in one transaction.
+
+    Counts and foreign keys are verified inside the transaction, so what doesn't hold is never live, and once more after.
+    ``before_swap`` is called between staging and swap.
+    """
     versions = plan(tables, last, force)
     if versions is None or dry_run:
         return Publication(versions or dict(last or {}), {}, True)
-    rows = {}
+    foreign = foreign or {}
+    rows, columns = {}, {}
+    if not warehouse.has("layer_status"):
+        warehouse.execute(LAYER_STATUS)
     for name, table in tables.items():
         df = table.read(versions[name])
-        for t in (name, f"stage_{name}"):
-            if not warehouse.has(t):
-                warehouse.execute(ddl(t, df.schema, keys.get(name, [])))
+        columns[name] = ", ".join(map(identifier, df.columns))
+        if not warehouse.has(name):
+            warehouse.execute(ddl(name, df.schema, keys.get(name, [])), *index_ddl(name, [c for c in foreign.get(name, {}) if c not in keys.get(name, [])[:1]]))
+        if not warehouse.has(f"stage_{name}"):
+            warehouse.execute(ddl(f"stage_{name}", df.schema, keys.get(name, [])))
         warehouse.write(df, f"stage_{name}")
         rows[name] = df.count()
-    swap = [s for name in tables for s in (f"DELETE FROM {identifier(name)}", f"INSERT INTO {identifier(name)} SELECT * FROM stage_{identifier(name)}")]
-    warehouse.execute(*swap, transaction=True)
-    for name, n in rows.items():
-        if warehouse.read(name).count() != n:
-            raise RuntimeError(f"{name}: the warehouse doesn't hold {n} rows")
+    if before_swap is not None:
+        before_swap()
+    with warehouse.transaction() as t:
+        for name in tables:
+            t.execute(f"DELETE FROM {identifier(name)}")
+            t.execute(f"INSERT INTO {identifier(name)} ({columns[name]}) SELECT {columns[name]} FROM stage_{identifier(name)}")
+        t.execute("DELETE FROM layer_status")
+        for name in tables:
+            t.execute(f"INSERT INTO layer_status VALUES ('{identifier(name)}', {versions[name]}, {rows[name]}, CURRENT_TIMESTAMP)")
+        verify(t, rows, foreign)
+    with warehouse.transaction() as t:
+        verify(t, rows, foreign)
     return Publication(versions, rows, False)
 
 
@@ -121,18 +191,28 @@ def latest_success(log: VersionedTable) -> dict[str, int] | None:
     return json.loads(last.v) if last and last.v else None
 
 
-def publish_logged(warehouse: Warehouse, tables: dict[str, VersionedTable], keys: dict[str, list[str]], log: VersionedTable, force: bool = False) -> Publication:
-    """``publish`` against the last success in ``log``; success or failure is appended, and a failure is raised again."""
-    log.create(LOG, properties={"appendOnly": "true"})
-    began, done, error = time.time(), None, None
-    try:
-        done = publish(warehouse, tables, keys, latest_success(log), force)
-        return done
-    except Exception as e:
-        error = str(e)[:2000]
-        raise
-    finally:
-        if done is None or not done.skipped:
-            row = (began, time.time(), "failed" if error else "success", json.dumps(done.versions if done else {}), json.dumps(done.rows if done else {}), error)
-            rows = warehouse.spark.createDataFrame([row], "started_at double, finished_at double, status string, versions string, rows string, error string")
-            log.append(rows.withColumns({c: F.col(c).cast("timestamp") for c in ("started_at", "finished_at")}))
+def publish_logged(warehouse: Warehouse, tables: dict[str, VersionedTable], keys: dict[str, list[str]], log: VersionedTable, force: bool = False, dry_run: bool = False, foreign: Foreign | None = None, **options) -> Publication:
+    """``publish`` against the last success in ``log``, one publication at a time; success or failure is appended.
+
+    A failure is raised again, with a note if it couldn't be logged. Skipped and dry runs write nothing.
+    """
+    with lock(warehouse.spark, f"{log.root}.lock", "publish"):
+        log.create(LOG, properties={"appendOnly": "true"})
+        began, done = time.time(), None
+        try:
+            done = publish(warehouse, tables, keys, latest_success(log), force, dry_run, foreign, **options)
+            if not done.skipped:
+                _log(warehouse.spark, log, began, "success", done.versions, done.rows, None)
+            return done
+        except Exception as e:
+            try:
+                _log(warehouse.spark, log, began, "failed", {}, {}, str(e)[:2000])
+            except Exception as more:
+                e.add_note(f"the failure couldn't be logged: {more}")
+            raise
+
+
+def _log(spark: SparkSession, log: VersionedTable, began: float, status: str, versions: dict, rows: dict, error: str | None) -> None:
+    row = (began, time.time(), status, json.dumps(versions), json.dumps(rows), error)
+    found = spark.createDataFrame([row], "started_at double, finished_at double, status string, versions string, rows string, error string")
+    log.append(found.withColumns({c: F.col(c).cast("timestamp") for c in ("started_at", "finished_at")}))

@@ -18,6 +18,10 @@ from pyspark.sql import types as T
 from lakestar.sources.files import Files
 
 
+#: The whole state is written beside every so many versions of the log.
+CHECKPOINT = 10
+
+
 class CommitConflict(RuntimeError):
     """Another writer committed this version first."""
 
@@ -52,7 +56,7 @@ class VersionedTable:
         return self.files.exists(f"{self.root}/_log/{0:020d}.json")
 
     def version(self) -> int:
-        names = [n for n in self.files.names(f"{self.root}/_log") if n.endswith(".json")]
+        names = [n for n in self.files.names(f"{self.root}/_log") if n.endswith(".json") and "." not in n[:-5]]
         if not names:
             raise FileNotFoundError(f"no table at {self.root}")
         return int(names[-1].split(".")[0])
@@ -67,7 +71,14 @@ class VersionedTable:
             raise ValueError(f"no version {last} of {self.root}")
         live: dict[str, int] = {}
         state: dict = {"version": last}
-        for v in range(last + 1):
+        first = 0
+        for v in range(last - last % CHECKPOINT, 0, -CHECKPOINT):
+            path = f"{self.root}/_log/{v:020d}.checkpoint.json"
+            if self.files.exists(path):
+                state = json.loads(self.files.read(path)) | {"version": last}
+                live, first = state.pop("files"), v + 1
+                break
+        for v in range(first, last + 1):
             entry = self._entry(v)
             for path in entry["remove"]:
                 live.pop(path, None)
@@ -77,10 +88,18 @@ class VersionedTable:
 
     def _commit(self, version: int, operation: str, metrics: dict, add: list, remove: list, **more) -> int:
         entry = {"version": version, "timestamp": int(time.time() * 1000), "operation": operation, "metrics": metrics, "add": add, "remove": remove} | more
+        path = f"{self.root}/_log/{version:020d}.json"
         try:
-            self.files.create(f"{self.root}/_log/{version:020d}.json", json.dumps(entry))
+            self.files.create(path, json.dumps(entry))
         except Exception as e:
-            raise CommitConflict(f"version {version} of {self.root} exists already") from e
+            if self.files.exists(path) and self.files.read(path) != json.dumps(entry):
+                raise CommitConflict(f"version {version} of {self.root} exists already") from e
+            raise
+        if version and version % CHECKPOINT == 0:
+            # A reader may find it half written only before anybody knows of it: it is moved into place.
+            state = self._state(version)
+            self.files.create(f"{self.root}/_log/.{version}.tmp", json.dumps(state), overwrite=True)
+            self.files.move(f"{self.root}/_log/.{version}.tmp", f"{self.root}/_log/{version:020d}.checkpoint.json")
         return version
 
     def _write(self, df: DataFrame, partition_by: list[str]) -> list[tuple[str, int]]:
@@ -108,8 +127,10 @@ class VersionedTable:
         if not state["files"]:
             return self.spark.createDataFrame([], schema)
         self.files.make(f"{self.root}/data")
-        paths = [f"{self.root}/data/{p}" for p in sorted(state["files"])]
-        return self.spark.read.schema(schema).option("basePath", f"{self.root}/data").parquet(*paths).select(*schema.names)
+        return self._scan(schema, sorted(state["files"]))
+
+    def _scan(self, schema: T.StructType, files: list[str]) -> DataFrame:
+        return self.spark.read.schema(schema).option("basePath", f"{self.root}/data").parquet(*(f"{self.root}/data/{p}" for p in files)).select(*schema.names)
 
     def history(self) -> DataFrame:
         rows = [(e["version"], e["timestamp"], e["operation"], json.dumps(e["metrics"], sort_keys=True)) for e in map(self._entry, range(self.version() + 1))]
@@ -131,9 +152,11 @@ class VersionedTable:
         schema = T.StructType.fromJson(state["schema"])
         return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema))
 
-    def append(self, df: DataFrame) -> int:
+    def append(self, df: DataFrame, files: int | None = None) -> int:
+        """Appends rows; ``files``: coalesced to so many, for small batches."""
         state = self._state()
-        add = self._write(self._aligned(df, state), state["partition_by"])
+        df = self._aligned(df, state)
+        add = self._write(df.coalesce(files) if files else df, state["partition_by"])
         return self._commit(state["version"] + 1, "WRITE", {"mode": "append", "numFiles": len(add)}, add, [])
 
     def overwrite(self, df: DataFrame) -> int:
@@ -142,6 +165,21 @@ class VersionedTable:
         add = self._write(self._aligned(df, state), state["partition_by"])
         return self._commit(state["version"] + 1, "WRITE", {"mode": "overwrite", "numFiles": len(add)}, add, list(state["files"]))
 
+    def replace_where(self, df: DataFrame, condition: str) -> int:
+        """Replaces the rows that ``condition`` holds for by ``df``, in one commit; only files with such rows are written anew."""
+        state = self._state()
+        self._may_change(state)
+        schema = T.StructType.fromJson(state["schema"])
+        rows, inside = self._aligned(df, state), []
+        if state["files"]:
+            touched = [r._file for r in self.read().withColumn("_file", F.input_file_name()).where(condition).select("_file").distinct().collect()]
+            places = {name: p for p in state["files"] for name in (p, _quoted(p))}
+            inside = sorted({places[t.split("/data/", 1)[1]] for t in touched})
+            if inside:
+                rows = rows.unionByName(self._scan(schema, inside).where(~F.coalesce(F.expr(condition), F.lit(False))))
+        add = self._write(rows, state["partition_by"])
+        return self._commit(state["version"] + 1, "WRITE", {"mode": "replace", "numFiles": len(add)}, add, inside)
+
     def _may_change(self, state: dict) -> None:
         if str(state["properties"].get("appendOnly", "false")).lower() == "true":
             raise ValueError(f"{self.root} is append-only")
@@ -160,11 +198,15 @@ class VersionedTable:
         source = source.select(F.struct(*(c for c in source.columns)).alias("source"), F.lit(True).alias("_in_source"))
         target = target.select(F.struct(*names).alias("target"), "_file", F.lit(True).alias("_in_target"))
         on = [F.col(f"source.{k}") == F.col(f"target.{k}") for k in keys]
-        if self.spark.conf.get("spark.sql.session.timeZone") and state["files"]:
-            doubled = source.where(F.col(f"source.{keys[0]}").isNotNull()).join(target, on, "inner").groupBy(*(F.col(f"target.{k}").alias(k) for k in keys)).agg(F.count("*").alias("n")).where("n > 1")
-            if any(c.action != "insert" and c.when == "matched" for c in clauses) and not doubled.isEmpty():
-                raise ValueError(f"several source rows match one target row: {[r.asDict() for r in doubled.limit(5).collect()]}")
-        joined = target.join(source, on, "full_outer")
+        if state["files"] and any(c.action != "insert" and c.when == "matched" for c in clauses):
+            # Only keys that the source itself holds twice can match a target row twice.
+            doubled = source.groupBy(*(F.col(f"source.{k}").alias(k) for k in keys)).agg(F.count("*").alias("n")).where("n > 1")
+            doubled = doubled.limit(1).collect() and doubled.join(self.read().select(*keys), keys, "left_semi").limit(5).collect()
+            if doubled:
+                raise ValueError(f"several source rows match one target row: {[r.asDict() for r in doubled]}")
+        # Target rows that no source row matches are only joined where a clause is about them.
+        whole = any(c.when == "not_matched_by_source" for c in clauses)
+        joined = target.join(source, on, "full_outer" if whole else "right_outer")
         both = F.col("_in_source").isNotNull() & F.col("_in_target").isNotNull()
         state_of = F.when(both, "matched").when(F.col("_in_source").isNotNull(), "not_matched").otherwise("not_matched_by_source")
         action: Column = F
@@ -190,14 +232,17 @@ class VersionedTable:
                         out = F.when(F.col("_clause") == i, new.cast(f.dataType)).otherwise(out)
                 return out.alias(f.name)
 
-            keep_in = F.col("_in_target").isNotNull() & F.col("_file").isin(touched) if touched else F.lit(False)
-            changed = F.col("_clause").isin([i for i, c in enumerate(clauses) if c.action != "delete"])
-            deleted = F.col("_clause").isin([i for i, c in enumerate(clauses) if c.action == "delete"])
-            rows = joined.where(changed | (keep_in & ~deleted)).select(*(value(f) for f in schema))
+            places = {name: p for p in state["files"] for name in (p, _quoted(p))}
+            inside = sorted({places[t.split("/data/", 1)[1]] for t in touched})
+            rows = joined.where(F.col("_clause").isin([i for i, c in enumerate(clauses) if c.action != "delete"])).select(*(value(f) for f in schema))
+            if inside:
+                acted = joined.where(F.col("_clause").isin(acting)).select(*(F.col(f"target.{k}").alias(k) for k in keys))
+                others = self._scan(schema, inside)
+                same = [others[k].eqNullSafe(acted[k]) for k in keys]
+                rows = rows.unionByName(others.join(acted, same, "left_anti"))
             add = self._write(rows, state["partition_by"])
         finally:
             joined.unpersist()
-        inside = [p for p in state["files"] if any(t.endswith("/data/" + _quoted(p)) or t.endswith("/data/" + p) for t in touched)]
         metrics = {"numTargetRowsInserted": done["insert"], "numTargetRowsUpdated": done["update"], "numTargetRowsDeleted": done["delete"], "numFilesRemoved": len(inside)}
         version = self._commit(state["version"] + 1, "MERGE", metrics, add, inside)
         return MergeResult(done["insert"], done["update"], done["delete"], version, False)
@@ -252,3 +297,17 @@ def insert_only() -> list[Clause]:
 def upsert(changed: str, values: dict[str, str] | None = None) -> list[Clause]:
     """Updates rows for which ``changed`` holds, inserts new ones."""
     return [Clause("update", "matched", changed, values or {}), Clause("insert", "not_matched")]
+
+
+def self_healing(business: list[str], stored: str = "_row_hash") -> list[Clause]:
+    """Updates rows whose stored hash differs, and rows whose stored hash is right but whose values aren't; inserts new ones.
+
+    The target's hash is computed anew from its business columns, as ``functions.hashing.row_hash`` does.
+    """
+    struct = ", ".join(f"'{c}', target.{c}" for c in business)
+    anew = f"sha2(to_json(named_struct({struct}), map('ignoreNullFields', 'false')), 256)"
+    return [
+        Clause("update", "matched", f"not (target.{stored} <=> source.{stored})"),
+        Clause("update", "matched", f"not ({anew} <=> source.{stored})"),
+        Clause("insert", "not_matched"),
+    ]
