@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import ctypes
 import gc
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -14,20 +13,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; set to a local folder only where it is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", "") or ""
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="lakestar-shared-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+from lakestar.session import shared_folder
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` as Parquet in the shared folder and reads it back: lineage is cut and a lost executor loses nothing."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

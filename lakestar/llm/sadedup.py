@@ -11,8 +11,10 @@ ranks each anchor by the whole context of its run: if that occurs again, so does
 the single strings of what is left, anchors with several contexts, against the other contexts of the same anchor.
 
 Defined results: a null text counts as empty, texts under the length have no string and stay whole. Copies of a text
-are handled once; every copy gets the result. Rows repeated under one doc_id are rows each. Names are 64 bits wide:
-two different strings share one with a chance of 2^-64.
+are handled once; every copy gets the result. Rows repeated under one doc_id are rows each; doc_id may be of any type, and
+null. A very long text is ranked as a whole, in memory of some 30 times its size. An empty table gives no rows, and other
+columns are ignored, whatever their names. What decides is told by two names of 64 bits: a string by its anchor's rank and
+its own, a context and a text alike; two different ones share both with a chance of 2^-128.
 """
 
 from __future__ import annotations
@@ -26,12 +28,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestar.llm.common import materialize, mix64, pieces
+from lakestar.llm.common import cleared, extended, materialize, mix64, pieces
 
 LENGTH = 200
 ANCHOR = 32
 #: Contexts of one anchor that a task compares; anchors with more are compared string by string in a shuffle.
-GROUP = 20_000
+GROUP = 2_000
+#: Bits of a place in an anchor's sort key, the same for every piece: equal strings must choose equal anchors anywhere.
+PLACE = 31
 #: Texts named in a broadcast at most; past that a join takes its place.
 NAMED = 2_000_000
 
@@ -59,15 +63,14 @@ def runs(offsets: np.ndarray, data: np.ndarray, length: int = LENGTH, anchor: in
     if not len(far):
         return none
     width = length - anchor + 1
-    bits = max(16, int(len(near)).bit_length())
-    key = near >> np.uint64(bits) << np.uint64(bits) | np.arange(len(near), dtype=np.uint64)
+    key = near >> np.uint64(PLACE) << np.uint64(PLACE) | np.arange(len(near), dtype=np.uint64)
     full = -(-len(key) // width) * width
     blocks = np.full(full, np.iinfo(np.uint64).max, np.uint64)
     blocks[: len(key)] = key
     blocks = blocks.reshape(-1, width)
     ahead = np.minimum.accumulate(blocks, axis=1).ravel()
     back = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-    chosen = np.minimum(back[: len(far)], ahead[width - 1 : width - 1 + len(far)]) & np.uint64((1 << bits) - 1)
+    chosen = np.minimum(back[: len(far)], ahead[width - 1 : width - 1 + len(far)]) & np.uint64((1 << PLACE) - 1)
     owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[: len(far)]
     start = np.flatnonzero(np.arange(len(far)) + length <= offsets[owner + 1])
     if not len(start):
@@ -82,14 +85,10 @@ def runs(offsets: np.ndarray, data: np.ndarray, length: int = LENGTH, anchor: in
     return row, s0 - offsets[row], s1 - offsets[row], near[place], mix64(mix64(far[s0], far[s1]), shape)
 
 
-def _text_name(data: bytes | memoryview) -> int:
-    """A name of a whole text, as a signed long."""
-    found = xxhash.xxh3_64_intdigest(data, seed=len(data))
-    return found - (1 << 64) if found >> 63 else found
-
-
 def _names(offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
-    return np.array([_text_name(data[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)], np.int64)
+    """Two names (signed longs) of each whole text."""
+    raw = b"".join(xxhash.xxh3_128_digest(data[a:b].tobytes(), seed=int(b - a)) for a, b in zip(offsets[:-1], offsets[1:], strict=True))
+    return np.frombuffer(raw, np.int64).reshape(-1, 2)
 
 
 def _anchors(length: int):
@@ -99,19 +98,20 @@ def _anchors(length: int):
                 row, s0, s1, rank, context = runs(offsets, data, length)
                 if len(row):
                     name = _names(offsets, data)[row]
-                    yield pa.RecordBatch.from_arrays([pa.array(rank.view(np.int64)), pa.array(context.view(np.int64)), pa.array(name), pa.array(s0, pa.int32()), pa.array(s1, pa.int32())], names=["rank", "context", "t", "s0", "s1"])
+                    yield pa.RecordBatch.from_arrays([pa.array(rank.view(np.int64)), pa.array(context.view(np.int64)), pa.array(name[:, 0].copy()), pa.array(name[:, 1].copy()), pa.array(s0, pa.int32()), pa.array(s1, pa.int32())], names=["rank", "context", "t", "u", "s0", "s1"])
 
     return run
 
 
 def _with_names(shared, wanted: bool):
-    """Adds ``t``; with a set of names, keeps the rows that are in it (or, not wanted, that aren't)."""
+    """Adds ``t`` and ``u``; with a set of names t, keeps the rows that are in it (or, not wanted, that aren't)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text")
-            name = np.concatenate([_names(o, d) for _, o, d in pieces(texts, rows=4096)]) if len(texts) else np.zeros(0, np.int64)
-            out = pa.RecordBatch.from_arrays([*batch.columns, pa.array(name)], names=[*batch.schema.names, "t"])
+            both = np.concatenate([_names(o, d) for _, o, d in pieces(texts, rows=4096)]) if len(texts) else np.zeros((0, 2), np.int64)
+            name = both[:, 0].copy()
+            out = pa.RecordBatch.from_arrays([*batch.columns, pa.array(name), pa.array(both[:, 1].copy())], names=[*batch.schema.names, "t", "u"])
             if shared is not None:
                 known = shared.value
                 inside = np.zeros(len(name), bool)
@@ -124,18 +124,18 @@ def _with_names(shared, wanted: bool):
 
 
 def _contexts(length: int):
-    """The bytes of the contexts asked of each text: (rank, context, n, t, s0, bytes)."""
+    """The bytes of the contexts asked of each text: (rank, n, big, t, u, s0, data)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text, t, asked in zip(batch.column("text").to_pylist(), batch.column("t").to_pylist(), batch.column("asked").to_pylist(), strict=True):
+            for text, t, u, asked in zip(*(batch.column(c).to_pylist() for c in ("text", "t", "u", "asked")), strict=True):
                 data = (text or "").encode()
-                yield pa.RecordBatch.from_pylist([{"rank": x["rank"], "n": x["n"], "big": x["big"], "t": t, "s0": x["s0"], "data": data[x["s0"] : x["s1"] + length]} for x in asked], _CONTEXT)
+                yield pa.RecordBatch.from_pylist([{"rank": x["rank"], "n": x["n"], "big": x["big"], "t": t, "u": u, "s0": x["s0"], "data": data[x["s0"] : x["s1"] + length]} for x in asked], _CONTEXT)
 
     return run
 
 
-_CONTEXT = pa.schema([("rank", pa.int64()), ("n", pa.int64()), ("big", pa.bool_()), ("t", pa.int64()), ("s0", pa.int32()), ("data", pa.binary())])
+_CONTEXT = pa.schema([("rank", pa.int64()), ("n", pa.int64()), ("big", pa.bool_()), ("t", pa.int64()), ("u", pa.int64()), ("s0", pa.int32()), ("data", pa.binary())])
 
 
 def _strings(data: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -154,17 +154,21 @@ def _compare(length: int):
     """
 
     def ranges(rows: pa.Table) -> pa.RecordBatch:
-        rank, owner, start = _strings(rows.column("data").to_pylist(), length)
-        _, inverse, count = np.unique(rank, return_inverse=True, return_counts=True)
-        t, s0, n = (rows.column(c).to_numpy() for c in ("t", "s0", "n"))
-        again = np.flatnonzero((count[inverse] > 1) & (n[owner] == 1))
+        name, owner, start = _strings(rows.column("data").to_pylist(), length)
+        t, u, s0, n, anchor = (rows.column(c).to_numpy() for c in ("t", "u", "s0", "n", "rank"))
+        order = np.lexsort((anchor[owner], name))
+        same = (name[order[1:]] == name[order[:-1]]) & (anchor[owner[order[1:]]] == anchor[owner[order[:-1]]])
+        twice = np.zeros(len(name), bool)
+        twice[order[1:]] |= same
+        twice[order[:-1]] |= same
+        again = np.flatnonzero(twice & (n[owner] == 1))
         owner, start = owner[again], start[again]
         new = np.ones(len(owner), bool)
         new[1:] = (owner[1:] != owner[:-1]) | (start[1:] != start[:-1] + 1)
         first = np.flatnonzero(new)
         last = np.append(first[1:], len(owner))[: len(first)] - 1
         begin = s0[owner[first]].astype(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(t[owner[first]]), pa.array(begin + start[first]), pa.array(begin + start[last] + length)], names=["t", "b", "e"])
+        return pa.RecordBatch.from_arrays([pa.array(t[owner[first]]), pa.array(u[owner[first]]), pa.array(begin + start[first]), pa.array(begin + start[last] + length)], names=["t", "u", "b", "e"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -191,41 +195,43 @@ def _single_strings(length: int):
             for at in range(0, batch.num_rows, 2048):
                 part = batch.slice(at, 2048)
                 rank, owner, start = _strings(part.column("data").to_pylist(), length)
-                t, s0, n = (part.column(c).to_numpy(zero_copy_only=False) for c in ("t", "s0", "n"))
-                yield pa.RecordBatch.from_arrays([pa.array(rank.view(np.int64)), pa.array(t[owner]), pa.array((s0[owner] + start).astype(np.int64)), pa.array(n[owner])], names=["string", "t", "b", "n"])
+                t, u, s0, n, anchor = (part.column(c).to_numpy(zero_copy_only=False) for c in ("t", "u", "s0", "n", "rank"))
+                yield pa.RecordBatch.from_arrays([pa.array(anchor[owner]), pa.array(rank.view(np.int64)), pa.array(t[owner]), pa.array(u[owner]), pa.array((s0[owner] + start).astype(np.int64)), pa.array(n[owner])], names=["rank", "string", "t", "u", "b", "n"])
 
     return run
 
 
 def repeated_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """t (name of a text), ranges (array of [b, e) byte ranges whose strings occur elsewhere too, perhaps overlapping)."""
-    spark = docs.sparkSession
+    """t, u (names of a text), ranges (array of [b, e) byte ranges whose strings occur elsewhere too, perhaps overlapping)."""
+    spark, text = docs.sparkSession, ["t", "u"]
     docs = docs.select("text").where(F.octet_length("text") >= length)
-    anchors = docs.mapInArrow(_anchors(length), "rank long, context long, t long, s0 int, s1 int")
+    anchors = materialize(docs.mapInArrow(_anchors(length), "rank long, context long, t long, u long, s0 int, s1 int"), "suffix-places")
     # Round one: 32-byte ranks that occur again.
     twice = anchors.groupBy("rank").agg(F.count("*").alias("n"), F.min("context").alias("low"), F.max("context").alias("high"))
     # Written first, so that the join has plain shuffles on both sides and Spark can split a rank that very many places have.
     twice = materialize(twice.where("n > 1").select("rank", (F.col("low") != F.col("high")).alias("mixed")), "suffix-ranks")
     left = materialize(anchors.join(twice, "rank"), "suffix-anchors")
+    cleared(spark)
     # Round two: contexts that occur again. Of each context one place is enough from here on.
-    contexts = left.where("mixed").groupBy("rank", "context").agg(F.count("*").alias("n"), F.min(F.struct("t", "s0", "s1")).alias("at"))
-    contexts = materialize(contexts.select("rank", "context", "n", "at.t", "at.s0", "at.s1"), "suffix-contexts")
-    whole = left.where(~F.col("mixed")).select("t", "s0", "s1").union(left.where("mixed").join(contexts.where("n > 1").select("rank", "context"), ["rank", "context"], "left_semi").select("t", "s0", "s1"))
-    whole = whole.select("t", F.col("s0").cast("long").alias("b"), (F.col("s1") + length).cast("long").alias("e"))
+    contexts = left.where("mixed").groupBy("rank", "context").agg(F.count("*").alias("n"), F.min(F.struct("t", "u", "s0", "s1")).alias("at"))
+    contexts = materialize(contexts.select("rank", "context", "n", "at.t", "at.u", "at.s0", "at.s1"), "suffix-contexts")
+    whole = left.where(~F.col("mixed")).select("t", "u", "s0", "s1").union(left.where("mixed").join(contexts.where("n > 1").select("rank", "context"), ["rank", "context"], "left_semi").select("t", "u", "s0", "s1"))
+    whole = whole.select("t", "u", F.col("s0").cast("long").alias("b"), (F.col("s1") + length).cast("long").alias("e"))
     # Round three: the strings of contexts that occur once, against the other contexts of their anchor.
     sizes = contexts.groupBy("rank").agg(F.count("*").alias("m"), F.min("n").alias("least")).where("m > 1 and least = 1")
-    asked = contexts.join(sizes, "rank").select("t", F.struct("rank", "n", (F.col("m") > GROUP).alias("big"), "s0", "s1").alias("x"))
-    asked = materialize(asked.groupBy("t").agg(F.collect_list("x").alias("asked")), "suffix-asked")
+    asked = contexts.join(sizes, "rank").select("t", "u", F.struct("rank", "n", (F.col("m") > GROUP).alias("big"), "s0", "s1").alias("x"))
+    asked = materialize(asked.groupBy(*text).agg(F.collect_list("x").alias("asked")), "suffix-asked")
     named = _known(asked)
-    texts = docs.mapInArrow(_with_names(named, True), "text string, t long")
-    # Copies of a text answer for it more than once, which only happens to contexts that occur again anyhow.
-    found = materialize(texts.join(asked, "t").mapInArrow(_contexts(length), "rank long, n long, big boolean, t long, s0 int, data binary"), "suffix-strings")
-    small = found.where(~F.col("big")).repartition("rank").sortWithinPartitions("rank").mapInArrow(_compare(length), "t long, b long, e long")
-    strings = found.where("big").mapInArrow(_single_strings(length), "string long, t long, b long, n long")
-    again = strings.groupBy("string").agg(F.count("*").alias("m")).where("m > 1").select("string")
-    large = strings.where("n = 1").join(again, "string", "left_semi").select("t", "b", (F.col("b") + length).alias("e"))
+    # One copy of a text answers for all.
+    texts = docs.mapInArrow(_with_names(named, True), "text string, t long, u long").groupBy(*text).agg(F.first("text").alias("text"))
+    found = materialize(texts.join(asked, text).select("text", "t", "u", "asked").mapInArrow(_contexts(length), "rank long, n long, big boolean, t long, u long, s0 int, data binary"), "suffix-strings")
+    cleared(spark)
+    small = found.where(~F.col("big")).repartition("rank").sortWithinPartitions("rank").mapInArrow(_compare(length), "t long, u long, b long, e long")
+    strings = found.where("big").mapInArrow(_single_strings(length), "rank long, string long, t long, u long, b long, n long")
+    again = materialize(strings.groupBy("rank", "string").agg(F.count("*").alias("m")).where("m > 1").select("rank", "string"), "suffix-again")
+    large = strings.where("n = 1").join(again, ["rank", "string"], "left_semi").select("t", "u", "b", (F.col("b") + length).alias("e"))
     ranges = whole.union(small).union(large).distinct()
-    return materialize(ranges.groupBy("t").agg(F.collect_list(F.struct("b", "e")).alias("ranges")), "suffix-ranges")
+    return materialize(ranges.groupBy(*text).agg(F.collect_list(F.struct("b", "e")).alias("ranges")), "suffix-ranges")
 
 
 def _known(keyed: DataFrame):
@@ -265,12 +271,14 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def deduplicate(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row of (doc_id, text)."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     ranges = repeated_ranges(docs, length)
-    out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    cleared(docs.sparkSession)
+    out = extended(docs.select("doc_id").schema, n_bytes="long", n_removed="long", n_spans="long", kept_sha256="string")
+    with_names = extended(docs.schema, t="long", u="long")
     named = _known(ranges)
-    rows = docs.mapInArrow(_with_names(named, True), "doc_id long, text string, t long")
+    rows = docs.mapInArrow(_with_names(named, True), with_names)
     if named is None:
-        return rows.join(ranges, "t", "left").select("doc_id", "text", "ranges").mapInArrow(_digest, out)
-    clean = docs.mapInArrow(_with_names(named, False), "doc_id long, text string, t long").mapInArrow(_digest, out)
-    return clean.union(rows.join(ranges, "t").select("doc_id", "text", "ranges").mapInArrow(_digest, out))
+        return rows.join(ranges, ["t", "u"], "left").select("doc_id", "text", "ranges").mapInArrow(_digest, out)
+    clean = docs.mapInArrow(_with_names(named, False), with_names).mapInArrow(_digest, out)
+    return clean.union(rows.join(ranges, ["t", "u"], "left").select("doc_id", "text", "ranges").mapInArrow(_digest, out))
