@@ -12,12 +12,13 @@ import random
 _HEX = "0123456789abcdef"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _MIXED = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+_LETTERS = _MIXED[:52]
 _PLAIN = ("the results were stored", "see the list of", "in this part we", "and then it was", "of which the", "du texte et de la", "und dann wird das", "en la parte de", "they went to", "as seen in")
 _PATHS = ("src/app/config.py", "deploy/prod.env", "notes.txt", "", "", "", "lib/client.js", "main.tf")
 _TEST_PATHS = ("tests/fixtures/data.json", "docs/example.md", "examples/sample.py", "test/keys.txt")
 
 
-def labelled_findings(n: int = 1200, seed: int = 11) -> list[dict]:
+def labelled_findings(n: int = 2400, seed: int = 11) -> list[dict]:
     """``n`` findings of long runs, and as many of short or punctuated assigned values, half of them secrets; the same for the same seed."""
     rng = random.Random(seed)
     text = lambda alphabet, k: "".join(rng.choice(alphabet) for _ in range(k))
@@ -25,9 +26,10 @@ def labelled_findings(n: int = 1200, seed: int = 11) -> list[dict]:
     assign = (' = "', '="', "=", ": ", ' = ', "='", '": "')
 
     def positive() -> dict:
-        kind = rng.randrange(6)
+        kind = rng.randrange(7)
         value = (
-            text(_HEX, rng.choice((18, 20, 24, 32, 40, 48, 64))) if kind < 2
+            text(_LETTERS, rng.choice((20, 24, 32, 40))) if kind == 6
+            else text(_HEX, rng.choice((18, 20, 24, 32, 40, 48, 64))) if kind < 2
             else "AKIA" + text(_UPPER, 16) if kind == 2
             else rng.choice(("ghp_", "sk-", "glpat-", "npm_", "xoxb-")) + text(_MIXED, rng.choice((24, 36, 40))) if kind == 3
             else text(_MIXED, rng.choice((20, 24, 32, 40)))
@@ -37,8 +39,9 @@ def labelled_findings(n: int = 1200, seed: int = 11) -> list[dict]:
         return {"value": value, "before": before, "after": rng.choice(('"', "'", " ", "", '"\n', " " + rng.choice(_PLAIN))), "path": rng.choice(_PATHS), "label": 1.0}
 
     def negative() -> dict:
-        kind = rng.randrange(9)
+        kind = rng.randrange(13)
         before, after, path = rng.choice(_PLAIN) + " ", " " + rng.choice(_PLAIN), rng.choice(_PATHS)
+        word = lambda k=None: "".join(rng.choice(("th", "er", "on", "an", "re", "he", "in", "ed", "nd", "ha", "at", "en", "es", "of", "or", "nt", "ea", "ti", "to", "it", "st", "io", "le", "is", "ou", "ar", "as", "de", "rt", "ve", "sch", "ung", "tion", "ment", "eur", "que")) for _ in range(k or rng.randrange(1, 5)))
         if kind == 0:
             value, before = text(_HEX, 40), before + rng.choice(("commit ", "rev ", "sha1 ", "sha: ", "checkout "))
         elif kind == 1:
@@ -48,6 +51,18 @@ def labelled_findings(n: int = 1200, seed: int = 11) -> list[dict]:
             before += rng.choice(("id ", "uuid=", "request_id: ", "session id ", ""))
         elif kind == 3:
             value = "/".join(rng.choice(("usr", "lib", "python3", "src", "data", "model", "v2", "image01", "home", "file7", "test", "part2")) for _ in range(rng.randrange(4, 7)))
+        elif kind == 9:  # long words, alone and in their sentence
+            value = word(rng.randrange(8, 14))
+            value = rng.choice((value, value.title(), value.upper()))
+        elif kind == 10:  # words held together
+            value = rng.choice("-_/").join(word() for _ in range(rng.randrange(4, 8)))
+            before, after = rng.choice((before, "", "https://", "see ", "(")), rng.choice((after, ".", ")", " "))
+        elif kind == 11:  # names in code
+            value = "".join(word().title() for _ in range(rng.randrange(4, 7)))
+            before, after = rng.choice((before, "class ", "import ", "new ")), rng.choice((after, "(", "."))
+        elif kind == 12:  # rules and fillers
+            value = rng.choice("-_=/+x") * rng.randrange(16, 60)
+            before, after = rng.choice(("", "\n", before)), rng.choice(("", "\n", after))
         elif kind == 4:
             value = rng.choice(("your_api_key_here1", "example_token_12345", "password_example_1", "test-secret-value-01", "my-sample-key-00001", "changeme_password_1", "insert_token_here_1", "dummy_secret_00000"))
             before = f"{before}{rng.choice(names)}{rng.choice(assign)}"
@@ -78,7 +93,8 @@ def labelled_findings(n: int = 1200, seed: int = 11) -> list[dict]:
             else text(lower, rng.randrange(8, 16))
         )
         quoted = kind == 6 or rng.random() < 0.6
-        before = f"{rng.choice(_PLAIN)} {rng.choice(names)}{rng.choice((' = ', '=', ': ', ':', '": '))}" + ('"' if quoted else "")
+        name = rng.choice(names) + rng.choice(("", "", "", "_1", "_prod", "_of_app_01", "_number_2", "_hash", "_for_db"))
+        before = f"{rng.choice(_PLAIN)} {name}{rng.choice((' = ', '=', ': ', ':', '": '))}" + ('"' if quoted else "")
         return {"value": value, "before": before, "after": '"' + rng.choice(("", ",", " ", "\n")) if quoted else rng.choice(("", "\n", " ", ",", ";", " " + rng.choice(_PLAIN))), "path": rng.choice(_PATHS), "label": 1.0}
 
     def assigned_negative() -> dict:

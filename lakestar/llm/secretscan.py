@@ -1,6 +1,6 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest.
 
-A candidate is a run of at least ``SHORTEST`` key characters with a digit, or whatever is assigned to a secret word: at
+A candidate is a run of at least ``SHORTEST`` key characters, or whatever is assigned to a secret word: at
 least ``SHORTEST_ASSIGNED`` characters without blanks or quotes, up to the closing quote, or else to <, >, a comma or a
 semicolon. The forest sees its length, the transitions between character classes, how much
 of it words of a dictionary cover, whether it reads as code or prose, the path it lies in, and the words around it. Runs
@@ -9,8 +9,9 @@ It is trained by Spark's own learner on labelled findings and applied as one SQL
 candidates: scanning has no shuffle and no Python.
 
 Defined results: a null text has no candidates and stays null. All places of a repeated value are judged each, with
-their own neighbours. Control characters U+0001 and U+0002 of a text are kept. Columns named like the scan's are
-replaced. An empty table gives an empty result.
+their own neighbours; repeated rows alike. A score at the threshold is a secret. A very long text is scanned whole, in
+time proportional to its length, and so is a very long run. Control characters U+0001 and U+0002 of a text are kept.
+Columns named like the scan's are replaced. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,7 +29,9 @@ from lakestar.llm.secret_findings import labelled_findings
 SHORTEST = 16
 #: Characters before and after a candidate that are looked at.
 AROUND = 48
-RUN = rf"(?<![A-Za-z0-9+/_\-])(?=[A-Za-z+/_\-]{{0,400}}[0-9])[A-Za-z0-9+/_\-]{{{SHORTEST},}}={{0,2}}"
+#: Pieces of a text whose beginnings are summed at a time.
+BLOCK = 512
+RUN = rf"(?<![A-Za-z0-9+/_\-])[A-Za-z0-9+/_\-]{{{SHORTEST},}}={{0,2}}"
 SHORTEST_ASSIGNED = 4
 _SECRET_WORDS = "token|secret|passw|pwd|api.?key|access.?key|auth|credential|private.?key|bearer"
 _QUOTE = "[\"'`]"
@@ -99,8 +102,9 @@ def findings(spark: SparkSession, rows: list[dict] | None = None) -> DataFrame:
 
 
 def train(labelled: DataFrame, trees: int = 24, depth: int = 6, seed: int = 5, max_rows: int = 50_000) -> RandomForestClassificationModel:
-    """Fits the forest to at most ``max_rows`` labelled findings (value, before, after, path, label)."""
-    rows = labelled.limit(max_rows).select(F.struct("value", "before", "after", "path").alias("x"), "label")
+    """Fits the forest to at most ``max_rows`` labelled findings (value, before, after, path, label), the same ones each time."""
+    x = F.struct("value", "before", "after", "path")
+    rows = labelled.select(x.alias("x"), "label").orderBy(F.xxhash64("x"), "label").limit(max_rows)
     rows = rows.select("label", *(F.expr(_sql(sql)).cast("double").alias(name) for name, sql in FEATURES.items()))
     rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows).select("label", "features")
     learner = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="sqrt", subsamplingRate=0.8)
@@ -145,10 +149,18 @@ def scan(docs: DataFrame, forest: str | None = None, path: Column | None = None,
     marked = F.split(F.regexp_replace(safe, CANDIDATE, "\x01$0\x01"), "\x01")
     plain = lambda c: F.when(F.instr(c, "\x02") > 0, F.replace(F.replace(c, F.lit("\x02a"), F.lit("\x01")), F.lit("\x02b"), F.lit("\x02"))).otherwise(c)
     docs = docs.withColumn("pieces", F.transform(marked, plain)).withColumn("_path", path if path is not None else F.lit(""))
-    # Where each piece begins.
-    docs = docs.withColumn("_at", F.expr("if(size(pieces) > 1, aggregate(pieces, array(0), (a, p) -> array_append(a, element_at(a, -1) + length(p))), array(0))"))
-    around = f"""transform(if(size(pieces) > 1, sequence(1, size(pieces) - 1, 2), cast(array() as array<int>)), i -> named_struct(
-        'value', pieces[i], 'before', right(pieces[i - 1], {AROUND}), 'after', left(pieces[i + 1], {AROUND}), 'path', _path, 'offset', _at[i]))"""
+    # Where each piece begins: summed in blocks, so that a text of very many candidates isn't copied for each of them.
+    block = lambda b: f"slice(_len, {b} * {BLOCK} + 1, {BLOCK})"
+    begin = "(a, x) -> array_append(a, element_at(a, -1) + x)"
+    docs = docs.withColumn("_len", F.expr("transform(pieces, p -> length(p))"))
+    docs = docs.withColumn("_sum", F.expr(f"aggregate(transform(sequence(0, (size(_len) - 1) div {BLOCK}), b -> aggregate({block('b')}, 0, (a, x) -> a + x)), array(0), {begin})"))
+    blocks = f"sequence(0, (size(_len) - 1) div {BLOCK})"
+    docs = docs.withColumn("_at", F.expr(f"flatten(zip_with({blocks}, slice(_sum, 1, size(_sum) - 1), (b, s) -> slice(aggregate({block('b')}, array(s), {begin}), 1, size({block('b')}))))"))
+    # Arrays are zipped, never looked into by place from a function of their elements: Spark may put what makes them there,
+    # to be made for each element anew.
+    docs = docs.withColumn("_z", F.arrays_zip(F.col("pieces").alias("piece"), F.col("_at").alias("at")))
+    around = f"""transform(if(size(_z) > 1, sequence(1, size(_z) - 1, 2), cast(array() as array<int>)), i -> named_struct(
+        'value', _z[i].piece, 'before', right(_z[i - 1].piece, {AROUND}), 'after', left(_z[i + 1].piece, {AROUND}), 'path', _path, 'offset', _z[i].at))"""
     docs = docs.withColumn("_x", F.expr(around))
     features = ", ".join(f"'{name}', cast({sql} as double)" for name, sql in FEATURES.items())
     docs = docs.withColumn("_f", F.expr(_sql(f"transform(_x, x -> named_struct({features}))")))
@@ -160,8 +172,8 @@ def scan(docs: DataFrame, forest: str | None = None, path: Column | None = None,
     docs = docs.withColumn("_g", F.expr(_sql(f"transform(_y, y -> transform(y, x -> named_struct({features})))")))
     docs = docs.withColumn("_q", F.expr(f"transform(_g, g -> coalesce(array_max(transform(g, f -> {forest})), 0D))"))
     docs = docs.withColumn("_p", F.expr(f"zip_with(transform(_f, f -> {forest}), _q, (p, q) -> greatest(p, q))"))
-    found = f"transform(_x, (x, i) -> named_struct('offset', x.offset, 'length', length(x.value), 'value', x.value, 'score', _p[i], 'secret', _p[i] >= {threshold}D))"
-    return docs.withColumn("found", F.coalesce(F.expr(found), F.expr("transform(cast(array() as array<int>), x -> named_struct('offset', 0, 'length', 0, 'value', '', 'score', 0D, 'secret', false))"))).drop("_path", "_at", "_x", "_f", "_y", "_g", "_q", "_p")
+    found = f"zip_with(_x, _p, (x, p) -> named_struct('offset', x.offset, 'length', length(x.value), 'value', x.value, 'score', p, 'secret', p >= {threshold}D))"
+    return docs.withColumn("found", F.coalesce(F.expr(found), F.expr("transform(cast(array() as array<int>), x -> named_struct('offset', 0, 'length', 0, 'value', '', 'score', 0D, 'secret', false))"))).drop("_path", "_len", "_sum", "_at", "_z", "_x", "_f", "_y", "_g", "_q", "_p")
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]", **options) -> DataFrame:
