@@ -54,7 +54,8 @@ def op9_ctw_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return urlfilter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+    pages = table(spark, sf_dir, "pages")
+    return urlfilter.judge(pages, URL_RULES, urlfilter.train(word_counts=urlfilter.mixed(urlfilter.vocabulary(pages))))
 
 
 def queries() -> dict[str, Query]:

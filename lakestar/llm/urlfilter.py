@@ -1,10 +1,14 @@
 """URL filters: explicit rules first, then a naive Bayes verdict over segmented hosts and paths.
 
 Host labels are split into words by a unigram Viterbi pass (the likeliest sequence of dictionary words and unknown
-stretches); a multinomial naive Bayes model scores the words of host and path.
+stretches); a multinomial naive Bayes model scores the words of host and path. The dictionary is counted over the corpus
+(``vocabulary``: the words of all addresses' paths and of all pages) and mixed with a short one of words that hosts are
+made of; labelled addresses are an input, with a short list as default.
 
 Defined results: a null url, or one without ``://``, has an empty host and path, fits no rule, and gets the verdict of
-the prior (allow). Ties between verdicts allow. Repeated rows are judged alike; other columns are ignored.
+the prior (allow). Ties between verdicts allow, of segmentations the first by the rule told there. Repeated rows are
+judged alike. A very long url is judged whole, in time proportional to its length. An empty table gives no rows; other
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -34,11 +38,11 @@ WORD_COUNTS = {
 }
 #: Labelled urls (host and path) that the default model is trained on.
 BLOCKED = (
-    "cheap-pills.example/buy", "cheappills.example/order", "free-casino.example/bonus", "onlinepoker.example/win", "spam-farm.example/links", "spamfarm.example/seo",
+    "pills-direct.example/buy", "discountpills.example/order", "free-casino.example/bonus", "onlinepoker.example/win", "linkspam.example/links", "articlefarm.example/seo",
     "bestviagra.example/pharmacy", "pharma-discount.example/pills", "xxx-cams.example/adult", "hotgirls.example/sex", "freeporn.example/xxx", "adult-dating.example/sex",
     "fastcash-loans.example/credit", "cheap-replica-watches.example/sale", "crackwarez.example/keygen", "torrent-crack.example/warez", "cryptobonus.example/click", "forex-money.example/win",
     "seo-links.example/traffic", "buy-cheap-traffic.example/seo", "casinobonus.example/bet", "bet-win.example/casino", "cheapdrugs.example/pharmacy", "click-here-spam.example/deal",
-    "adult-cams.example/xxx", "adultgirls.example/cams",
+    "adult-cams.example/xxx", "ad-tracker.example/ads", "popupads.example/click", "adultgirls.example/cams",
 )
 ALLOWED = (
     "news.example/world", "dailytimes.example/news", "blog.example/travel", "university.example/research", "library.example/books", "wiki.example/history",
@@ -115,7 +119,25 @@ class UrlModel:
         return total
 
 
-def train(labelled: Iterable[tuple[str, str]] | None = None, word_counts: dict[str, int] | None = None, max_rows: int = 100_000) -> UrlModel:
+def vocabulary(pages: DataFrame, columns: tuple[str, ...] = ("url", "html"), max_words: int = 50_000) -> dict[str, int]:
+    """Counts of the corpus's words (runs of two or more letters, lower case) over all rows; the ``max_words`` most frequent.
+
+    Hosts are left out of addresses: they are what is to be split. Counting is one shuffle of partial counts.
+    """
+    text = F.concat_ws(" ", *(F.regexp_replace(F.col(c), r"^[^:/?#]*://[^/?#]*", " ") if c == "url" else F.regexp_replace(F.col(c), r"<[^<>]*>", " ") for c in columns))
+    words = pages.select(F.explode(F.split(F.lower(text), "[^a-z]+")).alias("w")).where(F.length("w").between(2, 24))
+    found = words.groupBy("w").agg(F.count("*").alias("n")).where("n > 1").orderBy(F.desc("n"), "w").limit(max_words)
+    return {r.w: r.n for r in found.collect()}
+
+
+def mixed(corpus: dict[str, int], seeds: dict[str, int] | None = None, share: float = 0.5) -> dict[str, float]:
+    """One dictionary of corpus counts and seeds: each makes up its share of all."""
+    seeds = seeds or WORD_COUNTS
+    a, b = max(sum(corpus.values()), 1), max(sum(seeds.values()), 1)
+    return {w: (1 - share) * corpus.get(w, 0) / a * 1e6 + share * seeds.get(w, 0) / b * 1e6 for w in {*corpus, *seeds}}
+
+
+def train(labelled: Iterable[tuple[str, str]] | None = None, word_counts: dict[str, float] | None = None, max_rows: int = 100_000) -> UrlModel:
     """Fits the model to (url without scheme, verdict) rows, at most ``max_rows`` of them; defaults to the lists above."""
     counts = word_counts or WORD_COUNTS
     total = sum(counts.values())
