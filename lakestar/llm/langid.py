@@ -17,7 +17,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakestar.llm.common import extended, fold, pieces
@@ -29,6 +29,8 @@ ORDERS = (1, 2, 3)
 LENGTHS = 24
 #: Bytes and rows of text that are counted at a time.
 PIECE, ROWS = 1 << 19, 128
+#: Texts of each language in the sample, however many languages there are.
+LEAST = 20
 
 _KEEP = np.full(256, 32, np.uint8)
 _KEEP[97:123] = np.arange(97, 123)
@@ -113,12 +115,24 @@ def _spherical_kmeans(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return centroids
 
 
-def fit(train: DataFrame, k: int = 4, sample_per_language: int = 600, sample_total: int = 2400, max_languages: int = 256, quantile: float = 0.002, slack: float = 1.25) -> CentroidModel:
+def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Term counts of each text with a letter, as bytes of the terms (uint16) and of their counts (float32)."""
+    for batch in batches:
+        texts = batch.column("text")
+        for first, offsets, data in pieces(pc.utf8_lower(texts), PIECE, ROWS):
+            found, letters = counts(offsets, data)
+            rows = [i for i in range(len(letters)) if _has_letter(texts[first + i].as_py())]
+            terms = [np.flatnonzero(found[i]) for i in rows]
+            part = batch.slice(first, len(letters)).take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([part.column("lang"), part.column("place"), pa.array(letters[rows], pa.int32()), pa.array([t.astype(np.uint16).tobytes() for t in terms], pa.binary()), pa.array([found[i][t].tobytes() for i, t in zip(rows, terms, strict=True)], pa.binary())], names=["lang", "place", "letters", "terms", "counts"])
+
+
+def fit(train: DataFrame, k: int = 4, sample_per_language: int = 600, sample_total: int = 2400, quantile: float = 0.002, slack: float = 1.5) -> CentroidModel:
     """Learns from rows (doc_id, text, lang) with non-null text and lang.
 
-    Document frequencies come from all rows. The centroids are fitted to a sample of about ``sample_per_language`` rows
-    of each language, ``sample_total`` in all (the documented bounds; rows are chosen by a hash of the text); languages past the ``max_languages``
-    most frequent are not learnt. ``radius`` is the distance which all but ``quantile`` of the sample of that length keep
+    Document frequencies come from all rows. The centroids are fitted to a sample of at most ``sample_per_language``
+    distinct texts of each language, ``sample_total`` in all (the documented bounds, but LEAST of each language; texts are
+    chosen by a hash). Every language is learnt. ``radius`` is the distance which all but ``quantile`` of the sample of that length keep
     to, times ``slack``.
     """
     train = train.select("text", "lang").where("text is not null and lang is not null")
@@ -126,25 +140,29 @@ def fit(train: DataFrame, k: int = 4, sample_per_language: int = 600, sample_tot
     df = {r.bucket: r.n for r in spread}
     total = df.pop(-1, 0)
     idf = np.log((1 + total) / (1 + np.array([df.get(i, 0) for i in range(FEATURES)]))).astype(np.float32) + np.float32(1)
-    per = train.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).collect()
+    per = {r.lang: r.n for r in train.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text")).alias("n")).collect()}
     if not per:
         return CentroidModel([], np.zeros(0, int), idf, np.zeros((FEATURES, 0), np.float32), np.full(LENGTHS, 2.0))
-    sample_per_language = min(sample_per_language, max(1, sample_total // len(per)))
-    rate: Column = F.lit(0)
-    for r in per:
-        rate = F.when(F.col("lang") == r.lang, min(1 << 20, (sample_per_language << 20) // r.n)).otherwise(rate)
-    rows = train.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < rate).collect()
-    rows.sort(key=lambda r: (r.lang, r.text))
+    sample_per_language = min(sample_per_language, max(LEAST, sample_total // len(per)))
+    # Rows are thinned by a hash of their text at twice the rate that is needed; then each text counts once, and each
+    # language is cut at its bound. What comes to the driver is sparse vectors of FEATURES terms at most, not texts.
+    rates = train.sparkSession.createDataFrame([(lang, min(1 << 40, (2 * sample_per_language << 40) // max(n, 1))) for lang, n in per.items()], "lang string, rate long")
+    place = F.xxhash64("text")
+    rows = train.join(F.broadcast(rates), "lang").where(F.pmod(place, F.lit(1 << 40)) < F.col("rate"))
+    rows = rows.select("lang", place.alias("place"), "text").mapInArrow(_sparse, "lang string, place long, letters int, terms binary, counts binary")
+    rows = rows.dropDuplicates(["lang", "place"])
+    rows = rows.withColumn("_rn", F.row_number().over(Window.partitionBy("lang").orderBy("place"))).where(F.col("_rn") <= sample_per_language).drop("_rn").collect()
+    rows.sort(key=lambda r: (r.lang, r.place))
     languages, owner, found, kept = sorted({r.lang for r in rows}), [], [], []
     for lang in languages:
-        texts = pa.array([r.text for r in rows if r.lang == lang and _has_letter(r.text)], pa.string())
-        parts = [(vectors(c, idf), letters) for _, o, d in pieces(pc.utf8_lower(texts), PIECE, ROWS) for c, letters in [counts(o, d)]]
-        if not parts:
-            continue
-        x = np.concatenate([p for p, _ in parts])
+        mine = [r for r in rows if r.lang == lang]
+        dense = np.zeros((len(mine), FEATURES), np.float32)
+        for i, r in enumerate(mine):
+            dense[i, np.frombuffer(r.terms, np.uint16)] = np.frombuffer(r.counts, np.float32)
+        x = vectors(dense, idf)
         found.append(_spherical_kmeans(x, k))
         owner += [languages.index(lang)] * len(found[-1])
-        kept.append((x, np.concatenate([n for _, n in parts])))
+        kept.append((x, np.array([r.letters for r in mine])))
     if not found:
         return CentroidModel([], np.zeros(0, int), idf, np.zeros((FEATURES, 0), np.float32), np.full(LENGTHS, 2.0))
     centroids = np.concatenate(found).T.astype(np.float32)
