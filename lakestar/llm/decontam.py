@@ -5,8 +5,11 @@ the length of the longest match ending there is tracked, and spans whose match r
 a whole item shorter than that) are hit.
 
 Defined results: null texts have no words. An item without words has no window. Items repeated under one item_id count
-once; the windows of an item without an id are hit, but name no item. Benchmarks past ``max_words`` are taken in
-blocks, each with an automaton of its own, and the hits united.
+once; the windows of an item without an id are hit, but name no item. Equal windows of several items name all of them.
+Repeated documents are rows each. A very long text is streamed whole; a very long item is one automaton. Empty tables give
+no rows, or no hits. Columns that the scan adds replace those of the same name. Benchmarks past ``max_words`` words or
+``max_bytes`` bytes are taken in blocks, each with an automaton of its own, and the hits united: an automaton has at most
+two states a word, so what is broadcast and held has a proven bound but for one item alone beyond it.
 """
 
 from __future__ import annotations
@@ -153,20 +156,21 @@ class SuffixAutomaton:
         return list(zip(start[fit].tolist(), end[fit].tolist(), strict=True))
 
 
-def _blocks(benchmark: DataFrame, max_words: int) -> Iterator[list[tuple[str | None, list[bytes]]]]:
-    """Distinct items, in blocks of about ``max_words`` words."""
-    block, n = [], 0
+def _blocks(benchmark: DataFrame, max_words: int, max_bytes: int) -> Iterator[list[tuple[str | None, list[bytes]]]]:
+    """Distinct items, in blocks of ``max_words`` words and ``max_bytes`` bytes at most (one larger item is a block)."""
+    block, n, size = [], 0, 0
     for row in benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").distinct().toLocalIterator():
         ws = words(row.text)
-        if block and n + len(ws) > max_words:
+        held = sum(map(len, ws))
+        if block and (n + len(ws) > max_words or size + held > max_bytes):
             yield block
-            block, n = [], 0
+            block, n, size = [], 0, 0
         block.append((row.item_id, ws))
-        n += len(ws)
+        n, size = n + len(ws), size + held
     yield block
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_words: int = 2_000_000) -> DataFrame:
+def scan(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_words: int = 200_000, max_bytes: int = 4 << 20) -> DataFrame:
     """``docs`` plus n_words, spans (array of hit [start, end) word ranges, disjoint, in order) and items (sorted item ids).
 
     Columns of ``docs`` by these names are replaced.
@@ -176,7 +180,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_words: int
     span = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
     schema = extended(docs.schema, n_words="long", spans=T.ArrayType(span), items=T.ArrayType(T.StringType()))
     has_earlier = False
-    for block in _blocks(benchmark, max_words):
+    for block in _blocks(benchmark, max_words, max_bytes):
         shared = spark.sparkContext.broadcast(SuffixAutomaton(block, window))
         if has_earlier:
             docs = materialize(docs, "decontam")
