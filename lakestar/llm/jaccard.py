@@ -8,9 +8,10 @@ need(n) = ceil(threshold * n / 100) common columns of a row of n, so at most n -
   common. A row with fewer columns that another row has among its own first ones is in no link.
 * Of the rows left, all columns are counted, and a row with fewer than need(n) columns that another row has goes.
 * The product is taken over each row's first n - need(n) + 1 columns, rare ones first: linked rows meet in one of these.
-  A column is multiplied block by block: its first few rows (1, 8, 64, ... in each round) with all others. Pairs of sizes
-  that can't link, and pairs that are connected already, are discarded; the others' overlaps are counted over all columns.
-  Rows once multiplied leave the column, and so does a column whose rows are all connected.
+  A column is multiplied block by block: its first few rows (1, 8, 64, ... in each round) with all others. Pairs that are
+  connected already are discarded, and pairs of sizes that can't link: each has only so many columns that others have,
+  before and after this one, and a distance from the row it was first multiplied with. The others' overlaps are counted
+  over all columns. Rows once multiplied leave the column, and so does a column whose rows are all connected.
 
 So a group of near copies, of any size, costs its first rows' products and not all its pairs. Rows that share rare
 columns and stay unconnected are multiplied pair by pair, which an exact join can't avoid; each round's pairs are rows of a
@@ -32,10 +33,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakestar.llm.common import extended, materialize, mix64, numbered, pieces, word_names
+from lakestar.llm.common import cleared, extended, materialize, mix64, numbered, pieces, word_names
 
-#: Rows of a column that are multiplied with all others in the first round, and the factor from round to round.
+#: Rows of a column that are multiplied with all others in the first round, and by how much they grow from round to round.
+#: Few at first: most rows of a group of near copies link to one of its first rows, and are spared the others.
 BLOCK, GROWTH = 1, 8
+#: Columns before one that are looked at for an earlier one in common.
+BEFORE = 12
+#: Buckets of text names that are broadcast, whatever the corpus: some MB.
+BUCKETS = 1 << 19
 
 
 def shingles(offsets: np.ndarray, data: np.ndarray, n: int) -> list[np.ndarray]:
@@ -73,8 +79,8 @@ def needed(n, threshold: int):
 def _more(n):
     """Columns beyond the shortest prefix that the first filter looks at: the more, the more must be common."""
     if isinstance(n, Column):
-        return F.floor(n / 8) + 1
-    return n // 8 + 1
+        return F.floor(n / 16) + 1
+    return n // 16 + 1
 
 
 def _set_names(grams: np.ndarray) -> tuple[int, int]:
@@ -133,20 +139,28 @@ def _live(docs: DataFrame, sets: DataFrame, rows: DataFrame, n: int, threshold:
     """The rows that may be in a link: sid, n, grams (the columns that others have too, rare ones first) and how many of these are multiplied."""
     # Columns among the first ones of different sets, and how many of them each row has. Written first, so that the join
     # has plain shuffles on both sides and Spark can split a column that very many rows have.
-    first = rows.where("n_shingles > 1").select("row", "n_shingles", "s1", F.explode("grams").alias("g"))
+    first = rows.where("n_shingles > 1").select("row", "s1", F.explode("grams").alias("g"))
     twice = first.groupBy("g").agg(F.min("s1").alias("low"), F.max("s1").alias("high")).where("low <> high").select("g")
-    hits = first.select("row", "n_shingles", "g").join(materialize(twice, "jaccard-columns"), "g", "left_semi")
-    hits = hits.groupBy("row").agg(F.count("*").alias("hits"), F.first("n_shingles").alias("k"))
-    hits = hits.where(F.col("hits") >= _more(needed(F.col("k"), threshold))).select(F.col("row").alias("sid"))
-    alive = materialize(sets.join(hits, "sid", "left_semi").select("sid", "n_shingles", "s1", "s2", "t1"), "jaccard-alive")
-    # All columns of these; copies of a text are read once.
-    texts = docs.select("text", F.xxhash64("text").alias("t1")).join(alive.select("t1"), "t1", "left_semi")
-    texts = texts.groupBy("t1").agg(F.first("text").alias("text")).select("text")
+    twice = materialize(twice, "jaccard-columns")
+    cleared(docs.sparkSession)
+    hits = first.select("row", "g").join(twice, "g", "left_semi").groupBy(F.col("row").alias("sid")).agg(F.count("*").alias("hits"))
+    hits = materialize(hits, "jaccard-hits")
+    cleared(docs.sparkSession)
+    hits = sets.join(hits, "sid").where(F.col("hits") >= _more(needed(F.col("n_shingles"), threshold)))
+    alive = materialize(hits.select("sid", "n_shingles", "s1", "s2", "t1", "of"), "jaccard-alive")
+    # All columns of these, from one document of each: its id is part of the key, so that copies of a text don't meet.
+    # Texts whose name falls in no bucket that a wanted one falls in needn't be shuffled; there are BUCKETS at most to broadcast.
+    bucket = F.pmod("t1", F.lit(BUCKETS)).cast("int").alias("bucket")
+    texts = docs.select("text", F.xxhash64("text").alias("t1"), F.xxhash64("doc_id").alias("of")).withColumn("bucket", bucket)
+    texts = texts.join(F.broadcast(alive.select(bucket).distinct()), "bucket", "left_semi").join(alive.select("t1", "of"), ["t1", "of"], "left_semi")
+    texts = texts.groupBy("t1", "of").agg(F.first("text").alias("text")).select("text")
     schema = extended(T.StructType(), n_shingles="long", s1="long", s2="long", grams=T.ArrayType(T.LongType()))
-    full = texts.mapInArrow(_sets(n, None), schema).join(alive.drop("t1"), ["n_shingles", "s1", "s2"])
+    full = texts.mapInArrow(_sets(n, None), schema).join(alive.drop("t1", "of"), ["n_shingles", "s1", "s2"])
     full = materialize(full.select("sid", F.col("n_shingles").alias("n"), "grams"), "jaccard-sets")
+    cleared(docs.sparkSession)
     entries = full.select("sid", "n", F.explode("grams").alias("g"))
     df = materialize(entries.groupBy("g").agg(F.count("*").alias("df")).where("df > 1"), "jaccard-counts")
+    cleared(docs.sparkSession)
     shared = entries.join(df, "g").groupBy("sid").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "g"))).alias("x"))
     shared = shared.where(F.size("x") >= needed(F.col("n"), threshold))
     # Columns that no other row has come first in the order, so only the rest of the prefix is multiplied.
@@ -155,47 +169,62 @@ def _live(docs: DataFrame, sets: DataFrame, rows: DataFrame, n: int, threshold:
 
 def _labels(live: DataFrame, threshold: int) -> DataFrame:
     """node, label of the components of all links among ``live``."""
-    entries = live.select("sid", "n", F.explode(F.expr("slice(grams, 1, prefix)")).alias("g"))
-    edges = entries.select(F.col("sid").alias("a"), F.col("sid").alias("b")).limit(0)
+    # ``c``: columns of the row that other rows have too; ``p``: how many of these come before g; ``before``: the last ones.
+    placed = F.expr(f"transform(sequence(0, prefix - 1), i -> struct(i as p, grams[i] as g, slice(grams, greatest(i - {BEFORE - 1}, 1), least(i, {BEFORE})) as before))")
+    entries = live.select("sid", "n", F.size("grams").alias("c"), F.explode(placed).alias("x")).select("sid", "n", "c", "x.p", "x.g", "x.before")
+    own = F.col("sid")
+    entries = entries.withColumns({"label": own, "pivot": own, "far": F.lit(0.0)})
     labels, block = None, BLOCK
     while True:
-        if labels is None:
-            entries = entries.withColumn("c", F.col("sid"))
-        else:
-            entries = entries.join(labels, F.col("sid") == F.col("node"), "left").select("sid", "n", "g", F.coalesce("label", "sid").alias("c"))
-        entries = materialize(entries, "jaccard-entries")
         # Columns that still join rows of different components.
-        apart = entries.groupBy("g").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("g")
+        entries = materialize(entries, "jaccard-entries")
+        apart = entries.groupBy("g").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("g")
         entries = materialize(entries.join(materialize(apart, "jaccard-apart"), "g", "left_semi"), "jaccard-entries")
         if entries.isEmpty():
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("label")) if labels is None else labels
+            return live.select(F.col("sid").alias("node"), F.col("sid").alias("label")).limit(0) if labels is None else labels
         place = F.row_number().over(Window.partitionBy("g").orderBy("sid"))
-        hubs = entries.withColumn("place", place).where(F.col("place") <= block).select("g", F.col("sid").alias("h"), F.col("n").alias("nh"), F.col("c").alias("ch"))
-        hubs = materialize(hubs, "jaccard-hubs")
-        size = (100 * F.least("n", "nh") >= threshold * F.greatest("n", "nh")) & (F.col("sid") > F.col("h")) & (F.col("c") != F.col("ch"))
-        pairs = entries.join(hubs, "g").where(size).select("h", "nh", "sid", "n").distinct()
+        names = {"sid": "h", "n": "nh", "c": "ch", "p": "ph", "label": "other", "pivot": "pivot_h", "far": "far_h", "before": "before_h"}
+        hubs = materialize(entries.withColumn("place", place).where(F.col("place") <= block).drop("place").withColumnsRenamed(names), "jaccard-hubs")
+        # Two rows that share a column before this one meet, or have met, in that one: a pair is made once, not for each column.
+        fits = (F.col("sid") > F.col("h")) & (F.col("label") != F.col("other")) & ~F.arrays_overlap("before", "before_h")
+        if labels is not None:
+            # What two rows with g in these places can have in common at most, against what their sizes ask.
+            most = F.least("p", "ph") + 1 + F.least(F.col("c") - F.col("p"), F.col("ch") - F.col("ph")) - 1
+            fits &= (100 + threshold) * most >= threshold * (F.col("n") + F.col("nh"))
+            # 1 - Jaccard is a metric: rows whose distances from one row differ by more than a link's are no link.
+            fits &= (F.col("pivot") != F.col("pivot_h")) | (F.abs(F.col("far") - F.col("far_h")) <= 1 - threshold / 100 + 1e-9)
+        pairs = entries.join(hubs, "g").where(fits).select("h", "nh", "sid", "n").distinct()
         pairs = materialize(pairs, "jaccard-pairs").join(live.select("sid", F.col("grams").alias("mine")), "sid")
         pairs = pairs.join(live.select(F.col("sid").alias("h"), F.col("grams").alias("theirs")), "h")
-        pairs = pairs.withColumn("both", F.size(F.array_intersect("mine", "theirs")))
-        linked = pairs.where(100 * F.col("both") >= threshold * (F.col("n") + F.col("nh") - F.col("both")))
-        edges = linked.select(F.col("sid").alias("a"), F.col("h").alias("b"))
-        if labels is not None:
-            edges = edges.union(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
-        labels = _connected(edges, "jaccard-components")
-        entries = entries.join(hubs.select("g", F.col("h").alias("sid")), ["g", "sid"], "left_anti").select("sid", "n", "g")
+        both = F.size(F.array_intersect("mine", "theirs"))
+        tested = materialize(pairs.select("h", "sid", "n", "nh", both.alias("both")), "jaccard-tested")
+        links = tested.where(100 * F.col("both") >= threshold * (F.col("n") + F.col("nh") - F.col("both"))).select(F.col("sid").alias("a"), F.col("h").alias("b"))
+        entries = entries.join(hubs.select("g", F.col("h").alias("sid")), ["g", "sid"], "left_anti")
+        if labels is None:
+            # The first round's distances: each row's from the least row that it was multiplied with.
+            far = F.lit(1.0) - F.col("both") / (F.col("n") + F.col("nh") - F.col("both"))
+            pivots = tested.groupBy("sid").agg(F.min(F.struct(F.col("h"), far.alias("far"))).alias("at"))
+            pivots = materialize(pivots.select(F.col("sid").alias("of"), F.col("at.h").alias("pivot"), F.col("at.far").alias("far")), "jaccard-pivots")
+            entries = entries.drop("pivot", "far").join(pivots, F.col("sid") == F.col("of"), "left").drop("of")
+            entries = entries.withColumns({"far": F.coalesce("far", F.lit(0.0)), "pivot": F.coalesce("pivot", own)})
+        if labels is None or not links.isEmpty():
+            known = links if labels is None else links.union(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
+            labels = _connected(known, "jaccard-components")
+            entries = entries.drop("label").join(labels, F.col("sid") == F.col("node"), "left").drop("node").withColumn("label", F.coalesce("label", own))
         block *= GROWTH
+        cleared(live.sparkSession)
 
 
 def _classes(docs: DataFrame, n: int, threshold: int) -> tuple[DataFrame, DataFrame]:
     """Rows (row, doc_id, n_shingles, s1, s2) and, for each distinct set (n_shingles, s1, s2), its component ``class`` and least doc_id."""
-    rows = docs.select("row", "doc_id", "text", F.xxhash64("text").alias("t1"))
+    rows = docs.select("row", "doc_id", "text", F.xxhash64("text").alias("t1"), F.xxhash64("doc_id").alias("of"))
     schema = extended(rows.drop("text").schema, n_shingles="long", s1="long", s2="long", grams=T.ArrayType(T.LongType()))
     rows = materialize(rows.mapInArrow(_sets(n, threshold), schema), "jaccard-rows")
-    sets = rows.where("n_shingles > 0").groupBy("n_shingles", "s1", "s2").agg(F.min("row").alias("sid"), F.min("t1").alias("t1"), F.min("doc_id").alias("least"))
-    sets = materialize(sets, "jaccard-classes")
+    sets = rows.where("n_shingles > 0").groupBy("n_shingles", "s1", "s2").agg(F.min(F.struct("row", "t1", "of")).alias("at"), F.min("doc_id").alias("least"))
+    sets = materialize(sets.select("n_shingles", "s1", "s2", "least", F.col("at.row").alias("sid"), "at.t1", "at.of"), "jaccard-classes")
     labels = _labels(_live(docs, sets, rows, n, threshold), threshold)
     classes = sets.join(labels, F.col("sid") == F.col("node"), "left").select("n_shingles", "s1", "s2", "least", F.coalesce("label", "sid").alias("class"))
-    return rows.drop("grams", "t1"), materialize(classes, "jaccard-classes")
+    return rows.drop("grams", "t1", "of"), materialize(classes, "jaccard-classes")
 
 
 def components(docs: DataFrame, n: int = 5, threshold: int = 75) -> DataFrame:
