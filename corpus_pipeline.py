@@ -4,7 +4,7 @@
 as Parquet and read again as the next one's docs. All but the last return the columns of ``documents``.
 
 * language_id: rejected documents go (no letters, or further from every language than texts of that length are).
-* near_duplicates: of each group of linked documents the one of smallest doc_id stays.
+* near_duplicates: of each group of linked rows the one of smallest doc_id stays (one row, where ids repeat).
 * decontaminate: spans that benchmark windows occur in are cut out; documents that are mostly such spans go.
 * redact_secrets: secrets are replaced by a mark; no document goes.
 * mix: each document as often as the mix of sources takes it, with copy_no and its source's target in words.

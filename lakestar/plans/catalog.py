@@ -389,6 +389,12 @@ def r50_commit_age(spark, sf_dir):
     return _t(spark, sf_dir, "events").agg(age.alias("hours"), F.count("*").alias("n"))
 
 
+@query("select event_id, event_type, date_trunc('minute', ts) as started_at, ts as finished_at, date_diff('second', date_trunc('minute', ts), ts)::bigint as seconds from events order by ts desc, event_id desc limit 20")
+def r50_run_durations(spark, sf_dir):
+    runs = _t(spark, sf_dir, "events").select("event_id", "event_type", F.date_trunc("minute", "ts").alias("started_at"), F.col("ts").alias("finished_at"))
+    return runs.withColumn("seconds", F.timestamp_diff("SECOND", "started_at", "finished_at")).orderBy(F.desc_nulls_last("finished_at"), F.desc("event_id")).limit(20)
+
+
 # -- versioned tables -------------------------------------------------------------------------------------------------
 _ORDER = "o_orderkey long, o_custkey long, o_orderstatus string"
 

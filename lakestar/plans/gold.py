@@ -45,6 +45,12 @@ def classify(type_key: Column) -> Column:
     return F.coalesce(F.element_at(table, type_key), F.lit("unclassified"))
 
 
+def classify_key(type_key: str | None) -> tuple[str, bool]:
+    """Class of one type key, and whether it is scholarly; for callers without Spark."""
+    found = next((cls for cls, keys in CLASSES.items() if type_key in keys), "unclassified")
+    return found, found in SCHOLARLY
+
+
 def article_types(silver: DataFrame) -> DataFrame:
     """One row per type key with its latest label, class and whether that is scholarly, and the unknown member."""
     latest = relational.latest_per_key(silver.where("article_type_key is not null"), ["article_type_key"], _latest())

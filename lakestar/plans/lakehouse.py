@@ -6,6 +6,7 @@ and checks its balance after.
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,8 +51,11 @@ class SilverResult:
     merge: MergeResult
 
 
-def load_bronze(spark: SparkSession, landing_path: str, table: VersionedTable, publisher: str, loaded_at: str) -> MergeResult:
-    """Landed files into the append-only bronze table; records that are there already change nothing."""
+def load_bronze(spark: SparkSession, landing_path: str, table: VersionedTable, publisher: str, loaded_at: str, blobs: str | None = None) -> MergeResult:
+    """Landed files into the append-only bronze table; records that are there already change nothing.
+
+    ``blobs``: the folder of raw pages; records whose page isn't there are loaded, with a warning that tells how many.
+    """
     if "/" in publisher or "\\" in publisher:
         raise ValueError("a publisher has no slashes")
     rows = landing.scan_jsonl(spark, landing_path, LANDED)
@@ -59,6 +63,10 @@ def load_bronze(spark: SparkSession, landing_path: str, table: VersionedTable, p
     stamp = F.lit(loaded_at).cast("timestamp")
     scraped = F.col("scraped_at").cast("timestamp")
     rows = rows.withColumns({"scraped_at": scraped, "raw_html_key": F.concat_ws("/", F.lit("raw_html"), "publisher", F.date_format(scraped, "yyyy-MM-dd"), F.concat("url_hash", F.lit(".html.gz"))), "_source_file": F.col("source_file"), "_loaded_at": stamp})
+    if blobs is not None:
+        lacking = landing.missing_blobs(rows.select("url_hash"), spark, blobs, F.concat("url_hash", F.lit(".html.gz"))).count()
+        if lacking:
+            warnings.warn(f"{lacking} records without a raw page", stacklevel=2)
     table.create(BRONZE, ("publisher", "ingest_date"), {"appendOnly": "true"})
     before = table.read().count()
     present = relational.already_present(rows, table.read(), BRONZE_KEY).count()
@@ -109,7 +117,7 @@ def build_silver(bronze: VersionedTable, silver: VersionedTable, quarantine: Ver
         hard = quality.rule_counts(versions, [r for r in RULES if r.severity == "quarantine"])
         soft = quality.rule_counts(latest, [r for r in RULES if r.severity == "flag"])
         events = hard.union(soft).select(F.lit(run_id).alias("dq_run_id"), "rule", "severity", "failed", "total", F.lit(now).cast("timestamp").alias("run_at"))
-        dq.create(events.schema, properties={"appendOnly": "true"}).append(events)
+        dq.create(events.schema, properties={"appendOnly": "true"}).append(events, files=1)
         after = silver.read()
         n, keys = after.count(), passing.select(*SILVER_KEY).distinct().count()
         if n != keys:

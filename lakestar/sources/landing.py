@@ -128,7 +128,11 @@ def listing(spark: SparkSession, root: str) -> DataFrame:
         return spark.createDataFrame([], schema)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     inside = F.expr(f"substring(path, locate('{root.split('://')[-1].rstrip('/')}/', path) + {len(root.split('://')[-1].rstrip('/')) + 1})")
-    return files.select(inside.alias("key"), F.col("length").alias("size"), F.md5("content").alias("md5"))
+    read = files.select(inside.alias("key"), F.col("length").alias("size"), F.md5("content").alias("md5"))
+    # Spark passes over empty files.
+    base = root.split("://")[-1].rstrip("/") + "/"
+    empty = [(path.split(base, 1)[1], 0, None) for path, size in Files(spark, root).tree(root) if not size and not path.endswith("/_SUCCESS") and not path.rpartition("/")[2].startswith(".")]
+    return read.where("size > 0").union(spark.createDataFrame(empty, schema))
 
 
 def land(spark: SparkSession, local: str, remote: str, publisher: str, now: str) -> tuple[dict, str | None]:

@@ -39,20 +39,27 @@ def identifier(name: str) -> str:
     return name
 
 
-def ddl(name: str, schema: T.StructType, key: list[str] = ()) -> str:
-    """CREATE TABLE of a schema; a type without a warehouse type raises."""
+def column(name: str) -> str:
+    """A column's name quoted, so that it may be a word that the database keeps for itself; in upper case, as unquoted ones are."""
+    return f'"{identifier(name).upper()}"'
+
+
+def ddl(name: str, schema: T.StructType, key: list[str] = (), text: str | None = None) -> str:
+    """CREATE TABLE of a schema; a type without a warehouse type raises. ``text``: another type for texts that aren't keys."""
     columns = []
     for f in schema:
         kind = SQL_TYPES.get(f.dataType.simpleString())
+        if text and f.name not in key and isinstance(f.dataType, T.StringType):
+            kind = text
         if kind is None:
             raise ValueError(f"no warehouse type for {f.name} {f.dataType.simpleString()}")
-        columns.append(f"{identifier(f.name)} {kind}" + " NOT NULL" * (f.name in key))
-    return f"CREATE TABLE {identifier(name)} ({', '.join(columns)}" + (f", PRIMARY KEY ({', '.join(key)})" if key else "") + ")"
+        columns.append(f"{column(f.name)} {kind}" + " NOT NULL" * (f.name in key))
+    return f"CREATE TABLE {identifier(name)} ({', '.join(columns)}" + (f", PRIMARY KEY ({', '.join(map(column, key))})" if key else "") + ")"
 
 
 def index_ddl(name: str, columns: list[str]) -> list[str]:
     """CREATE INDEX of each column."""
-    return [f"CREATE INDEX idx_{identifier(name)}_{identifier(c)} ON {identifier(name)} ({c})" for c in columns]
+    return [f"CREATE INDEX idx_{identifier(name)}_{identifier(c)} ON {identifier(name)} ({column(c)})" for c in columns]
 
 
 LAYER_STATUS = "CREATE TABLE layer_status (table_name VARCHAR(200) NOT NULL PRIMARY KEY, table_version BIGINT NOT NULL, row_count BIGINT NOT NULL, published_at TIMESTAMP NOT NULL)"
@@ -79,6 +86,8 @@ class Warehouse:
     def __init__(self, spark: SparkSession, url: str, driver: str = "org.apache.derby.iapi.jdbc.AutoloadedDriver"):
         self.spark, self.url, self.driver = spark, url, driver
         self._jvm = spark.sparkContext._jvm
+        #: What Spark's writer takes a text for where it is null, if the database won't have that in a column of SQL_TYPES.
+        self.stage_text = "CLOB" if "derby" in driver else None
 
     def connect(self):
         self._jvm.java.lang.Class.forName(self.driver)
@@ -136,11 +145,11 @@ def verify(t: Transaction, rows: dict[str, int], foreign: Foreign) -> None:
         if found != n:
             raise RuntimeError(f"{name}: the warehouse holds {found} rows, not {n}")
     for child, keys in foreign.items():
-        for column, (parent, key) in keys.items():
-            c, p = identifier(column), identifier(key)
+        for foreign_key, (parent, key) in keys.items():
+            c, p = column(foreign_key), column(key)
             n = t.value(f"SELECT COUNT(*) FROM {identifier(child)} c LEFT JOIN {identifier(parent)} p ON c.{c} = p.{p} WHERE c.{c} IS NOT NULL AND p.{p} IS NULL")
             if n:
-                raise RuntimeError(f"{child}.{column} has {n} orphans")
+                raise RuntimeError(f"{child}.{foreign_key} has {n} orphans")
 
 
 def publish(warehouse: Warehouse, tables: dict[str, VersionedTable], keys: dict[str, list[str]], last: dict[str, int] | None = None, force: bool = False, dry_run: bool = False, foreign: Foreign | None = None, before_swap: Callable[[], None] | None = None) -> Publication:
@@ -153,16 +162,18 @@ def publish(warehouse: Warehouse, tables: dict[str, VersionedTable], keys: dict[
     if versions is None or dry_run:
         return Publication(versions or dict(last or {}), {}, True)
     foreign = foreign or {}
-    rows, columns = {}, {}
+    rows, columns, staged = {}, {}, {}
     if not warehouse.has("layer_status"):
         warehouse.execute(LAYER_STATUS)
     for name, table in tables.items():
         df = table.read(versions[name])
-        columns[name] = ", ".join(map(identifier, df.columns))
+        columns[name] = ", ".join(map(column, df.columns))
+        is_text = lambda f, name=name: warehouse.stage_text and f.name not in keys.get(name, []) and isinstance(f.dataType, T.StringType)
+        staged[name] = ", ".join(f"CAST({column(f.name)} AS {SQL_TYPES['string']})" if is_text(f) else column(f.name) for f in df.schema)
         if not warehouse.has(name):
             warehouse.execute(ddl(name, df.schema, keys.get(name, [])), *index_ddl(name, [c for c in foreign.get(name, {}) if c not in keys.get(name, [])[:1]]))
         if not warehouse.has(f"stage_{name}"):
-            warehouse.execute(ddl(f"stage_{name}", df.schema, keys.get(name, [])))
+            warehouse.execute(ddl(f"stage_{name}", df.schema, keys.get(name, []), warehouse.stage_text))
         warehouse.write(df, f"stage_{name}")
         rows[name] = df.count()
     if before_swap is not None:
@@ -170,7 +181,7 @@ def publish(warehouse: Warehouse, tables: dict[str, VersionedTable], keys: dict[
     with warehouse.transaction() as t:
         for name in tables:
             t.execute(f"DELETE FROM {identifier(name)}")
-            t.execute(f"INSERT INTO {identifier(name)} ({columns[name]}) SELECT {columns[name]} FROM stage_{identifier(name)}")
+            t.execute(f"INSERT INTO {identifier(name)} ({columns[name]}) SELECT {staged[name]} FROM stage_{identifier(name)}")
         t.execute("DELETE FROM layer_status")
         for name in tables:
             t.execute(f"INSERT INTO layer_status VALUES ('{identifier(name)}', {versions[name]}, {rows[name]}, CURRENT_TIMESTAMP)")

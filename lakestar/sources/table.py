@@ -7,6 +7,7 @@ them into ``data`` and commits by creating the next log file, which fails if ano
 from __future__ import annotations
 
 import json
+import re
 import time
 import uuid
 from dataclasses import dataclass, field
@@ -145,7 +146,9 @@ class VersionedTable:
         """Creates the table if it isn't there."""
         if not self.exists():
             schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-            self._commit(0, "CREATE TABLE", {}, [], [], schema=schema.jsonValue(), partition_by=list(partition_by), properties=properties or {})
+            # What one batch never lacks, a later one may.
+            nullable = json.loads(re.sub(r'("nullable"|"containsNull"|"valueContainsNull"): false', r"\1: true", json.dumps(schema.jsonValue())))
+            self._commit(0, "CREATE TABLE", {}, [], [], schema=nullable, partition_by=list(partition_by), properties=properties or {})
         return self
 
     def _aligned(self, df: DataFrame, state: dict) -> DataFrame:

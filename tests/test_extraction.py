@@ -1,11 +1,12 @@
 import base64
+import hashlib
 import json
 import zipfile
 from io import BytesIO
 
 from pyspark.sql import functions as F
 
-from lakestar.functions import authors, html, issues
+from lakestar.functions import authors, hashing, html, issues, scholar
 from lakestar.sources import blobs, landing
 
 
@@ -13,20 +14,56 @@ def node(kind, *children, text=None, **attributes):
     return {"#name": kind, "$": attributes, "$$": list(children)} | ({"_": text} if text else {})
 
 
+def mail(body):
+    return {"#name": "encoded-e-address", "__encoded": base64.b64encode(json.dumps(body).encode()).decode().rstrip("=")}
+
+
 def person(given, surname, *refs, email=None):
-    more = [node("e-address", encoded=base64.b64encode(json.dumps({"_": email}).encode()).decode().rstrip("="))] if email else []
-    return node("author", node("given-name", text=given), node("surname", text=surname), *(node("cross-ref", refid=r) for r in refs), *more)
+    return node("author", node("given-name", text=given), node("surname", text=surname), *(node("cross-ref", refid=r) for r in refs), *([mail(email)] if email else []))
+
+
+def document(*root, **affiliations):
+    return json.dumps({"affiliations": {k: node("affiliation", node("textfn", text=v)) for k, v in affiliations.items()}, "content": [{"$$": list(root)}]})
 
 
 def test_author_trees(spark):
-    linked = node("author-group", person("Ann", "B", "aff1", "aff9", email="a@b.c"), person("Cy", "D"), node("affiliation", node("textfn", text="Uni / City,, X"), id="aff1"), node("collaboration", node("text", text="The Group")))
-    shared = [node("author-group", person("Ann", "B"), node("author-group", person("Cy", "D")), node("affiliation", node("textfn", text="Uni"), id="a"))]
-    state = {"x": {"authorToken": "T"}}
-    rows = spark.createDataFrame([(0, json.dumps(linked)), (1, json.dumps(shared)), (2, "no json"), (3, None), (4, json.dumps(state))], "id int, doc string")
+    linked = document(node("author-group", person("Ann", "B", "aff1", "aff9", "cor1", email={"_": " a@b.c "}), node("author-group", person("Cy", "D", email={"_": "", "$": {"href": "mailto:c@d.e"}}))), node("collaboration", node("text", text="The Group"), person("In", "Side"), mail({"_": "g@h.i"}), node("cross-ref", refid="aff1")), aff1="Uni/City, , X")
+    shared = document(node("author-group", person("Ann", "B"), person("Cy", "D")), node("affiliation", node("textfn", text=" Uni  ,, Town "), id="a"))
+    two = document(person("Ann", "B"), a1="One", a2="Two")
+    rows = spark.createDataFrame([(0, linked), (1, shared), (2, "no json"), (3, None), (4, json.dumps({"x": [{"authorToken": ""}, {"authorToken": "T"}]})), (5, two), (6, "[1]"), (7, '{"content": []}')], "id int, doc string")
     got = {r.id: r.p for r in rows.select("id", authors.people(F.col("doc")).alias("p")).collect()}
-    assert [tuple(a) for a in got[0].authors] == [("Ann B", "Uni City X\\[MISSING:aff9]", "a@b.c"), ("Cy D", "", "")] and got[0].corporate == ["The Group"]
-    assert [a.affiliation for a in got[1].authors] == ["Uni", "Uni"] and got[2].authors == got[3].authors == [] and got[4].token == "T"
-    assert authors.decode_email("%%%") == "" and authors.decode_email(None) == ""
+    assert [tuple(a) for a in got[0].authors] == [("Ann B", "Uni City X\\[MISSING:aff9]", "a@b.c"), ("Cy D", "", "c@d.e"), ("In Side", "", "")]
+    assert [tuple(a) for a in got[0].corporate] == [("The Group", "Uni City X", "g@h.i")]
+    assert [a.affiliation for a in got[1].authors] == ["Uni Town", "Uni Town"] and [a.affiliation for a in got[5].authors] == [""]
+    assert all(got[i].authors == [] for i in (2, 3, 4, 6, 7)) and got[4].token == "T"
+    assert authors.decode_email("%%%") == "" and authors.decode_email(None) == "" and authors.decode_email("") == ""
+    assert authors.tidy_affiliation("A/ B , ,, C") == "A B C"
+
+
+def test_pages_that_lack_things_and_broken_ones():
+    empty = scholar.article_facts(None)
+    assert empty["failed"] == [] and empty["funding"] == "" and "doi" not in empty
+    assert scholar.issue_facts("<ol class='js-article-list article-list-items'>", None)["articles"] == []
+    first = scholar.article_facts("<html><title> A title - ScienceDirect </title><h1>x</h1>")
+    assert first["english_title"] == "A title"
+    broken = scholar.article_facts('<div id="abstracts"><div lang="en"><p>un<b>closed <i>both</i>')
+    assert broken["english_abstract"] == "unclosed both" and [r["bold"] for r in broken["english_abstract_rich"]] == [False, True, True]
+
+
+def test_abstracts_and_titles():
+    foreign = scholar.article_facts('<h1 id="screen-reader-main-title"><span class="title-text">Le <i>titre</i></span><span class="article-alt-title" lang="en">The title</span></h1><div id="abstracts"><div><h2>Resumen</h2><p>es</p></div></div>')
+    assert (foreign["english_title"], foreign["foreign_title"]) == ("The title", "Le titre") and [r["italic"] for r in foreign["foreign_title_rich"]] == [False, True] and "english_abstract" not in foreign
+    parts = scholar.article_facts('<div id="abstracts"><div class="graphical"><h2>Abstract</h2></div><div><h2>Abstract</h2><h3>Aim</h3><div>To <sup>2</sup> see</div><h3>End</h3><div> Seen </div></div></div>')
+    assert parts["english_abstract"] == "Aim\nTo 2 see\n\nEnd\nSeen" and [r["text"] for r in parts["english_abstract_rich"]] == ["Aim\n", "To ", "2", " see\n\nEnd\nSeen"]
+    nested = '<div id="keywords"><div class="keywords-section"><h2>Keywords</h2><div><div class="keyword"><span>deep</span></div></div></div></div>'
+    assert scholar.article_facts(nested)["keywords"] == "deep"
+
+
+def test_payload_hash_is_that_of_canonical_json(spark):
+    row = spark.createDataFrame([("b", None, ["z", "a"], "x", "r")], "b string, a string, l array<string>, source_url string, t_rich string")
+    got = row.select(hashing.payload_hash(F.struct("*")).alias("h")).first().h
+    assert got == hashlib.sha256('{"a":null,"b":"b","l":["z","a"]}'.encode()).hexdigest()
+    assert hashing.canonical_json({"é": 1, "a": [2]}) == '{"a":[2],"é":1}'
 
 
 def test_issue_facts(spark):

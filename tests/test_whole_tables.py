@@ -17,7 +17,7 @@ def test_asof_join_gives_every_event_its_version(spark, tmp_path):
             before = kind
         valid = [c for c, after in zip(changes, [*changes[1:], (datetime.datetime.max, None)], strict=True) if c[0] <= ts < after[0]] if changes else []
         want.append((event, user, valid[0][1] if valid else None, valid[0][0] if valid else None))
-    got = sorted(tuple(r) for r in catalog.QUERIES["r24_asof_join_whole"](spark, str(tmp_path)).collect())
+    got = sorted(tuple(r) for r in catalog.QUERIES["r24_asof_join"](spark, str(tmp_path)).collect())
     assert got == sorted(want, key=lambda r: r[0])
 
 
@@ -27,15 +27,15 @@ def test_entry_covers_every_event(spark, sf_dir):
 
 def test_every_page_has_an_action(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    plan = catalog.QUERIES["r61_landing_plan_whole"](spark, sf_dir)
+    plan = catalog.QUERIES["r61_landing_plan"](spark, sf_dir)
     assert plan.count() == pages.count() and plan.where("action is null").count() == 0
     assert {r.action for r in plan.select("action").distinct().collect()} == {"empty", "new", "unchanged", "replaced"}
 
 
 def test_markers_and_deletes_see_every_row(spark, sf_dir):
     events = [r.event_id for r in spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id").collect()]
-    keys = {r.key for r in catalog.QUERIES["r61_pending_markers_whole"](spark, sf_dir).collect()}
+    keys = {r.key for r in catalog.QUERIES["r61_pending_markers"](spark, sf_dir).collect()}
     assert keys == {f"m/{e}.json" for e in events if e % 2}
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderstatus").collect()
-    kept = {r.o_orderkey for r in catalog.QUERIES["r54_merge_delete_by_source_whole"](spark, sf_dir).collect()}
+    kept = {r.o_orderkey for r in catalog.QUERIES["r54_merge_delete_by_source"](spark, sf_dir).collect()}
     assert kept == {k for k, status in orders if k % 3 == 0 or status != "F"}
