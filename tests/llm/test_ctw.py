@@ -77,3 +77,20 @@ def test_nothing_to_learn(spark):
     assert ctw.score(spark.createDataFrame([], schema)).collect() == []
     row = ctw.score(spark.createDataFrame([(None, "ab")], schema)).first()
     assert row.score == pytest.approx(-24 * math.log10(2)) and row.base_score == 0 and row.train_tokens == 0
+
+
+def test_a_very_long_text_scores_as_the_sum_of_its_symbols(spark):
+    """Longer than a piece; against the trees' own probabilities of each symbol."""
+    import numpy as np
+
+    text = "ab c" * 200_000
+    rows = [(i, "abc " * 30) for i in range(30)] + [(100, text), (100, text)]
+    got = [r for r in ctw.score(spark.createDataFrame(rows, "doc_id long, text string")).collect() if r.doc_id == 100]
+    assert len(got) == 2 and abs(got[0].score - got[1].score) < 1e-6 * abs(got[0].score) and got[0].n_tokens == 200_001 + 1
+    train = [t for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2]
+    data = [np.frombuffer(t.encode(), np.uint8) for t in train]
+    offsets = np.concatenate(([0], np.cumsum([len(d) for d in data])))
+    codes, n = np.unique(ctw.symbols(offsets, np.concatenate(data))[0], return_counts=True)
+    trees = ctw.Trees(codes, n, range(0, ctw.DEPTH + 1))
+    own = ctw.symbols(np.array([0, len(text)]), np.frombuffer(text.encode(), np.uint8))[0]
+    assert abs(got[0].score - trees.log10(own).sum()) < 1e-6 * abs(got[0].score)

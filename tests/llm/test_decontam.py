@@ -47,3 +47,11 @@ def test_empty_tables(spark):
 
 def test_query_matches_sql(spark, sf_dir):
     compare(spark, sf_dir, queries.queries()["op3_decontaminate"], queries.oracle_sql()["op3_decontaminate"])
+
+
+def test_blocks_are_bounded_by_words_and_bytes(spark):
+    items = spark.createDataFrame([(f"i{k}", " ".join(f"w{k}x{j}" for j in range(30))) for k in range(20)] + [("i0", " ".join(f"w0x{j}" for j in range(30)))], "item_id string, text string")
+    docs = spark.createDataFrame([(1, " ".join(f"w{k}x{j}" for k in (3, 17) for j in range(5, 25))), (1, " ".join(f"w{k}x{j}" for k in (3, 17) for j in range(5, 25))), (2, "nothing of them"), (None, None)], "doc_id long, text string")
+    whole = sorted(map(str, decontam.contamination(docs, items).collect()))
+    assert sorted(map(str, decontam.contamination(docs, items, max_words=70).collect())) == whole == sorted(map(str, decontam.contamination(docs, items, max_bytes=300).collect()))
+    assert len(list(decontam._blocks(items, 70, 1 << 20))) == 10 and len(list(decontam._blocks(items, 10_000, 300))) >= 10

@@ -47,3 +47,29 @@ def test_other_lengths_and_empty_table(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted((tuple(r) for r in sadedup.deduplicate(df, 64).collect()), key=str) == brute(rows, 64)
     assert sadedup.deduplicate(df.limit(0)).collect() == []
+
+
+def test_very_long_texts_and_ids_of_text(spark):
+    """Repeats far apart in one long text and between long texts of different pieces; ids may be texts."""
+    rng = random.Random(6)
+    alphabet = "abcdefghijklmnopqrstuvwxyz "
+    passage = "".join(rng.choice(alphabet) for _ in range(1500))
+    long = "".join(rng.choice(alphabet) for _ in range(2_000_000))
+    x = long[:300_000] + passage + long[300_000:1_900_000] + passage + long[1_900_000:]
+    y = "".join(rng.choice(alphabet) for _ in range(50_000)) + passage[100:700] + "".join(rng.choice(alphabet) for _ in range(999))
+    rows = [("x", x), ("y", y), (None, "short"), ("z", "é" * 300)]
+    got = {r.doc_id: r for r in sadedup.deduplicate(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert (got["x"].n_removed, got["x"].n_spans) == (3000, 2) and (got["y"].n_removed, got["y"].n_spans) == (600, 1)
+    assert got["x"].kept_sha256 == hashlib.sha256((long).encode()).hexdigest() and got["z"].n_removed == 600 and got[None].n_removed == 0
+
+
+def test_equal_strings_choose_equal_anchors_in_pieces_of_any_size():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    text = rng.integers(97, 123, 3000).astype(np.uint8)
+    _, s0, s1, rank, context = sadedup.runs(np.array([0, 3000]), text)
+    padded = np.concatenate([rng.integers(97, 123, 3_000_000).astype(np.uint8), text])
+    _, t0, t1, more, contexts = sadedup.runs(np.array([0, 3_000_000, 3_003_000]), padded)
+    keep = np.flatnonzero(np.arange(len(more)) >= len(more) - len(rank))
+    assert (more[keep] == rank).all() and (contexts[keep] == context).all() and (t0[keep] == s0).all() and (t1[keep] == s1).all()

@@ -45,3 +45,11 @@ def test_large_components_saturate(spark):
 
 def test_query_matches_sql(spark, sf_dir):
     compare(spark, sf_dir, queries.queries()["op5_topk"], queries.oracle_sql()["op5_topk"])
+
+
+def test_very_long_vectors_and_ties(spark):
+    rng = random.Random(3)
+    wide = [(i, [rng.choice((0.0, 0.0, 0.0, rng.uniform(-2, 2))) for _ in range(6000)]) for i in range(24)]
+    rows = wide + [(100 + i, wide[3][1]) for i in range(9)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.neighbours(df, 10).collect()) == brute(rows, 10)

@@ -1,4 +1,5 @@
 import itertools
+import math
 
 from lakestar.llm import queries, urlfilter
 
@@ -45,3 +46,35 @@ def test_rules_and_splitting(spark):
 def test_query(spark, sf_dir):
     df = queries.op10_url_filter(spark, sf_dir)
     assert df.columns[:5] == ["page_id", "host", "path", "rule", "verdict"] and {r.verdict for r in df.collect()} == {"allow", "block"}
+
+
+def test_verdict_is_the_multinomial_bayes():
+    labelled = [("spamwin.x/casino", "block"), ("casinowin.x/a/b", "block"), ("blog.y/news", "allow"), ("newsblog.z/casino", "allow"), ("blog.w/", "allow")]
+    words = {"spam": 5, "win": 5, "casino": 5, "blog": 5, "news": 5}
+    m = urlfilter.train(labelled, words)
+    seen = {v: [w for u, x in labelled if x == v for w in m.tokens(u.partition("/")[0], u.partition("/")[2])] for v in ("block", "allow")}
+    every = set(seen["block"]) | set(seen["allow"])
+
+    def log(v, tokens):
+        total = math.log((sum(x == v for _, x in labelled) + 1) / (len(labelled) + 2))
+        return total + sum(math.log((seen[v].count(w) + 1) / (len(seen[v]) + len(every) + 1)) for w in tokens if w in every)
+
+    for host, path in (("wincasino.q", "/news"), ("spamblog.q", ""), ("zzz.q", "/casino/casino"), ("", ""), ("newswin", "/spam")):
+        tokens = m.tokens(host, path)
+        assert abs(m.score(host, path) - (log("block", tokens) - log("allow", tokens))) < 1e-9
+
+
+def test_long_repeated_and_tied_urls(spark):
+    tied = urlfilter.train([("aa.x", "block"), ("bb.x", "allow")], {"aa": 1, "bb": 1})
+    assert tied.score("cc.x", "") == 0 == tied.score("", "")
+    long = "https://" + "cheappills" * 400 + ".net/" + "casino/" * 3000
+    df = spark.createDataFrame([(1, long), (1, long), (None, long), (2, "https://cc.x/")], "page_id long, url string")
+    got = urlfilter.judge(df, queries.URL_RULES).collect()
+    assert len(got) == 4 and [r.verdict for r in got[:3]] == ["block"] * 3 and got[0].path == "/" + "casino/" * 3000
+    assert urlfilter.judge(df.where("page_id = 2"), (), tied).first().verdict == "allow"
+
+
+def test_dictionary_counts_the_whole_table(spark):
+    pages = spark.createDataFrame([("http://hostname.x/alpha/beta-x", "<p class='no'>Gamma gamma delta</p>"), ("http://other.x/alpha", None), (None, "<b>delta</b>")], "url string, html string")
+    assert urlfilter.vocabulary(pages) == {"alpha": 2, "delta": 2, "gamma": 2} and urlfilter.vocabulary(pages.limit(0)) == {}
+    assert set(urlfilter.mixed({"alpha": 2}, {"beta": 1})) == {"alpha", "beta"} and urlfilter.mixed({"a": 1, "b": 3}, {"a": 1}) == {"a": 0.5 * 0.25e6 + 0.5e6, "b": 0.5 * 0.75e6}
