@@ -2,8 +2,9 @@
 
 A byte-pair encoding is run as a deterministic transducer: a state is what of the pre-token so far can still change (the
 longest suffix that begins some token, with the last token and relative token count at each place in it), and each
-transition carries the change in the token count. Transitions are compiled when a text first takes them and kept in one
-table (state x byte), within a bound; where pre-tokens begin, the transducer starts anew.
+transition carries the change in the token count. A transition is compiled when texts ask for it the second time, and kept in one
+table (state x byte), within a bound; the first time, the rest of the pre-token is merged by the definition, for a word
+that never comes again isn't worth its states. Where pre-tokens begin, the transducer starts anew.
 
 Texts run side by side: their bytes, whatever their lengths, are cut into chunks of ``CHUNK`` bytes, and one vector step
 takes the next byte of every chunk. A chunk's state map (entering state to leaving state and counts) is constant from the
@@ -20,7 +21,8 @@ doc_id and text are ignored, whatever their names. A definition with parts that
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -35,10 +37,13 @@ CHUNK = 64
 #: The table's bound, in entries of 4 bytes, and the states': past either a worker compiles anew.
 MAX_ENTRIES = 32_000_000
 MAX_STATES = 150_000
+#: Bits of the hash by which it is noted that a transition was asked for before.
+SEEN = 22
 #: Character classes of the byte-level pre-tokenizer's pattern.
 OTHER, LETTER, NUMBER, SPACE = range(4)
 #: What the pre-tokenizer splits off behind an apostrophe.
 CONTRACTIONS = ("s", "t", "m", "d", "re", "ve", "ll")
+_NO_PAIR = 1 << 60
 _BYTES = [bytes([b]) for b in range(256)]
 
 
@@ -115,10 +120,14 @@ class Transducer:
         raw = lambda s: bytes(letter[c] for c in s)
         self.special = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in spec["model"]["merges"]]
-        self.rank = {(raw(a), raw(b)): i for i, (a, b) in reversed([*enumerate(merges)])}
-        self.tokens = [b"", *dict.fromkeys([*_BYTES, *(a + b for a, b in sorted(self.rank, key=self.rank.get))])]
-        #: Tokens that their own merges lead to, by number; 0 stands for the start of a pre-token.
-        self.number = {t: i for i, t in enumerate(self.tokens) if i and (len(t) == 1 or self.merge(t) == [t])}
+        pairs = [(raw(a), raw(b)) for a, b in merges]
+        #: All tokens by number; 0 stands for the start of a pre-token.
+        self.tokens = [b"", *dict.fromkeys([*_BYTES, *(a + b for a, b in pairs)])]
+        at = {t: i for i, t in enumerate(self.tokens)}
+        #: Pair of tokens (first << 20 | second) to its rank << 20 | what it merges to.
+        self.pairs = {at[a] << 20 | at[b]: rank << 20 | at[a + b] for rank, (a, b) in reversed([*enumerate(pairs)])}
+        #: Tokens that their own merges lead to.
+        self.number = {t: i for t, i in at.items() if i and self.merge(t) == [i]}
         self.prefixes = {t[:i] for t in self.number for i in range(len(t) + 1)}
         self.cut = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
         self.classes = _classes()
@@ -148,6 +157,8 @@ class Transducer:
         self.table = np.full((1024, 64), -1, np.int32)
         self.table[0] = 128
         self._valid: dict[int, bool] = {}
+        #: Marks of the transitions that were asked for, by a hash.
+        self.seen = np.zeros(1 << SEEN, bool)
         self.start = self._name((b"", 0, 0))
 
     def _name(self, state: tuple) -> int:
@@ -158,14 +169,19 @@ class Transducer:
                 self.table = np.concatenate([self.table, np.full_like(self.table, -1)])
         return at
 
-    def merge(self, data: bytes) -> list[bytes]:
+    def merge(self, data: bytes) -> list[int]:
         """Merges by rank, from single bytes: the definition, for short strings only."""
-        parts = [data[i : i + 1] for i in range(len(data))]
-        while len(parts) > 1:
-            rank, i = min((self.rank.get((parts[i], parts[i + 1]), 1 << 40), i) for i in range(len(parts) - 1))
-            if rank == 1 << 40:
-                break
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        parts = [b + 1 for b in data]
+        get = self.pairs.get
+        ranks = [get(a << 20 | b, _NO_PAIR) for a, b in pairwise(parts)]
+        while ranks and (least := min(ranks)) != _NO_PAIR:
+            i = ranks.index(least)
+            parts[i : i + 2] = [least & 0xFFFFF]
+            del ranks[i]
+            if i < len(ranks):
+                ranks[i] = get(parts[i] << 20 | parts[i + 1], _NO_PAIR)
+            if i:
+                ranks[i - 1] = get(parts[i - 1] << 20 | parts[i], _NO_PAIR)
         return parts
 
     def _follows(self, a: int, b: int) -> bool:
@@ -173,8 +189,7 @@ class Transducer:
         key = a << 32 | b
         found = self._valid.get(key)
         if found is None:
-            first, second = self.tokens[a], self.tokens[b]
-            found = self._valid[key] = self.merge(first + second) == ([first, second] if a else [second])
+            found = self._valid[key] = self.merge(self.tokens[a] + self.tokens[b]) == ([a, b] if a else [b])
         return found
 
     def _compile(self, at: int, byte: int) -> None:
@@ -220,15 +235,31 @@ class Transducer:
             self.table = np.concatenate([self.table, wider], axis=1)
         return self.column[data]
 
-    def step(self, state: np.ndarray, column: np.ndarray, byte: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Next state and emitted count of many states, each on a byte of its own."""
+    def step(self, state: np.ndarray, column: np.ndarray, byte: np.ndarray, rest: Callable[[np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Next state and emitted count of many states, each on a byte of its own.
+
+        A transition that is asked for the second time is compiled. At the first time the lanes (their indices go to
+        ``rest``) are given what the rest of their pre-tokens emits, by the definition, and go on in state 0; -1 there
+        means that the pre-token is too long for that, and its transition is compiled at once.
+        """
         move = self.table[state, column]
         missing = np.flatnonzero(move < 0)
-        if len(missing):
-            for key in np.unique(state[missing] << 8 | byte[missing]).tolist():
-                self._compile(key >> 8, key & 255)
-            move = self.table[state, column]
-        return (move >> 8).astype(np.int64), (move & 255).astype(np.int16) - 128
+        if not len(missing):
+            return (move >> 8).astype(np.int64), (move & 255).astype(np.int32) - 128
+        keys = state[missing] << 8 | byte[missing]
+        slot = (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SEEN)
+        new = missing[~self.seen[slot]]
+        self.seen[slot] = True
+        emitted = rest(new) if len(new) else np.zeros(0, np.int32)
+        new, emitted = new[emitted >= 0], emitted[emitted >= 0]
+        told = np.zeros(len(state), bool)
+        told[new] = True
+        for key in np.unique(keys[~told[missing]]).tolist():
+            self._compile(key >> 8, key & 255)
+        move = np.where(told, 128, self.table[state, column])
+        count = (move & 255).astype(np.int32) - 128
+        count[new] = emitted
+        return (move >> 8).astype(np.int64), count
 
     def emitted(self, offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
         """Tokens of each of the texts, which hold no added tokens."""
@@ -244,38 +275,53 @@ class Transducer:
         starts[:n] = token_starts(offsets, data, self.classes)
         if chunks * CHUNK > n:
             starts[n] = True
+        edges, raw = np.append(np.flatnonzero(starts[:n]), n), data.tobytes()
         # Row j holds byte j of every chunk.
         byte = np.ascontiguousarray(padded.reshape(chunks, CHUNK).T).astype(np.int64)
         column = self._columns(byte)
         begins = np.ascontiguousarray(starts.reshape(chunks, CHUNK).T)
-        count = np.zeros((CHUNK, chunks), np.int16)
-        state = np.zeros(chunks, np.int64)
+        count = np.zeros((CHUNK, chunks), np.int32)
+        state, sofar = np.zeros(chunks, np.int64), np.zeros(chunks, np.int32)
+
+        def rest(j: int, at: np.ndarray, before: np.ndarray) -> np.ndarray:
+            """What the pre-tokens that chunks ``at`` are in at byte j emit from there on."""
+            place = at * CHUNK + j
+            token = np.searchsorted(edges, place, "right") - 1
+            out = np.full(len(at), -1, np.int32)
+            for i, (a, b) in enumerate(zip(edges[token].tolist(), edges[np.minimum(token + 1, len(edges) - 1)].tolist(), strict=True)):
+                if 0 < b - a <= CHUNK:
+                    out[i] = len(self.merge(raw[a:b])) - before[i]
+            # Less than nothing is rare, and can't be told from "too long": such a transition is compiled.
+            return out
+
         for j in range(CHUNK):
-            state[begins[j]] = self.start
-            state, count[j] = self.step(state, column[j], byte[j])
+            state[begins[j]], sofar[begins[j]] = self.start, 0
+            state, count[j] = self.step(state, column[j], byte[j], lambda i, j=j: rest(j, i, sofar[i]))
+            sofar += count[j]
 
-        def head(at: np.ndarray, entering: np.ndarray, into: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        def head(at: np.ndarray, entering: np.ndarray, before: np.ndarray, into: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             """Runs chunks from the states they are entered in up to their first pre-token; those without one, and how they are left."""
             for j in range(CHUNK):
                 on = ~begins[j, at]
-                at, entering = at[on], entering[on]
+                at, entering, before = at[on], entering[on], before[on]
                 if not len(at):
                     break
-                entering, emitted = self.step(entering, column[j, at], byte[j, at])
+                entering, emitted = self.step(entering, column[j, at], byte[j, at], lambda i, j=j, at=at, before=before: rest(j, at[i], before[i]))
+                before = before + emitted
                 if into is not None:
                     into[j, at] = emitted
-            return at, entering
+            return at, entering, before
 
         inside = np.flatnonzero(~begins.any(axis=0))
         if len(inside):  # a first guess at what the chunks of long pre-tokens are left in
-            at, left = head(inside, np.full(len(inside), self.start), None)
+            at, left, _ = head(inside, np.full(len(inside), self.start), np.zeros(len(inside), np.int32), None)
             state[at] = left
         headed = np.flatnonzero(~begins[0])
         entered = np.full(chunks, -1, np.int64)
         while len(headed):
             entered[headed] = state[headed - 1]
-            at, left = head(headed, entered[headed], count)
-            state[at] = left
+            at, left, before = head(headed, entered[headed], sofar[headed - 1], count)
+            state[at], sofar[at] = left, before
             moved = at[at + 1 < chunks] + 1
             headed = moved[~begins[0, moved]]
             headed = headed[entered[headed] != state[headed - 1]]
