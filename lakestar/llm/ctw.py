@@ -15,7 +15,8 @@ corpus: at most ``FREQUENT`` tokens, the most frequent, are broadcast, and all o
 
 Defined results: a null text counts as empty: one end symbol, one end token. Rows without a doc_id belong to no fold:
 they are scored, but not learnt from, and not held out. With nothing to learn from, every bit costs one bit. Repeated
-rows are learnt from and scored each.
+rows are learnt from and scored each. A very long text is scored as a whole, in memory of some 60 times its size. An empty
+table gives no rows, and other columns are ignored, whatever their names. There are no ties to decide.
 """
 
 from __future__ import annotations

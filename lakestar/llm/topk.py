@@ -8,6 +8,8 @@ Defined results: vectors that are null or hold null or non-finite components tak
 A shorter vector has no weight in the terms it lacks. Candidates are all rows with another vec_id than the query's; ties
 go to the smaller vec_id, and rows repeated under one vec_id are candidates each. A query repeated under one vec_id is
 asked once (the smallest vector that takes part). Scores past 64 bits saturate. Null vec_ids are no queries and no candidates.
+Very long vectors are terms as others; a task holds 1024 candidates at a time. Empty tables give no rows, and other columns
+are ignored, whatever their names.
 """
 
 from __future__ import annotations
