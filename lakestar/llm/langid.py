@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakestar.llm.common import extended, fold, pieces
+from lakestar.llm.common import extended, fold, pieces, release
 
 #: Hashed n-gram features; a fixed size, so that the model is too.
 FEATURES = 1 << 13
@@ -28,7 +28,7 @@ ORDERS = (1, 2, 3)
 #: Lengths are told apart by powers of two of the number of letters, for the radius.
 LENGTHS = 24
 #: Bytes and rows of text that are counted at a time.
-PIECE, ROWS = 1 << 19, 128
+PIECE, ROWS, SLICE = 1 << 18, 64, 512
 #: Texts of each language in the sample, however many languages there are.
 LEAST = 20
 
@@ -86,10 +86,19 @@ def _has_letter(text: str | None) -> bool:
     return text is not None and (any(map(str.isalpha, text[:64])) or any(map(str.isalpha, text)))
 
 
+def _lowered(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """``pieces`` of the lower-cased texts, lowered SLICE rows at a time; what was freed goes back to the system."""
+    for at in range(0, len(texts), SLICE):
+        for first, offsets, data in pieces(pc.utf8_lower(texts.slice(at, SLICE)), PIECE, ROWS):
+            yield at + first, offsets, data
+    release()
+
+
 def _document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    release()
     df, n = np.zeros(FEATURES, np.int64), 0
     for batch in batches:
-        for _, offsets, data in pieces(pc.utf8_lower(batch.column("text")), PIECE, ROWS):
+        for _, offsets, data in _lowered(batch.column("text")):
             found, _ = counts(offsets, data)
             df += (found > 0).sum(axis=0)
             n += len(found)
@@ -119,7 +128,7 @@ def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Term counts of each text with a letter, as bytes of the terms (uint16) and of their counts (float32)."""
     for batch in batches:
         texts = batch.column("text")
-        for first, offsets, data in pieces(pc.utf8_lower(texts), PIECE, ROWS):
+        for first, offsets, data in _lowered(texts):
             found, letters = counts(offsets, data)
             rows = [i for i in range(len(letters)) if _has_letter(texts[first + i].as_py())]
             terms = [np.flatnonzero(found[i]) for i in rows]
@@ -190,12 +199,13 @@ def identify(docs: DataFrame, model: CentroidModel) -> DataFrame:
     docs = docs.drop(*clash)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()  # what an earlier stage has left in this worker
         m = shared.value
         for batch in batches:
             texts = batch.column("text")
             best, lang, letters = np.zeros(len(texts)), np.zeros(len(texts), int), np.zeros(len(texts), int)
             if m.languages:
-                for first, offsets, data in pieces(pc.utf8_lower(texts), PIECE, ROWS):
+                for first, offsets, data in _lowered(texts):
                     found, n = counts(offsets, data)
                     cosine = vectors(found, m.idf) @ m.centroids
                     rows = slice(first, first + len(n))
