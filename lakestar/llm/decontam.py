@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakestar.llm.common import extended, materialize
+from lakestar.llm.common import extended, materialize, release
 
 #: Bytes to words: A-Z fall to lower case; what is neither a letter, a digit nor beyond ASCII separates.
 _WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -186,6 +186,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_words: int
             docs = materialize(docs, "decontam")
 
         def one(batches: Iterator[pa.RecordBatch], shared=shared, earlier=has_earlier) -> Iterator[pa.RecordBatch]:
+            release()  # what an earlier stage has left in this worker
             sam = shared.value
             get = sam.vocabulary.get
             for batch in batches:
