@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakestar.session import shared_folder
+from lakestar.sources.files import Files
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -30,6 +31,13 @@ def cleared(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def discard(*written: DataFrame) -> None:
+    """Deletes the files of materialized tables that nothing will read again: what was made of them must be written."""
+    for df in written:
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            Files(df.sparkSession, folder).delete(folder)
+
+
 def numbered(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """``df`` written with one more column that tells its rows apart, and that column's name."""
     row = "row"

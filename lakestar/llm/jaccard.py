@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakestar.llm.common import cleared, extended, materialize, mix64, numbered, pieces, word_names
+from lakestar.llm.common import cleared, discard, extended, materialize, mix64, numbered, pieces, release, word_names
 
 #: Rows of a column that are multiplied with all others in the first round, and by how much they grow from round to round.
 #: Few at first: most rows of a group of near copies link to one of its first rows, and are spared the others.
@@ -95,8 +95,9 @@ def _sets(n: int, threshold: int | None):
     """Arrow function: adds n_shingles, the set's names s1 and s2, and ``grams``: the first columns by name, or all (no threshold)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()  # what an earlier stage has left in this worker
         for batch in batches:
-            for first, offsets, data in pieces(batch.column("text"), 1 << 20):
+            for first, offsets, data in pieces(batch.column("text"), 1 << 18):
                 rows = shingles(offsets, data, n)
                 part = batch.slice(first, len(rows))
                 names = [c for c in part.schema.names if c != "text"]
@@ -107,6 +108,7 @@ def _sets(n: int, threshold: int | None):
                 flat = np.concatenate(cut).view(np.int64) if cut else np.zeros(0, np.int64)
                 arrays.append(pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum([len(r) for r in cut]))), pa.int32()), pa.array(flat)))
                 yield pa.RecordBatch.from_arrays(arrays, names=[*names, "n_shingles", "s1", "s2", "grams"])
+            release()
 
     return run
 
@@ -125,9 +127,11 @@ def _connected(edges: DataFrame, name: str) -> DataFrame:
         least = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), name)
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = materialize(large.where("a <> b").distinct(), name)
+        discard(edges, least)
         least = materialize(large.groupBy("a").agg(F.min("b").alias("m")), name)
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = materialize(small.union(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct(), name)
+        discard(large, least)
         # Both sides hold distinct edges (larger, smaller): equal sums and counts of names mean nothing moved.
         after = sign(edges)
         if after == before:
@@ -136,7 +140,10 @@ def _connected(edges: DataFrame, name: str) -> DataFrame:
 
 
 def _live(docs: DataFrame, sets: DataFrame, rows: DataFrame, n: int, threshold: int) -> DataFrame:
-    """The rows that may be in a link: sid, n, grams (the columns that others have too, rare ones first) and how many of these are multiplied."""
+    """The rows that may be in a link: sid, n, grams (the columns that others have too, rare ones first) and how many of these are multiplied.
+
+    ``rows`` is deleted when it has been read.
+    """
     # Columns among the first ones of different sets, and how many of them each row has. Written first, so that the join
     # has plain shuffles on both sides and Spark can split a column that very many rows have.
     first = rows.where("n_shingles > 1").select("row", "s1", F.explode("grams").alias("g"))
@@ -145,6 +152,7 @@ def _live(docs: DataFrame, sets: DataFrame, rows: DataFrame, n: int, threshold:
     cleared(docs.sparkSession)
     hits = first.select("row", "g").join(twice, "g", "left_semi").groupBy(F.col("row").alias("sid")).agg(F.count("*").alias("hits"))
     hits = materialize(hits, "jaccard-hits")
+    discard(rows)
     cleared(docs.sparkSession)
     hits = sets.join(hits, "sid").where(F.col("hits") >= _more(needed(F.col("n_shingles"), threshold)))
     alive = materialize(hits.select("sid", "n_shingles", "s1", "s2", "t1", "of"), "jaccard-alive")
@@ -164,7 +172,10 @@ def _live(docs: DataFrame, sets: DataFrame, rows: DataFrame, n: int, threshold:
     shared = entries.join(df, "g").groupBy("sid").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "g"))).alias("x"))
     shared = shared.where(F.size("x") >= needed(F.col("n"), threshold))
     # Columns that no other row has come first in the order, so only the rest of the prefix is multiplied.
-    return materialize(shared.select("sid", "n", F.col("x.g").alias("grams"), (F.size("x") - needed(F.col("n"), threshold) + 1).cast("int").alias("prefix")), "jaccard-live")
+    live = materialize(shared.select("sid", "n", F.col("x.g").alias("grams"), (F.size("x") - needed(F.col("n"), threshold) + 1).cast("int").alias("prefix")), "jaccard-live")
+    discard(full, df)
+    cleared(docs.sparkSession)
+    return live
 
 
 def _labels(live: DataFrame, threshold: int) -> DataFrame:
@@ -174,14 +185,21 @@ def _labels(live: DataFrame, threshold: int) -> DataFrame:
     entries = live.select("sid", "n", F.size("grams").alias("c"), F.explode(placed).alias("x")).select("sid", "n", "c", "x.p", "x.g", "x.before")
     own = F.col("sid")
     entries = entries.withColumns({"label": own, "pivot": own, "far": F.lit(0.0)})
-    labels, block = None, BLOCK
+    labels, block, spent = None, BLOCK, []
     while True:
         # Columns that still join rows of different components.
         entries = materialize(entries, "jaccard-entries")
+        discard(*spent)
+        whole = entries
         apart = entries.groupBy("g").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("g")
-        entries = materialize(entries.join(materialize(apart, "jaccard-apart"), "g", "left_semi"), "jaccard-entries")
+        apart = materialize(apart, "jaccard-apart")
+        entries = materialize(entries.join(apart, "g", "left_semi"), "jaccard-entries")
+        discard(whole, apart)
+        spent = [entries]
         if entries.isEmpty():
-            return live.select(F.col("sid").alias("node"), F.col("sid").alias("label")).limit(0) if labels is None else labels
+            discard(entries, live)
+            none = live.sparkSession.createDataFrame([], "node long, label long")
+            return none if labels is None else labels
         place = F.row_number().over(Window.partitionBy("g").orderBy("sid"))
         names = {"sid": "h", "n": "nh", "c": "ch", "p": "ph", "label": "other", "pivot": "pivot_h", "far": "far_h", "before": "before_h"}
         hubs = materialize(entries.withColumn("place", place).where(F.col("place") <= block).drop("place").withColumnsRenamed(names), "jaccard-hubs")
@@ -194,10 +212,13 @@ def _labels(live: DataFrame, threshold: int) -> DataFrame:
             # 1 - Jaccard is a metric: rows whose distances from one row differ by more than a link's are no link.
             fits &= (F.col("pivot") != F.col("pivot_h")) | (F.abs(F.col("far") - F.col("far_h")) <= 1 - threshold / 100 + 1e-9)
         pairs = entries.join(hubs, "g").where(fits).select("h", "nh", "sid", "n").distinct()
-        pairs = materialize(pairs, "jaccard-pairs").join(live.select("sid", F.col("grams").alias("mine")), "sid")
+        drawn = materialize(pairs, "jaccard-pairs")
+        pairs = drawn.join(live.select("sid", F.col("grams").alias("mine")), "sid")
         pairs = pairs.join(live.select(F.col("sid").alias("h"), F.col("grams").alias("theirs")), "h")
         both = F.size(F.array_intersect("mine", "theirs"))
         tested = materialize(pairs.select("h", "sid", "n", "nh", both.alias("both")), "jaccard-tested")
+        discard(drawn)
+        spent += [hubs, tested]
         links = tested.where(100 * F.col("both") >= threshold * (F.col("n") + F.col("nh") - F.col("both"))).select(F.col("sid").alias("a"), F.col("h").alias("b"))
         entries = entries.join(hubs.select("g", F.col("h").alias("sid")), ["g", "sid"], "left_anti")
         if labels is None:
@@ -205,6 +226,7 @@ def _labels(live: DataFrame, threshold: int) -> DataFrame:
             far = F.lit(1.0) - F.col("both") / (F.col("n") + F.col("nh") - F.col("both"))
             pivots = tested.groupBy("sid").agg(F.min(F.struct(F.col("h"), far.alias("far"))).alias("at"))
             pivots = materialize(pivots.select(F.col("sid").alias("of"), F.col("at.h").alias("pivot"), F.col("at.far").alias("far")), "jaccard-pivots")
+            spent.append(pivots)
             entries = entries.drop("pivot", "far").join(pivots, F.col("sid") == F.col("of"), "left").drop("of")
             entries = entries.withColumns({"far": F.coalesce("far", F.lit(0.0)), "pivot": F.coalesce("pivot", own)})
         if labels is None or not links.isEmpty():
@@ -219,12 +241,13 @@ def _classes(docs: DataFrame, n: int, threshold: int) -> tuple[DataFrame, DataFr
     """Rows (row, doc_id, n_shingles, s1, s2) and, for each distinct set (n_shingles, s1, s2), its component ``class`` and least doc_id."""
     rows = docs.select("row", "doc_id", "text", F.xxhash64("text").alias("t1"), F.xxhash64("doc_id").alias("of"))
     schema = extended(rows.drop("text").schema, n_shingles="long", s1="long", s2="long", grams=T.ArrayType(T.LongType()))
-    rows = materialize(rows.mapInArrow(_sets(n, threshold), schema), "jaccard-rows")
+    wide = materialize(rows.mapInArrow(_sets(n, threshold), schema), "jaccard-prefixes")
+    rows = materialize(wide.drop("grams"), "jaccard-rows")
     sets = rows.where("n_shingles > 0").groupBy("n_shingles", "s1", "s2").agg(F.min(F.struct("row", "t1", "of")).alias("at"), F.min("doc_id").alias("least"))
     sets = materialize(sets.select("n_shingles", "s1", "s2", "least", F.col("at.row").alias("sid"), "at.t1", "at.of"), "jaccard-classes")
-    labels = _labels(_live(docs, sets, rows, n, threshold), threshold)
+    labels = _labels(_live(docs, sets, wide, n, threshold), threshold)
     classes = sets.join(labels, F.col("sid") == F.col("node"), "left").select("n_shingles", "s1", "s2", "least", F.coalesce("label", "sid").alias("class"))
-    return rows.drop("grams", "t1", "of"), materialize(classes, "jaccard-classes")
+    return rows.drop("t1", "of"), materialize(classes, "jaccard-classes")
 
 
 def components(docs: DataFrame, n: int = 5, threshold: int = 75) -> DataFrame:
