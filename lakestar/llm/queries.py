@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakestar.llm import ctw, decontam, jaccard, langid, mixing, sadedup, secretscan, tokencount, topk, urlfilter
+from lakestar.llm import clustering, ctw, decontam, divergence, jaccard, langid, licences, mixing, sadedup, secretscan, tokencount, topk, urlfilter
 from lakestar.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,8 +58,20 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(pages, URL_RULES, urlfilter.train(word_counts=urlfilter.mixed(urlfilter.vocabulary(pages))))
 
 
+def op11_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op13_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_language_id, op2_secret_scan, op3_decontaminate, op4_token_counts, op5_topk, op6_suffix_dedup, op7_mix, op8_jaccard_join, op9_ctw_score, op10_url_filter)}
+    return {f.__name__: f for f in (op1_language_id, op2_secret_scan, op3_decontaminate, op4_token_counts, op5_topk, op6_suffix_dedup, op7_mix, op8_jaccard_join, op9_ctw_score, op10_url_filter, op11_divergence_audit, op12_clustering, op13_licence_scan)}
 
 
 _OP3_SQL = r"""
@@ -109,5 +121,53 @@ select doc_id, cast(coalesce(n, 0) as bigint) as n_shingles, component_id from d
 """
 
 
+_OP11_SQL = r"""
+with d as (
+  select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as w from documents
+), g as (select distinct lang, source from d), t as (select r, lang, source, unnest(w) as term from d
+), kept as (select lang, term from t group by lang, term having count(distinct r) >= 10
+), v as (select lang, (select count(*) from kept where kept.lang = g.lang) as v from g group by lang
+), c as (select lang, source, term, count(*) as n from t semi join kept using (lang, term) group by lang, source, term
+), dense as (select g.lang, g.source, kept.term, coalesce(n, 0) as n from g join kept on g.lang = kept.lang left join c on c.lang = g.lang and c.source = g.source and c.term = kept.term
+), mine as (
+  select lang, source, term, n, 1 + (1000000000::hugeint * (n + 2)) // (sum(n) over (partition by lang, source) + 2 * v) as p from dense join v using (lang)
+), whole as (
+  select lang, term, 1 + (1000000000::hugeint * (n + 2)) // (sum(n) over (partition by lang) + 2 * v) as q
+  from (select lang, term, sum(n) as n from dense group by lang, term) join v using (lang)
+), pair as (
+  select a.lang, a.source, b.source as item, coalesce(s, 0) as value from g a join g b on a.lang = b.lang and a.source <> b.source
+  left join (select a.lang, a.source, b.source as other, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) as s
+    from mine a join mine b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all) x on x.lang = a.lang and x.source = a.source and x.other = b.source
+), term as (
+  select lang, source, term as item, ((p - q) * (p - q)) // (p + q) as value from mine join whole using (lang, term) where n > 0 and p > q
+), ranked as (
+  select *, row_number() over (partition by lang, source, part order by value desc, item) as rank
+  from (select lang, source, 'pair' as part, item, value from pair union all select lang, source, 'term', item, value from term)
+)
+select lang, source, part, item, cast(value as bigint) as value, cast(rank as int) as rank from ranked where part = 'pair' or rank <= 10
+"""
+
+
+def _op12_sql(rounds: int = 3, k: int = 16) -> str:
+    """One common table for each round's assignment and means."""
+    far = "list_sum(list_transform(range(1, 65), lambda i: (v.e[i] - c.e[i]) * (v.e[i] - c.e[i])))"
+    parts = [f"""with v as (
+  select row_number() over () as r, vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as e
+  from embeddings where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), c0 as (select row_number() over (order by name nulls last, e) - 1 as c, e from (select sha256('1:' || vec_id) as name, e from v order by name nulls last, e limit {k}))"""]
+    for n in range(rounds + 1):
+        parts.append(f"a{n} as (select r, vec_id, e, c, far from (select v.r, v.vec_id, v.e, c.c, {far} as far, row_number() over (partition by v.r order by {far}, c.c) as nth from v cross join c{n} c) where nth = 1)")
+        parts.append(f"""c{n + 1} as (
+  select c, list(cast((s - ((s % n) + n) % n) // n as bigint) order by i) as e
+  from (select c, i, sum(e[i])::hugeint as s, count(*) as n from (select c, e, unnest(range(1, 65)) as i from a{n}) group by c, i) group by c
+  union all select c, e from c{n} where c not in (select c from a{n}))""")
+    return ", ".join(parts) + f"""
+select vec_id, cast(a.c as int) as cluster, cast(far as bigint) as distance, cast(sum(far) over (partition by a.c) as bigint) as cluster_inertia,
+  cast(sum(far) over () as bigint) as inertia, sha256(array_to_string(c{rounds}.e, ',')) as centroid_sha256
+from a{rounds} a join c{rounds} using (c)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontaminate": _OP3_SQL, "op5_topk": _OP5_SQL, "op8_jaccard_join": _OP8_SQL}
+    return {"op3_decontaminate": _OP3_SQL, "op5_topk": _OP5_SQL, "op8_jaccard_join": _OP8_SQL, "op11_divergence_audit": _OP11_SQL, "op12_clustering": _op12_sql()}
