@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from lakestar.functions import hashing
 from lakestar.operators import dims, relational
 from lakestar.plans import gold, lakehouse
-from lakestar.plans.catalog import _ROLES, _SCD2, _roles, _scratch, _t, _versions, query
+from lakestar.plans.catalog import _ROLES, _SCD2, _base, _roles, _scratch, _t, _versions, query
 from lakestar.sources import landing
-from lakestar.sources.table import VersionedTable, self_healing
+from lakestar.sources.table import Clause, MergeCounts, MergeMismatch, VersionedTable, self_healing, upsert
 
 
 # -- dimensions and keys ------------------------------------------------------------------------------------------------
@@ -78,6 +78,23 @@ def r70_self_healing(spark, sf_dir):
     return after.where(F.col("_row_hash") == hashing.row_hash(*rows.columns)).drop("_row_hash")
 
 
+@query("""with n as (select count(*) filter (where o_orderkey % 2 = 1 and o_orderkey % 3 = 0) as i, count(*) filter (where o_orderkey % 6 = 0) as u, count(*) filter (where o_orderkey % 2 = 0 and o_orderkey % 3 <> 0 and o_orderstatus = 'P') as d, count(*) filter (where o_orderkey % 2 = 0) as before from orders)
+select 'insert' as action, i as planned, i as observed, before + i - d as rows_after, true as refused from n union all select 'update', u, u, before + i - d, true from n union all select 'delete', d, d, before + i - d, true from n""")
+def r100_merge_observed(spark, sf_dir):
+    """A merge's plan beside what was counted while it was written; ``refused``: a wrong plan of it raised before and left the table as it was."""
+    table, orders = _base(spark, sf_dir, "r100")
+    batch = orders.where("o_orderkey % 3 = 0").withColumn("o_orderstatus", F.lit("U"))
+    clauses = [*upsert("not (target.o_orderstatus <=> source.o_orderstatus)"), Clause("delete", "not_matched_by_source", "target.o_orderstatus = 'P'")]
+    before, refused = table.version(), False
+    try:
+        table.merge(batch, ["o_orderkey"], clauses, planned=MergeCounts(inserted=1))
+    except MergeMismatch:
+        refused = table.version() == before
+    m = table.merge(batch, ["o_orderkey"], clauses)
+    seen = spark.createDataFrame([("insert", m.planned.inserted, m.inserted), ("update", m.planned.updated, m.updated), ("delete", m.planned.deleted, m.deleted)], "action string, planned long, observed long")
+    return seen.crossJoin(F.broadcast(table.read().agg(F.count("*").alias("rows_after")))).withColumn("refused", F.lit(refused))
+
+
 @query("""select 0::bigint as version, 'CREATE TABLE' as operation, 0::bigint as n from orders having count(*) >= 0 union all select 1, 'WRITE', count(*) filter (where o_orderkey % 2 = 0) from orders union all select 2, 'WRITE', count(*) from orders
  union all select 3, 'WRITE', count(*) filter (where o_orderkey % 5 = 0) from orders union all select 4, 'WRITE', count(*) filter (where o_orderkey % 5 = 0 and o_orderstatus <> 'F') + 1 from orders""")
 def r95_history(spark, sf_dir):

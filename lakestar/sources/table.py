@@ -10,15 +10,17 @@ import json
 import re
 import time
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakestar.sources.files import Files
 
 
+#: The mark of rows that a merge carries over as they are, where others have their clause's place.
+CARRIED = -2
 #: The whole state is written beside every so many versions of the log.
 CHECKPOINT = 10
 
@@ -27,15 +29,39 @@ class CommitConflict(RuntimeError):
     """Another writer committed this version first."""
 
 
+class MergeMismatch(RuntimeError):
+    """What a merge wrote isn't what was planned; nothing of it was committed."""
+
+
+@dataclass(frozen=True)
+class MergeCounts:
+    """Rows inserted, updated and deleted."""
+
+    inserted: int = 0
+    updated: int = 0
+    deleted: int = 0
+
+    def __post_init__(self):
+        if min(self.inserted, self.updated, self.deleted) < 0:
+            raise ValueError("planned counts must not be negative")
+
+
 @dataclass(frozen=True)
 class MergeResult:
-    """What a merge did; ``version`` is unchanged if it did nothing."""
+    """What a merge did, as counted while it was written; ``version`` is unchanged if it did nothing.
+
+    ``planned``: what the classified rows, or the caller, said it would do. ``carried``: rows of rewritten files that
+    stayed as they were; ``by_clause``: written rows of each clause but deletes, by its place in the list.
+    """
 
     inserted: int
     updated: int
     deleted: int
     version: int
     skipped: bool
+    planned: MergeCounts = MergeCounts()
+    carried: int = 0
+    by_clause: dict[int, int] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -187,14 +213,34 @@ class VersionedTable:
         if str(state["properties"].get("appendOnly", "false")).lower() == "true":
             raise ValueError(f"{self.root} is append-only")
 
-    def merge(self, source: DataFrame, keys: list[str], clauses: list[Clause]) -> MergeResult:
+    def _observed_write(self, rows: DataFrame, state: dict, clauses: list[Clause], inside: list[str]) -> tuple[list, MergeResult]:
+        """Writes rows (with ``_clause``, CARRIED for those carried over) and counts them by clause while they are written.
+
+        The count is taken in the stage that writes, behind every shuffle, where a task that runs twice counts once.
+        What was deleted is what the rewritten files' footers hold more than was carried over and updated.
+        """
+        seen = Observation()
+        kinds = {f"clause_{i}": i for i, c in enumerate(clauses) if c.action != "delete"} | {"carried": CARRIED}
+        counted = rows.observe(seen, *(F.count_if(F.col("_clause") == i).alias(name) for name, i in kinds.items()))
+        add = self._write(counted.drop("_clause"), state["partition_by"])
+        found = seen.get
+        of = lambda action: sum(found[name] for name, i in kinds.items() if i >= 0 and clauses[i].action == action)
+        before = self._scan(T.StructType.fromJson(state["schema"]), inside).count() if inside else 0
+        deleted = before - found["carried"] - of("update")
+        return add, MergeResult(of("insert"), of("update"), deleted, state["version"], False, carried=found["carried"], by_clause={i: found[name] for name, i in kinds.items() if i >= 0})
+
+    def merge(self, source: DataFrame, keys: list[str], clauses: list[Clause], planned: MergeCounts | None = None) -> MergeResult:
         """Merges ``source`` by equal keys; the first clause whose condition holds decides a row.
 
         Actions: ``update`` and ``delete`` (when matched, or not_matched_by_source), ``insert`` (when not_matched).
-        Source rows with a null key match nothing. The classified rows are the plan and the metrics at once; a plan
-        without changes commits nothing, and only files that hold changed rows are written anew.
+        Source rows with a null key match nothing. The classified rows are the plan, unless the caller has one
+        (``planned``); a plan without changes reads, writes and commits nothing more, and only files that hold changed rows
+        are written anew. Rows are counted again as they are written: a merge whose counts aren't the plan's raises
+        ``MergeMismatch`` and commits nothing.
         """
         state = self._state()
+        if planned == MergeCounts():
+            return MergeResult(0, 0, 0, state["version"], True)
         schema = T.StructType.fromJson(state["schema"])
         names = schema.names
         target = self.read().withColumn("_file", F.input_file_name()) if state["files"] else self.read().withColumn("_file", F.lit(""))
@@ -219,7 +265,8 @@ class VersionedTable:
         try:
             counts = {r["_clause"]: r.n for r in joined.groupBy("_clause").agg(F.count("*").alias("n")).collect()}
             done = {a: sum(counts.get(i, 0) for i, c in enumerate(clauses) if c.action == a) for a in ("insert", "update", "delete")}
-            if not any(done.values()):
+            plan = planned or MergeCounts(done["insert"], done["update"], done["delete"])
+            if not any(done.values()) and plan == MergeCounts():
                 return MergeResult(0, 0, 0, state["version"], True)
             if done["update"] or done["delete"]:
                 self._may_change(state)
@@ -237,18 +284,22 @@ class VersionedTable:
 
             places = {name: p for p in state["files"] for name in (p, _quoted(p))}
             inside = sorted({places[t.split("/data/", 1)[1]] for t in touched})
-            rows = joined.where(F.col("_clause").isin([i for i, c in enumerate(clauses) if c.action != "delete"])).select(*(value(f) for f in schema))
+            rows = joined.where(F.col("_clause").isin([i for i, c in enumerate(clauses) if c.action != "delete"])).select(*(value(f) for f in schema), "_clause")
             if inside:
                 acted = joined.where(F.col("_clause").isin(acting)).select(*(F.col(f"target.{k}").alias(k) for k in keys))
                 others = self._scan(schema, inside)
                 same = [others[k].eqNullSafe(acted[k]) for k in keys]
-                rows = rows.unionByName(others.join(acted, same, "left_anti"))
-            add = self._write(rows, state["partition_by"])
+                rows = rows.unionByName(others.join(acted, same, "left_anti").withColumn("_clause", F.lit(CARRIED)))
+            add, seen = self._observed_write(rows, state, clauses, inside)
         finally:
             joined.unpersist()
-        metrics = {"numTargetRowsInserted": done["insert"], "numTargetRowsUpdated": done["update"], "numTargetRowsDeleted": done["delete"], "numFilesRemoved": len(inside)}
+        if (seen.inserted, seen.updated, seen.deleted) != (plan.inserted, plan.updated, plan.deleted):
+            for path, _ in add:
+                self.files.delete(f"{self.root}/data/{path}")
+            raise MergeMismatch(f"the merge disagrees with its plan: planned {plan.inserted} inserts, {plan.updated} updates, {plan.deleted} deletes; wrote {seen.inserted}, {seen.updated}, {seen.deleted}")
+        metrics = {"numTargetRowsInserted": seen.inserted, "numTargetRowsUpdated": seen.updated, "numTargetRowsDeleted": seen.deleted, "numTargetRowsCopied": seen.carried, "numTargetFilesAdded": len(add), "numFilesRemoved": len(inside)}
         version = self._commit(state["version"] + 1, "MERGE", metrics, add, inside)
-        return MergeResult(done["insert"], done["update"], done["delete"], version, False)
+        return replace(seen, version=version, planned=plan)
 
     # -- maintenance ---------------------------------------------------------
     def optimize(self, threshold: int = 32 << 20) -> bool:
