@@ -169,11 +169,11 @@ def trees(rows: DataFrame, size: int) -> DataFrame:
     return rows.mapInArrow(build, f"ids array<{kind}>, {_TREE_FIELDS}")
 
 
-def starting(rows: DataFrame, k: int, seed: int) -> np.ndarray:
+def starting(rows: DataFrame, k: int, seed: int, size: int) -> np.ndarray:
     """The k vectors of smallest sha256 of seed:vec_id."""
     name = F.sha2(F.concat(F.lit(f"{seed}:"), F.col("vec_id").cast("string")).cast("binary"), 256)
     first = rows.select(name.alias("name"), "q").orderBy(F.asc_nulls_last("name"), "q").limit(k).collect()
-    return np.array([r.q for r in first], np.int64).reshape(len(first), -1)
+    return np.array([r.q for r in first], np.int64).reshape(len(first), size)
 
 
 def _trees_of(batch: pa.RecordBatch, size: int) -> Iterator[tuple[pa.Scalar, Tree]]:
@@ -210,7 +210,7 @@ def cluster(vectors: DataFrame, k: int = 16, rounds: int = 3, seed: int = 1, siz
     one stays); then all are assigned once more.
     """
     rows = quantised(vectors, size, scale)
-    centroids = starting(rows, k, seed)
+    centroids = starting(rows, k, seed, size)
     out = T.StructType([vectors.schema["vec_id"]])
     for name, kind in (("cluster", "integer"), ("distance", "long"), ("cluster_inertia", "long"), ("inertia", "long"), ("centroid_sha256", "string")):
         out.add(name, kind)

@@ -46,6 +46,21 @@ def numbered(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return materialize(df.withColumn(row, F.monotonically_increasing_id()), name), row
 
 
+def packed(docs: DataFrame, *used: str, into: str = "_columns_of_the_input") -> DataFrame:
+    """The columns ``used`` and all others in one struct (``into``), so that an operator's own columns clash with none of them."""
+    rest = [c for c in docs.columns if c not in used]
+    return docs.select(*used, *([F.struct(*map(_named, rest)).alias(into)] if rest else []))
+
+
+def unpacked(df: DataFrame, columns: list[str], *used: str, into: str = "_columns_of_the_input") -> DataFrame:
+    """``columns`` in that order: those ``used`` as they are now, the others as they were packed, whatever else was added."""
+    return df.select(*(_named(c) if c in used else F.col(into).getField(c).alias(c) for c in columns))
+
+
+def _named(column: str) -> Column:
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table; every operator selects the columns it needs, so the scan reads only these."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

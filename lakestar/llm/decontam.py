@@ -7,7 +7,7 @@ a whole item shorter than that) are hit.
 Defined results: null texts have no words. An item without words has no window. Items repeated under one item_id count
 once; the windows of an item without an id are hit, but name no item. Equal windows of several items name all of them.
 Repeated documents are rows each. A very long text is streamed whole; a very long item is one automaton. Empty tables give
-no rows, or no hits. Columns that the scan adds replace those of the same name. Benchmarks past ``max_words`` words or
+no rows, or no hits. Columns that the scan adds replace those of the same name; ``remove`` keeps all of the input's. Benchmarks past ``max_words`` words or
 ``max_bytes`` bytes are taken in blocks, each with an automaton of its own, and the hits united: an automaton has at most
 two states a word, so what is broadcast and held has a proven bound but for one item alone beyond it.
 """
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakestar.llm.common import extended, materialize, release
+from lakestar.llm.common import extended, materialize, packed, release, unpacked
 
 #: Bytes to words: A-Z fall to lower case; what is neither a letter, a digit nor beyond ASCII separates.
 _WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -227,8 +227,10 @@ def _union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def remove(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_coverage: float = 0.5, **options) -> DataFrame:
     """``docs`` without the hit spans; a document more than ``max_coverage`` of whose words are hit goes as a whole.
 
-    The text around a removed span is kept as it is, so a document without hits keeps its text byte by byte.
+    The text around a removed span is kept as it is, so a document without hits keeps its text byte by byte. All other
+    columns are kept, whatever their names.
     """
+    whole, docs = docs.columns, packed(docs, "text")
     columns = docs.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,7 +243,7 @@ def remove(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_coverage
 
     found = scan(docs, benchmark, window, **options)
     n_hit = F.aggregate("spans", F.lit(0), lambda n, x: n + x["end"] - x["start"])
-    return found.where(n_hit <= F.col("n_words") * max_coverage).select(*columns, "spans").mapInArrow(cut, docs.schema)
+    return unpacked(found.where(n_hit <= F.col("n_words") * max_coverage).select(*columns, "spans").mapInArrow(cut, docs.schema), whole, "text")
 
 
 def without_words(text: str, spans: list[tuple[int, int]]) -> str:

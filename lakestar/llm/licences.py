@@ -68,11 +68,11 @@ class LicenceAutomaton(SuffixAutomaton):
         self.labels = [label for _, label in (*self.phrases, *templates)]
         # Every template is shorter than the window, so that its states tell where it occurs as a whole.
         super().__init__([(str(i), ws) for i, ws in enumerate(texts)], window=1 << 30)
-        self.sizes = [len(ws) for ws in texts]
+        self.texts, self.sizes = [[self.vocabulary[w] for w in ws] for ws in texts], [len(ws) for ws in texts]
         self.shortest = [min(least, n) for n in self.sizes]
         self.ends: list[dict[tuple[int, int], None]] = [{} for _ in self.next]
         for i, ws in enumerate(texts):
-            for end, (state, _) in enumerate(self._walk([self.vocabulary[w] for w in ws]), 1):
+            for end, (state, _) in enumerate(self._walk(self.texts[i]), 1):
                 while state > 0:
                     if self.length[state] >= self.shortest[i]:
                         self.ends[state][i, end] = None
@@ -83,20 +83,18 @@ class LicenceAutomaton(SuffixAutomaton):
         """Places of whole phrases (start, phrase) and anchors (template, start, end, template's end) of a file's word ids."""
         places, anchors = [], []
         for first, last in self.stretches(ids):
-            steps = self._walk(ids[first:last].tolist())
-            for end, (state, matched) in enumerate(steps, 1):
+            for end, (state, matched) in enumerate(self._walk(ids[first:last].tolist()), 1):
                 for n, phrase in self.wholes[state]:
                     if n <= matched:
                         places.append((first + end - n, phrase))
-                if matched < 2 and self.least > 1:
-                    continue
-                onward, further = steps[end] if end < len(steps) else (0, 0)
-                goes_on = self.ends[onward] if further == matched + 1 else {}
-                if len(goes_on) == len(self.ends[state]):
-                    continue  # every template continues
-                for template, at in self.ends[state]:
-                    if matched >= self.shortest[template] and (template, at + 1) not in goes_on:
-                        anchors.append((template, first + end - matched, first + end, at))
+                # The longest match, then what shorter ones of its suffixes more templates hold.
+                known, length, onward = (), matched, ids[first + end] if first + end < len(ids) else -1
+                while state > 0 and length >= self.least:
+                    for template, at in self.ends[state]:
+                        if length >= self.shortest[template] and (template, at) not in known and not (at < self.sizes[template] and self.texts[template][at] == onward):
+                            anchors.append((template, first + end - length, first + end, at))
+                    known, state = self.ends[state], self.link[state]
+                    length = self.length[state]
         return places, anchors
 
     def chains(self, anchors: list[tuple[int, int, int, int]], gap: int) -> list[tuple[int, int, int, int]]:

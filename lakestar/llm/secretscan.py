@@ -11,7 +11,7 @@ candidates: scanning has no shuffle and no Python.
 Defined results: a null text has no candidates and stays null. All places of a repeated value are judged each, with
 their own neighbours; repeated rows alike. A score at the threshold is a secret. A very long text is scanned whole, in
 time proportional to its length, and so is a very long run. Control characters U+0001 and U+0002 of a text are kept.
-Columns named like the scan's are replaced. An empty table gives an empty result.
+Columns named like the scan's two are replaced by ``scan``; ``redact`` keeps all of the input's. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakestar.llm.common import packed, unpacked
 from lakestar.llm.secret_findings import labelled_findings
 
 SHORTEST = 16
@@ -61,6 +62,9 @@ _REFERENCE = r"^[A-Za-z_][A-Za-z0-9_.]*[(\[][A-Za-z0-9_.]*$|^(self|this|os|proce
 _PLAIN_WORD = "^(true|false|null|none|nil|undefined|string|str|int|bool|boolean|bytes|text|password|passwd|token|secret|required|optional|hidden|empty|unknown|redacted|basic|bearer|digest|oauth2?|yes|no|on|off)[?!.]*$"
 _TEST_PATH = r"(^|/)(tests?|fixtures?|examples?|samples?|docs?)(/|$)"
 
+#: The path's column while the input's are packed away.
+_PATH = "_path_of_the_text"
+
 #: Feature name to SQL over a struct ``x`` of value, before, after, path.
 FEATURES = {
     "length": "cast(length(x.value) as double)",
@@ -142,13 +146,14 @@ def scan(docs: DataFrame, forest: str | None = None, path: Column | None = None,
     ``path``: a string column, where documents have one.
     """
     forest = forest or default_forest(docs.sparkSession)
-    docs = docs.drop("pieces", "found")
+    columns = [c for c in docs.columns if c not in ("pieces", "found")]
+    docs = packed(docs.withColumn(_PATH, path if path is not None else F.lit("")), "text", _PATH).withColumnRenamed(_PATH, "_path")
     # A text's own control characters are written as U+0002 a and U+0002 b while U+0001 marks the candidates.
     text = F.col("text")
     safe = F.when(text.rlike("[\x01\x02]"), F.replace(F.replace(text, F.lit("\x02"), F.lit("\x02b")), F.lit("\x01"), F.lit("\x02a"))).otherwise(text)
     marked = F.split(F.regexp_replace(safe, CANDIDATE, "\x01$0\x01"), "\x01")
     plain = lambda c: F.when(F.instr(c, "\x02") > 0, F.replace(F.replace(c, F.lit("\x02a"), F.lit("\x01")), F.lit("\x02b"), F.lit("\x02"))).otherwise(c)
-    docs = docs.withColumn("pieces", F.transform(marked, plain)).withColumn("_path", path if path is not None else F.lit(""))
+    docs = docs.withColumn("pieces", F.transform(marked, plain))
     # Where each piece begins: summed in blocks, so that a text of very many candidates isn't copied for each of them.
     block = lambda b: f"slice(_len, {b} * {BLOCK} + 1, {BLOCK})"
     begin = "(a, x) -> array_append(a, element_at(a, -1) + x)"
@@ -173,15 +178,16 @@ def scan(docs: DataFrame, forest: str | None = None, path: Column | None = None,
     docs = docs.withColumn("_q", F.expr(f"transform(_g, g -> coalesce(array_max(transform(g, f -> {forest})), 0D))"))
     docs = docs.withColumn("_p", F.expr(f"zip_with(transform(_f, f -> {forest}), _q, (p, q) -> greatest(p, q))"))
     found = f"zip_with(_x, _p, (x, p) -> named_struct('offset', x.offset, 'length', length(x.value), 'value', x.value, 'score', p, 'secret', p >= {threshold}D))"
-    return docs.withColumn("found", F.coalesce(F.expr(found), F.expr("transform(cast(array() as array<int>), x -> named_struct('offset', 0, 'length', 0, 'value', '', 'score', 0D, 'secret', false))"))).drop("_path", "_len", "_sum", "_at", "_z", "_x", "_f", "_y", "_g", "_q", "_p")
+    docs = docs.withColumn("found", F.coalesce(F.expr(found), F.expr("transform(cast(array() as array<int>), x -> named_struct('offset', 0, 'length', 0, 'value', '', 'score', 0D, 'secret', false))")))
+    return unpacked(docs.select("text", *(c for c in docs.columns if c == "_columns_of_the_input"), "pieces", "found"), [*columns, "pieces", "found"], "text", "pieces", "found")
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]", **options) -> DataFrame:
     """``docs`` with each secret in ``text`` replaced by ``mark``; other texts stay as they are."""
-    columns = docs.columns
+    columns, docs = docs.columns, packed(docs, "text", into="_columns_of_the_redacted")
     cut = F.array_join(F.transform("pieces", lambda p, i: F.when((i % 2 == 1) & F.get(F.col("found"), ((i - 1) / 2).cast("int"))["secret"], F.lit(mark)).otherwise(p)), "")
     text = F.when(F.exists("found", lambda x: x["secret"]), cut).otherwise(F.col("text"))
-    return scan(docs, **options).select(*(text.alias("text") if c == "text" else F.col(c) for c in columns))
+    return unpacked(scan(docs, **options).withColumn("text", text), columns, "text", into="_columns_of_the_redacted")
 
 
 def report(docs: DataFrame, **options) -> DataFrame:

@@ -160,3 +160,23 @@ def test_very_long_texts_go_through_every_stage(spark, tmp_path):
             assert sum("[SECRET]" in r.text for r in rows) == 1
         docs = spark.createDataFrame(rows, docs.schema)
     assert {r.doc_id for r in docs.collect()} == {1, 3}
+
+
+def test_stages_keep_columns_of_their_own_names(spark, tmp_path):
+    """Columns named as the operators name theirs come back with the input's values, from every stage."""
+    own = {"score": 7.5, "rejected": False, "lang_pred": "mine", "distance": 3, "spans": "s", "items": ["i"], "n_words": -1, "pieces": "p", "found": None, "_x": 4, "_path": "here", "_len": 1, "_f": 2.5, "row": 9, "component_id": 8, "size": 6, "copies": 5, "_columns": 1, "a b": "blank"}
+    kinds = "score double, rejected boolean, lang_pred string, distance int, spans string, items array<string>, n_words int, pieces string, found string, _x int, _path string, _len int, _f double, row int, component_id int, size int, copies int, _columns int, `a b` string"
+    rows, passage = fixture()
+    spark.createDataFrame([("i1", passage)], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame([(*r, *own.values()) for r in rows], f"{SCHEMA}, {kinds}").repartition(3)
+    plain = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    for name, stage in corpus_pipeline.STAGES:
+        columns = docs.columns
+        docs, plain = stage(spark, docs, str(tmp_path)), stage(spark, plain, str(tmp_path))
+        assert docs.columns[: len(columns)] == columns
+        got, want = docs.collect(), plain.collect()
+        assert all(r[c] == v for r in got for c, v in own.items()), name
+        assert Counter(tuple(r)[:5] for r in got) == Counter(tuple(r)[:5] for r in want), name
+        if name == "redact_secrets":
+            assert any("[SECRET]" in r.text for r in got)
+        docs, plain = spark.createDataFrame(got, docs.schema), spark.createDataFrame(want, plain.schema)
