@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from lakestar.plans import gold, ingest, lakehouse
 from lakestar.session import build_session
-from lakestar.sources import health, landing, publish
+from lakestar.sources import health, landing, lines, publish
 from lakestar.sources.files import Files
 from lakestar.sources.lock import LockHeld, lock
 from lakestar.sources.table import VersionedTable
@@ -119,13 +119,12 @@ class Lake:
 
     def export(self) -> None:
         rows = self.spark.read.schema(lakehouse.LANDED).json(f"{self.args.root}/landing/{self.args.publisher}")
-        rows = rows.withColumns({"ingest_date": F.regexp_extract(F.col("_metadata.file_path"), r"ingest_date=([^/]+)", 1), "line_no": F.monotonically_increasing_id()})
+        rows = rows.withColumns({"ingest_date": F.regexp_extract(F.col("_metadata.file_path"), r"ingest_date=([^/]+)", 1), "line_no": lines.place()})
         content = ("url_hash", "ingest_date", "run_id", "line_no", *lakehouse.TEXT_COLUMNS, *lakehouse.ROLE_COLUMNS)
         if self.args.journal_url:
             rows = rows.where(F.col("journal_url") == self.args.journal_url)
-        out = landing.export_journals(rows.select(*content), self.table("manifest").read())
-        out.select("document").write.mode("overwrite").text(f"{self.args.root}/out/{self.args.publisher}")
-        print(out.count(), "journals")
+        done = landing.export_journals(rows.select(*content), self.table("manifest").read(), f"{self.args.root}/out/{self.args.publisher}")
+        print(done.count(), "journals,", done.agg(F.sum("articles")).first()[0] or 0, "articles")
 
     def maintenance(self) -> int:
         hours = self.args.vacuum_hours

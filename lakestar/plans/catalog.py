@@ -13,7 +13,7 @@ from lakestar.functions import dates, hashing, html, text, urls
 from lakestar.operators import dims, gates, quality, relational
 from lakestar.plans import gold
 from lakestar.session import shared_folder
-from lakestar.sources import landing
+from lakestar.sources import export, landing
 from lakestar.sources.table import Clause, VersionedTable, insert_only, upsert
 from lakestar.streaming.merge import merge_stream, parquet_stream
 
@@ -132,7 +132,7 @@ def r08_url_identity(spark, sf_dir):
 
 @query("""select page_id, u as normalized, sha256(u) as url_hash from (select page_id, regexp_replace(regexp_replace(regexp_replace(url, '#.*$', ''), '^http://', 'https://'), '/$', '') as u from pages)""")
 def r08_url_normalized(spark, sf_dir):
-    u = urls.normalize_url()(F.col("url"))
+    u = urls.normalize_url(F.col("url"))
     return _t(spark, sf_dir, "pages").select("page_id", u.alias("normalized")).withColumn("url_hash", urls.url_hash(F.col("normalized")))
 
 
@@ -553,9 +553,13 @@ def r62_fingerprint(spark, sf_dir):
     return hashing.portable_fingerprint(_t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"))
 
 
-@query("select n_regionkey, '{\"articles\":[' || string_agg('{\"n_nationkey\":' || n_nationkey || ',\"n_name\":\"' || n_name || '\"}', ',' order by n_nationkey) || ']}' as document from nation group by n_regionkey")
+@query("""select r_name as slug, row_number() over (partition by r_name order by n_nationkey) as position, '{"n_nationkey":' || n_nationkey || ',"n_name":"' || n_name || '"}' as article from nation join region on n_regionkey = r_regionkey""")
 def r63_export_docs(spark, sf_dir):
-    return landing.export_documents(_t(spark, sf_dir, "nation").select("n_regionkey", "n_nationkey", "n_name"), "n_regionkey", "n_nationkey")
+    """A file per region, in order, read back from the files."""
+    root = _scratch(spark, "r63")
+    rows = _t(spark, sf_dir, "nation").join(F.broadcast(_t(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
+    export.write_documents(rows.select("n_regionkey", "r_name", "n_nationkey", "n_name"), root, "n_regionkey", "r_name", "n_nationkey", ["n_nationkey", "n_name"])
+    return export.read_documents(spark, root).withColumn("slug", F.replace("slug", F.lit("_"), F.lit(" ")))
 
 
 @query("""select page_id, replace(nullif(trim(regexp_extract(html, '<title>([^<]*)</title>', 1)), ''), '&amp;', '&') as title, replace(nullif(trim(regexp_extract(html, '<h1>([^<]*)</h1>', 1)), ''), '&amp;', '&') as heading,

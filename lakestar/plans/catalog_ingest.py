@@ -11,7 +11,7 @@ from lakestar.functions import authors, hashing, html, scholar, text
 from lakestar.operators import cover, gates
 from lakestar.plans.catalog import _scratch, _t, query
 from lakestar.plans.records import assemble
-from lakestar.sources import blobs, health, landing
+from lakestar.sources import blobs, export, health, landing, lines
 
 
 def _join(*parts):
@@ -179,7 +179,7 @@ select count(*) as input_total, count(*) filter (where not enabled) as disabled,
 def r89_task_counts(spark, sf_dir):
     path = _scratch(spark, "r89")
     flag = F.when(F.col("o_orderkey") % 4 == 0, "No").when(F.col("o_orderkey") % 4 == 1, " yes").when(F.col("o_orderkey") % 4 == 2, "TRUE").otherwise("1")
-    rows = _t(spark, sf_dir, "orders").orderBy("o_orderkey").select(F.lit("p").alias("publisher"), _join("/u", _s("o_custkey")).alias("url"), flag.alias("enabled"), F.lit("").alias("note"))
+    rows = _t(spark, sf_dir, "orders").orderBy("o_orderkey").select(F.lit("p").alias("publisher"), F.when(F.col("o_orderkey") % 2 == 0, _join("HTTP://X.test/u", _s("o_custkey"), "/")).otherwise(_join("https://x.test/%75", _s("o_custkey"), "#f")).alias("url"), flag.alias("enabled"), F.lit("").alias("note"))
     rows.write.option("header", "true").csv(path)
     return landing.task_counts(landing.tasks_with_flags(spark, path, "p"))
 
@@ -229,11 +229,41 @@ def r75_latest_line(spark, sf_dir):
 
 
 @query(f"""with l as (select * from ({_LANDED}) qualify row_number() over (partition by url_hash order by ingest_date desc, run_id desc, line_no desc) = 1), ok as (select distinct 'h' || (c_custkey % 500) as url_hash from customer where c_custkey % 500 % 4 <> 1)
-select journal_url, '{{"articles":[' || string_agg('{{"url_hash":"' || url_hash || '","article":' || article || '}}', ',' order by url_hash) || ']}}' as document from l semi join ok using (url_hash) group by journal_url""")
+select 'Journal_' || substr(journal_url, 2) as slug, row_number() over (partition by journal_url order by url_hash) as position, url_hash, article from l semi join ok using (url_hash)""")
 def r92_export_journals(spark, sf_dir):
-    number = F.col("c_custkey") % 500
+    """The newest articles that are ok as one file per journal, read back from the files."""
+    number, root = F.col("c_custkey") % 500, _scratch(spark, "r92")
     manifest = _t(spark, sf_dir, "customer").select(F.concat(F.lit("h"), number.cast("string")).alias("url_hash"), F.when(number % 4 == 1, "failed").otherwise("ok").alias("status")).distinct()
-    return landing.export_journals(_landed(spark, sf_dir).drop("status"), manifest).select("journal_url", F.regexp_replace("document", "", "").alias("document"))
+    rows = _landed(spark, sf_dir).drop("status").withColumn("journal_title", F.concat(F.lit(" Journal: "), F.substring("journal_url", 2, 9)))
+    landing.export_journals(rows, manifest, root, columns=["url_hash", "article"])
+    return export.read_documents(spark, root, "url_hash string, article long").select("slug", "position", "article.url_hash", "article.article")
+
+
+_ORDERED = """select url, enabled, note, row_number() over (order by c_custkey) as line_no from (select c_custkey, '/' || case when c_custkey % 3 = 0 then 'bookSeries' else 'journal' end || '/' || c_custkey as url, 'true' as enabled, case when c_custkey % 3 = 0 then 'bookseries' end as note from customer)"""
+
+
+@query(f"{_ORDERED}")
+def r101_url_migration(spark, sf_dir):
+    """A text file of addresses, cut into byte ranges, written as a task list in its order and read back with its line numbers."""
+    source, target = _scratch(spark, "r101-text"), _scratch(spark, "r101-list")
+    k = _s("c_custkey")
+    url = F.when(F.col("c_custkey") % 3 == 0, _join("/bookSeries/", k)).otherwise(_join("/journal/", k))
+    _t(spark, sf_dir, "customer").repartitionByRange("c_custkey").sortWithinPartitions("c_custkey").select(_join("  ", url, "\r").alias("value")).write.text(source)
+    landing.migrate_urls(spark, source, target, "p")
+    back = spark.read.option("header", "true").csv(target).select(lines.place().alias("place"), "url", "enabled", "note")
+    return lines.numbered(back, whole=True).drop("place")
+
+
+@query("""select cast(event_id as varchar) as run_id, 'done' as event, 'u' || user_id as first_url from (select max_by(event_id, (cast(ts as date), event_id)) as event_id from events where event_type = 'purchase'), (select arg_min(user_id, (cast(ts as date), event_id)) as user_id from events)""")
+def r102_line_order(spark, sf_dir):
+    """The last event and the first line of a log of several files, one a day, whatever ranges and tasks they are read in."""
+    path = _scratch(spark, "r102")
+    day = F.col("ts").cast("date")
+    line = F.when(F.col("event_type") == "purchase", _join('{"event":"done","run_id":"', _s("event_id"), '","user":"u', _s("user_id"), '"}')).otherwise(_join('{"event":"x","user":"u', _s("user_id"), '"}'))
+    _t(spark, sf_dir, "events").select(day.alias("day"), "event_id", line.alias("value")).repartitionByRange("day").sortWithinPartitions("day", "event_id").select("day", "value").write.partitionBy("day").text(path)
+    log = lines.read_lines(spark, path)
+    first = log.agg(F.min_by(F.get_json_object("value", "$.user"), "place").alias("first_url"))
+    return landing.last_event(log, "done", "event string, run_id string", "place").join(F.broadcast(first))
 
 
 # -- manifest and health ------------------------------------------------------------------------------------------------

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestar.operators.gates import OUTCOMES
-from lakestar.sources import landing
+from lakestar.sources import landing, lines
 from lakestar.sources.files import Files
 from lakestar.sources.table import VersionedTable, upsert
 
@@ -27,16 +27,19 @@ class Pushed:
 def run_row(spark: SparkSession, path: str | None, publisher: str, exit_code: int | None, now: str) -> DataFrame:
     """The row of one run's log: its last completion event, or an incomplete run named after the log's folder."""
     stamp = F.lit(now).cast("timestamp")
-    lines = spark.createDataFrame([], "line_no long, value string")
-    if path and Files(spark, path).exists(path):
-        lines = spark.read.text(path).select(F.monotonically_increasing_id().alias("line_no"), "value")
-    event = landing.last_event(lines, COMPLETE, "event string, run_id string, timestamp string, " + ", ".join(f"{c} long" for c in COUNTERS))
+    log, ended = spark.createDataFrame([], "place int, value string"), stamp
+    files = Files(spark, path) if path else None
+    if files and files.exists(path):
+        log = lines.read_lines(spark, path)
+        # The last write is the closest record of when an incomplete run ended.
+        ended = F.timestamp_millis(F.lit(files.modified(path)).cast("long"))
+    event = landing.last_event(log, COMPLETE, "event string, run_id string, timestamp string, " + ", ".join(f"{c} long" for c in COUNTERS), "place")
     folder = path.rstrip("/").split("/")[-2] if path and "/" in path.rstrip("/") else "unknown"
     one = spark.range(1).join(event, how="left")
     done = F.col("event").isNotNull()
     return one.select(
         F.when(done, F.coalesce("run_id", F.raise_error(F.lit("a completion event without run_id")))).otherwise(F.lit(f"incomplete-{folder}")).alias("run_id"), F.lit(publisher).alias("publisher"),
-        F.coalesce(F.col("timestamp").try_cast("timestamp"), stamp).alias("finished_at"), F.lit(exit_code).cast("int").alias("ingest_exit_code"), F.when(done, "complete").otherwise("incomplete").alias("status"),
+        F.when(done, F.coalesce(F.col("timestamp").try_cast("timestamp"), stamp)).otherwise(ended).alias("finished_at"), F.lit(exit_code).cast("int").alias("ingest_exit_code"), F.when(done, "complete").otherwise("incomplete").alias("status"),
         *COUNTERS, stamp.alias("pushed_at"),
     )
 

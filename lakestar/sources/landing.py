@@ -8,7 +8,9 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lakestar.functions import urls
 from lakestar.operators import relational
+from lakestar.sources import export, lines
 from lakestar.sources.files import Files
 
 
@@ -50,11 +52,11 @@ def missing_blobs(rows: DataFrame, spark: SparkSession, path: str, key: Column)
     return rows.withColumn("_name", key).join(names, "_name", "left_anti").drop("_name")
 
 
-def last_event(lines: DataFrame, event: str, schema: str) -> DataFrame:
-    """The last object of an NDJSON log (columns line_no, value) with this event; broken lines and a BOM are tolerated."""
+def last_event(log: DataFrame, event: str, schema: str, order: str = "line_no") -> DataFrame:
+    """The last object of an NDJSON log (columns value and ``order``: a number or a place) with this event; broken lines and a BOM are tolerated."""
     text = F.regexp_replace("value", "^﻿", "")
-    parsed = lines.select("line_no", F.from_json(text, schema, {"mode": "PERMISSIVE"}).alias("e")).where(F.col("e.event") == event)
-    return parsed.agg(F.max_by("e", "line_no").alias("e")).where("e is not null").select("e.*")
+    parsed = log.select(F.col(order).alias("_order"), F.from_json(text, schema, {"mode": "PERMISSIVE"}).alias("e")).where(F.col("e.event") == event)
+    return parsed.agg(F.max_by("e", "_order").alias("e")).where("e is not null").select("e.*")
 
 
 def pending(markers: DataFrame, suffix: str = ".processed") -> DataFrame:
@@ -63,35 +65,39 @@ def pending(markers: DataFrame, suffix: str = ".processed") -> DataFrame:
     return markers.where(~F.col("key").endswith(suffix)).join(done, "key", "left_anti").orderBy("key")
 
 
-def error_events(lines: DataFrame, schema: str = "run_id string, url string, exception string") -> DataFrame:
+def error_events(log: DataFrame, schema: str = "run_id string, url string, exception string") -> DataFrame:
     """line_no, event and rendered text of the error lines of an NDJSON log (columns line_no, value), with the fields of ``schema``."""
-    parsed = lines.select("line_no", F.from_json("value", f"event string, level string, {schema}", {"mode": "PERMISSIVE"}).alias("e")).where("e.level in ('error', 'critical')").select("line_no", "e.*")
+    parsed = log.select("line_no", F.from_json("value", f"event string, level string, {schema}", {"mode": "PERMISSIVE"}).alias("e")).where("e.level in ('error', 'critical')").select("line_no", "e.*")
     fields = [f for f in parsed.columns if f not in ("line_no", "event", "level", "exception")]
     told = [F.when(F.col(f).isNotNull(), F.concat(F.lit(f"{f}="), F.col(f).cast("string"))) for f in fields]
     return parsed.withColumn("rendered", F.concat_ws(" | ", F.coalesce("event", F.lit("error")), *told, *(["exception"] if "exception" in parsed.columns else [])))
 
 
-def tasks_with_flags(spark: SparkSession, path: str, publisher: str | None = None) -> DataFrame:
-    """All rows of a task list (publisher, url, enabled, note) with ordinal and ``first``: whether an enabled row is its url's first.
+def tasks_with_flags(spark: SparkSession, path: str, publisher: str | None = None, aliases: dict[str, str] | None = None, drop_query: str | None = None) -> DataFrame:
+    """All rows of a task list (publisher, url, enabled, note), or one publisher's, with ordinal, normalised_url, url_hash and ``first``.
 
-    A bad flag or a missing column raises.
+    ``first``: whether an enabled row is the first of its address, by its place in the files (``ordinal``), however these are
+    read. A missing column raises, and so does a bad flag or an enabled row's url that isn't an address.
     """
     rows = spark.read.option("header", "true").csv(path)
     lacking = {"publisher", "url", "enabled"} - set(rows.columns)
     if lacking:
         raise ValueError(f"missing columns {sorted(lacking)}")
+    rows = rows.select("*", lines.place().alias("ordinal")).withColumns({"publisher": F.trim("publisher"), "url": F.trim("url")})
+    # Only rows that are asked for may raise; a filter alone doesn't say when it is applied.
+    wanted = F.col("publisher").eqNullSafe(publisher) if publisher else F.lit(True)
     flag = F.lower(F.trim("enabled"))
-    enabled = F.when(flag.isin("true", "1", "yes", "y"), True).when(flag.isin("false", "0", "no", "n"), False).otherwise(F.raise_error(F.concat(F.lit("bad flag "), flag)).cast("boolean"))
-    rows = rows.withColumn("enabled", enabled).withColumn("ordinal", F.monotonically_increasing_id())
-    if publisher:
-        rows = rows.where(F.col("publisher") == publisher)
-    w = Window.partitionBy("publisher", "url", "enabled").orderBy("ordinal")
-    return rows.withColumn("first", F.col("enabled") & (F.row_number().over(w) == 1))
+    enabled = F.when(~wanted, False).when(flag.isin("true", "1", "yes", "y"), True).when(flag.isin("false", "0", "no", "n"), False).otherwise(F.raise_error(F.concat(F.lit("bad flag "), F.coalesce(flag, F.lit("null")))).cast("boolean"))
+    rows = rows.withColumn("enabled", enabled).where(wanted).withColumn("normalised_url", F.when(F.col("enabled"), urls.normalize_url(F.col("url"), aliases, drop_query, strict=True)))
+    rows = rows.withColumn("url_hash", urls.url_hash(F.col("normalised_url")))
+    # The first place of each address is a partial aggregate: rows without one meet nowhere.
+    first = rows.where("enabled").groupBy("publisher", "url_hash").agg(F.min("ordinal").alias("_first"))
+    return rows.join(first, ["publisher", "url_hash"], "left").withColumn("first", F.coalesce(F.col("enabled") & (F.col("ordinal") == F.col("_first")), F.lit(False))).drop("_first")
 
 
-def read_tasks(spark: SparkSession, path: str, publisher: str | None = None) -> DataFrame:
-    """Enabled tasks, each url once."""
-    return tasks_with_flags(spark, path, publisher).where("first").drop("first")
+def read_tasks(spark: SparkSession, path: str, publisher: str | None = None, **identity) -> DataFrame:
+    """Enabled tasks, each address once: its first row."""
+    return tasks_with_flags(spark, path, publisher, **identity).where("first").drop("first")
 
 
 def task_counts(rows: DataFrame) -> DataFrame:
@@ -101,9 +107,28 @@ def task_counts(rows: DataFrame) -> DataFrame:
 
 
 def url_lines(spark: SparkSession, path: str, publisher: str) -> DataFrame:
-    """A text file of addresses as task rows, in order and with repeats: blank lines and a BOM go, book series are noted."""
-    lines = spark.read.text(path).select(F.monotonically_increasing_id().alias("ordinal"), F.trim(F.regexp_replace("value", "[\ufeff\r]", "")).alias("url")).where("url <> ''")
-    return lines.select(F.lit(publisher).alias("publisher"), "url", F.lit(True).alias("enabled"), F.when(F.lower("url").contains("/bookseries/"), "bookseries").otherwise("").alias("note"), "ordinal")
+    """A text file of addresses as task rows, with repeats and their place: blank lines and a BOM go, book series are noted."""
+    found = lines.read_lines(spark, path).select(F.col("place").alias("ordinal"), F.trim(F.regexp_replace("value", "[\ufeff\r]", "")).alias("url")).where("url <> ''")
+    return found.select(F.lit(publisher).alias("publisher"), "url", F.lit(True).alias("enabled"), F.when(F.lower("url").contains("/bookseries/"), "bookseries").otherwise("").alias("note"), "ordinal")
+
+
+def migrate_urls(spark: SparkSession, source: str, destination: str, publisher: str) -> int:
+    """Writes the addresses of a text file as a task list, in their order, reads it again and returns how many there are.
+
+    The list is a folder of parts whose names follow the order. Rows that were lost, changed or moved raise.
+    """
+    rows = url_lines(spark, source, publisher)
+    ordered = rows.repartitionByRange("ordinal").sortWithinPartitions("ordinal")
+    ordered.select("publisher", "url", F.col("enabled").cast("string").alias("enabled"), "note").write.mode("overwrite").option("header", "true").option("emptyValue", "").csv(destination)
+    back = spark.read.option("header", "true").csv(destination).select(lines.place().alias("place"), F.col("url").alias("_url"))
+    there = lines.numbered(rows.select(F.col("ordinal").alias("place"), "url"), "n", whole=True).select("n", "url")
+    here = lines.numbered(back, "n", whole=True).select("n", "_url")
+    same = there.join(here, "n", "full_outer").agg(F.count("url").alias("read"), F.count("_url").alias("written"), F.count_if(~F.col("url").eqNullSafe(F.col("_url"))).alias("wrong")).first()
+    if same.read != same.written:
+        raise RuntimeError(f"the migration lost rows: {same.read} addresses in, {same.written} out")
+    if same.wrong:
+        raise RuntimeError(f"the migration changed the order or the text of {same.wrong} addresses")
+    return same.read
 
 
 def plan_uploads(local: DataFrame, remote: DataFrame) -> DataFrame:
@@ -176,15 +201,13 @@ def latest_lines(rows: DataFrame, key: str, order: tuple[str, ...] = ("ingest_da
     return relational.latest_per_key(rows, [key], [F.desc(c) for c in order])
 
 
-def export_journals(rows: DataFrame, manifest: DataFrame, group: str = "journal_url", key: str = "url_hash", order: tuple[str, ...] = ("ingest_date", "run_id", "line_no")) -> DataFrame:
-    """One JSON document per journal of the newest rows whose manifest status is ok, in key order."""
+def exported(rows: DataFrame, manifest: DataFrame, group: str = "journal_url", key: str = "url_hash", order: tuple[str, ...] = ("ingest_date", "run_id", "line_no")) -> DataFrame:
+    """The newest rows whose manifest status is ok and that have a journal, without the columns that told which is newest."""
     ok = manifest.where("status = 'ok'").select(key)
     latest = latest_lines(rows, key, order).join(ok, key, "left_semi").where(F.col(group).isNotNull() & (F.col(group) != ""))
-    return export_documents(latest.select(group, key, *[c for c in rows.columns if c not in (group, key, *order)]), group, key)
+    return latest.select(group, key, *[c for c in rows.columns if c not in (group, key, *order)])
 
 
-def export_documents(rows: DataFrame, group: str, order: str) -> DataFrame:
-    """One JSON document {"articles": [...]} per group, its rows in order."""
-    body = F.struct(*[c for c in rows.columns if c != group])
-    ordered = F.transform(F.sort_array(F.collect_list(F.struct(F.col(order).alias("_o"), body.alias("b")))), lambda x: x["b"])
-    return rows.groupBy(group).agg(F.to_json(F.struct(ordered.alias("articles"))).alias("document"))
+def export_journals(rows: DataFrame, manifest: DataFrame, root: str, group: str = "journal_url", title: str = "journal_title", key: str = "url_hash", order: tuple[str, ...] = ("ingest_date", "run_id", "line_no"), columns: list[str] | None = None) -> DataFrame:
+    """One JSON file per journal below ``root`` of the newest rows whose manifest status is ok, in key order; slug and articles of each."""
+    return export.write_documents(exported(rows, manifest, group, key, order), root, group, title, key, columns)

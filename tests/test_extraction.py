@@ -97,9 +97,9 @@ def test_logs_tasks_and_uploads(spark, tmp_path):
     lines = spark.createDataFrame([(0, '﻿{"event":"done","run_id":"1"}'), (1, "Traceback"), (2, '{"event":"done","run_id":"2"}'), (3, '{"event":"other"}')], "line_no int, value string")
     assert landing.last_event(lines, "done", "event string, run_id string").first().run_id == "2"
     assert landing.last_event(lines, "never", "event string").count() == 0
-    (tmp_path / "t.csv").write_text("publisher,url,enabled,note\np,u1,Yes,\np,u1,1,\np,u2,no,\nq,u3,true,\n")
-    assert [r.url for r in landing.read_tasks(spark, str(tmp_path / "t.csv"), "p").collect()] == ["u1"]
-    (tmp_path / "bad.csv").write_text("publisher,url,enabled\np,u,maybe\n")
+    (tmp_path / "t.csv").write_text("publisher,url,enabled,note\np,https://x.test/u1,Yes,\np,http://X.test/u1/,1,\np,u2,no,\nq,u3,true,\n")
+    assert [r.url for r in landing.read_tasks(spark, str(tmp_path / "t.csv"), "p").collect()] == ["https://x.test/u1"]
+    (tmp_path / "bad.csv").write_text("publisher,url,enabled\np,https://x.test/u,maybe\n")
     try:
         landing.read_tasks(spark, str(tmp_path / "bad.csv")).collect()
         raise AssertionError("a bad flag must raise")
