@@ -103,6 +103,16 @@ def pieces(column: pa.Array, size: int = 1 << 21, rows: int = 256) -> Iterator[t
         first = last
 
 
+def text_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Sends Python workers ``rows`` texts at a time, unless the session says how many: Spark's 10,000 are sized for short rows.
+
+    A batch is held by the JVM and the worker at once, in both directions. Results don't depend on it.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(rows))
+
+
 def release() -> None:
     """Gives freed memory back to the system: Python workers are used again, and would hold it in later stages."""
     pa.default_memory_pool().release_unused()

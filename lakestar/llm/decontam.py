@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakestar.llm.common import extended, materialize, packed, release, unpacked
+from lakestar.llm.common import extended, materialize, packed, release, text_batches, unpacked
 
 #: Bytes to words: A-Z fall to lower case; what is neither a letter, a digit nor beyond ASCII separates.
 _WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -170,28 +170,39 @@ def _blocks(benchmark: DataFrame, max_words: int, max_bytes: int) -> Iterator[li
     yield block
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_words: int = 200_000, max_bytes: int = 4 << 20) -> DataFrame:
+def _with_last(blocks: Iterator[list]) -> Iterator[tuple[list, bool]]:
+    """Each block and whether it is the last."""
+    held = next(blocks)
+    for block in blocks:
+        yield held, False
+        held = block
+    yield held, True
+
+
+def scan(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_words: int = 200_000, max_bytes: int = 4 << 20, max_coverage: float | None = None) -> DataFrame:
     """``docs`` plus n_words, spans (array of hit [start, end) word ranges, disjoint, in order) and items (sorted item ids).
 
-    Columns of ``docs`` by these names are replaced.
+    Columns of ``docs`` by these names are replaced. ``max_coverage``: rows of which more is hit go, and the spans are cut
+    out of the text, in the pass that finds them.
     """
+    text_batches(docs.sparkSession)
     spark = docs.sparkSession
     docs = docs.drop("n_words", "spans", "items")
     span = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
     schema = extended(docs.schema, n_words="long", spans=T.ArrayType(span), items=T.ArrayType(T.StringType()))
     has_earlier = False
-    for block in _blocks(benchmark, max_words, max_bytes):
+    for block, final in _with_last(_blocks(benchmark, max_words, max_bytes)):
         shared = spark.sparkContext.broadcast(SuffixAutomaton(block, window))
         if has_earlier:
             docs = materialize(docs, "decontam")
 
-        def one(batches: Iterator[pa.RecordBatch], shared=shared, earlier=has_earlier) -> Iterator[pa.RecordBatch]:
+        def one(batches: Iterator[pa.RecordBatch], shared=shared, earlier=has_earlier, cut=max_coverage if final else None) -> Iterator[pa.RecordBatch]:
             release()  # what an earlier stage has left in this worker
             sam = shared.value
             get = sam.vocabulary.get
             for batch in batches:
-                n_words, spans, items = [], [], []
-                for row, text in enumerate(batch.column("text").to_pylist()):
+                n_words, spans, items, texts, kept_rows = [], [], [], batch.column("text").to_pylist(), []
+                for row, text in enumerate(texts):
                     ws = words(text)
                     n_words.append(len(ws))
                     ids = np.fromiter(map(get, ws, repeat(-1)), np.int64, len(ws))
@@ -205,9 +216,15 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_words: int
                         named |= set(batch.column("items")[row].as_py())
                     spans.append(_union(hit))
                     items.append(sorted(named))
+                    if cut is not None and spans[-1]:
+                        texts[row] = without_words(text, spans[-1])
+                    if cut is None or sum(b - a for a, b in spans[-1]) <= n_words[-1] * cut:
+                        kept_rows.append(row)
                 kept = [c for c in batch.schema.names if c not in ("n_words", "spans", "items")]
                 spans = pa.array([[{"start": a, "end": b} for a, b in x] for x in spans], pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))
-                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(n_words, pa.int64()), spans, pa.array(items, pa.list_(pa.string()))], names=[*kept, "n_words", "spans", "items"])
+                whole = lambda c: pa.array(texts, pa.string()) if c == "text" and cut is not None else batch.column(c)
+                out = pa.RecordBatch.from_arrays([*(whole(c) for c in kept), pa.array(n_words, pa.int64()), spans, pa.array(items, pa.list_(pa.string()))], names=[*kept, "n_words", "spans", "items"])
+                yield out if len(kept_rows) == len(out) else out.take(pa.array(kept_rows, pa.int64()))
 
         docs = docs.mapInArrow(one, schema)
         has_earlier = True
@@ -231,19 +248,7 @@ def remove(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_coverage
     columns are kept, whatever their names.
     """
     whole, docs = docs.columns, packed(docs, "text")
-    columns = docs.columns
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for row, spans in enumerate(batch.column("spans").to_pylist()):
-                if spans:
-                    texts[row] = without_words(texts[row], [(x["start"], x["end"]) for x in spans])
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in columns], names=columns)
-
-    found = scan(docs, benchmark, window, **options)
-    n_hit = F.aggregate("spans", F.lit(0), lambda n, x: n + x["end"] - x["start"])
-    return unpacked(found.where(n_hit <= F.col("n_words") * max_coverage).select(*columns, "spans").mapInArrow(cut, docs.schema), whole, "text")
+    return unpacked(scan(docs, benchmark, window, max_coverage=max_coverage, **options), whole, "text")
 
 
 def without_words(text: str, spans: list[tuple[int, int]]) -> str:

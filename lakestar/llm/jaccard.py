@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakestar.llm.common import cleared, discard, extended, materialize, mix64, numbered, pieces, release, word_names
+from lakestar.llm.common import cleared, discard, extended, materialize, mix64, numbered, pieces, release, text_batches, word_names
 
 #: Rows of a column that are multiplied with all others in the first round, and by how much they grow from round to round.
 #: Few at first: most rows of a group of near copies link to one of its first rows, and are spared the others.
@@ -239,6 +239,7 @@ def _labels(live: DataFrame, threshold: int) -> DataFrame:
 
 def _classes(docs: DataFrame, n: int, threshold: int) -> tuple[DataFrame, DataFrame]:
     """Rows (row, doc_id, n_shingles, s1, s2) and, for each distinct set (n_shingles, s1, s2), its component ``class`` and least doc_id."""
+    text_batches(docs.sparkSession)
     rows = docs.select("row", "doc_id", "text", F.xxhash64("text").alias("t1"), F.xxhash64("doc_id").alias("of"))
     schema = extended(rows.drop("text").schema, n_shingles="long", s1="long", s2="long", grams=T.ArrayType(T.LongType()))
     wide = materialize(rows.mapInArrow(_sets(n, threshold), schema), "jaccard-prefixes")

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakestar.llm.common import extended, fold, pieces, release
+from lakestar.llm.common import extended, fold, pieces, release, text_batches
 
 #: Hashed n-gram features; a fixed size, so that the model is too.
 FEATURES = 1 << 13
@@ -144,6 +144,7 @@ def fit(train: DataFrame, k: int = 4, sample_per_language: int = 600, sample_tot
     chosen by a hash). Every language is learnt. ``radius`` is the distance which all but ``quantile`` of the sample of that length keep
     to, times ``slack``.
     """
+    text_batches(train.sparkSession)
     train = train.select("text", "lang").where("text is not null and lang is not null")
     spread = train.select("text").mapInArrow(_document_frequencies, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
     df = {r.bucket: r.n for r in spread}
@@ -193,6 +194,7 @@ def fit(train: DataFrame, k: int = 4, sample_per_language: int = 600, sample_tot
 
 def identify(docs: DataFrame, model: CentroidModel) -> DataFrame:
     """``docs`` (any columns, among them ``text``) plus lang_pred, score (cosine, 0 to 1), distance and rejected."""
+    text_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     extra = [("lang_pred", pa.string()), ("score", pa.float64()), ("distance", pa.float64()), ("rejected", pa.bool_())]
     clash = [c for c in docs.columns if c in dict(extra)]

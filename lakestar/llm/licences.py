@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakestar.llm.common import extended, release
+from lakestar.llm.common import extended, release, text_batches
 from lakestar.llm.decontam import _WORDS, SuffixAutomaton, words
 
 #: Phrases that are counted at every place, with their labels.
@@ -142,6 +142,7 @@ def scan(docs: DataFrame, phrases: Iterable[tuple[str, str]] = PHRASES, template
     Starts and ends count words. The automaton has at most two states a word of the given texts, and goes to every
     executor once; there is no shuffle.
     """
+    text_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(LicenceAutomaton(phrases, templates, least))
     docs = docs.drop(*_ADDED)
     place = T.StructType().add("start", "long").add("label", "string")
