@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,11 +40,39 @@ def discard(*written: DataFrame) -> None:
 
 
 def numbered(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """``df`` written with one more column that tells its rows apart, and that column's name."""
+    """``df`` with one more column that tells its rows apart, whenever it is read, and that column's name.
+
+    Rows of Parquet files have a place of their own: the number of the file and of the row in it. Others are written first.
+    """
     row = "row"
     while row in {c.lower() for c in df.columns}:
         row += "_"
-    return materialize(df.withColumn(row, F.monotonically_increasing_id()), name), row
+    return _placed(df, row) or materialize(df.withColumn(row, F.monotonically_increasing_id()), name), row
+
+
+#: Rows of one file, and files, that a row's number has room for.
+_ROWS, _FILES = 1 << 42, 1 << 21
+
+
+def _placed(df: DataFrame, row: str) -> DataFrame | None:
+    """``df`` with its rows' places in the Parquet files they are read from; None where it is made of anything but one scan."""
+    files = sorted(df.inputFiles())
+    if not files or len(files) > _FILES:
+        return None
+    try:
+        here = df.select(*map(_named, df.columns), F.col("_metadata.row_index").alias(row), _decoded("_metadata.file_path").alias(f"{row}_file"))
+    except AnalysisException:  # no scan of rows that have places
+        return None
+    # One row a file: no more than the driver has listed for the scan.
+    numbers = df.sparkSession.createDataFrame(list(enumerate(files)), f"{row}_number long, path string").select(f"{row}_number", _decoded("path").alias(f"{row}_path"))
+    here = here.join(numbers, here[f"{row}_file"] == numbers[f"{row}_path"], "left")
+    number = F.coalesce(f"{row}_number", F.raise_error(F.concat(F.lit("a file that wasn't listed: "), f"{row}_file")).cast("long"))
+    return here.select(*map(_named, df.columns), (number * _ROWS + F.col(row)).alias(row))
+
+
+def _decoded(path: str) -> Column:
+    """A file's URI in one form: Spark encodes more or fewer of its characters, and writes an empty host or not, in different places."""
+    return F.regexp_replace(F.url_decode(F.replace(F.col(path), F.lit("+"), F.lit("%2B"))), "^([A-Za-z0-9+.-]+):///", "$1:/")
 
 
 def packed(docs: DataFrame, *used: str, into: str = "_columns_of_the_input") -> DataFrame:
