@@ -75,6 +75,9 @@ class Lake:
     def push_health(self) -> None:
         a = self.args
         run = health.run_row(self.spark, a.run_log, a.publisher, a.exit_code, self.now) if a.run_log else None
+        if a.warehouse:
+            print(health.push_warehouse(publish.Warehouse(self.spark, a.warehouse), self.table("manifest").create(ingest.MANIFEST).read(), a.publisher, self.now, run))
+            return
         print(health.push({n: self.table(f"ops/{n}") for n in ("runs", "status", "journals")}, self.table("manifest").create(ingest.MANIFEST).read(), a.publisher, self.now, run))
 
     def producer(self) -> int:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lakestar.operators.gates import OUTCOMES
 from lakestar.sources import landing, lines
 from lakestar.sources.files import Files
+from lakestar.sources.publish import Warehouse, added_ddl, column, ddl, text_literal
 from lakestar.sources.table import VersionedTable, upsert
 
 COMPLETE = "ingestion_run_complete"
@@ -67,3 +68,35 @@ def push(tables: dict[str, VersionedTable], manifest: DataFrame, publisher: str,
         tables[name].create(rows.schema, ("publisher",)).replace_where(rows, f"publisher = '{quoted}'")
     count = lambda name: tables[name].read().where(F.col("publisher") == publisher).count()
     return Pushed(0 if run is None else 1, count("status"), count("journals"))
+
+
+#: Keys of the health tables in a warehouse.
+KEYS = {"scrape_runs": ["run_id"], "scrape_status": ["publisher", "url_type", "status"], "scrape_journals": ["publisher", "journal_url"]}
+
+
+def push_warehouse(warehouse: Warehouse, manifest: DataFrame, publisher: str, now: str, run: DataFrame | None = None) -> Pushed:
+    """Upserts a run and replaces the publisher's snapshots in a database, all three tables in one transaction.
+
+    Rows are staged by the executors first. Inside the transaction the tables are locked against other pushes, made if
+    absent, and get the columns (counters, say) that this push has and they lack; if anything fails nothing has happened.
+    """
+    mine = manifest.where(F.col("publisher") == publisher)
+    rows = {"scrape_status": status_snapshot(mine, now), "scrape_journals": journal_snapshot(mine, now)}
+    # Of a run that is pushed again the new row stays, of other publishers' snapshots all.
+    old = dict.fromkeys(rows, f"{column('publisher')} = {text_literal(publisher)}")
+    if run is not None:
+        rows, old = {"scrape_runs": run} | rows, old | {"scrape_runs": f"{column('run_id')} IN (SELECT {column('run_id')} FROM stage_scrape_runs)"}
+    values = {name: warehouse.stage(df, name, KEYS[name] if name == "scrape_runs" else []) for name, df in rows.items()}
+    statements = []
+    for name, df in rows.items():
+        there = warehouse.columns(name) if warehouse.has(name) else None
+        statements += [ddl(name, df.schema, KEYS[name])] if there is None else added_ddl(name, df.schema, there)
+        statements.append(f"LOCK TABLE {name} IN EXCLUSIVE MODE")
+    for name, df in rows.items():
+        statements.append(f"DELETE FROM {name} WHERE {old[name]}")
+        statements.append(f"INSERT INTO {name} ({', '.join(map(column, df.columns))}) SELECT {values[name]} FROM stage_{name}")
+    with warehouse.transaction() as t:
+        for sql in statements:
+            t.execute(sql)
+        counts = {name: t.value(f"SELECT COUNT(*) FROM stage_{name}") for name in rows}
+    return Pushed(counts.get("scrape_runs", 0), counts["scrape_status"], counts["scrape_journals"])

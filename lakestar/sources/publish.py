@@ -57,6 +57,20 @@ def ddl(name: str, schema: T.StructType, key: list[str] = (), text: str | None =
     return f"CREATE TABLE {identifier(name)} ({', '.join(columns)}" + (f", PRIMARY KEY ({', '.join(map(column, key))})" if key else "") + ")"
 
 
+def added_ddl(name: str, schema: T.StructType, there: list[str]) -> list[str]:
+    """ALTER TABLE of each column of the schema that a live table doesn't have yet; old rows have null in it."""
+    lacking = [f for f in schema if f.name not in there]
+    for f in lacking:
+        if f.dataType.simpleString() not in SQL_TYPES:
+            raise ValueError(f"no warehouse type for {f.name} {f.dataType.simpleString()}")
+    return [f"ALTER TABLE {identifier(name)} ADD COLUMN {column(f.name)} {SQL_TYPES[f.dataType.simpleString()]}" for f in lacking]
+
+
+def text_literal(value: str) -> str:
+    """A text in SQL."""
+    return "'" + value.replace("'", "''") + "'"
+
+
 def index_ddl(name: str, columns: list[str]) -> list[str]:
     """CREATE INDEX of each column."""
     return [f"CREATE INDEX idx_{identifier(name)}_{identifier(c)} ON {identifier(name)} ({column(c)})" for c in columns]
@@ -127,6 +141,26 @@ class Warehouse:
         finally:
             c.close()
 
+    def columns(self, name: str) -> list[str]:
+        """A table's columns, in lower case."""
+        c, out = self.connect(), []
+        try:
+            found = c.getMetaData().getColumns(None, None, name.upper(), None)
+            while found.next():
+                out.append(found.getString("COLUMN_NAME").lower())
+            return out
+        finally:
+            c.close()
+
+    def stage(self, df: DataFrame, name: str, key: list[str]) -> str:
+        """Writes rows to stage_<name>, made anew; returns the select list that gives them in the live table's types."""
+        if self.has(f"stage_{name}"):
+            self.execute(f"DROP TABLE stage_{identifier(name)}")
+        self.execute(ddl(f"stage_{name}", df.schema, key, self.stage_text))
+        self.write(df, f"stage_{name}")
+        is_text = lambda f: self.stage_text and f.name not in key and isinstance(f.dataType, T.StringType)
+        return ", ".join(f"CAST({column(f.name)} AS {SQL_TYPES['string']})" if is_text(f) else column(f.name) for f in df.schema)
+
     def write(self, df: DataFrame, name: str, partitions: int = 4) -> None:
         df.coalesce(partitions).write.format("jdbc").option("url", self.url).option("driver", self.driver).option("dbtable", name).option("truncate", "true").option("batchsize", 1000).mode("overwrite").save()
 
