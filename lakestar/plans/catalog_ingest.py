@@ -266,6 +266,16 @@ def r102_line_order(spark, sf_dir):
     return landing.last_event(log, "done", "event string, run_id string", "place").join(F.broadcast(first))
 
 
+@query("""with b as (select event_id, user_id, 'odd user' as rule from events where user_id % 2 = 1 union all select event_id, user_id, 'no click' from events where event_type <> 'click' union all select event_id, user_id, 'small' from events where value < 1),
+r as (select *, '{"user_id":' || user_id || ',"event_id":' || event_id || '}' as sample from b), n as (select *, row_number() over (partition by rule order by sample) as rn, count(*) over (partition by rule) as n from r)
+select rule, n, string_agg(sample, ' ' order by sample) as samples from n where rn <= 5 group by rule, n""")
+def r103_rule_samples(spark, sf_dir):
+    """How many rows break each rule, and the same five of them each time, in one pass."""
+    rules = {"odd user": F.col("user_id") % 2 == 1, "never": F.col("event_id") < 0, "no click": F.col("event_type") != "click", "small": F.col("value") < 1}
+    found = landing.violations(_t(spark, sf_dir, "events"), rules, ["user_id", "event_id"])
+    return found.withColumn("samples", F.array_join("samples", " "))
+
+
 # -- manifest and health ------------------------------------------------------------------------------------------------
 _JUDGED = "select cast(page_id as varchar) as url_hash, url as normalised_url, case when page_id % 3 = 0 then 'journal' else 'article' end as url_type, ['fetch_failed', 'blocked_gave_up', 'parse_failed', 'dup_in_run_doi', 'unchanged_payload', 'bronze_written', 'skipped_manifest', 'dup_in_run_url'][page_id % 8 + 1] as outcome, page_id from pages"
 

@@ -4,8 +4,13 @@ from __future__ import annotations
 
 import json
 import re
+from collections import Counter, defaultdict
+from collections.abc import Iterator
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakestar.functions import urls
@@ -25,25 +30,55 @@ def scan_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return rows.withColumns({"source_file": file, "ingest_date": F.regexp_extract(file, r"ingest_date=([^/]+)", 1).try_cast("date")})
 
 
-def check_batch(rows: DataFrame, keys: list[str], ts: str, publisher: str | None = None) -> int:
-    """Raises ValueError on a bad date, time, publisher or key, and on keys held twice; returns the row count."""
-    blank = [F.trim(F.coalesce(F.col(k), F.lit(""))) == "" for k in keys]
-    any_blank = blank[0]
-    for b in blank[1:]:
-        any_blank = any_blank | b
-    bad = {"ingest_date": F.col("ingest_date").isNull(), ts: F.col(ts).try_cast("timestamp").isNull(), "empty key": any_blank}
+def violations(rows: DataFrame, rules: dict[str, Column], sample: list[str], samples: int = 5) -> DataFrame:
+    """rule, n (rows that break it) and samples (JSON of ``sample`` columns) of each rule that is broken, in one pass.
+
+    Samples are the ``samples`` least by their JSON, so the same ones however rows lie. Each task keeps a count and that many
+    samples for each rule, and only these are shuffled; good rows stay in the JVM.
+    """
+    names = list(rules)
+    broken = F.array_compact(F.array(*(F.when(F.coalesce(rules[name], F.lit(False)), F.lit(i)) for i, name in enumerate(names))))
+    bad = rows.select(broken.alias("broken"), F.to_json(F.struct(*sample), {"ignoreNullFields": "false"}).alias("sample")).where(F.size("broken") > 0)
+
+    def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, kept = Counter(), defaultdict(list)
+        for batch in batches:
+            broken, found = batch.column("broken"), batch.column("sample")
+            rule, row = broken.flatten(), pc.list_parent_indices(broken)
+            for i in pc.unique(rule).to_pylist():
+                mine = found.take(row.filter(pc.equal(rule, i)))
+                n[i] += len(mine)
+                kept[i] = sorted([*kept[i], *mine.take(pc.select_k_unstable(mine, samples, [("", "ascending")])).to_pylist()], key=str.encode)[:samples]
+        yield pa.RecordBatch.from_pylist([{"i": i, "n": n[i] if not j else 0, "sample": text} for i in n for j, text in enumerate(kept[i])], schema=pa.schema([("i", pa.int32()), ("n", pa.int64()), ("sample", pa.string())]))
+
+    parts = bad.mapInArrow(least, "i int, n long, sample string")
+    w = Window.partitionBy("i").orderBy("sample")
+    parts = parts.select("i", "sample", F.sum("n").over(Window.partitionBy("i")).alias("n"), F.row_number().over(w).alias("_rn")).where(F.col("_rn") <= samples)
+    told = parts.groupBy("i").agg(F.first("n").alias("n"), F.array_sort(F.collect_list("sample")).alias("samples"))
+    return told.select(F.element_at(F.array(*map(F.lit, names)), F.col("i") + 1).alias("rule"), "n", "samples")
+
+
+def check_batch(rows: DataFrame, keys: list[str], ts: str, publisher: str | None = None, samples: int = 5) -> int:
+    """Raises ValueError on bad dates, times, publishers and keys, with counts and samples of each, and on keys held twice; returns the row count.
+
+    Rows are counted and checked in one pass.
+    """
+    blank = reduce(lambda a, b: a | b, (F.trim(F.coalesce(F.col(k), F.lit(""))) == "" for k in keys))
+    rules = {"ingest_date": F.col("ingest_date").isNull(), ts: F.col(ts).try_cast("timestamp").isNull(), "empty key": blank}
     if publisher is not None:
-        bad["publisher"] = ~F.col("publisher").eqNullSafe(F.lit(publisher))
-    found = rows.agg(F.count("*").alias("_n"), *(F.count(F.when(c, 1)).alias(k) for k, c in bad.items())).first()
-    if not found["_n"]:
+        rules["publisher"] = ~F.col("publisher").eqNullSafe(F.lit(publisher))
+    seen = Observation()
+    shown = list(dict.fromkeys(c for c in (*keys, ts, "ingest_date", "publisher", "source_file") if c in rows.columns))
+    wrong = {r.rule: (r.n, r.samples) for r in violations(rows.observe(seen, F.count(F.lit(1)).alias("n")), rules, shown, samples).collect()}
+    n = seen.get["n"]
+    if not n:
         raise FileNotFoundError("the landing zone has no rows")
-    wrong = {k: found[k] for k in bad if found[k]}
     if wrong:
-        raise ValueError(f"bad rows: {wrong}")
-    twice = rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").limit(5).collect()
+        raise ValueError("bad rows: " + "; ".join(f"{rule}: {wrong[rule][0]}, such as {', '.join(wrong[rule][1])}" for rule in rules if rule in wrong))
+    twice = rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").orderBy(*keys).limit(samples).collect()
     if twice:
         raise ValueError(f"keys held twice: {[r.asDict() for r in twice]}")
-    return found["_n"]
+    return n
 
 
 def missing_blobs(rows: DataFrame, spark: SparkSession, path: str, key: Column) -> DataFrame:
