@@ -5,6 +5,8 @@ Pages and documents are made of table columns by a rule, in both engines alike,
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from lakestar.functions import authors, hashing, html, scholar, text
@@ -12,6 +14,9 @@ from lakestar.operators import cover, gates
 from lakestar.plans.catalog import _scratch, _t, query
 from lakestar.plans.records import assemble
 from lakestar.sources import blobs, export, health, landing, lines
+from lakestar.sources.files import Files
+from lakestar.sources.table import VersionedTable, insert_only
+from lakestar.streaming import markers
 
 
 def _join(*parts):
@@ -276,6 +281,30 @@ def r103_rule_samples(spark, sf_dir):
     return found.withColumn("samples", F.array_join("samples", " "))
 
 
+@query("select event_id, user_id, event_type from events where date_diff('day', date '2024-01-01', cast(ts as date)) % 3 <> 0")
+def r104_marked_landings(spark, sf_dir):
+    """Days that landed are merged when their markers are seen; those acknowledged before are not, and a second stream without memory changes nothing."""
+    root = _scratch(spark, "r104")
+    day = F.col("ts").cast("date")
+    events = _t(spark, sf_dir, "events").withColumn("day", day.cast("string"))
+    events.select("day", "event_id", "user_id", "event_type").write.partitionBy("day").json(f"{root}/landing")
+    files = Files(spark, root)
+    for r in events.select("day", F.date_diff(day, F.lit("2024-01-01").cast("date")).alias("n")).distinct().collect():
+        files.create(f"{root}/_markers/p/{r.day}.json", json.dumps({"day": r.day}))
+        if r.n % 3 == 0:
+            files.create(f"{root}/_markers/p/{r.day}.json{markers.SUFFIX}", "{}")
+    table = VersionedTable(spark, f"{root}/table").create("event_id long, user_id long, event_type string")
+
+    def build(marked):
+        landed = spark.read.schema("event_id long, user_id long, event_type string, day string").json(f"{root}/landing")
+        done = table.merge(landed.join(F.broadcast(marked.select("day")), "day", "left_semi").select("event_id", "user_id", "event_type"), ["event_id"], insert_only())
+        return {"inserted": done.inserted}
+
+    for n in range(2):
+        markers.process_markers(spark, root, build, f"{root}/checkpoint-{n}", "day string", per_batch=7)
+    return table.read()
+
+
 # -- manifest and health ------------------------------------------------------------------------------------------------
 _JUDGED = "select cast(page_id as varchar) as url_hash, url as normalised_url, case when page_id % 3 = 0 then 'journal' else 'article' end as url_type, ['fetch_failed', 'blocked_gave_up', 'parse_failed', 'dup_in_run_doi', 'unchanged_payload', 'bronze_written', 'skipped_manifest', 'dup_in_run_url'][page_id % 8 + 1] as outcome, page_id from pages"
 
