@@ -18,6 +18,7 @@ import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -75,6 +76,7 @@ class UrlModel:
     unigram: dict[str, float]
     enter: float
     unknown: float
+    longest: int
     prior: dict[str, float]
     likelihood: dict[str, dict[str, float]]
     unseen: dict[str, float]
@@ -85,7 +87,7 @@ class UrlModel:
         An unknown stretch costs ``enter`` and ``unknown`` for each of its characters, so a short word inside of an
         unknown name doesn't split it. Equal splits go to the fewer unknown characters at the end.
         """
-        longest = max(map(len, self.unigram), default=1)
+        longest = self.longest
         # For each end: the best split that ends in a word (or begins), and in an unknown stretch; with what came before.
         word: list[tuple[float, int, int]] = [(0.0, 0, 0)]
         stray: list[tuple[float, int, int]] = [(-math.inf, 0, 0)]
@@ -119,14 +121,15 @@ class UrlModel:
         return total
 
 
-def vocabulary(pages: DataFrame, columns: tuple[str, ...] = ("url", "html"), max_words: int = 50_000) -> dict[str, int]:
-    """Counts of the corpus's words (runs of two or more letters, lower case) over all rows; the ``max_words`` most frequent.
+def vocabulary(pages: DataFrame, columns: tuple[str, ...] = ("url", "html"), max_words: int = 50_000, shortest: int = 2, longest: int = 24) -> dict[str, int]:
+    """Counts of the corpus's words (runs of ``shortest`` to ``longest`` letters of any script, lower case) over all rows.
 
-    Hosts are left out of addresses: they are what is to be split. Counting is one shuffle of partial counts.
+    Kept are the ``max_words`` most frequent, which bounds the model whatever the corpus; equal counts go by the word. Hosts
+    are left out of addresses: they are what is to be split. Counting is one shuffle of partial counts.
     """
     text = F.concat_ws(" ", *(F.regexp_replace(F.col(c), r"^[^:/?#]*://[^/?#]*", " ") if c == "url" else F.regexp_replace(F.col(c), r"<[^<>]*>", " ") for c in columns))
-    words = pages.select(F.explode(F.split(F.lower(text), "[^a-z]+")).alias("w")).where(F.length("w").between(2, 24))
-    found = words.groupBy("w").agg(F.count("*").alias("n")).where("n > 1").orderBy(F.desc("n"), "w").limit(max_words)
+    words = pages.select(F.explode(F.split(F.lower(text), "\\P{L}+")).alias("w")).where(F.length("w").between(shortest, longest))
+    found = words.groupBy("w").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "w").limit(max_words)
     return {r.w: r.n for r in found.collect()}
 
 
@@ -144,7 +147,8 @@ def train(labelled: Iterable[tuple[str, str]] | None = None, word_counts: dict[s
     unigram = {w: math.log(n / total) for w, n in counts.items()}
     # An unknown word of n letters has the probability 10 / (total * 10^n).
     enter, unknown = math.log(10 / max(total, 1)), -math.log(10)
-    blank = UrlModel(unigram, enter, unknown, {}, {}, {})
+    longest = max(map(len, unigram), default=1)
+    blank = UrlModel(unigram, enter, unknown, longest, {}, {}, {})
     rows = list(labelled) if labelled is not None else [(u, "block") for u in BLOCKED] + [(u, "allow") for u in ALLOWED]
     seen: dict[str, Counter] = {"block": Counter(), "allow": Counter()}
     n = Counter()
@@ -155,7 +159,7 @@ def train(labelled: Iterable[tuple[str, str]] | None = None, word_counts: dict[s
     words = set(seen["block"]) | set(seen["allow"])
     prior = {v: math.log((n[v] + 1) / (sum(n.values()) + 2)) for v in seen}
     size = {v: sum(seen[v].values()) + len(words) + 1 for v in seen}
-    return UrlModel(unigram, enter, unknown, prior, {v: {w: math.log((seen[v][w] + 1) / size[v]) for w in words} for v in seen}, {v: math.log(1 / size[v]) for v in seen})
+    return UrlModel(unigram, enter, unknown, longest, prior, {v: {w: math.log((seen[v][w] + 1) / size[v]) for w in words} for v in seen}, {v: math.log(1 / size[v]) for v in seen})
 
 
 def judge(pages: DataFrame, rules: Iterable[tuple[str, str, str]], model: UrlModel | None = None) -> DataFrame:
@@ -165,10 +169,11 @@ def judge(pages: DataFrame, rules: Iterable[tuple[str, str, str]], model: UrlMod
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
+        score = lru_cache(1 << 16)(m.score)  # addresses share hosts and paths
         for batch in batches:
             split = [split_url(u) for u in batch.column("url").to_pylist()]
             found = [matching_rule(h, p, rules) for h, p in split]
-            odds = [m.score(h, p) for h, p in split]
+            odds = [score(h, p) for h, p in split]
             verdicts = [v or ("block" if o > 0 else "allow") for (_, v), o in zip(found, odds, strict=True)]
             text = lambda x: pa.array(x, pa.string())
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), text([h for h, _ in split]), text([p for _, p in split]), text([r for r, _ in found]), text(verdicts), pa.array(odds, pa.float64())], names=["page_id", "host", "path", "rule", "verdict", "log_odds"])

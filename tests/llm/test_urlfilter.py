@@ -1,5 +1,7 @@
 import itertools
 import math
+import re
+from collections import Counter
 
 from lakestar.llm import queries, urlfilter
 
@@ -48,6 +50,41 @@ def test_query(spark, sf_dir):
     assert df.columns[:5] == ["page_id", "host", "path", "rule", "verdict"] and {r.verdict for r in df.collect()} == {"allow", "block"}
 
 
+def test_dictionary_bounds_and_words_beyond_ascii(spark):
+    pages = spark.createDataFrame([(None, "Élève élève große straße x " + "y" * 30), (None, "élève niño 7abc_def")], "url string, html string")
+    assert urlfilter.vocabulary(pages) == {"élève": 3, "große": 1, "straße": 1, "niño": 1, "abc": 1, "def": 1}
+    assert urlfilter.vocabulary(pages, max_words=2) == {"élève": 3, "abc": 1}
+    assert urlfilter.vocabulary(pages, shortest=1, longest=30) == urlfilter.vocabulary(pages) | {"x": 1, "y" * 30: 1}
+
+
+def test_query_against_brute_force(spark, sf_dir):
+    """Every page's host, path, rule and verdict again, with the dictionary counted and the odds summed in plain Python."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").collect()
+    counts = Counter()
+    for r in pages:
+        text = re.sub(r"^[^:/?#]*://[^/?#]*", " ", r.url or "") + " " + re.sub("<[^<>]*>", " ", r.html or "")
+        counts.update(w for w in re.findall(r"[^\W\d_]+", text.lower()) if 2 <= len(w) <= 24)
+    counts = dict(sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:50_000])
+    m = urlfilter.train(word_counts=urlfilter.mixed(counts))
+    got, verdicts = {r.page_id: r for r in queries.op10_url_filter(spark, sf_dir).collect()}, Counter()
+    for r in pages:
+        rest = (r.url or "").partition("://")
+        host = re.split("[/?#]", rest[2])[0]
+        path = re.split("[?#]", rest[2][len(host) :])[0]
+        host = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host)
+        fits = sorted(((len(h + p), h + p, v) for v, h, p in queries.URL_RULES if f".{host}".endswith(f".{h}") and path.startswith(p)), reverse=True)
+        odds = m.prior["block"] - m.prior["allow"]
+        for label in [x for x in re.split("[^a-z0-9]", host) if x] + [x for x in re.split("[^a-z]", path.lower()) if x]:
+            for w in m.segment(label):
+                if any(w in m.likelihood[v] for v in m.likelihood):
+                    odds += m.likelihood["block"].get(w, m.unseen["block"]) - m.likelihood["allow"].get(w, m.unseen["allow"])
+        want = (host, path, fits[0][1] if fits else None, fits[0][2] if fits else "block" if odds > 1e-12 else "allow")
+        found = got[r.page_id]
+        assert (found.host, found.path, found.rule, found.verdict) == want and abs(found.log_odds - odds) < 1e-9, r.url
+        verdicts[want[2] is None, want[3]] += 1
+    assert len(got) == len(pages) and len(verdicts) == 4
+
+
 def test_verdict_is_the_multinomial_bayes():
     labelled = [("spamwin.x/casino", "block"), ("casinowin.x/a/b", "block"), ("blog.y/news", "allow"), ("newsblog.z/casino", "allow"), ("blog.w/", "allow")]
     words = {"spam": 5, "win": 5, "casino": 5, "blog": 5, "news": 5}
@@ -76,5 +113,5 @@ def test_long_repeated_and_tied_urls(spark):
 
 def test_dictionary_counts_the_whole_table(spark):
     pages = spark.createDataFrame([("http://hostname.x/alpha/beta-x", "<p class='no'>Gamma gamma delta</p>"), ("http://other.x/alpha", None), (None, "<b>delta</b>")], "url string, html string")
-    assert urlfilter.vocabulary(pages) == {"alpha": 2, "delta": 2, "gamma": 2} and urlfilter.vocabulary(pages.limit(0)) == {}
+    assert urlfilter.vocabulary(pages) == {"alpha": 2, "delta": 2, "gamma": 2, "beta": 1} and urlfilter.vocabulary(pages.limit(0)) == {}
     assert set(urlfilter.mixed({"alpha": 2}, {"beta": 1})) == {"alpha", "beta"} and urlfilter.mixed({"a": 1, "b": 3}, {"a": 1}) == {"a": 0.5 * 0.25e6 + 0.5e6, "b": 0.5 * 0.75e6}
