@@ -22,7 +22,7 @@ def labelled_findings(n: int = 2400, seed: int = 11) -> list[dict]:
     """``n`` findings of long runs, and as many of short or punctuated assigned values, half of them secrets; the same for the same seed."""
     rng = random.Random(seed)
     text = lambda alphabet, k: "".join(rng.choice(alphabet) for _ in range(k))
-    names = ("token", "secret", "password", "passwd", "api_key", "apikey", "access_key", "auth_token", "client_secret", "private_key", "credential", "pwd")
+    names = ("token", "secret", "password", "passwd", "api_key", "apikey", "access_key", "auth_token", "client_secret", "private_key", "credential", "pwd", "passwort", "kennwort", "geheim", "mot_de_passe", "contrasena", "clave_secreta")
     assign = (' = "', '="', "=", ": ", ' = ', "='", '": "')
 
     def positive() -> dict:
@@ -79,7 +79,7 @@ def labelled_findings(n: int = 2400, seed: int = 11) -> list[dict]:
         return {"value": value, "before": before, "after": after, "path": path, "label": 0.0}
 
     lower, signs = _MIXED[26:52], ".!@#$%&*?+-_"
-    stems = ("horse", "dragon", "Summer", "Winter", "Tr0ub4dor", "hunter", "monkey", "P4ss", "Qwerty", "letmein", "Sunshine", "correct", "battery", "staple", "shadow", "Falcon", "river", "Zebra")
+    stems = ("copper", "dragon", "Summer", "Winter", "hunter", "monkey", "P4ss", "Qwerty", "letmein", "Sunshine", "correct", "battery", "staple", "shadow", "Falcon", "river", "Zebra")
 
     def assigned_positive() -> dict:
         kind = rng.randrange(7)

@@ -1,23 +1,24 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest.
 
 A candidate is a run of at least ``SHORTEST`` key characters, or whatever is assigned to a secret word: at
-least ``SHORTEST_ASSIGNED`` characters without blanks or quotes, up to the closing quote, or else to <, >, a comma or a
-semicolon. The forest sees its length, the transitions between character classes, how much
-of it words of a dictionary cover, whether it reads as code or prose, the path it lies in, and the words around it. Runs
-inside an assigned value are judged too, and the value is as secret as the most secret of them.
+least ``SHORTEST_ASSIGNED`` characters without blanks or quotes, up to the closing quote, or else to <, >, a comma, a
+semicolon or the next parameter. Names, blanks around the sign, values and their parameters may be of any length. The
+forest sees its length, the transitions between character classes, how much of it words of a dictionary cover, whether it
+reads as code or prose, the path it lies in, and the words around it. Runs inside an assigned value are judged too, and the value is as secret as the most secret of them.
 It is trained by Spark's own learner on labelled findings and applied as one SQL expression over each document's
 candidates: scanning has no shuffle and no Python.
 
 Defined results: a null text has no candidates and stays null. All places of a repeated value are judged each, with
 their own neighbours; repeated rows alike. A score at the threshold is a secret. A very long text is scanned whole, in
-time proportional to its length, and so is a very long run. Control characters U+0001 and U+0002 of a text are kept.
+time proportional to its length, and so is a very long run. Control characters U+0001 to U+0003 of a text are kept,
+but count for two in a value's least length.
 Columns named like the scan's two are replaced by ``scan``; ``redact`` keeps all of the input's. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import json
-from functools import cache
+from functools import cache, reduce
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -34,16 +35,23 @@ AROUND = 48
 BLOCK = 512
 RUN = rf"(?<![A-Za-z0-9+/_\-])[A-Za-z0-9+/_\-]{{{SHORTEST},}}={{0,2}}"
 SHORTEST_ASSIGNED = 4
-_SECRET_WORDS = "token|secret|passw|pwd|api.?key|access.?key|auth|credential|private.?key|bearer"
-_QUOTE = "[\"'`]"
-_BARE = "[^\\s\"'`<>,;&]"
-_PARAMETER = r"&(?![A-Za-z0-9_.\-]{1,64}=)"
-#: Behind a secret word and an assignment; the first part only spares the second most places.
-_ASSIGNED_TO = rf"(?<=[=:]>?[ \t]{{0,4}}{_QUOTE}?)(?<=(?i:{_SECRET_WORDS})[A-Za-z0-9_.\-]{{0,24}}{_QUOTE}?\]?[ \t]{{0,4}}(?::=|=>|[=:])[ \t]{{0,4}}{_QUOTE}?)"
-#: Up to the closing quote; or to what ends a bare value, without the sentence's or bracket's end.
+#: What names of secrets hold, in English, German, French and Spanish.
+_SECRET_WORDS = "token|secret|passw|pwd|api.?key|access.?key|auth|credential|private.?key|bearer|kennwort|geheim|mot.?de.?passe|contrase|clave.?secreta"
+_QUOTE, _NAME = "[\"'`]", r"[A-Za-z0-9_.\-]"
+#: Behind a name: a closing quote or bracket, any blanks, the sign, any blanks, an opening quote.
+_SIGN = rf"{_QUOTE}?\]?[ \t]*+(?::=|=>|[=:])>?[ \t]*+{_QUOTE}?"
+_SECRET_NAME = f"(?i:{_SECRET_WORDS})".replace(".?", f"{_NAME}?")
+#: A whole name with a secret word in it, of any length, or the second word of one that something stands in, up to the value.
+#: What is looked at ahead is passed over once for each name, so long names take time by their length.
+_ASSIGNED = rf"(?:(?<!{_NAME})(?={_NAME}++{_SIGN})(?={_NAME}*?{_SECRET_NAME}){_NAME}++|(?<=(?i:api|access|private))[^A-Za-z0-9_.\-\n](?i:key){_NAME}*+){_SIGN}"
+#: U+0003 stands for an ampersand before the name of a parameter, which ends a value.
+_BARE = "[^\\s\"'`<>,;\x03]"
+#: Up to the closing quote; or to what ends a bare value, without the sentence's or bracket's end. A value that is itself an
+#: assignment to a secret name is that one's.
 _QUOTED = rf"(?<={_QUOTE})[^\s\"'`]{{{SHORTEST_ASSIGNED},}}(?={_QUOTE})"
-_UNQUOTED = rf"(?:(?<={_QUOTE})|(?![=:>]))(?=[^\s\"'`<>,;]{{{SHORTEST_ASSIGNED - 1},}}?[^\s\"'`<>,;.:)\]}}&])(?:{_PARAMETER})?{_BARE}+(?:{_PARAMETER}{_BARE}*){{0,40}}(?<![.:)\]}}&])"
-CANDIDATE = f"{_ASSIGNED_TO}(?:{_QUOTED}|{_UNQUOTED})|{RUN}"
+_UNQUOTED = rf"(?:(?<={_QUOTE})|(?![=:>]))(?!(?={_NAME}++{_SIGN}[^=:>\s])(?={_NAME}*?{_SECRET_NAME})){_BARE}{{{SHORTEST_ASSIGNED},}}(?<![.:)\]}}&])"
+_PARAMETER = rf"&(?={_NAME}++=)"
+VALUE = f"({_ASSIGNED})({_QUOTED}|{_UNQUOTED})"
 #: Words of names, paths and placeholders.
 DICTIONARY = (
     "example", "sample", "dummy", "fake", "placeholder", "change", "insert", "here", "your", "test", "demo", "default", "value", "name", "user", "data", "file", "image",
@@ -105,7 +113,7 @@ def findings(spark: SparkSession, rows: list[dict] | None = None) -> DataFrame:
     return spark.range(1).select(F.explode(F.from_json(F.lit(text), schema)).alias("x")).select("x.*")
 
 
-def train(labelled: DataFrame, trees: int = 24, depth: int = 6, seed: int = 5, max_rows: int = 50_000) -> RandomForestClassificationModel:
+def train(labelled: DataFrame, trees: int = 24, depth: int = 8, seed: int = 5, max_rows: int = 50_000) -> RandomForestClassificationModel:
     """Fits the forest to at most ``max_rows`` labelled findings (value, before, after, path, label), the same ones each time."""
     x = F.struct("value", "before", "after", "path")
     rows = labelled.select(x.alias("x"), "label").orderBy(F.xxhash64("x"), "label").limit(max_rows)
@@ -148,11 +156,16 @@ def scan(docs: DataFrame, forest: str | None = None, path: Column | None = None,
     forest = forest or default_forest(docs.sparkSession)
     columns = [c for c in docs.columns if c not in ("pieces", "found")]
     docs = packed(docs.withColumn(_PATH, path if path is not None else F.lit("")), "text", _PATH).withColumnRenamed(_PATH, "_path")
-    # A text's own control characters are written as U+0002 a and U+0002 b while U+0001 marks the candidates.
+    # A text's own control characters are written as U+0002 and a sign that is in no run while U+0001 marks the candidates.
     text = F.col("text")
-    safe = F.when(text.rlike("[\x01\x02]"), F.replace(F.replace(text, F.lit("\x02"), F.lit("\x02b")), F.lit("\x01"), F.lit("\x02a"))).otherwise(text)
-    marked = F.split(F.regexp_replace(safe, CANDIDATE, "\x01$0\x01"), "\x01")
-    plain = lambda c: F.when(F.instr(c, "\x02") > 0, F.replace(F.replace(c, F.lit("\x02a"), F.lit("\x01")), F.lit("\x02b"), F.lit("\x02"))).otherwise(c)
+    swap = lambda c, *pairs: reduce(lambda x, p: F.replace(x, F.lit(p[0]), F.lit(p[1])), pairs, c)
+    safe = F.when(text.rlike("[\x01-\x03]"), swap(text, ("\x02", "\x02!"), ("\x01", "\x02#"), ("\x03", "\x02%"))).otherwise(text)
+    safe = F.when(F.instr(safe, "&") > 0, F.regexp_replace(safe, _PARAMETER, "\x03")).otherwise(safe)
+    # Assigned values first, then runs in what lies between them; a text without a sign has no assigned values.
+    assigned = F.split(F.when(safe.rlike("[=:]"), F.regexp_replace(safe, VALUE, "$1\x01$2\x01")).otherwise(safe), "\x01")
+    runs = F.transform(assigned, lambda p, i: F.when(i % 2 == 0, F.regexp_replace(p, RUN, "\x01$0\x01")).otherwise(p))
+    marked = F.split(F.array_join(runs, "\x01"), "\x01")
+    plain = lambda c: F.when(c.rlike("[\x02\x03]"), swap(c, ("\x03", "&"), ("\x02#", "\x01"), ("\x02%", "\x03"), ("\x02!", "\x02"))).otherwise(c)
     docs = docs.withColumn("pieces", F.transform(marked, plain))
     # Where each piece begins: summed in blocks, so that a text of very many candidates isn't copied for each of them.
     block = lambda b: f"slice(_len, {b} * {BLOCK} + 1, {BLOCK})"
@@ -164,8 +177,10 @@ def scan(docs: DataFrame, forest: str | None = None, path: Column | None = None,
     # Arrays are zipped, never looked into by place from a function of their elements: Spark may put what makes them there,
     # to be made for each element anew.
     docs = docs.withColumn("_z", F.arrays_zip(F.col("pieces").alias("piece"), F.col("_at").alias("at")))
+    # Neighbours are those of the text: another candidate that stands there is one of them.
+    near = lambda k: f"coalesce({'right' if k < 0 else 'left'}(get(_z, i + ({k})).piece, {AROUND}), '')"
     around = f"""transform(if(size(_z) > 1, sequence(1, size(_z) - 1, 2), cast(array() as array<int>)), i -> named_struct(
-        'value', _z[i].piece, 'before', right(_z[i - 1].piece, {AROUND}), 'after', left(_z[i + 1].piece, {AROUND}), 'path', _path, 'offset', _z[i].at))"""
+        'value', _z[i].piece, 'before', right(concat({near(-3)}, {near(-2)}, _z[i - 1].piece), {AROUND}), 'after', left(concat(_z[i + 1].piece, {near(2)}, {near(3)}), {AROUND}), 'path', _path, 'offset', _z[i].at))"""
     docs = docs.withColumn("_x", F.expr(around))
     features = ", ".join(f"'{name}', cast({sql} as double)" for name, sql in FEATURES.items())
     docs = docs.withColumn("_f", F.expr(_sql(f"transform(_x, x -> named_struct({features}))")))

@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -99,3 +100,96 @@ def test_many_candidates_and_repeated_rows(spark, model):
     rows = secretscan.scan(spark.createDataFrame([(1, text), (1, text)], "doc_id int, text string"), secretscan.forest_sql(model)).collect()
     want = [(m.start(), m[0]) for m in re.finditer(r"[0-9a-f]{16,}", text)]
     assert len(rows) == 2 and all([(f.offset, f.value) for f in r.found] == want for r in rows) and rows[0].found == rows[1].found
+
+
+NAME, QUOTES = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_.-"), set("\"'`")
+WORDS = re.compile("(?i)token|secret|passw|pwd|api[A-Za-z0-9_.-]?key|access[A-Za-z0-9_.-]?key|auth|credential|private[A-Za-z0-9_.-]?key|bearer|kennwort|geheim|mot[A-Za-z0-9_.-]?de[A-Za-z0-9_.-]?passe|contrase|clave[A-Za-z0-9_.-]?secreta")
+
+
+def run_of(t, i, chars):
+    while i < len(t) and t[i] in chars:
+        i += 1
+    return i
+
+
+def sign_end(t, i):
+    """Where the value after a name that ends at i begins; None without a sign."""
+    i += i < len(t) and t[i] in QUOTES
+    i += i < len(t) and t[i] == "]"
+    i = run_of(t, i, " \t")
+    for sign in (":=", "=>", "=", ":"):
+        if t.startswith(sign, i):
+            i += len(sign)
+            i += t.startswith(">", i)
+            i = run_of(t, i, " \t")
+            return i + (i < len(t) and t[i] in QUOTES)
+    return None
+
+
+def brute_candidates(text):
+    """(offset, value) of every candidate, found a character at a time."""
+    ends = {i for i, c in enumerate(text) if c == "&" and run_of(text, i + 1, NAME) > i + 1 and text[run_of(text, i + 1, NAME) :][:1] == "="}
+    space = lambda c: c in " \t\n\r\x0b\f"
+    found, i = [], 0
+    while i < len(text):
+        if text[i] in NAME and not (i and text[i - 1] in NAME):
+            e = run_of(text, i, NAME)
+            v = sign_end(text, e) if WORDS.search(text[i:e]) else None
+        elif text[i] not in NAME and text[i] != "\n" and re.search("(?i)(api|access|private)$", text[max(0, i - 7) : i]) and text[i + 1 : i + 4].lower() == "key":
+            v = sign_end(text, run_of(text, i + 4, NAME))
+        else:
+            v = None
+        if v is not None:
+            quoted, e = text[v - 1] in QUOTES, v
+            while e < len(text) and not space(text[e]) and text[e] not in QUOTES:
+                e += 1
+            if not (quoted and e - v + len(re.findall("[\x01-\x03]", text[v:e])) >= 4 and e < len(text) and text[e] in QUOTES):
+                e = v
+                while e < len(text) and not space(text[e]) and text[e] not in QUOTES | set("<>,;") and e not in ends:
+                    e += 1
+                while e > v and text[e - 1] in ".:)]}&":
+                    e -= 1
+                n = run_of(text, v, NAME)
+                after = sign_end(text, n) if n > v and WORDS.search(text[v:n]) else None
+                inner = after is not None and after < len(text) and not space(text[after]) and text[after] not in "=:>"
+                # U+0001 to U+0003 count for two.
+                if e - v + len(re.findall("[\x01-\x03]", text[v:e])) < 4 or inner or (not quoted and text[v : v + 1] in set("=:>")):
+                    e = v
+            if e > v:
+                found.append((v, text[v:e]))
+                i = e
+                continue
+        i += 1
+    between, at = [], 0
+    for v, value in [*found, (len(text), "")]:
+        between += [(at + m.start(), m[0]) for m in re.finditer(r"(?<![A-Za-z0-9+/_\-])[A-Za-z0-9+/_\-]{16,}={0,2}", text[at:v])]
+        at = v + len(value)
+    return sorted(found + between)
+
+
+def candidates(spark, texts, forest):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    return {r.doc_id: [(f.offset, f.value) for f in r.found] for r in secretscan.scan(df, forest).collect()}
+
+
+def test_names_blanks_and_parameters_of_any_length(spark, model):
+    v = "Zx9qrT4mWk"
+    texts = [
+        f'password_for_production_database = "{v}"', f"password{' ' * 20}={' ' * 30}{v}", f"{'a_very_long_prefix_' * 6}secret{'_and_suffix' * 6}: '{v}'", f"path/to/client_secret = {v}",
+        "token=" + "&".join(f"part{i}" for i in range(200)) + "&user=bob", "token=" + "a&" * 5000 + "b", f"api key: {v}", f"config['api_key'] = '{v}'", f"auth: token={v}", f"secret: password = {v}", f"mot-de-passe: {v}", f"Kennwort={v}", "token" * 20_000 + " x", f"{'token' * 5000}={v}",
+    ]
+    found = candidates(spark, texts, secretscan.forest_sql(model))
+    for i, t in enumerate(texts):
+        assert found[i] == brute_candidates(t), t[:80]
+    for i in (0, 1, 2, 3, 6, 7, 8, 9, 10, 11, 13):
+        assert v in [value for _, value in found[i]], texts[i][:80]
+    assert "&".join(f"part{i}" for i in range(200)) in [value for _, value in found[4]] and found[5][-1][1].startswith("a&a&")
+
+
+def test_candidates_against_brute_force(spark, model):
+    rng = random.Random(9)
+    parts = ["password", "Secret", "api", "key", "token", "name", "x1", "_", "-", ".", " ", "  ", "\t", "\n", "=", ":", ":=", "=>", ">", '"', "'", "]", "[", "&", "&u=", "hunter2", "0123456789abcdef0123", "A/b+c", ",", ";", "(", ")", "}", "é", "\x01", "\x02", "\x03", "\x02a", "=="]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 25))) for _ in range(3000)]
+    found = candidates(spark, texts, secretscan.forest_sql(model))
+    for i, t in enumerate(texts):
+        assert found[i] == brute_candidates(t), (t, found[i], brute_candidates(t))
