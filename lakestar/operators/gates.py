@@ -34,17 +34,26 @@ def outcomes(listing: DataFrame, manifest: DataFrame, now: Column, refresh_days:
     """
     known = manifest.select("url_hash", F.col("status").alias("_status"), F.col("last_seen_at").alias("_seen"), F.col("payload_hash").alias("_payload"))
     rows = listing.join(known, "url_hash", "left").withColumn("_first", first_arrival(listing, ["url_hash"], "ordinal"))
-    rows = rows.withColumn("_fetch", refresh(F.col("_status"), F.col("_seen"), now, refresh_days, force)["fetch"])
-    rows = rows.withColumn("_built", F.col("_first") & F.col("_fetch") & (F.col("result") == "ok"))
+    rows = built(rows, now, refresh_days, force)
     # The first arrival of each doi among the rows that were built, by partial aggregation: rows without one meet nowhere.
     first = rows.where("_built and doi is not null").groupBy("doi").agg(F.min("ordinal").alias("_least"))
     rows = rows.withColumn("_doi", F.when(F.col("_built"), F.col("doi"))).join(first.withColumnRenamed("doi", "_doi"), "_doi", "left").drop("_doi")
-    again = F.coalesce(F.col("ordinal") > F.col("_least"), F.lit(False))
+    return judged(rows, F.coalesce(F.col("ordinal") > F.col("_least"), F.lit(False))).drop("_least")
+
+
+def built(rows: DataFrame, now: Column, refresh_days: int, force: bool = False) -> DataFrame:
+    """Adds whether a row (with _first and the manifest's _status and _seen) is fetched, and whether its page was read."""
+    rows = rows.withColumn("_fetch", refresh(F.col("_status"), F.col("_seen"), now, refresh_days, force)["fetch"])
+    return rows.withColumn("_built", F.col("_first") & F.col("_fetch") & (F.col("result") == "ok"))
+
+
+def judged(rows: DataFrame, again: Column) -> DataFrame:
+    """Adds the outcome of ``built`` rows; ``again``: whether an earlier one had the row's doi."""
     outcome = (
         F.when(~F.col("_first"), "dup_in_run_url").when(~F.col("_fetch"), "skipped_manifest").when(F.col("result") == "failed", "fetch_failed").when(F.col("result") == "blocked", "blocked_gave_up")
         .when(F.col("result") == "parse_error", "parse_failed").when(again, "dup_in_run_doi").when(F.col("payload_hash").eqNullSafe(F.col("_payload")) & F.col("payload_hash").isNotNull(), "unchanged_payload").otherwise("bronze_written")
     )
-    return rows.withColumn("outcome", outcome).drop("_status", "_seen", "_payload", "_first", "_fetch", "_built", "_least")
+    return rows.withColumn("outcome", outcome).drop("_status", "_seen", "_payload", "_first", "_fetch", "_built")
 
 
 def counters(rows: DataFrame) -> DataFrame:

@@ -603,7 +603,13 @@ def r67_invariants(spark, sf_dir):
     layers = orders.groupBy("o_orderstatus").count().agg(n_if(F.col("count") < 0).alias("negative_layers"))
     last = events.agg(F.max_by("event_type", F.struct("ts", "event_id")).alias("last")).join(F.broadcast(events.orderBy(F.desc("ts"), F.desc("event_id")).limit(1).select(F.col("event_type").alias("shown")))).select((F.col("last") == F.col("shown")).alias("last_status_agrees"))
     fresh = customer.join(orders, F.col("o_custkey") == F.col("c_custkey"), "left").groupBy("c_custkey").agg(F.max("o_orderdate").alias("at"))
-    shown = fresh.select("at", F.lag("at").over(Window.orderBy(F.asc_nulls_first("at"), "c_custkey")).alias("before")).agg(n_if(F.col("before") > F.col("at")).alias("unsorted"))
+    # Sorted by ranges; a range's rows against one another, its first against the last of the ranges before it.
+    ranges = fresh.repartitionByRange(F.asc_nulls_first("at"), "c_custkey").sortWithinPartitions(F.asc_nulls_first("at"), "c_custkey").select("at", F.monotonically_increasing_id().alias("place"))
+    ranges = ranges.select("at", "place", F.shiftright("place", 33).alias("range"))
+    inside = ranges.select("range", F.lag("at").over(Window.partitionBy("range").orderBy("place")).alias("before"), "at").agg(n_if(F.col("before") > F.col("at")).alias("inside"))
+    ends = ranges.groupBy("range").agg(F.min("at").alias("least"), F.max("at").alias("most"))
+    between = ends.select("least", F.max("most").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)).alias("before")).agg(n_if(F.col("before") > F.col("least")).alias("between"))
+    shown = inside.join(F.broadcast(between)).select((F.col("inside") + F.col("between")).alias("unsorted"))
     status = events.groupBy("event_type", F.col("value") > 50).count().agg(F.sum("count").alias("n")).join(F.broadcast(events.agg(F.count("*").alias("all")))).select((F.col("all") - F.col("n")).alias("status_rows"))
     row = reduce(lambda a, b: a.join(F.broadcast(b)), (journals, top, runs, layers, last, shown, status), totals)
     return row.withColumn("top_within", (F.col("top") > 0) & (F.col("top") <= F.col("scholarly"))).drop("top", "scholarly")

@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 
 from lakestar.functions import authors, hashing, html, scholar, text
 from lakestar.operators import cover, gates
-from lakestar.plans.catalog import _scratch, _t, query
+from lakestar.plans.catalog import _GATES, _listing, _scratch, _t, query
 from lakestar.plans.records import assemble
 from lakestar.sources import blobs, export, health, landing, lines
 from lakestar.sources.files import Files
 from lakestar.sources.table import VersionedTable, insert_only
+from lakestar.streaming import gates as stream_gates
 from lakestar.streaming import markers
 
 
@@ -305,6 +306,25 @@ def r104_marked_landings(spark, sf_dir):
     return table.read()
 
 
+@query(_GATES + " select * from c")
+def r105_streamed_gates(spark, sf_dir):
+    """The outcomes of r57 from a stream that sees the listing in five batches."""
+    listing, manifest = _listing(spark, sf_dir)
+    root, key = _scratch(spark, "r105"), "spark.sql.streaming.stateStore.providerClass"
+    last = listing.agg(F.max("ordinal")).first()[0] or 0
+    for n in range(5):  # files come in the order of their ordinals
+        listing.where(F.floor(F.col("ordinal") * 5 / (last + 1)) == n).coalesce(1).write.parquet(f"{root}/listing/{n}")
+    stream = spark.readStream.schema(listing.schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1).parquet(f"{root}/listing")
+    before = spark.conf.get(key)
+    spark.conf.set(key, stream_gates.PROVIDER)
+    try:
+        found = stream_gates.outcomes(stream, manifest, F.lit("2024-04-01").cast("timestamp"), 60).select("url_hash", "ordinal", "outcome")
+        found.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint").option("path", f"{root}/out").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set(key, before)
+    return spark.read.parquet(f"{root}/out")
+
+
 # -- manifest and health ------------------------------------------------------------------------------------------------
 _JUDGED = "select cast(page_id as varchar) as url_hash, url as normalised_url, case when page_id % 3 = 0 then 'journal' else 'article' end as url_type, ['fetch_failed', 'blocked_gave_up', 'parse_failed', 'dup_in_run_doi', 'unchanged_payload', 'bronze_written', 'skipped_manifest', 'dup_in_run_url'][page_id % 8 + 1] as outcome, page_id from pages"
 
