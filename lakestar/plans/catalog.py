@@ -621,4 +621,4 @@ def r68_windowed_counts(spark, sf_dir):
 
 
 # The other parts of the catalogue register themselves here.
-from lakestar.plans import catalog_ingest, catalog_lake  # noqa: E402, F401
+from lakestar.plans import catalog_guards, catalog_ingest, catalog_lake  # noqa: E402, F401

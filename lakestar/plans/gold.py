@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,18 +75,20 @@ def authors(roles: DataFrame) -> DataFrame:
     return dims.with_unknown(rows, {"author_sk": -1, "author_nk": "Unknown", "display_name": "Unknown"})
 
 
+def collisions(rows: DataFrame, table: DataFrame, key: str, natural: tuple[str, ...]) -> DataFrame:
+    """Rows (key, natural columns, and as ``table_...`` the table's) whose surrogate key the table has for another natural key."""
+    old = table.select(F.col(key).alias("_key"), *(F.col(c).alias(f"table_{c}") for c in natural))
+    other = reduce(lambda a, c: a | ~F.col(c).eqNullSafe(F.col(f"table_{c}")), natural, F.lit(False))
+    return rows.select(key, *natural).join(old, F.col(key) == F.col("_key")).where(other).drop("_key")
+
+
 def merge_type1(table: VersionedTable, rows: DataFrame, key: str, natural: tuple[str, ...] = ()) -> MergeResult:
     """Type-1 upsert by surrogate key; a key that two natural keys share, in ``rows`` or with the table, raises."""
     table.create(rows.schema)
     if not relational.duplicate_keys(rows, [key]).isEmpty():
         raise ValueError(f"{key}: surrogate keys collide")
-    if natural:
-        old = table.read().select(F.col(key).alias("_key"), *(F.col(c).alias(f"_{c}") for c in natural))
-        other = F.lit(False)
-        for c in natural:
-            other = other | ~F.col(c).eqNullSafe(F.col(f"_{c}"))
-        if not rows.select(key, *natural).join(old, F.col(key) == F.col("_key")).where(other).isEmpty():
-            raise ValueError(f"{key}: surrogate keys collide with the table's")
+    if natural and not collisions(rows, table.read(), key, natural).isEmpty():
+        raise ValueError(f"{key}: surrogate keys collide with the table's")
     changed = " or ".join(f"not (target.{c} <=> source.{c})" for c in rows.columns if c != key)
     return table.merge(rows, [key], upsert(changed))
 
