@@ -55,3 +55,35 @@ def test_empty_table_and_nothing_to_learn(spark):
     assert langid.detect_languages(empty).collect() == []
     row = langid.detect_languages(spark.createDataFrame([(1, "words here", None)], empty.schema)).first()
     assert (row.lang_pred, row.score, row.rejected) == ("und", 0, True)
+
+
+def test_predictions_against_brute_force(spark, sf_dir):
+    """Document frequencies, and every text's language, score and rejection, again by plain loops over the learnt centroids."""
+    docs = [(r.doc_id, r.text, r.lang) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang").collect()]
+    docs += [(9001, "", "en"), (9002, "!!", None), (9003, "the same", "en"), (9004, "the same", "fr"), (9005, docs[3][1], docs[3][2])]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(3)
+    model = langid.fit(df)
+    learnt = [brute_counts(t) > 0 for _, t, lang in docs if t is not None and lang is not None]
+    idf = np.log((1 + len(learnt)) / (1 + np.sum(learnt, axis=0))) + 1
+    assert np.allclose(model.idf, idf, rtol=1e-5) and model.languages == sorted({lang for _, _, lang in docs if lang})
+    got = {r.doc_id: r for r in langid.identify(df, model).collect()}
+    for i, text, _ in docs:
+        r = got[i]
+        if text is None or not any(c.isalpha() for c in text):
+            assert (r.lang_pred, r.score, r.rejected) == ("und", 0, True)
+            continue
+        weights = np.log1p(brute_counts(text)) * idf
+        cosine = [float(np.dot(weights / np.linalg.norm(weights), model.centroids[:, j])) for j in range(model.centroids.shape[1])]
+        best = max(cosine)
+        close = {model.languages[model.owner[j]] for j, c in enumerate(cosine) if c > best - 1e-5}
+        assert r.lang_pred in close and abs(r.score - best) < 1e-5 and abs(r.distance - (1 - best)) < 1e-5
+        letters = sum(len(c.encode()) for c in text.lower() if "a" <= c <= "z" or ord(c) >= 128)
+        radius = model.radius[min(letters.bit_length() - 1, langid.LENGTHS - 1)]
+        assert r.rejected == (1 - best > radius) or abs(1 - best - radius) < 1e-5
+
+
+def test_equal_centroids_go_to_the_first_language(spark):
+    docs = [(i, "one and the same text", lang) for i, lang in enumerate(("zz", "aa", "mm") * 8)]
+    model = langid.fit(spark.createDataFrame(docs, "doc_id long, text string, lang string"))
+    assert model.languages == ["aa", "mm", "zz"]
+    assert {r.lang_pred for r in langid.identify(spark.createDataFrame([("one and the same text",)], "text string"), model).collect()} == {"aa"}
