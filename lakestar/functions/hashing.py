@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import hashlib
-import json
+from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def row_hash(*columns: str) -> Column:
@@ -40,17 +39,30 @@ def portable_fingerprint(df: DataFrame) -> DataFrame:
 NOT_PAYLOAD = ("run_id", "scraped_at", "source_url", "english_title_rich", "foreign_title_rich", "english_abstract_rich")
 
 
-def canonical_json(payload: dict) -> str:
-    """Sorted keys, no blanks, letters as they are."""
-    return json.dumps(payload, sort_keys=True, ensure_ascii=False, separators=(",", ":"))
-
-
-def payload_hash(record: Column) -> Column:
-    """sha256 of a struct's canonical JSON without provenance and rich text; nulls are kept, list order too."""
-
-    @F.pandas_udf("string")
-    def run(texts: pd.Series) -> pd.Series:
-        kept = (None if t is None else {k: v for k, v in json.loads(t).items() if k not in NOT_PAYLOAD and not k.endswith("_rich")} for t in texts)
-        return pd.Series([None if k is None else hashlib.sha256(canonical_json(k).encode()).hexdigest() for k in kept], dtype=object)
-
-    return run(F.to_json(record, {"ignoreNullFields": "false"}))
+def _ordered(c: Column, kind: T.DataType) -> Column:
+    """A value whose objects have their keys in order, all the way down."""
+    if isinstance(kind, T.StructType):
+        return F.when(c.isNotNull(), F.struct(*(_ordered(c.getField(f.name), f.dataType).alias(f.name) for f in sorted(kind.fields, key=lambda f: f.name))))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(c, lambda x: _ordered(x, kind.elementType)) if isinstance(kind.elementType, (T.StructType, T.ArrayType, T.MapType)) else c
+    if isinstance(kind, T.MapType):
+        return F.map_from_entries(F.array_sort(F.map_entries(F.transform_values(c, lambda _, v: _ordered(v, kind.valueType)))))
+    if isinstance(kind, (T.FloatType, T.DoubleType, T.DecimalType)):
+        raise TypeError(f"{kind.simpleString()} has no one text to be hashed by")
+    return c
+
+
+def canonical_json(record: Column, kind: T.StructType) -> Column:
+    """JSON of a struct: sorted keys, no blanks, letters as they are, nulls kept, control characters by lower-case numbers."""
+    text = F.to_json(_ordered(record, kind), {"ignoreNullFields": "false"})
+    # Spark numbers control characters in upper case; a backslash that is itself escaped begins no number.
+    lower = reduce(lambda x, c: F.regexp_replace(x, rf"(?<!\\)((?:\\\\)*\\u00[01]){c}", f"$1{c.lower()}"), "ABCDEF", text)
+    return F.when(text.rlike(r"\\u00[01][A-F]"), lower).otherwise(text)
+
+
+def payload_hash(rows: DataFrame, record: Column) -> Column:
+    """sha256 of a struct's canonical JSON without provenance and rich text; ``rows``: what it is a column of, for its type."""
+    kind = rows.select(record.alias("record")).schema["record"].dataType
+    kept = [f for f in kind.fields if f.name not in NOT_PAYLOAD and not f.name.endswith("_rich")]
+    content = F.struct(*(record.getField(f.name).alias(f.name) for f in kept))
+    return F.when(record.isNotNull(), F.sha2(canonical_json(content, T.StructType(kept)).cast("binary"), 256))

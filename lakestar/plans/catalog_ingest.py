@@ -143,7 +143,8 @@ def r84_record(spark, sf_dir):
 @query("""select c_custkey, sha256('{"address":' || case when c_custkey % 4 = 0 then 'null' else '"' || c_mktsegment || '"' end || ',"key":' || c_custkey || ',"names":["' || c_name || '","é"]}') as payload_hash from customer""")
 def r72_payload_hash(spark, sf_dir):
     record = F.struct(F.array(F.col("c_name"), F.lit("é")).alias("names"), F.col("c_custkey").alias("key"), F.when(F.col("c_custkey") % 4 != 0, F.col("c_mktsegment")).alias("address"), F.lit("r").alias("run_id"), F.current_timestamp().alias("scraped_at"), F.lit("t").alias("title_rich"))
-    return _t(spark, sf_dir, "customer").select("c_custkey", hashing.payload_hash(record).alias("payload_hash"))
+    customers = _t(spark, sf_dir, "customer")
+    return customers.select("c_custkey", hashing.payload_hash(customers, record).alias("payload_hash"))
 
 
 @query("""select c_custkey, case when c_custkey % 3 = 0 then 'Solo' when c_custkey % 3 = 1 then c_name || '|a\\b|;|x|' else '' end as people from customer""")

@@ -42,4 +42,4 @@ def assemble(pages: DataFrame, publisher: str, run_id: str, scraped_at: str) ->
     )
     # Neither provenance that isn't left out by the hash itself, nor the row's identity, is content.
     content = F.struct(*TEXT_COLUMNS, *ROLE_COLUMNS)
-    return rows.withColumn("payload_hash", hashing.payload_hash(content))
+    return rows.withColumn("payload_hash", hashing.payload_hash(rows, content))

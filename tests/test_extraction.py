@@ -4,6 +4,7 @@ import json
 import zipfile
 from io import BytesIO
 
+import pytest
 from pyspark.sql import functions as F
 
 from lakestar.functions import authors, hashing, html, issues, scholar
@@ -60,10 +61,22 @@ def test_abstracts_and_titles():
 
 
 def test_payload_hash_is_that_of_canonical_json(spark):
-    row = spark.createDataFrame([("b", None, ["z", "a"], "x", "r")], "b string, a string, l array<string>, source_url string, t_rich string")
-    got = row.select(hashing.payload_hash(F.struct("*")).alias("h")).first().h
-    assert got == hashlib.sha256('{"a":null,"b":"b","l":["z","a"]}'.encode()).hexdigest()
-    assert hashing.canonical_json({"é": 1, "a": [2]}) == '{"a":[2],"é":1}'
+    kinds = "z string, b string, a string, l array<string>, n int, t boolean, people array<struct<name:string,age:int,mails:array<string>>>, one struct<y:string,x:struct<q:int,p:string>>, m map<string,string>, source_url string, run_id string, t_rich string"
+    person = lambda n: {"name": n, "age": None, "mails": ["a", None]}
+    odd = "".join(map(chr, (*range(1, 36), 92, 117, 48, 48, 49, 66, 127, 160, 8232, 0x1F600))) + "\\u001B \\\\\x1b"
+    rows = [
+        {"z": odd, "b": "b", "a": None, "l": ["z", "a"], "n": 7, "t": True, "people": [person("é"), None], "one": {"y": "1", "x": {"q": 2, "p": "/"}}, "m": {"k2": "v", "k1": None}, "source_url": "x", "run_id": "r", "t_rich": "s"},
+        {"z": "", "b": None, "a": None, "l": None, "n": None, "t": None, "people": [], "one": None, "m": None, "source_url": None, "run_id": None, "t_rich": None},
+    ]
+    df = spark.createDataFrame([tuple(r.values()) for r in rows], kinds)
+    found = df.select("n", hashing.payload_hash(df, F.struct("*")).alias("h"))
+    want = [{k: v for k, v in r.items() if k not in ("source_url", "run_id", "t_rich")} for r in rows]
+    assert {r.n: r.h for r in found.collect()} == {w["n"]: hashlib.sha256(json.dumps(w, sort_keys=True, ensure_ascii=False, separators=(",", ":")).encode()).hexdigest() for w in want}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    with pytest.raises(TypeError, match="no one text"):
+        floats = spark.createDataFrame([(1.5,)], "x double")
+        hashing.payload_hash(floats, F.struct("x"))
 
 
 def test_issue_facts(spark):
