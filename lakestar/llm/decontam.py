@@ -14,7 +14,6 @@ two states a word, so what is broadcast and held has a proven bound but for one
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterable, Iterator
 from itertools import repeat
 
@@ -269,21 +268,3 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, **opt
     found = scan(docs.select("doc_id", "text"), benchmark, window, **options)
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + (x["end"] - x["start"]).cast("long"))
     return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
-
-
-def brute_force(texts: dict, items: dict, window: int = 10) -> dict:
-    """For tests: {doc: (n_words, n_hit, n_items, sha256)} by comparing every window with every place."""
-    out = {}
-    for doc, text in texts.items():
-        ws = words(text)
-        hit, named = set(), set()
-        for item, body in items.items():
-            iw = words(body)
-            n = min(window, len(iw))
-            for w in {tuple(iw[i : i + n]) for i in range(len(iw) - n + 1)} if n else ():
-                for i in range(len(ws) - n + 1):
-                    if tuple(ws[i : i + n]) == w:
-                        hit |= set(range(i, i + n))
-                        named.add(str(item))
-        out[doc] = (len(ws), len(hit), len(named), hashlib.sha256(",".join(sorted(named)).encode()).hexdigest())
-    return out
