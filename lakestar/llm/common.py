@@ -50,8 +50,8 @@ def numbered(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return _placed(df, row) or materialize(df.withColumn(row, F.monotonically_increasing_id()), name), row
 
 
-#: Rows of one file, and files, that a row's number has room for.
-_ROWS, _FILES = 1 << 42, 1 << 21
+#: Rows of one file that a row's number has room for, and files whose names are broadcast at most.
+_ROWS, _FILES = 1 << 42, 1 << 16
 
 
 def _placed(df: DataFrame, row: str) -> DataFrame | None:
@@ -63,9 +63,10 @@ def _placed(df: DataFrame, row: str) -> DataFrame | None:
         here = df.select(*map(_named, df.columns), F.col("_metadata.row_index").alias(row), _decoded("_metadata.file_path").alias(f"{row}_file"))
     except AnalysisException:  # no scan of rows that have places
         return None
-    # One row a file: no more than the driver has listed for the scan.
+    # One row a file, no more than _FILES: Spark doesn't know the size of rows that the driver makes, and would deal out the
+    # texts by file otherwise.
     numbers = df.sparkSession.createDataFrame(list(enumerate(files)), f"{row}_number long, path string").select(f"{row}_number", _decoded("path").alias(f"{row}_path"))
-    here = here.join(numbers, here[f"{row}_file"] == numbers[f"{row}_path"], "left")
+    here = here.join(F.broadcast(numbers), here[f"{row}_file"] == numbers[f"{row}_path"], "left")
     number = F.coalesce(f"{row}_number", F.raise_error(F.concat(F.lit("a file that wasn't listed: "), f"{row}_file")).cast("long"))
     return here.select(*map(_named, df.columns), (number * _ROWS + F.col(row)).alias(row))
 
