@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakestar.llm.common import materialize
+
 #: Word counts for segmentation, by rough frequency in host names.
 WORD_COUNTS = {
     "the": 90, "my": 60, "free": 50, "online": 50, "shop": 45, "store": 40, "news": 60, "blog": 60, "web": 50, "site": 40, "best": 40, "top": 30,
@@ -53,6 +55,9 @@ ALLOWED = (
     "project.example/docs", "localnews.example/video", "bookstore.example/book", "cityhealth.example/help",
 )
 
+#: Counts up to this are levels of their own.
+EXACT = 4096
+
 _URL = re.compile(r"\A.*?://([^/?#]*)([^?#]*)", re.S)
 _UPPER = {i: i + 32 for i in range(65, 91)}
 
@@ -124,13 +129,22 @@ class UrlModel:
 def vocabulary(pages: DataFrame, columns: tuple[str, ...] = ("url", "html"), max_words: int = 50_000, shortest: int = 2, longest: int = 24) -> dict[str, int]:
     """Counts of the corpus's words (runs of ``shortest`` to ``longest`` letters of any script, lower case) over all rows.
 
-    Kept are the ``max_words`` most frequent, which bounds the model whatever the corpus; equal counts go by the word. Hosts
-    are left out of addresses: they are what is to be split. Counting is one shuffle of partial counts.
+    Kept are the most frequent, ``max_words`` at most, which bounds the model whatever the corpus: words of one count (or,
+    past EXACT, of one sixty-fourth of a doubling) are in or out together. A histogram of the counts tells from which on, so
+    no more than what is kept comes to the driver. Hosts are left out of addresses: they are what is to be split.
     """
     text = F.concat_ws(" ", *(F.regexp_replace(F.col(c), r"^[^:/?#]*://[^/?#]*", " ") if c == "url" else F.regexp_replace(F.col(c), r"<[^<>]*>", " ") for c in columns))
     words = pages.select(F.explode(F.split(F.lower(text), "\\P{L}+")).alias("w")).where(F.length("w").between(shortest, longest))
-    found = words.groupBy("w").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "w").limit(max_words)
-    return {r.w: r.n for r in found.collect()}
+    n = F.col("n")
+    level = F.when(n <= EXACT, n).otherwise(EXACT + 1 + F.floor(64 * F.log2(n / EXACT))).cast("int")
+    found = materialize(words.groupBy("w").agg(F.count("*").alias("n")).withColumn("level", level), "vocabulary")
+    kept, least = 0, None
+    for r in found.groupBy("level").agg(F.count("*").alias("words")).orderBy(F.desc("level")).collect():
+        kept += r.words
+        if kept > max_words:
+            break
+        least = r.level
+    return {r.w: r.n for r in found.where(F.col("level") >= least).collect()} if least is not None else {}
 
 
 def mixed(corpus: dict[str, int], seeds: dict[str, int] | None = None, share: float = 0.5) -> dict[str, float]:
