@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import contextlib
 import io
-import uuid
+import shutil
+import tempfile
 
 from pyspark.sql import functions as F
 
@@ -34,21 +36,23 @@ def r106_key_collisions(spark, sf_dir):
 @query("""select 'dim_segment' as table_name, count(distinct c_mktsegment) as live, count(distinct c_mktsegment) as pinned, 1::bigint as version, 'failed,success' as runs from customer
 union all select 'fact_customer', count(*), count(*), 1, 'failed,success' from customer""")
 def r107_publication(spark, sf_dir):
-    """A star in an embedded database of this process: published once, skipped, then refused with an orphan in it; the first is live."""
+    """A star in an embedded database of this process, on its own disk: published once, skipped, then refused with an orphan in it; the first is live."""
     root, customer = _scratch(spark, "r107"), _t(spark, sf_dir, "customer")
     key = F.xxhash64("c_mktsegment")
     tables = {"dim_segment": customer.select(key.alias("segment_sk"), F.col("c_mktsegment").alias("segment")).distinct(), "fact_customer": customer.select(F.col("c_custkey").cast("long").alias("customer_sk"), key.alias("segment_sk"))}
     stored = {name: VersionedTable(spark, f"{root}/{name}").create(rows.schema) for name, rows in tables.items()}
     for name, rows in tables.items():
         stored[name].append(rows)
-    w, log = Warehouse(spark, f"jdbc:derby:memory:{uuid.uuid4().hex};create=true"), VersionedTable(spark, f"{root}/log")
+    folder = tempfile.mkdtemp(prefix="lakestar-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    w, log = Warehouse(spark, f"jdbc:derby:{folder}/star;create=true"), VersionedTable(spark, f"{root}/log")
     keys, foreign = {"dim_segment": ["segment_sk"], "fact_customer": ["customer_sk"]}, {"fact_customer": {"segment_sk": ("dim_segment", "segment_sk")}}
     publish_logged(w, stored, keys, log, foreign=foreign)
     publish_logged(w, stored, keys, log, foreign=foreign)  # nothing moved: skipped, and not logged
     stored["fact_customer"].append(spark.createDataFrame([(-1, -1)], "customer_sk long, segment_sk long"))
     with contextlib.suppress(RuntimeError):
         publish_logged(w, stored, keys, log, foreign=foreign)
-    live = w.read("dim_segment").agg(F.lit("dim_segment").alias("table_name"), F.count("*").alias("live")).union(w.read("fact_customer").agg(F.lit("fact_customer"), F.count("*")))
+    live = spark.createDataFrame([(name, w.count(name)) for name in stored], "table_name string, live long")
     status = w.read("layer_status").select(F.col("TABLE_NAME").alias("table_name"), F.col("ROW_COUNT").alias("pinned"), F.col("TABLE_VERSION").alias("version"))
     runs = log.read().agg(F.array_join(F.sort_array(F.collect_list("status")), ",").alias("runs"))
     return live.join(status, "table_name").join(F.broadcast(runs))

@@ -44,6 +44,10 @@ class Files:
         if not self._jvm.org.apache.hadoop.fs.FileUtil.copy(from_path.getFileSystem(conf), from_path, self._fs, self._path(target), False, True, conf):
             raise OSError(f"cannot copy {source} to {target}")
 
+    def fetch(self, path: str, local: str) -> None:
+        """Copies a file to the driver's own disk."""
+        self._fs.copyToLocalFile(False, self._path(path), self._path(f"file://{local}"), True)
+
     def delete(self, path: str) -> None:
         self._fs.delete(self._path(path), True)
 

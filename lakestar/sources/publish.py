@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import json
+import os
 import re
+import tempfile
 import time
+import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -13,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakestar.session import shared_folder
+from lakestar.sources.files import Files
 from lakestar.sources.lock import lock
 from lakestar.sources.table import VersionedTable
 
@@ -95,11 +100,16 @@ class Transaction:
 
 
 class Warehouse:
-    """A JDBC database reached through the driver's java.sql; the data itself goes from the executors."""
+    """A JDBC database reached through the driver's java.sql; the data itself goes from the executors.
+
+    An embedded database lives in the driver's process, where executors elsewhere can't reach it. They write its rows as files in
+    the shared folder, which the database loads by its own bulk import, a file at a time, and what is read of it goes the other way.
+    """
 
     def __init__(self, spark: SparkSession, url: str, driver: str = "org.apache.derby.iapi.jdbc.AutoloadedDriver"):
         self.spark, self.url, self.driver = spark, url, driver
         self._jvm = spark.sparkContext._jvm
+        self.embedded = url.startswith("jdbc:derby:") and not url.startswith("jdbc:derby://")
         #: What Spark's writer takes a text for where it is null, if the database won't have that in a column of SQL_TYPES.
         self.stage_text = "CLOB" if "derby" in driver else None
 
@@ -162,10 +172,46 @@ class Warehouse:
         return ", ".join(f"CAST({column(f.name)} AS {SQL_TYPES['string']})" if is_text(f) else column(f.name) for f in df.schema)
 
     def write(self, df: DataFrame, name: str, partitions: int = 4) -> None:
+        """Replaces a table's rows."""
+        if self.embedded:
+            return self._load(df, name)
         df.coalesce(partitions).write.format("jdbc").option("url", self.url).option("driver", self.driver).option("dbtable", name).option("truncate", "true").option("batchsize", 1000).mode("overwrite").save()
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.format("jdbc").option("url", self.url).option("driver", self.driver).option("dbtable", name).load()
+        """A table's rows; those of an embedded database as they are at the call."""
+        rows = self.spark.read.format("jdbc").option("url", self.url).option("driver", self.driver).option("dbtable", name).load()
+        return self._unloaded(name, rows.schema) if self.embedded else rows
+
+    def count(self, name: str) -> int:
+        """How many rows a table has, counted by the database."""
+        with self.transaction() as t:
+            return t.value(f"SELECT COUNT(*) FROM {identifier(name)}")
+
+    def _load(self, df: DataFrame, name: str) -> None:
+        """Rows by way of the shared folder: quoted fields with quotes doubled; a null is a field without quotes."""
+        folder = f"{shared_folder(self.spark)}/load-{uuid.uuid4().hex}"
+        fields = [F.coalesce(F.concat(F.lit('"'), F.replace(F.col(c).cast("string"), F.lit('"'), F.lit('""')), F.lit('"')), F.lit("")) for c in df.columns]
+        df.select(F.concat_ws(",", *fields).alias("value")).write.text(folder)
+        files, columns = Files(self.spark, folder), ",".join(identifier(c).upper() for c in df.columns)
+        self.execute(f"TRUNCATE TABLE {identifier(name)}")
+        with tempfile.TemporaryDirectory(prefix="lakestar-") as local:
+            for path, size in files.tree(folder):
+                if size and path.endswith(".txt"):
+                    part = f"{local}/part.csv"
+                    files.fetch(path, part)
+                    self.execute(f"CALL SYSCS_UTIL.SYSCS_IMPORT_DATA(NULL, {text_literal(name.upper())}, {text_literal(columns)}, NULL, {text_literal(part)}, ',', '\"', 'UTF-8', 0)")
+                    os.remove(part)
+        files.delete(folder)
+
+    def _unloaded(self, name: str, schema: T.StructType) -> DataFrame:
+        """A table written out by the database, in the shared folder."""
+        target = f"{shared_folder(self.spark)}/unload-{uuid.uuid4().hex}.csv"
+        with tempfile.TemporaryDirectory(prefix="lakestar-") as local:
+            self.execute(f"CALL SYSCS_UTIL.SYSCS_EXPORT_TABLE(NULL, {text_literal(identifier(name).upper())}, {text_literal(f'{local}/table.csv')}, ',', '\"', 'UTF-8')")
+            Files(self.spark, target).copy(f"file://{local}/table.csv", target)
+        texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
+        options = {"quote": '"', "escape": '"', "multiLine": "true", "lineSep": "\n", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "mode": "FAILFAST", "maxCharsPerColumn": "-1", "nullValue": "\0null\0", "emptyValue": ""}
+        return self.spark.read.schema(texts).options(**options).csv(target).select(*(F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema))
 
 
 #: Foreign keys to verify: table to {column: (parent table, key)}.

@@ -1,4 +1,9 @@
+import datetime
 import json
+import os
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -331,3 +336,27 @@ def test_files_are_created_once(spark, tmp_path):
 def test_empty_table_reads_with_schema(spark, tmp_path):
     t = VersionedTable(spark, f"{tmp_path}/t").create("id int, v string")
     assert t.read().columns == ["id", "v"] and t.read().agg(F.count("*")).first()[0] == 0
+
+
+def test_an_embedded_warehouse_keeps_values_on_their_way_in_and_out(spark, tmp_path):
+    at = datetime.datetime(2024, 1, 2, 3, 4, 5, 678000)
+    rows = [(1, "plain", True, 1.5, at.date(), at), (2, "", False, -2e10, None, None), (3, None, None, None, None, at), (4, 'a "q", b\nnew\r\nline\rcr', True, 0.1, None, None), (5, "  pad  ", None, None, None, None), (6, 'é\\n\\"漢\t', None, None, None, None)]
+    df = spark.createDataFrame(rows, "id long, key string, b boolean, d double, day date, at timestamp")
+    w = Warehouse(spark, f"jdbc:derby:{tmp_path}/values;create=true")
+    w.execute(ddl("stage_t", df.schema, ["id"], w.stage_text))
+    for _ in range(2):
+        w.write(df, "stage_t")
+    assert sorted(tuple(r) for r in w.read("stage_t").collect()) == rows and w.count("stage_t") == 6
+
+
+def test_publication_reaches_its_database_from_executors_of_their_own(sf_dir, tmp_path):
+    code = f"""
+import __spark_entry__
+from lakestar.session import build_session
+spark = build_session("cluster", "local-cluster[1,1,1024]", {{"spark.checkpoint.dir": "file://{tmp_path}/shared", "spark.sql.shuffle.partitions": "2"}})
+rows = __spark_entry__.queries()["r107_publication"](spark, "{sf_dir}").collect()
+assert len(rows) == 2 and all(r.live == r.pinned > 0 and r.runs == "failed,success" for r in rows), rows
+"""
+    root = str(Path(__file__).resolve().parents[1])
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={**os.environ, "PYTHONPATH": root}, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
