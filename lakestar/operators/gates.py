@@ -15,10 +15,10 @@ OUTCOMES = ("dup_in_run_url", "skipped_manifest", "fetch_failed", "blocked_gave_
 def refresh(status: Column, last_seen: Column, now: Column, refresh_days: Column | int, force: Column | bool = False) -> Column:
     """struct(fetch, reason) for a manifest row (null status: unknown url).
 
-    Exactly ``refresh_days`` old is stale; 0 days is always fetched; anything that didn't end well is retried.
+    Exactly ``refresh_days`` old is stale, by whole seconds of the clock; 0 days is always fetched; anything that didn't end well is retried.
     """
     days = F.lit(refresh_days) if isinstance(refresh_days, int) else refresh_days
-    age = F.timestamp_diff("SECOND", last_seen, now)
+    age = F.unix_seconds(now.cast("timestamp")) - F.unix_seconds(last_seen.cast("timestamp"))
     reason = (
         F.when(F.lit(force) if isinstance(force, bool) else force, "force_refetch").when(status.isNull(), "new_url").when(status == "blocked", "retry_blocked")
         .when(status != "ok", F.concat(F.lit("retry_"), status)).when(days == 0, "always_fetch").when(age >= days * 86400, "stale").otherwise("skipped_manifest")

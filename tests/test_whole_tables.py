@@ -1,7 +1,9 @@
 import datetime
+import shutil
 
 import __spark_entry__
 from lakestar.plans import catalog
+from tests.oracle import compare
 
 
 def test_asof_join_gives_every_event_its_version(spark, tmp_path):
@@ -39,3 +41,12 @@ def test_markers_and_deletes_see_every_row(spark, sf_dir):
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderstatus").collect()
     kept = {r.o_orderkey for r in catalog.QUERIES["r54_merge_delete_by_source"](spark, sf_dir).collect()}
     assert kept == {k for k, status in orders if k % 3 == 0 or status != "F"}
+
+
+def test_refresh_policy_counts_seconds_as_its_sql_does(spark, tmp_path):
+    at = [datetime.datetime(2024, 1, 22, 0, 0, s, us) for s in (0, 1) for us in (0, 1, 999_999)] + [datetime.datetime(2024, 1, 21, 23, 59, 59, 999_999), None]
+    rows = [(i * 65 + 1, t, kind) for i, (t, kind) in enumerate((t, kind) for t in at for kind in ("other", "view", None))]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, event_type string").coalesce(1).write.parquet(f"{tmp_path}/written")
+    next(tmp_path.glob("written/*.parquet")).rename(tmp_path / "events.parquet")
+    shutil.rmtree(tmp_path / "written")
+    compare(spark, str(tmp_path), catalog.QUERIES["r58_refresh_policy"], catalog.SQL["r58_refresh_policy"])
