@@ -106,3 +106,12 @@ def lookup(facts: DataFrame, dim: DataFrame, foreign: str, natural: str, surroga
     """Adds the surrogate key of a dimension row, or the unknown member's."""
     found = dim.select(F.col(natural).alias(foreign), F.col(surrogate).alias("_sk"))
     return facts.join(found, foreign, "left").withColumn(surrogate, F.coalesce("_sk", F.lit(unknown))).drop("_sk")
+
+
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """``rows`` in as many partitions as a shuffle has, or the cluster cores if those are more.
+
+    For steps that take long for each byte: a small file is one split, and what is done to its rows one task's work.
+    """
+    spark = rows.sparkSession
+    return rows.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism), *keys)

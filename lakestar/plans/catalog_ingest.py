@@ -10,9 +10,9 @@ import json
 from pyspark.sql import functions as F
 
 from lakestar.functions import authors, hashing, html, scholar, text
-from lakestar.operators import cover, gates
+from lakestar.operators import cover, gates, relational
+from lakestar.plans import records
 from lakestar.plans.catalog import _GATES, _listing, _scratch, _t, query
-from lakestar.plans.records import assemble
 from lakestar.sources import blobs, export, health, landing, lines
 from lakestar.sources.files import Files
 from lakestar.sources.table import VersionedTable, insert_only
@@ -30,6 +30,11 @@ def _s(name: str):
 
 
 # -- pages --------------------------------------------------------------------------------------------------------
+def _customers(spark, sf_dir):
+    """The customers, spread over the cluster, since a page is made and parsed for each."""
+    return relational.spread(_t(spark, sf_dir, "customer"), "c_custkey")
+
+
 def _issue_page():
     """An issue page of a customer row: heading, status, pager, editors, articles and the list of all issues."""
     k, n = _s("c_custkey"), F.col("c_custkey")
@@ -50,7 +55,7 @@ def _issue_page():
   case when c_custkey % 2 = 0 then '2020' else '2021' end as year, case when c_custkey % 2 = 0 then 'March' else 'May–June' end as month, cast(c_nationkey as int) as total_pages, case when c_custkey % 5 = 0 then 'Skip' else '/vol/' || c_custkey end as latest_issue,
   'Ed ' || c_custkey || '|Uni City X' as editors, '/a/' || c_custkey || '=Review,/b=' as articles from customer""")
 def r80_issue_page(spark, sf_dir):
-    rows = _t(spark, sf_dir, "customer").select("c_custkey", scholar.issue(_issue_page(), F.lit("https://x/vol/77/issue/8")).alias("i"))
+    rows = _customers(spark, sf_dir).select("c_custkey", scholar.issue(_issue_page(), F.lit("https://x/vol/77/issue/8")).alias("i"))
     editors = F.array_join(F.transform("i.editors", lambda e: F.concat_ws("|", e["name"], e["affiliation"])), ",")
     articles = F.array_join(F.transform("i.articles", lambda a: F.concat(a["url"], F.lit("="), F.coalesce(a["type"], F.lit("")))), ",")
     return rows.select("c_custkey", "i.journal_title", "i.volume", "i.issue", F.col("i.publication_year").alias("year"), F.col("i.publication_month").alias("month"), "i.total_pages", "i.latest_issue", editors.alias("editors"), articles.alias("articles"))
@@ -83,7 +88,7 @@ def _article_page():
   case when c_custkey % 2 = 0 then 'On ' || c_name || '. More.' else 'Aim' || chr(10) || 'To ' || c_custkey || chr(10) || chr(10) || 'Result' || chr(10) || 'Done' end as english_abstract, 'Le ' || c_custkey as non_english_abstract, 'a ' || c_custkey || '|b' as keywords, '2015' as copyright_year,
   'https://creativecommons.org/licenses/by/4.0/' as licence_url, case when c_custkey % 4 = 1 then 'Grant ' || c_custkey || ' and more' else '' end as funding, 'Group ' || c_custkey as corporate_author, case c_custkey % 3 when 0 then cast(c_custkey as int) when 1 then 2 else 1 end as reference_count, 0 as failed from customer""")
 def r81_article_page(spark, sf_dir):
-    a = _t(spark, sf_dir, "customer").select("c_custkey", scholar.article(_article_page()).alias("a")).select("c_custkey", "a.*")
+    a = _customers(spark, sf_dir).select("c_custkey", scholar.article(_article_page()).alias("a")).select("c_custkey", "a.*")
     named = a.withColumnsRenamed({"publication_day": "day", "publication_month": "month", "publication_year": "year"})
     return named.select("c_custkey", "day", "month", "year", "start_page", "last_page", "article_id", "english_title", "foreign_title", "doi", "english_abstract", "non_english_abstract", "keywords", "copyright_year", "licence_url", "funding", "corporate_author", "reference_count", F.size("failed").alias("failed"))
 
@@ -92,7 +97,7 @@ def r81_article_page(spark, sf_dir):
 def r82_rich_text(spark, sf_dir):
     n = F.col("c_custkey")
     page = F.when(n % 2 == 0, _join('<h1><span class="title-text">On H<sub>2</sub>O and <b><i>', _s("c_custkey"), "</i></b></span></h1>")).otherwise(_join('<h1><span class="title-text">Plain ', F.col("c_name"), "</span></h1>"))
-    rows = _t(spark, sf_dir, "customer").select("c_custkey", scholar.article(page)["english_title_rich"].alias("r"))
+    rows = _customers(spark, sf_dir).select("c_custkey", scholar.article(page)["english_title_rich"].alias("r"))
 
     def mark(r):
         tags = F.concat(F.when(r["bold"], "b").otherwise(""), F.when(r["italic"], "i").otherwise(""), F.when(r["superscript"], "sup").otherwise(""), F.when(r["subscript"], "sub").otherwise(""))
@@ -106,7 +111,7 @@ def r83_page_state(spark, sf_dir):
     n, k = F.col("c_custkey"), _s("c_custkey")
     state = F.when(n % 3 == 0, _join('{"article":{"dates":{"Available online":"', _s("c_nationkey"), '"}},"x":[{"authorToken":""},{"y":{"authorToken":"tok', k, '"}}]}')).when(n % 3 == 1, _join('{"authorToken":"tok', k, '"}')).otherwise('{"a":{"b":{"c":{"d":{"e":{"f":{"g":{"authorToken":"too deep"}}}}}}}}')
     page = _join("<script>window.__PRELOADED_STATE__ = ", state, ";</script>")
-    return _t(spark, sf_dir, "customer").select("c_custkey", scholar.page_state(page, _join("https://x/science/article/pii/S", k, "?via=y")).alias("s")).select("c_custkey", "s.*")
+    return _customers(spark, sf_dir).select("c_custkey", scholar.page_state(page, _join("https://x/science/article/pii/S", k, "?via=y")).alias("s")).select("c_custkey", "s.*")
 
 
 def _author_json():
@@ -125,7 +130,7 @@ def _author_json():
 
 @query("""select c_custkey, 'Ann ' || c_custkey || '|' || case c_custkey % 3 when 0 then 'Uni City X\\[MISSING:aff9]' when 1 then 'Uni City X' else '' end || '|' || c_custkey || '@x.org;Bob|' || case c_custkey % 3 when 1 then 'Uni City X' else '' end || '|' as authors, 'Group ' || c_custkey || '||' as corporate from customer""")
 def r79_author_tree(spark, sf_dir):
-    rows = _t(spark, sf_dir, "customer").select("c_custkey", authors.people(_author_json()).alias("p"))
+    rows = _customers(spark, sf_dir).select("c_custkey", authors.people(_author_json()).alias("p"))
     told = lambda c: F.array_join(F.transform(c, lambda a: F.concat_ws("|", a["name"], a["affiliation"], a["email"])), ";")
     return rows.select("c_custkey", told("p.authors").alias("authors"), told("p.corporate").alias("corporate"))
 
@@ -134,8 +139,9 @@ def r79_author_tree(spark, sf_dir):
   case c_custkey % 3 when 0 then '' || c_custkey when 1 then '2' else '1' end as reference_count, 64::bigint as hash_length, 1::bigint as same_content from customer""")
 def r84_record(spark, sf_dir):
     pages = _t(spark, sf_dir, "customer").select("c_custkey", F.sha2(_s("c_custkey"), 256).alias("url_hash"), _join("https://x/", _s("c_custkey")).alias("source_url"), _join("https://x/", _s("c_custkey")).alias("article_url"), _article_page().alias("article_html"), _author_json().alias("author_json"), F.lit("Review").alias("article_type"), F.lit("https://x/vol/77/issue/8").alias("issue_url"), _issue_page().alias("issue_html"), F.lit("https://x/j").alias("journal_url"))
-    made = assemble(pages, "p", "run-1", "2026-01-01T00:00:00Z").withColumn("again", F.lit(None).cast("string"))
-    again = assemble(pages, "p", "run-2", "2026-02-02T00:00:00Z").select("url_hash", F.col("payload_hash").alias("other"))
+    parsed = records.parsed(pages)
+    made = records.landed(parsed, "p", "run-1", "2026-01-01T00:00:00Z").withColumn("again", F.lit(None).cast("string"))
+    again = records.landed(parsed, "p", "run-2", "2026-02-02T00:00:00Z").select("url_hash", F.col("payload_hash").alias("other"))
     both = made.join(again, "url_hash").join(pages.select("url_hash", "c_custkey"), "url_hash")
     return both.select("c_custkey", "journal_title", "doi", (F.col("article_publication_month") == "").alias("no_month"), F.array_join("authors.name", ",").alias("authors"), F.col("editors")[0]["affiliation"].alias("editor_affiliation"), "funding_status", "reference_count", F.length("payload_hash").cast("long").alias("hash_length"), (F.col("payload_hash") == F.col("other")).cast("long").alias("same_content"))
 

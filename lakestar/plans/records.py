@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakestar.functions import authors, hashing, scholar, text
+from lakestar.operators import relational
 from lakestar.plans.lakehouse import RICH_COLUMNS, ROLE_COLUMNS, TEXT_COLUMNS
 
 
@@ -23,7 +24,20 @@ def assemble(pages: DataFrame, publisher: str, run_id: str, scraped_at: str) ->
 
     Each page is parsed once. Nulls are landed as empty text. Corporate authors come from the author tree, else from the page.
     """
-    parsed = pages.withColumns({"a": scholar.article(F.col("article_html")), "i": scholar.issue(F.col("issue_html"), F.col("issue_url")), "p": authors.people(F.col("author_json"))})
+    return landed(parsed(pages), publisher, run_id, scraped_at)
+
+
+def parsed(pages: DataFrame) -> DataFrame:
+    """Pages with the facts of the article (a), the issue (i) and the author tree (p) in place of their sources.
+
+    Pages are spread over the cluster before, and facts lie by url_hash after, so that several runs over them share one parse.
+    """
+    facts = {"a": scholar.article(F.col("article_html")), "i": scholar.issue(F.col("issue_html"), F.col("issue_url")), "p": authors.people(F.col("author_json"))}
+    return relational.spread(relational.spread(pages).withColumns(facts).drop("article_html", "issue_html", "author_json"), "url_hash")
+
+
+def landed(parsed: DataFrame, publisher: str, run_id: str, scraped_at: str) -> DataFrame:
+    """What ``assemble`` makes, of pages parsed before."""
     c = F.col
     made = {
         "journal_title": c("i.journal_title"), "journal_url": c("journal_url"), "volume": c("i.volume"), "issue": c("i.issue"), "issue_url": c("issue_url"), "issue_publication_month": c("i.publication_month"),

@@ -1,8 +1,13 @@
+import contextlib
 import datetime
+import io
 import shutil
 
+from pyspark.sql import functions as F
+
 import __spark_entry__
-from lakestar.plans import catalog
+from lakestar.plans import catalog, catalog_lake
+from lakestar.sources import landing
 from tests.oracle import compare
 
 
@@ -59,3 +64,11 @@ def test_page_fields_leave_references_that_the_sql_leaves(spark, tmp_path):
     next(tmp_path.glob("written/*.parquet")).rename(tmp_path / "pages.parquet")
     shutil.rmtree(tmp_path / "written")
     compare(spark, str(tmp_path), catalog.QUERIES["r64_html_extract"], catalog.SQL["r64_html_extract"])
+
+
+def test_two_runs_over_the_same_pages_share_one_parse(spark, sf_dir):
+    rows = catalog.QUERIES["r84_record"](spark, sf_dir)
+    assert rows.collect()
+    with contextlib.redirect_stdout(io.StringIO()) as shown:
+        rows.explain()
+    assert "ReusedExchange" in shown.getvalue()
