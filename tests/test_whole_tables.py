@@ -72,3 +72,11 @@ def test_two_runs_over_the_same_pages_share_one_parse(spark, sf_dir):
     with contextlib.redirect_stdout(io.StringIO()) as shown:
         rows.explain()
     assert "ReusedExchange" in shown.getvalue()
+
+
+def test_issue_pages_are_parsed_by_many_tasks(spark, sf_dir):
+    assert spark.read.parquet(f"{sf_dir}/customer.parquet").rdd.getNumPartitions() == 1 and catalog.QUERIES["r80_issue_page"](spark, sf_dir).rdd.getNumPartitions() == 4
+
+
+def test_issue_pages_are_parsed_by_many_tasks(spark, sf_dir):
+    assert spark.read.parquet(f"{sf_dir}/customer.parquet").rdd.getNumPartitions() == 1 and catalog.QUERIES["r80_issue_page"](spark, sf_dir).rdd.getNumPartitions() == 4
