@@ -84,3 +84,7 @@ def test_issue_pages_are_parsed_by_many_tasks(spark, sf_dir):
 
 def test_article_pages_are_parsed_by_many_tasks(spark, sf_dir):
     assert spark.read.parquet(f"{sf_dir}/customer.parquet").rdd.getNumPartitions() == 1 and catalog.QUERIES["r81_article_page"](spark, sf_dir).rdd.getNumPartitions() == 4
+
+
+def test_rich_texts_are_parsed_by_many_tasks(spark, sf_dir):
+    assert spark.read.parquet(f"{sf_dir}/customer.parquet").rdd.getNumPartitions() == 1 and catalog.QUERIES["r82_rich_text"](spark, sf_dir).rdd.getNumPartitions() == 4
