@@ -125,9 +125,12 @@ def tasks_with_flags(spark: SparkSession, path: str, publisher: str | None = Non
     enabled = F.when(~wanted, False).when(flag.isin("true", "1", "yes", "y"), True).when(flag.isin("false", "0", "no", "n"), False).otherwise(F.raise_error(F.concat(F.lit("bad flag "), F.coalesce(flag, F.lit("null")))).cast("boolean"))
     rows = rows.withColumn("enabled", enabled).where(wanted).withColumn("normalised_url", F.when(F.col("enabled"), urls.normalize_url(F.col("url"), aliases, drop_query, strict=True)))
     rows = rows.withColumn("url_hash", urls.url_hash(F.col("normalised_url")))
-    # The first place of each address is a partial aggregate: rows without one meet nowhere.
-    first = rows.where("enabled").groupBy("publisher", "url_hash").agg(F.min("ordinal").alias("_first"))
-    return rows.join(first, ["publisher", "url_hash"], "left").withColumn("first", F.coalesce(F.col("enabled") & (F.col("ordinal") == F.col("_first")), F.lit(False))).drop("_first")
+    # The first place of each address is a partial aggregate. Rows without an address would all meet in one task: each has a
+    # key of its own place in the join, which no address has.
+    first = rows.where("enabled").groupBy(F.col("publisher").alias("_by"), F.col("url_hash").alias("_key")).agg(F.min("ordinal").alias("_first"))
+    keyed = rows.withColumn("_key", F.coalesce("url_hash", F.xxhash64("ordinal").cast("string")))
+    found = keyed.join(first, (F.col("publisher") == F.col("_by")) & (keyed["_key"] == first["_key"]), "left")
+    return found.select(*rows.columns, F.coalesce(F.col("enabled") & (F.col("ordinal") == F.col("_first")), F.lit(False)).alias("first"))
 
 
 def read_tasks(spark: SparkSession, path: str, publisher: str | None = None, **identity) -> DataFrame:

@@ -88,3 +88,17 @@ def test_article_pages_are_parsed_by_many_tasks(spark, sf_dir):
 
 def test_rich_texts_are_parsed_by_many_tasks(spark, sf_dir):
     assert spark.read.parquet(f"{sf_dir}/customer.parquet").rdd.getNumPartitions() == 1 and catalog.QUERIES["r82_rich_text"](spark, sf_dir).rdd.getNumPartitions() == 4
+
+
+def test_disabled_tasks_do_not_meet_in_one_partition(spark, tmp_path):
+    lines = [f"p,https://x.test/{i},{'no' if i % 4 else 'yes'}," for i in range(4000)]
+    (tmp_path / "tasks.csv").write_text("\n".join(["publisher,url,enabled,note", *lines]) + "\n")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        for key, value in zip(before, ("-1", "false"), strict=True):
+            spark.conf.set(key, value)
+        parts = landing.tasks_with_flags(spark, str(tmp_path / "tasks.csv"), "p").groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.sum(F.col("first").cast("int"))).collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert len(parts) == 4 and max(r[1] for r in parts) < 1300
