@@ -129,7 +129,7 @@ def _records(spark, sf_dir) -> DataFrame:
     person = lambda name: F.struct(name.alias("name"), F.lit("Uni").alias("affiliation"), F.lit("").alias("email"))
     people = F.array(person(text("Ann ", (k % 100).cast("string"))), person(F.lit("B. Cee")))
     roles = {"authors": F.when(k % 10 == 0, F.slice(people, 1, 0)).otherwise(people), "editors": F.slice(people, 1, 1), "corporate_authors": F.slice(people, 1, 0)}
-    rows = _t(spark, sf_dir, "customer").select("c_custkey", "c_name", F.explode(F.array(F.lit(1), F.lit(2))).alias("run")).where("run = 1 or c_custkey % 2 = 0")
+    rows = relational.spread(_t(spark, sf_dir, "customer"), "c_custkey").select("c_custkey", "c_name", F.explode(F.array(F.lit(1), F.lit(2))).alias("run")).where("run = 1 or c_custkey % 2 = 0")
     empty = F.array().cast("array<struct<text:string,bold:boolean,italic:boolean,superscript:boolean,subscript:boolean>>")
     return rows.select(*(made[c].alias(c) for c in lakehouse.TEXT_COLUMNS), *(c.alias(n) for n, c in roles.items()), *(empty.alias(n) for n in lakehouse.RICH_COLUMNS), *(made[c].alias(c) for c in lakehouse.PROVENANCE), F.when(second, "2024-02-01").otherwise("2024-01-01").alias("ingest_date"))
 

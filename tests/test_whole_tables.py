@@ -102,3 +102,8 @@ def test_disabled_tasks_do_not_meet_in_one_partition(spark, tmp_path):
         for key, value in before.items():
             spark.conf.set(key, value)
     assert len(parts) == 4 and max(r[1] for r in parts) < 1300
+
+
+def test_landed_records_of_one_file_are_written_by_many_tasks(spark, sf_dir, tmp_path):
+    landing.write_jsonl(catalog_lake._records(spark, sf_dir), str(tmp_path))
+    assert {len({f.name[:10] for f in day.glob("*.json")}) for day in tmp_path.glob("pub/ingest_date=*")} == {4}
