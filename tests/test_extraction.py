@@ -1,13 +1,15 @@
 import base64
 import hashlib
 import json
+import random
 import zipfile
 from io import BytesIO
 
 import pytest
 from pyspark.sql import functions as F
 
-from lakestar.functions import authors, hashing, html, issues, scholar
+from lakestar.functions import authors, dom, hashing, html, issues, scholar
+from lakestar.plans import catalog_ingest
 from lakestar.sources import blobs, landing
 
 
@@ -118,3 +120,30 @@ def test_logs_tasks_and_uploads(spark, tmp_path):
         raise AssertionError("a bad flag must raise")
     except Exception as e:
         assert "bad flag" in str(e)
+
+
+_MARKUP = (
+    "<p>", "</p>", '<div class="a  b">', "</div>", "<span id='x' class=\"\">", "</span>", "text ", "a & b", "&amp;", "&lt", "<br>", "<br />", '<img src="a&amp;b" alt>', '<a href="x?a=1&b=2">', "</A>", "<A HREF=x>", "<script>", 'v="<b>&amp;"', "</script>",
+    "<script a>v=1</script>", "<style>p>a{}</style>", "<!-- c -->", "<!-- a > -- b -->", "<!DOCTYPE html>", "<title>", "<title>a &amp; b</title>", "<", ">", "</", "</ p>", "<!", "<?pi?>", '"', "<x-y>", '<p a="1"id="b">', '<p a = "1">', '<p A="1" a="&amp;quot;">', '<p a="<b>">', "<p / a>", "<p\x0ba>", "<li", "&notit;", "<plaintext>",
+)
+
+
+def test_regular_markup_is_read_as_the_standard_parser_reads_it():
+    def told(node):
+        return node.tag, list(node.attributes.items()), node.classes, node.place, node.end, [i if isinstance(i, str) else told(i) for i in node.items]
+
+    drawn = random.Random(7)
+    for _ in range(5000):
+        html = "".join(drawn.choice(_MARKUP) for _ in range(drawn.randint(1, 9)))
+        alone = dom._Builder()
+        alone.feed(html)
+        alone.close()
+        alone._leave(alone.root)
+        assert told(dom.parse(html)) == told(alone.root), html
+
+
+def test_regular_issue_pages_do_not_need_the_standard_parser(spark, sf_dir, monkeypatch):
+    """That parser takes most of a page's time."""
+    pages = spark.read.parquet(f"{sf_dir}/customer.parquet").select(catalog_ingest._issue_page()).limit(60).collect()
+    monkeypatch.setattr(dom._Builder, "feed", None)
+    assert all(len(dom.parse(html).elements()) > 20 for (html,) in pages)
