@@ -147,3 +147,9 @@ def test_regular_issue_pages_do_not_need_the_standard_parser(spark, sf_dir, monk
     pages = spark.read.parquet(f"{sf_dir}/customer.parquet").select(catalog_ingest._issue_page()).limit(60).collect()
     monkeypatch.setattr(dom._Builder, "feed", None)
     assert all(len(dom.parse(html).elements()) > 20 for (html,) in pages)
+
+
+def test_regular_article_pages_do_not_need_the_standard_parser(spark, sf_dir, monkeypatch):
+    pages = spark.read.parquet(f"{sf_dir}/customer.parquet").select(catalog_ingest._article_page()).limit(60).collect()
+    monkeypatch.setattr(dom._Builder, "feed", None)
+    assert all(len(dom.parse(html).elements()) > 20 for (html,) in pages)
