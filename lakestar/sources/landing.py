@@ -24,7 +24,7 @@ def scan_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
     if not Files(spark, path).exists(path):
         raise FileNotFoundError(path)
     rows = spark.read.schema(schema).option("mode", "FAILFAST").option("recursiveFileLookup", "true").json(path)
-    if not rows.inputFiles():
+    if not len(rows._jdf.inputFiles()):  # names aren't fetched one by one
         raise FileNotFoundError(f"no files below {path}")
     file = F.col("_metadata.file_path")
     return rows.withColumns({"source_file": file, "ingest_date": F.regexp_extract(file, r"ingest_date=([^/]+)", 1).try_cast("date")})
@@ -215,8 +215,7 @@ def land(spark: SparkSession, local: str, remote: str, publisher: str, now: str)
         if not counts.pop("balanced"):
             raise RuntimeError(f"counters don't balance: {counts}")
         changed = plan.where("action in ('new', 'replaced')").select("key")
-        for row in changed.toLocalIterator():
-            files.copy(f"{source}/{row.key}", f"{target}/{row.key}")
+        files.copy_all(source, target, (row.key for row in changed.toLocalIterator()))
     finally:
         plan.unpersist()
     if not counts["uploaded"] + counts["replaced"]:

@@ -3,11 +3,13 @@ import datetime
 import io
 import shutil
 
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
 from lakestar.plans import catalog, catalog_lake
 from lakestar.sources import landing
+from lakestar.sources.files import Files
 from tests.oracle import compare
 
 
@@ -107,3 +109,21 @@ def test_disabled_tasks_do_not_meet_in_one_partition(spark, tmp_path):
 def test_landed_records_of_one_file_are_written_by_many_tasks(spark, sf_dir, tmp_path):
     landing.write_jsonl(catalog_lake._records(spark, sf_dir), str(tmp_path))
     assert {len({f.name[:10] for f in day.glob("*.json")}) for day in tmp_path.glob("pub/ingest_date=*")} == {4}
+
+
+def test_landing_copies_files_in_bulk(spark, tmp_path, monkeypatch):
+    names = ["a b", "c,d", "{e}", "[f]", "g*", "h?", "i\\j", "k^", "l%20m", "ü", "plain.json", *(f"n{i}" for i in range(150))]
+    for folder in ("", "day=1/", "day=2/x y/{z}/"):
+        (tmp_path / "here/pub" / folder).mkdir(parents=True, exist_ok=True)
+        for name in names:
+            (tmp_path / "here/pub" / folder / name).write_text(folder + name)
+    (tmp_path / "here/pub/empty").write_text("")
+    monkeypatch.setattr(Files, "copy", None)
+    counts, marker = landing.land(spark, f"{tmp_path}/here", f"{tmp_path}/there", "pub", "2026-01-01T00:00:00Z")
+    told = lambda root: {str(p.relative_to(root)): p.read_text() for p in root.rglob("*") if p.is_file() and not p.name.endswith(".crc")}
+    assert counts["uploaded"] == 3 * len(names) and counts["empty_skipped"] == 1 and marker
+    assert told(tmp_path / "there/pub") == {k: v for k, v in told(tmp_path / "here/pub").items() if v}
+    files = Files(spark, str(tmp_path))
+    assert [(p.removeprefix(f"file:{tmp_path}/here/pub/"), n) for p, n in files.tree(f"{tmp_path}/here/pub")] == sorted((k, len(v.encode())) for k, v in told(tmp_path / "here/pub").items())
+    with pytest.raises(OSError, match="1 of 2 files"):
+        files.copy_all(f"{tmp_path}/here/pub", f"{tmp_path}/other", ["plain.json", "nowhere"])
