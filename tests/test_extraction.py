@@ -153,3 +153,9 @@ def test_regular_article_pages_do_not_need_the_standard_parser(spark, sf_dir, mo
     pages = spark.read.parquet(f"{sf_dir}/customer.parquet").select(catalog_ingest._article_page()).limit(60).collect()
     monkeypatch.setattr(dom._Builder, "feed", None)
     assert all(len(dom.parse(html).elements()) > 20 for (html,) in pages)
+
+
+def test_rich_titles_do_not_need_the_standard_parser(monkeypatch):
+    monkeypatch.setattr(dom._Builder, "feed", None)
+    facts = scholar.article_facts('<h1><span class="title-text">On H<sub>2</sub>O and <b><i>7</i></b></span></h1>')
+    assert [(r["text"], r["subscript"], r["bold"] and r["italic"]) for r in facts["english_title_rich"]] == [("On H", False, False), ("2", True, False), ("O and ", False, False), ("7", False, True)]
