@@ -2,6 +2,7 @@ import base64
 import hashlib
 import json
 import random
+import sys
 import zipfile
 from io import BytesIO
 
@@ -159,3 +160,35 @@ def test_rich_titles_do_not_need_the_standard_parser(monkeypatch):
     monkeypatch.setattr(dom._Builder, "feed", None)
     facts = scholar.article_facts('<h1><span class="title-text">On H<sub>2</sub>O and <b><i>7</i></b></span></h1>')
     assert [(r["text"], r["subscript"], r["bold"] and r["italic"]) for r in facts["english_title_rich"]] == [("On H", False, False), ("2", True, False), ("O and ", False, False), ("7", False, True)]
+
+
+def test_facts_are_looked_up_without_trying_every_element(spark, sf_dir, monkeypatch):
+    """Trying them took most of an article page's time after its parse."""
+    (article,) = spark.read.parquet(f"{sf_dir}/customer.parquet").select(catalog_ingest._article_page()).first()
+    pages, calls = [dom.parse(h) for h in (article, article + "<p>x</p>" * 3000)], []
+
+    def count(frame, event, arg):
+        calls[-1] += event == "call"
+
+    for page in pages:
+        monkeypatch.setattr(scholar, "parse", lambda _, page=page: page)
+        calls.append(0)
+        sys.setprofile(count)
+        try:
+            assert scholar.article_facts(article)["doi"].startswith("10.1016/")
+        finally:
+            sys.setprofile(None)
+    assert calls[1] < calls[0] + 300
+
+
+def test_lookups_find_what_a_walk_finds():
+    drawn = random.Random(3)
+    wants = [dict(zip(("tag", "css", "id"), w, strict=True)) for w in [("p", "", None), (("p", "div", "p"), "", None), ("div", "a", None), (None, "a b", None), (None, "b", "x"), ("p", "", "x"), ("", "", None), (None, "", "none"), ((), "", None)]]
+    for _ in range(300):
+        root = dom.parse("".join(drawn.choice(["<p>", "</p>", '<div class="a b">', '<div class="a">', "</div>", '<p id="x" class="b">', "t", "<br class=b>", "<B>"]) for _ in range(drawn.randint(1, 40))))
+        for node in root.order:
+            for want in wants:
+                fits = dom._filter(**want)
+                assert node.every(**want) == [e for e in node.elements() if fits(e)]
+                assert node.first(**want) is next((e for e in node.elements() if fits(e)), None)
+                assert node.onward(**want) is next((e for e in root.order[node.place + 1 :] if fits(e)), None)
