@@ -97,7 +97,7 @@ def r81_article_page(spark, sf_dir):
 def r82_rich_text(spark, sf_dir):
     n = F.col("c_custkey")
     page = F.when(n % 2 == 0, _join('<h1><span class="title-text">On H<sub>2</sub>O and <b><i>', _s("c_custkey"), "</i></b></span></h1>")).otherwise(_join('<h1><span class="title-text">Plain ', F.col("c_name"), "</span></h1>"))
-    rows = _customers(spark, sf_dir).select("c_custkey", scholar.article(page)["english_title_rich"].alias("r"))
+    rows = _customers(spark, sf_dir).select("c_custkey", scholar.article(page, "english_title_rich")["english_title_rich"].alias("r"))
 
     def mark(r):
         tags = F.concat(F.when(r["bold"], "b").otherwise(""), F.when(r["italic"], "i").otherwise(""), F.when(r["superscript"], "sup").otherwise(""), F.when(r["subscript"], "sub").otherwise(""))

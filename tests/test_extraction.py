@@ -192,3 +192,21 @@ def test_lookups_find_what_a_walk_finds():
                 assert node.every(**want) == [e for e in node.elements() if fits(e)]
                 assert node.first(**want) is next((e for e in node.elements() if fits(e)), None)
                 assert node.onward(**want) is next((e for e in root.order[node.place + 1 :] if fits(e)), None)
+
+
+def test_rich_titles_are_read_without_the_other_facts(spark, sf_dir, monkeypatch):
+    asked, article = [], scholar.article
+    monkeypatch.setattr(scholar, "article", lambda html, *fields: asked.append(fields) or article(html, *fields))
+    assert catalog_ingest.r82_rich_text(spark, sf_dir).count() and asked == [("english_title_rich",)]
+    (page,) = spark.read.parquet(f"{sf_dir}/customer.parquet").select(catalog_ingest._article_page()).first()
+    facts = scholar.article_facts(page)
+    assert scholar.article_facts(page, "english_title_rich") == {k: v for k, v in facts.items() if "title" in k or k == "failed"}
+    for fields in (["doi"], ["failed", "reference_count", "english_abstract_rich"], []):
+        got = spark.createDataFrame([(page,)], "h string").select(article(F.col("h"), *fields).alias("a")).first().a.asDict(True)
+        assert set(got) == {*fields, "failed"} if fields else len(got) == 22
+        assert {k: v for k, v in got.items() if v is not None} == {k: facts[k] for k in got if k in facts}
+
+
+def test_every_field_of_article_pages_has_a_reader():
+    found = [n for fields in scholar._ARTICLE_READERS.values() for n in fields]
+    assert sorted([*found, "failed"]) == sorted(scholar.StructType.fromDDL(scholar.ARTICLE).fieldNames())
