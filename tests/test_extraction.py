@@ -207,6 +207,6 @@ def test_rich_titles_are_read_without_the_other_facts(spark, sf_dir, monkeypatch
         assert {k: v for k, v in got.items() if v is not None} == {k: facts[k] for k in got if k in facts}
 
 
-def test_every_field_of_article_pages_has_a_reader():
+def test_every_field_of_article_pages_has_a_reader(spark):
     found = [n for fields in scholar._ARTICLE_READERS.values() for n in fields]
     assert sorted([*found, "failed"]) == sorted(scholar.StructType.fromDDL(scholar.ARTICLE).fieldNames())
